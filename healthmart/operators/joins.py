@@ -104,10 +104,6 @@ def valid_in(years: DataFrame, versions: DataFrame, year_col: str = "year",
     hi = F.least(F.coalesce(F.col(end_col).cast("long"), F.lit(int(last))), F.lit(int(last)))
     years_covered = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
     v = versions.withColumn("_y", F.explode(years_covered))
-    return years.join(versions, F.lit(False), "inner")
-    end = F.coalesce(F.col(end_col).cast("long"), F.lit(int(last)).cast("long"))
-    v = versions.withColumn("_y", F.explode(F.sequence(F.col(start_col).cast("long"),
-                                                       F.greatest(end, F.col(start_col).cast("long") - 1))))
     return years.join(v, years[year_col] == v["_y"], "inner").drop("_y")
 
 

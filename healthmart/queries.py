@@ -119,3 +119,159 @@ def c10(spark, sf_dir):
 def c7_after(spark, sf_dir):
     merged = kpi.merge_companies(role_views(spark, sf_dir).medicine_part(), *COMPETING)
     return kpi.competing_products(merged, COMPETING)
+
+
+# -- warehouse: dimensions M1-M11 --------------------------------------------------------------
+from .plans import facts as FT  # noqa: E402
+from .plans import warehouse as W  # noqa: E402
+
+SCD_CHANGE = ("AUTOMOBILE", "9", 2001, W.SCD_DEFAULT_END)  # re-aim of the reference's change
+V4_YEARS = (2000, 2001)
+
+
+def _dims(v):
+    person, cond, loc = v.person(), v.condition(), v.location()
+    return {"person": person, "cond": cond, "loc": loc,
+            "age": W.dim_age(person), "disease": W.dim_disease(cond),
+            "gender": W.dim_gender(person), "location": W.dim_location(loc)}
+
+
+register("m1_dim_age", O.dims_sql("SELECT * FROM d_age"))(
+    lambda spark, d: W.dim_age(role_views(spark, d).person()))
+register("m2_dim_disease", O.dims_sql("SELECT * FROM d_disease"))(
+    lambda spark, d: W.dim_disease(role_views(spark, d).condition()))
+register("m3_dim_medicine", O.with_views(
+    f"""SELECT {O.rn('src')} AS medicine_id, medicine_name, company FROM
+        (SELECT name AS medicine_name, company, MIN(medicine_id) AS src FROM v_medicine_part_merged
+         GROUP BY name, company) t""", "v_medicine_part", extra=_MERGED_PART))(
+    lambda spark, d: W.dim_medicine(kpi.merge_companies(role_views(spark, d).medicine_part(), *COMPETING)))
+
+
+@register("m4_dim_indication", O.with_views(
+    f"""SELECT i.indication_id, dm.medicine_id, i.disease_id FROM v_indication i
+        LEFT JOIN (SELECT m.medicine_id AS src_id, dm.medicine_id FROM v_medicine_merged m
+                   JOIN dmk dm ON m.name IS NOT DISTINCT FROM dm.medicine_name
+                              AND m.company IS NOT DISTINCT FROM dm.company) dm ON i.medicine_id = dm.src_id""",
+    "v_indication", "v_medicine", extra=_MERGED_KPI + [("dmk", f"""SELECT {O.rn('src')} AS medicine_id, medicine_name, company
+        FROM (SELECT name AS medicine_name, company, MIN(medicine_id) AS src FROM v_medicine_merged
+              GROUP BY name, company) t""")]))
+def m4(spark, d):
+    v = role_views(spark, d)
+    med = kpi.merge_companies(v.medicine(), TARGET, KPI_ACQUIRED)
+    return W.dim_indication(v.indication(), med, W.dim_medicine(med))
+
+
+register("m5_dim_gender", O.dims_sql("SELECT * FROM d_gender"))(
+    lambda spark, d: W.dim_gender(role_views(spark, d).person()))
+register("m6_dim_location", O.dims_sql("SELECT * FROM d_location"))(
+    lambda spark, d: W.dim_location(role_views(spark, d).location()))
+register("m7_dim_profit", O.dims_sql("SELECT * FROM d_profit"))(
+    lambda spark, d: W.dim_profit(role_views(spark, d).profit()))
+register("m8_dim_year", O.dims_sql("SELECT * FROM d_year"))(
+    lambda spark, d: W.dim_year(role_views(spark, d).outcome()))
+
+
+@register("m9_dim_diseased_patient", O.dims_sql(f"""
+    SELECT {O.rn('dp.person_id')} AS diseased_patient_id, dp.last_name, dp.first_name,
+           (SELECT g.gender_id FROM d_gender g WHERE g.gender = dp.gender) AS gender_id,
+           (SELECT a.age_id FROM d_age a WHERE a.age_range = {O.age_range('dp.age')}) AS age_id,
+           dp.is_insured, dp.start_date, dp.end_date, dp.person_id
+    FROM v_person_d dp""", "v_person_d"))
+def m9(spark, d):
+    v = role_views(spark, d)
+    person = v.person(with_dates=True)
+    return W.dim_diseased_patient(person, W.dim_gender(person), W.dim_age(person))
+
+
+register("m10_dim_intensity_level", O.dims_sql("SELECT * FROM d_level"))(
+    lambda spark, d: W.dim_intensity_level(role_views(spark, d).condition()))
+
+_DIL = O.dil_sql(W.SCD_DEFAULT_START, W.SCD_DEFAULT_END)
+
+
+def _dil(v, cond=None, d_disease=None, d_level=None):
+    cond = cond if cond is not None else v.condition()
+    d_disease = d_disease if d_disease is not None else W.dim_disease(cond)
+    d_level = d_level if d_level is not None else W.dim_intensity_level(cond)
+    return W.dim_disease_intensity(cond, d_disease, d_level), d_disease, d_level
+
+
+register("m11_dim_disease_intensity", O.dims_sql("SELECT * FROM d_dil", extra=[_DIL]))(
+    lambda spark, d: _dil(role_views(spark, d))[0])
+
+
+# -- facts, star reads, SCD change -------------------------------------------------------------
+_F1 = O.outcome_fact_sql(True)
+_F2 = O.outcome_fact_sql(False)
+
+
+def _outcome_fact(spark, d, with_location: bool):
+    v = role_views(spark, d)
+    x = _dims(v)
+    if with_location:
+        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"])
+        fact = FT.fact_disease_outcome(v.outcome(), cells, v.indication(), v.profit())
+    else:
+        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"])
+        fact = FT.fact_disease_outcome_no_country(v.outcome(), cells, v.indication(), v.profit())
+    return fact, x
+
+
+register("b1_fact_disease_outcome", O.dims_sql("SELECT * FROM f_outcome", "v_indication", extra=_F1))(
+    lambda spark, d: _outcome_fact(spark, d, True)[0])
+register("b2_fact_outcome_no_country", O.dims_sql("SELECT * FROM f_outcome_nc", "v_indication", extra=_F2))(
+    lambda spark, d: _outcome_fact(spark, d, False)[0])
+
+_V_COLS = """recovered_count, worsened_count, died_count, relapsed_count, effectiveness, avg_cost_per_drug,
+             overall_avg_cost, avg_profit"""
+
+
+@register("v1_star_outcome", O.dims_sql(f"""
+    SELECT f.fact_disease_outcome_id, d.disease_name, a.age_range, g.gender, l.country_name, {_V_COLS}
+    FROM f_outcome f JOIN d_disease d ON f.disease_id = d.disease_id JOIN d_age a ON f.age_id = a.age_id
+    JOIN d_gender g ON f.gender_id = g.gender_id JOIN d_location l ON f.location_id = l.location_id
+    ORDER BY f.effectiveness DESC, f.avg_cost_per_drug DESC""", "v_indication", extra=_F1))
+def v1(spark, d):
+    fact, x = _outcome_fact(spark, d, True)
+    return FT.star_outcome(fact, x["disease"], x["age"], x["gender"], x["location"])
+
+
+@register("v2_star_outcome_no_country", O.dims_sql(f"""
+    SELECT f.fact_disease_outcome_id, d.disease_name, a.age_range, g.gender, {_V_COLS}
+    FROM f_outcome_nc f JOIN d_disease d ON f.disease_id = d.disease_id JOIN d_age a ON f.age_id = a.age_id
+    JOIN d_gender g ON f.gender_id = g.gender_id
+    ORDER BY effectiveness, avg_cost_per_drug DESC""", "v_indication", extra=_F2))
+def v2(spark, d):
+    fact, x = _outcome_fact(spark, d, False)
+    return FT.star_outcome(fact, x["disease"], x["age"], x["gender"])
+
+
+def _intensity(spark, d, changed: bool):
+    v = role_views(spark, d)
+    dil, d_disease, d_level = _dil(v)
+    d_year = W.dim_year(v.outcome())
+    fact = FT.fact_disease_intensity(d_year, dil, d_disease, d_level)
+    if changed:
+        dil = FT.change_intensity(dil, d_disease, *SCD_CHANGE)
+        fact = FT.restate_intensity(fact, d_year, dil, d_disease, d_level)
+    return fact, dil, d_year, d_disease, d_level
+
+
+_B3 = [_DIL, O.intensity_fact_sql("d_dil")]
+_S1 = _B3 + [O.dil_changed_sql(*SCD_CHANGE), O.restated_sql("f_int", "d_dil2")]
+_V3 = """SELECT f.fact_disease_intensity_id, y.year AS year, d.disease_name, ilq.intensity_level AS intensity_level
+    FROM {f} f JOIN d_year y ON f.year_id = y.year_id JOIN d_disease d ON f.disease_id = d.disease_id
+    JOIN d_level ilq ON f.intensity_level_id = ilq.intensity_level_id {where} ORDER BY y.year, d.disease_name"""
+
+register("b3_fact_disease_intensity", O.dims_sql("SELECT * FROM f_int", extra=_B3))(
+    lambda spark, d: _intensity(spark, d, False)[0])
+register("v3_star_intensity", O.dims_sql(_V3.format(f="f_int", where=""), extra=_B3))(
+    lambda spark, d: FT.star_intensity(*(lambda r: (r[0], r[2], r[3], r[4]))(_intensity(spark, d, False))))
+register("s1j_dim_after_change", O.dims_sql("SELECT * FROM d_dil2", extra=_S1))(
+    lambda spark, d: _intensity(spark, d, True)[1])
+register("s1j_fact_restated", O.dims_sql("SELECT * FROM f_restated", extra=_S1))(
+    lambda spark, d: _intensity(spark, d, True)[0])
+register("v4_star_intensity_two_years", O.dims_sql(
+    _V3.format(f="f_restated", where=f"WHERE y.year IN {V4_YEARS}"), extra=_S1))(
+    lambda spark, d: FT.star_intensity(*(lambda r: (r[0], r[2], r[3], r[4]))(_intensity(spark, d, True)),
+                                       years=V4_YEARS))
