@@ -275,3 +275,134 @@ register("v4_star_intensity_two_years", O.dims_sql(
     _V3.format(f="f_restated", where=f"WHERE y.year IN {V4_YEARS}"), extra=_S1))(
     lambda spark, d: FT.star_intensity(*(lambda r: (r[0], r[2], r[3], r[4]))(_intensity(spark, d, True)),
                                        years=V4_YEARS))
+
+
+# -- governed reads R1-R6 ------------------------------------------------------------------------
+from .operators import integrity as IG  # noqa: E402
+from .plans import governed as GV  # noqa: E402
+from .streaming.arrival import enrich_on_arrival, run_arrivals  # noqa: E402
+
+PATIENT = 1  # the reference reads as patient 1
+_REC = """dp.last_name, dp.first_name, dp.gender, dp.age, l.country_name, dp.is_insured, d.disease_name AS disease,
+          m.name AS medication_name, dp.severity_value, dp.start_date, dp.end_date"""
+_GOV_VIEWS = ("v_outcome", "v_person_d", "v_condition", "v_indication", "v_medicine", "v_location")
+
+
+@register("r1_medical_records_doctor", O.with_views(f"""
+    SELECT o.person_id, {_REC} FROM v_outcome o JOIN v_person_d dp ON o.person_id = dp.person_id
+    JOIN v_condition d ON dp.disease_id = d.disease_id JOIN v_indication i ON o.indication_id = i.indication_id
+    JOIN v_medicine m ON i.medicine_id = m.medicine_id JOIN v_location l ON dp.primary_location_id = l.location_id""",
+    *_GOV_VIEWS))
+def r1(spark, d):
+    v = role_views(spark, d)
+    return GV.medical_records(v.outcome(), v.person(with_dates=True), v.condition(), v.indication(),
+                              v.medicine(), v.location())
+
+
+register("r2_own_patient_rows", O.with_views(f"SELECT * FROM v_person_d WHERE person_id = {PATIENT}", "v_person_d"))(
+    lambda spark, d: GV.PatientSession(PATIENT).patient(role_views(spark, d).person(with_dates=True)))
+register("r3_own_outcome_rows", O.with_views(f"SELECT * FROM v_outcome WHERE person_id = {PATIENT}", "v_outcome"))(
+    lambda spark, d: GV.PatientSession(PATIENT).outcome(role_views(spark, d).outcome()))
+
+
+@register("r4_own_indication_rows", O.with_views(f"""
+    SELECT * FROM v_indication i WHERE EXISTS (SELECT 1 FROM v_outcome o
+        WHERE o.indication_id = i.indication_id AND o.person_id = {PATIENT})""", "v_indication", "v_outcome"))
+def r4(spark, d):
+    v = role_views(spark, d)
+    return GV.PatientSession(PATIENT).indication(v.indication(), v.outcome())
+
+
+@register("r6_patient_own_record", O.with_views(f"""
+    SELECT o.person_id, {_REC}
+    FROM (SELECT * FROM v_person_d WHERE person_id = {PATIENT}) dp
+    LEFT JOIN v_location l ON dp.primary_location_id = l.location_id
+    LEFT JOIN v_condition d ON dp.disease_id = d.disease_id
+    LEFT JOIN (SELECT * FROM v_outcome WHERE person_id = {PATIENT}) o ON dp.person_id = o.person_id
+    LEFT JOIN (SELECT * FROM v_indication i WHERE EXISTS (SELECT 1 FROM v_outcome o2
+               WHERE o2.indication_id = i.indication_id AND o2.person_id = {PATIENT})) i ON o.indication_id = i.indication_id
+    LEFT JOIN v_medicine m ON i.medicine_id = m.medicine_id
+    WHERE dp.person_id = {PATIENT}""", *_GOV_VIEWS))
+def r6(spark, d):
+    v = role_views(spark, d)
+    return GV.my_record(GV.PatientSession(PATIENT), v.person(with_dates=True), v.location(), v.condition(),
+                        v.outcome(), v.indication(), v.medicine())
+
+
+# -- integrity A8, A9 ------------------------------------------------------------------------------
+_PATIENT_LIMITS = {"last_name": 50, "first_name": 50, "gender": 1}
+
+
+@register("a8_patient_rule_violations", O.with_views("""
+    SELECT person_id, column_name, rule, length FROM (
+        SELECT person_id, 'last_name' AS column_name, 'max length 50' AS rule, CAST(LENGTH(last_name) AS BIGINT) AS length
+        FROM v_person WHERE LENGTH(last_name) > 50
+        UNION ALL SELECT person_id, 'first_name', 'max length 50', CAST(LENGTH(first_name) AS BIGINT)
+        FROM v_person WHERE LENGTH(first_name) > 50
+        UNION ALL SELECT person_id, 'gender', 'max length 1', CAST(LENGTH(gender) AS BIGINT)
+        FROM v_person WHERE LENGTH(gender) > 1
+        UNION ALL SELECT person_id, 'gender', 'not null', CAST(NULL AS BIGINT) FROM v_person WHERE gender IS NULL) t""",
+    "v_person"))
+def a8(spark, d):
+    _, bad = IG.apply_rules(role_views(spark, d).person(), {"severity_value": 1, "is_insured": False},
+                            ["gender"], _PATIENT_LIMITS, key=["person_id"])
+    return bad
+
+
+# Foreign keys of the role views, stated on the tables they come from.
+FK_CHECKS = [("lineitem", "l_orderkey", "orders", "o_orderkey"),
+             ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+             ("lineitem", "l_partkey", "part", "p_partkey"),
+             ("orders", "o_custkey", "customer", "c_custkey"),
+             ("customer", "c_nationkey", "nation", "n_nationkey"),
+             ("supplier", "s_nationkey", "nation", "n_nationkey"),
+             ("nation", "n_regionkey", "region", "r_regionkey"),
+             ("events", "user_id", "customer", "c_custkey")]
+PK_CHECKS = [("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderkey"]),
+             ("customer", ["c_custkey"]), ("supplier", ["s_suppkey"]), ("part", ["p_partkey"]),
+             ("nation", ["n_nationkey"]), ("region", ["r_regionkey"])]
+
+
+@register("a9_orphan_report", " UNION ALL ".join(
+    f"""SELECT '{c}' AS child_table, '{fk}' AS fk_column, '{p}' AS parent_table, '{pk}' AS pk_column,
+        COUNT(*) AS orphan_rows FROM {c} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)"""
+    for c, fk, p, pk in FK_CHECKS))
+def a9(spark, d):
+    v = role_views(spark, d)
+    parts = [IG.orphans(v.raw(c), fk, v.raw(p), pk, (c, fk, p, pk)) for c, fk, p, pk in FK_CHECKS]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@register("a9_duplicate_key_report", " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{','.join(k)}' AS key_columns, COUNT(*) AS duplicated_keys,
+        CAST(COALESCE(SUM(n), 0) AS BIGINT) AS rows_with_duplicated_key
+        FROM (SELECT COUNT(*) AS n FROM {t} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1) g"""
+    for t, k in PK_CHECKS))
+def a9_dups(spark, d):
+    v = role_views(spark, d)
+    parts = [IG.dup_keys(v.raw(t), k, t) for t, k in PK_CHECKS]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+# -- A10 enrichment on arrival ---------------------------------------------------------------------
+@register("a10_enrich_outcomes_batch", O.with_views("""
+    SELECT o.*, i.medicine_id FROM v_outcome o LEFT JOIN v_indication i ON o.indication_id = i.indication_id""",
+    "v_outcome", "v_indication"))
+def a10(spark, d):
+    v = role_views(spark, d)
+    return enrich_on_arrival(v.outcome(), v.indication(), ("indication_id", "indication_id"), ["medicine_id"])
+
+
+@register("a10_enrich_events_stream", O.with_views("""
+    SELECT e.*, p.primary_location_id FROM events e LEFT JOIN v_person p ON e.user_id = p.person_id""", "v_person"))
+def a10_stream(spark, d):
+    v = role_views(spark, d)
+    person = v.person().select("person_id", "primary_location_id")
+    return run_arrivals(spark, f"{d}/events*.parquet", v.raw("events").schema, person,
+                        ("user_id", "person_id"), ["primary_location_id"])
