@@ -1,18 +1,18 @@
-"""K1: dense surrogate keys 1..n in a stated order, without a single-partition sort.
+"""K1: dense surrogate keys 1..n in a stated order, without a single-partition sort of big data.
 
-Small, provably bounded inputs (a handful of buckets, years or levels after a reduction) use a
-plain ``row_number()`` window.  Anything that grows with the data is numbered in two phases:
+Every input is first frozen as a written Parquet table in the shared checkpoint folder
+(``spark.checkpoint.dir``): lineage is cut, a lost executor cannot make ids change, and the
+planner sees the real file size of every dimension (so its own size check decides broadcasts).
 
-1. range-partition and sort by the order columns, then ``checkpoint()`` to the shared
-   checkpoint folder - the range bounds are sampled, so the frame must be frozen before it is
-   counted and numbered, and a lost executor must not re-sample different bounds;
-2. count rows per partition (one row per partition reaches the driver: bounded by the
-   partition count, not the data), turn the counts into offsets and add each row's position
-   inside its partition.  No further shuffle.
+* up to ``SINGLE_TASK_MAX_ROWS`` rows (counted on the frozen table): one ``row_number()`` window;
+* more: range-partition and sort by the order columns, record each row's partition and
+  position while writing, then add per-partition offsets.  Only one row per partition (the
+  partition's count) reaches the driver; no task ever holds more than a range partition.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,36 +20,61 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+# Largest input numbered by a single-task window.  The count is exact (taken on the frozen
+# table), so the single partition the window needs is bounded by this number, not the data.
+SINGLE_TASK_MAX_ROWS = 200_000
+
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     # PostgreSQL order: ascending, NULLs last.  Columns passed in keep their own direction.
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
+def scratch_path(spark, tag: str) -> str:
+    """A new folder under the shared checkpoint location (never a machine-local temp dir)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/healthmart-tables/{tag}-{uuid.uuid4().hex}"
+
+
+def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back (one job; cuts lineage)."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str, *,
-                  bounded: bool = False, start: int = 1) -> DataFrame:
+                  bounded: bool = False, start: int = 1,
+                  single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order_cols``.
 
-    Order keys should be unique; ties get distinct ids in an order fixed by the checkpoint.
-    ``bounded=True`` declares that the input has a small size bound known to the caller.
+    ``bounded=True`` skips freezing and counting for inputs that are tiny by construction
+    (a literal change batch).  Order keys should be unique; ties get distinct ids in the
+    frozen order.
     """
     order = _order(order_cols)
+
+    def window(d: DataFrame) -> DataFrame:
+        return d.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + (start - 1)).cast("long"))
+
     if bounded:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + (start - 1)).cast("long"))
+        return window(df)
+    frozen = freeze(df, "keys-in")
+    if frozen.count() <= single_task_max:
+        return window(frozen)
 
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).count().collect()
+    ranged = frozen.repartitionByRange(*order).sortWithinPartitions(*order) \
+        .withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    # Partition and position are written together with the rows: whichever task attempt
+    # commits, the recorded positions are the ones the offsets below refer to.
+    placed = freeze(ranged, "keys-ranged")
+    counts = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
     offsets, running = [], start
-    for row in sorted(counts, key=lambda r: r["_pid"]):
-        offsets.append((row["_pid"], running))
-        running += row["count"]
-    spark = df.sparkSession
-    if not offsets:
-        return ranged.withColumn(name, F.lit(None).cast("long"))
-    off = spark.createDataFrame(offsets, "_pid int, _offset long")
-    numbered = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    for pid, count in counts:
+        offsets.append((pid, running))
+        running += count
+    off = df.sparkSession.createDataFrame(offsets, "_pid int, _offset long")
     # ``off`` has one row per partition: its size is bounded by the partition count.
-    out = numbered.join(F.broadcast(off), "_pid", "inner")
+    out = placed.join(F.broadcast(off), "_pid", "inner")
     return out.withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")).drop("_pid", "_pos", "_offset")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
-from ..operators.joins import valid_in
+from ..operators.joins import freq, valid_in
 from ..operators.keys import with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
@@ -72,27 +72,38 @@ def _finish(agg: DataFrame, keys: list[str], id_name: str, overall: Column) -> D
 
 def fact_disease_outcome(outcome: DataFrame, cells: DataFrame, indication: DataFrame, profit: DataFrame,
                          keys: list[str] | None = None) -> DataFrame:
-    """B1: outcome counts and cost/profit measures per (disease, age, gender, location).
+    """B1: outcome counts and cost/profit measures per (disease, age, gender, location)."""
+    lines = outcome.select("person_id", "indication_id", "outcome").join(cells, "person_id", "left")
+    return fact_disease_outcome_from_lines(lines, indication, profit, keys)
 
-    avg_cost_per_drug weighs each outcome row by the *global* frequency of its indication (T12).
+
+def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, profit: DataFrame,
+                                    keys: list[str] | None = None) -> DataFrame:
+    """B1 over outcome rows that already carry their patient's fact keys (NULL keys when the
+    patient has no complete cell).  Every outcome row counts towards the *global* frequency of
+    its indication (T12); only rows with a cell enter the fact.
+
+    Two aggregations read ``lines``: the frequency per indication and the fact per cell.  Both
+    aggregate map-side first, so neither shuffles more than one row per (map task, key).
     """
     keys = keys or ["disease_id", "age_id", "gender_id", "location_id"]
-    o = outcome.select("person_id", "indication_id", *[f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)])
-    pi = o.groupBy("person_id", "indication_id").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS])
-    ic = pi.groupBy("indication_id").agg(F.sum("_n").alias("_ic"))
+    ic = freq(lines.select("indication_id"), ["indication_id"], "_ic")
     supp = indication.select("indication_id").join(
         profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner") \
         .join(ic, "indication_id", "inner")
-    ci = pi.join(cells, "person_id", "inner").groupBy(*keys, "indication_id").agg(
-        F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS])
-    j = ci.join(supp, "indication_id", "inner")
+    has_cell = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        has_cell = c if has_cell is None else has_cell & c
+    j = lines.where(has_cell).select(*keys, "indication_id", *[f.alias(c) for f, (_, c) in
+                                                               zip(_flags(F.col("outcome")), OUTCOMES)]) \
+        .join(supp, "indication_id", "inner")
     agg = j.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in COUNT_COLS],
-        F.sum("_n").alias("_rows"),
-        F.sum(F.col("_n") * F.col("_ic") * F.col("cost_cents")).alias("_wsum"),
-        F.sum(F.col("_n") * F.col("_ic")).alias("_wcnt"),
-        F.sum(F.col("_n") * F.col("profit_cents")).alias("_psum"))
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.col("_ic") * F.col("cost_cents")).alias("_wsum"),
+        F.sum(F.col("_ic")).alias("_wcnt"),
+        F.sum(F.col("profit_cents")).alias("_psum"))
     return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_bucket, age_range, gender_desc, year_of
 from ..operators.joins import lookup
-from ..operators.keys import with_dense_id
+from ..operators.keys import freeze, with_dense_id
 
 # Re-aimed default validity of the intensity SCD dimension (the reference uses 2020-2025 for
 # outcomes dated 2020-2023; the test tables ship 1995-2001).
@@ -51,8 +51,8 @@ def source_map(df: DataFrame, dim: DataFrame, attrs: Sequence[str], src_id: str,
 
 def dim_age(person: DataFrame) -> DataFrame:
     """M1: the age buckets present in the data; age_id is the bucket number (1-8)."""
-    return person.select(age_bucket(F.col("age")).alias("age_id"), age_range(F.col("age")).alias("age_range")) \
-        .distinct()
+    return freeze(person.select(age_bucket(F.col("age")).alias("age_id"),
+                                age_range(F.col("age")).alias("age_range")).distinct())
 
 
 DISEASE_ATTRS = ["disease_name", "intensity_level_qty", "disease_type_code"]
@@ -92,7 +92,7 @@ def dim_gender(person: DataFrame) -> DataFrame:
     """M5: distinct gender codes with their description, numbered by code (bounded domain)."""
     g = person.select(F.col("gender")).where(F.col("gender").isNotNull()).distinct() \
         .select("gender", gender_desc(F.col("gender")).alias("gender_desc"))
-    return with_dense_id(g, ["gender"], "gender_id", bounded=True).select("gender_id", "gender", "gender_desc")
+    return with_dense_id(g, ["gender"], "gender_id").select("gender_id", "gender", "gender_desc")
 
 
 LOCATION_ATTRS = ["city_name", "state_province_name", "country_name", "developing_flag", "wealth_rank_number"]
@@ -114,7 +114,7 @@ def dim_profit(profit: DataFrame) -> DataFrame:
 def dim_year(outcome: DataFrame) -> DataFrame:
     """M8: outcome years, numbered in order (bounded by the calendar)."""
     years = outcome.select(year_of(F.col("outcome_date")).alias("year")).distinct()
-    return with_dense_id(years, ["year"], "year_id", bounded=True).select("year_id", "year")
+    return with_dense_id(years, ["year"], "year_id").select("year_id", "year")
 
 
 def dim_diseased_patient(person: DataFrame, d_gender: DataFrame, d_age: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def dim_intensity_level(disease: DataFrame) -> DataFrame:
     """Distinct non-NULL intensity levels, numbered in order."""
     lv = disease.where(F.col("intensity_level_qty").isNotNull()) \
         .select(F.col("intensity_level_qty").alias("intensity_level")).distinct()
-    return with_dense_id(lv, ["intensity_level"], "intensity_level_id", bounded=True) \
+    return with_dense_id(lv, ["intensity_level"], "intensity_level_id") \
         .select("intensity_level_id", "intensity_level")
 
 

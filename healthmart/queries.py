@@ -50,24 +50,31 @@ def _kpi_sql(key: str, after: bool) -> str:
     return O.with_views(_KPI_SQL_AFTER[key], *_KPI_VIEWS, extra=_MERGED_KPI)
 
 
-def _kpis(spark: SparkSession, sf_dir: str, after: bool) -> kpi.Kpis:
+_KPI_FN = {
+    "c1": lambda o, m, i, p: kpi.c1_patients(o, m, i, TARGET),
+    "c2": lambda o, m, i, p: kpi.c2_other_patients(o, m, i, TARGET),
+    "c3": lambda o, m, i, p: kpi.c3_patients_per_company(o, m, i),
+    "c4": lambda o, m, i, p: kpi.c4_profit(o, m, i, p, TARGET),
+    "c5": lambda o, m, i, p: kpi.c5_other_profit(o, m, i, p, TARGET),
+    "c6": lambda o, m, i, p: kpi.c6_profit_per_company(o, m, i, p),
+}
+
+
+def _kpi(spark: SparkSession, sf_dir: str, key: str, after: bool) -> DataFrame:
     v = role_views(spark, sf_dir)
     med = v.medicine()
     if after:
         med = kpi.merge_companies(med, TARGET, KPI_ACQUIRED)
-    return kpi.kpis(v.outcome(), med, v.indication(), v.profit(), TARGET)
+    return _KPI_FN[key](v.outcome(), med, v.indication(), v.profit())
 
 
 for _after, _prefix in ((False, ""), (True, "c11_after_merger_")):
-    for _key, _field, _name in (("c1", "pharma_patients", "c1_target_patients"),
-                                ("c2", "non_pharma_patients", "c2_other_patients"),
-                                ("c3", "patients_per_company", "c3_patients_per_company"),
-                                ("c4", "pharma_profit", "c4_target_profit"),
-                                ("c5", "non_pharma_profit", "c5_other_profit"),
-                                ("c6", "profit_per_company", "c6_profit_per_company")):
+    for _key, _name in (("c1", "c1_target_patients"), ("c2", "c2_other_patients"),
+                        ("c3", "c3_patients_per_company"), ("c4", "c4_target_profit"),
+                        ("c5", "c5_other_profit"), ("c6", "c6_profit_per_company")):
         _qname = (_prefix + _name[3:]) if _after else _name
         register(_qname, _kpi_sql(_key, _after))(
-            lambda spark, sf_dir, a=_after, f=_field: getattr(_kpis(spark, sf_dir, a), f))
+            lambda spark, sf_dir, a=_after, k=_key: _kpi(spark, sf_dir, k, a))
 
 
 # -- C7-C10 ----------------------------------------------------------------------------------
@@ -210,7 +217,11 @@ def _outcome_fact(spark, d, with_location: bool):
     x = _dims(v)
     if with_location:
         cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"])
-        fact = FT.fact_disease_outcome(v.outcome(), cells, v.indication(), v.profit())
+        # Patient cells meet the orders (orders-sized) before the line items, so the lines are
+        # joined once - by the order key that defines the outcome view anyway.
+        order_cells = v.order_person().join(cells, "person_id", "left")
+        lines = v.outcome_lines().select("order_key", "indication_id", "outcome").join(order_cells, "order_key")
+        fact = FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit())
     else:
         cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"])
         fact = FT.fact_disease_outcome_no_country(v.outcome(), cells, v.indication(), v.profit())

@@ -28,6 +28,22 @@ from ..functions.scalar import hundredths_to_money, money_from_double, half_up_d
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Declared schemas of the driver's tables: nothing is inferred, and no file footer is read to
+# plan a query.
+TEST_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Fixed mapping of the driver's (return flag, line status) pairs to outcome values.
 OUTCOME_BY_FLAG = {"N": "recovered", "A": "worsened"}
 OUTCOME_RETURNED = {"F": "died", "O": "relapse"}
@@ -52,7 +68,10 @@ class RoleViews:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read
+            if name in TEST_SCHEMAS:
+                reader = reader.schema(TEST_SCHEMAS[name])
+            self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     # -- outcome ---------------------------------------------------------------------------
@@ -133,13 +152,16 @@ class RoleViews:
     # -- person / location / condition -----------------------------------------------------
     def condition(self) -> DataFrame:
         """Distinct market segments, numbered by name (bounded: one row per segment)."""
+        if "_condition" in self._raw:
+            return self._raw["_condition"]
         from ..operators.keys import with_dense_id
         seg = self.raw("customer").select(F.col("c_mktsegment").alias("disease_name")).distinct()
-        seg = with_dense_id(seg, ["disease_name"], "disease_id", bounded=True)
-        return seg.select(
+        seg = with_dense_id(seg, ["disease_name"], "disease_id")
+        self._raw["_condition"] = seg.select(
             "disease_id", "disease_name",
             (F.col("disease_id") + 6).alias("intensity_level_qty"),
             F.concat(F.lit("DT0"), F.col("disease_id").cast("string")).alias("disease_type_code"))
+        return self._raw["_condition"]
 
     def person(self, with_dates: bool = False) -> DataFrame:
         c = self.raw("customer")
