@@ -63,6 +63,11 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
     if frozen.count() <= single_task_max:
         return window(frozen)
 
+    # A tiebreak taken from the frozen table makes the order total, so a value shared by a third
+    # of all rows is still split across range partitions instead of landing in one task.
+    tie = F.monotonically_increasing_id()
+    frozen = frozen.withColumn("_tie", tie)
+    order = order + [F.col("_tie").asc()]
     ranged = frozen.repartitionByRange(*order).sortWithinPartitions(*order) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
@@ -77,4 +82,5 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
     off = df.sparkSession.createDataFrame(offsets, "_pid int, _offset long")
     # ``off`` has one row per partition: its size is bounded by the partition count.
     out = placed.join(F.broadcast(off), "_pid", "inner")
-    return out.withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")).drop("_pid", "_pos", "_offset")
+    return out.withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")) \
+        .drop("_pid", "_pos", "_offset", "_tie")

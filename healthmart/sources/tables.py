@@ -33,11 +33,15 @@ def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object]
 def load(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
          options: Mapping[str, str] | None = None) -> DataFrame:
     """A2: read an operational table with its declared schema (no inference), applying column
-    defaults and CHAR trimming.  CSV/JSON are read with the declared schema directly."""
+    defaults and CHAR trimming.  Text formats are read as strings and cast by column name."""
     schema = SCHEMAS[table]
     reader = spark.read.options(**(options or {}))
     if fmt == "parquet":
         raw = reader.parquet(path)
+    elif fmt == "csv":
+        # Columns are matched by header name, read as text (no inference) and cast by ``conform``;
+        # a file may carry only some of the columns, as an INSERT with a column list does.
+        raw = reader.option("header", "true").option("inferSchema", "false").csv(path)
     else:
         raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])) \
             .format(fmt).load(path)
@@ -71,9 +75,8 @@ class Catalog:
     def replace(self, table: str, df: DataFrame, reads_itself: bool = False) -> DataFrame:
         """A4: drop-and-rebuild; rerunning gives the same state."""
         if reads_itself:
-            from ..session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
+            from ..operators.keys import freeze
+            df = freeze(df, f"replace-{table}")
         df.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
         return self.scan(table)
 

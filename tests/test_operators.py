@@ -155,3 +155,13 @@ def test_apply_rules_defaults_and_violations(spark):
     ok, bad = apply_rules(df, {"severity": 1}, ["gender"], {"name": 5, "gender": 1}, key=["id"])
     assert rows(ok, "id", "severity") == [(1, 1), (2, 3)]
     assert rows(bad) == [(1, "gender", "not null", None), (1, "name", "max length 5", 11)]
+
+
+def test_dense_ids_split_a_hot_key(spark):
+    # a third of the rows share one order value: ids stay 1..n and the hot value spans partitions
+    df = spark.range(0, 300).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    out = with_dense_id(df, ["k"], "sid", single_task_max=5)
+    got = sorted(r["sid"] for r in out.collect())
+    assert got == list(range(1, 301))
+    hot = sorted(r["sid"] for r in out.where("k = -1").collect())
+    assert hot == list(range(1, 101))   # equal keys take consecutive ids
