@@ -23,6 +23,10 @@ from ..session import ensure_checkpoint_dir
 # Largest input numbered by a single-task window.  The count is exact (taken on the frozen
 # table), so the single partition the window needs is bounded by this number, not the data.
 SINGLE_TASK_MAX_ROWS = 200_000
+# Frozen results with at most this many rows (an exact count, not an estimate) are marked for
+# broadcast, so joins against small derived dimensions never shuffle the large side - even
+# where the planner's size estimate is missing or wrong.  Anything larger gets no hint.
+BROADCAST_MAX_ROWS = 100_000
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
@@ -43,6 +47,13 @@ def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freeze_small(df: DataFrame, tag: str = "frozen", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``freeze`` plus an exact row count; the result carries a broadcast hint only when the
+    count is within ``max_rows``."""
+    frozen = freeze(df, tag)
+    return F.broadcast(frozen) if frozen.count() <= max_rows else frozen
+
+
 def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str, *,
                   bounded: bool = False, start: int = 1,
                   single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
@@ -60,8 +71,10 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
     if bounded:
         return window(df)
     frozen = freeze(df, "keys-in")
-    if frozen.count() <= single_task_max:
-        return window(frozen)
+    n = frozen.count()
+    if n <= single_task_max:
+        out = window(frozen)
+        return F.broadcast(out) if n <= BROADCAST_MAX_ROWS else out
 
     # A tiebreak taken from the frozen table makes the order total, so a value shared by a third
     # of all rows is still split across range partitions instead of landing in one task.

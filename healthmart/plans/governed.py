@@ -23,18 +23,31 @@ class ContextNotSet(RuntimeError):
     """A patient read was attempted without a person context (never 'all rows')."""
 
 
+def patient_record(person: DataFrame, disease: DataFrame, location: DataFrame) -> DataFrame:
+    """The patient half of R1: patient attributes with condition name and country."""
+    return person.join(disease.select("disease_id", F.col("disease_name").alias("disease")), "disease_id", "inner") \
+        .join(location.select(F.col("location_id").alias("primary_location_id"), "country_name"),
+              "primary_location_id", "inner")
+
+
+def drug_names(indication: DataFrame, medicine: DataFrame) -> DataFrame:
+    """The drug half of R1: indication -> medicine name."""
+    return indication.select("indication_id", "medicine_id") \
+        .join(medicine.select("medicine_id", F.col("name").alias("medication_name")), "medicine_id", "inner")
+
+
 def medical_records(outcome: DataFrame, person: DataFrame, disease: DataFrame, indication: DataFrame,
                     medicine: DataFrame, location: DataFrame) -> DataFrame:
     """One row per outcome with its patient, condition, drug and country (inner joins, so
     incomplete rows drop).  Small tables meet their partner before the outcome side does."""
-    patient = person.join(disease.select("disease_id", F.col("disease_name").alias("disease")), "disease_id", "inner") \
-        .join(location.select(F.col("location_id").alias("primary_location_id"), "country_name"),
-              "primary_location_id", "inner")
-    drug = indication.select("indication_id", "medicine_id") \
-        .join(medicine.select("medicine_id", F.col("name").alias("medication_name")), "medicine_id", "inner")
-    j = outcome.select("person_id", "indication_id").join(patient, "person_id", "inner") \
-        .join(drug, "indication_id", "inner")
-    return j.select(*RECORD_COLS)
+    j = outcome.select("person_id", "indication_id").join(patient_record(person, disease, location),
+                                                          "person_id", "inner")
+    return medical_records_from(j, indication, medicine)
+
+
+def medical_records_from(outcome_with_patient: DataFrame, indication: DataFrame, medicine: DataFrame) -> DataFrame:
+    """R1 for outcome rows that already carry their patient's record columns."""
+    return outcome_with_patient.join(drug_names(indication, medicine), "indication_id", "inner").select(*RECORD_COLS)
 
 
 def own_rows(df: DataFrame, person_id: int | None, col: str = "person_id") -> DataFrame:

@@ -40,8 +40,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "finalpro
     del d_med
 
     cells = FT.person_cells(person, cond, d_disease, d_gender, loc, d_loc)
-    order_cells = v.order_person().join(cells, "person_id", "left")
-    lines = v.outcome_lines().select("order_key", "indication_id", "outcome").join(order_cells, "order_key")
+    lines = v.outcome_with(cells, how="left", cols=("order_key", "indication_id", "outcome"))
     cat.replace("fact_disease_outcome", FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit()))
     cells_nc = FT.person_cells(person, cond, d_disease, d_gender)
     cat.replace("fact_disease_outcome_no_country",

@@ -219,8 +219,7 @@ def _outcome_fact(spark, d, with_location: bool):
         cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"])
         # Patient cells meet the orders (orders-sized) before the line items, so the lines are
         # joined once - by the order key that defines the outcome view anyway.
-        order_cells = v.order_person().join(cells, "person_id", "left")
-        lines = v.outcome_lines().select("order_key", "indication_id", "outcome").join(order_cells, "order_key")
+        lines = v.outcome_with(cells, how="left", cols=("order_key", "indication_id", "outcome"))
         fact = FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit())
     else:
         cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"])
@@ -306,8 +305,8 @@ _GOV_VIEWS = ("v_outcome", "v_person_d", "v_condition", "v_indication", "v_medic
     *_GOV_VIEWS))
 def r1(spark, d):
     v = role_views(spark, d)
-    return GV.medical_records(v.outcome(), v.person(with_dates=True), v.condition(), v.indication(),
-                              v.medicine(), v.location())
+    patients = GV.patient_record(v.person(with_dates=True), v.condition(), v.location())
+    return GV.medical_records_from(v.outcome_with(patients, cols=("indication_id",)), v.indication(), v.medicine())
 
 
 register("r2_own_patient_rows", O.with_views(f"SELECT * FROM v_person_d WHERE person_id = {PATIENT}", "v_person_d"))(

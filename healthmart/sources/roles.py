@@ -103,6 +103,21 @@ class RoleViews:
         return self.raw("orders").select(F.col("o_orderkey").alias("order_key"),
                                          F.col("o_custkey").alias("person_id"))
 
+    def outcome_with(self, per_person: DataFrame, how: str = "inner",
+                     cols: tuple[str, ...] = ("order_key", "line_number", "indication_id", "outcome",
+                                              "outcome_date")) -> DataFrame:
+        """Outcome rows carrying ``per_person`` columns (joined on person_id).
+
+        Same rows as ``outcome().join(per_person, "person_id", how)``, but the person side
+        meets the orders (a quarter of the line items) first, so the line items are joined
+        once, by the order key that defines the outcome view.  With ``how="left"`` every
+        outcome row is kept.
+        """
+        orders = self.order_person().join(per_person, "person_id", how)
+        keep = list(dict.fromkeys(["order_key", *cols]))
+        out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
+        return out if "order_key" in cols else out.drop("order_key")
+
     # -- indication / profit ---------------------------------------------------------------
     def indication(self) -> DataFrame:
         s = self.raw("supplier")
@@ -129,9 +144,10 @@ class RoleViews:
 
     # -- medicine --------------------------------------------------------------------------
     def _nation_region(self) -> DataFrame:
-        # nation and region have a fixed size (25 and 5 rows), so the broadcast is bounded.
+        # nation and region have a fixed size at every scale (25 and 5 rows), so both the
+        # region broadcast and the broadcast of the joined result are bounded.
         n, r = self.raw("nation"), self.raw("region")
-        return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner")
+        return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner"))
 
     def medicine(self) -> DataFrame:
         """KPI medicine: one drug per nation, sold by the company named after its region."""
