@@ -1,13 +1,14 @@
 """K1: dense surrogate keys 1..n in a stated order, without a single-partition sort of big data.
 
-Every input is first frozen as a written Parquet table in the shared checkpoint folder
-(``spark.checkpoint.dir``): lineage is cut, a lost executor cannot make ids change, and the
-planner sees the real file size of every dimension (so its own size check decides broadcasts).
-
-* up to ``SINGLE_TASK_MAX_ROWS`` rows (counted on the frozen table): one ``row_number()`` window;
-* more: range-partition and sort by the order columns, record each row's partition and
-  position while writing, then add per-partition offsets.  Only one row per partition (the
-  partition's count) reaches the driver; no task ever holds more than a range partition.
+The input is counted exactly first (one job over a persisted frame):
+
+* up to ``SINGLE_TASK_MAX_ROWS`` rows: one ``row_number()`` window, ordered by the order columns
+  and then by every other column, so ids are a function of the rows and a recomputation after a
+  lost executor reproduces them; small results carry a broadcast hint;
+* more: the input is frozen as a written Parquet table in the shared checkpoint folder
+  (``spark.checkpoint.dir``), range-partitioned and sorted, and each row's partition and
+  position are recorded while writing; ids are then offset + position.  Only one row per
+  partition (its count) reaches the driver; no task holds more than one range partition.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,11 +49,13 @@ def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def freeze_small(df: DataFrame, tag: str = "frozen", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``freeze`` plus an exact row count; the result carries a broadcast hint only when the
-    count is within ``max_rows``."""
-    frozen = freeze(df, tag)
-    return F.broadcast(frozen) if frozen.count() <= max_rows else frozen
+def small_lookup(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A derived lookup table (no generated ids) kept for reuse, counted exactly, and marked for
+    broadcast only when the count is within ``max_rows``.  One job.  The frame is persisted,
+    not frozen: it is a deterministic function of its inputs, so a lost block is recomputed
+    from lineage with the same content."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str, *,
@@ -64,22 +68,26 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
     frozen order.
     """
     order = _order(order_cols)
+    named = {c for c in order_cols if isinstance(c, str)}
+    # Every other column breaks ties, so the numbering is a function of the rows alone: a
+    # recomputed partition (lost executor) gets exactly the same ids.
+    total = order + [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
 
     def window(d: DataFrame) -> DataFrame:
-        return d.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + (start - 1)).cast("long"))
+        return d.withColumn(name, (F.row_number().over(Window.orderBy(*total)) + (start - 1)).cast("long"))
 
     if bounded:
         return window(df)
-    frozen = freeze(df, "keys-in")
-    n = frozen.count()
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
     if n <= single_task_max:
-        out = window(frozen)
+        out = window(kept)
         return F.broadcast(out) if n <= BROADCAST_MAX_ROWS else out
 
     # A tiebreak taken from the frozen table makes the order total, so a value shared by a third
     # of all rows is still split across range partitions instead of landing in one task.
-    tie = F.monotonically_increasing_id()
-    frozen = frozen.withColumn("_tie", tie)
+    frozen = freeze(kept, "keys-in").withColumn("_tie", F.monotonically_increasing_id())
+    kept.unpersist()
     order = order + [F.col("_tie").asc()]
     ranged = frozen.repartitionByRange(*order).sortWithinPartitions(*order) \
         .withColumn("_pid", F.spark_partition_id()) \

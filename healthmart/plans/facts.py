@@ -19,7 +19,7 @@ from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
 from ..operators.joins import freq, valid_in
-from ..operators.keys import freeze_small, with_dense_id
+from ..operators.keys import small_lookup, with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -41,9 +41,9 @@ def person_cells(person: DataFrame, disease: DataFrame, d_disease: DataFrame, d_
                  location: DataFrame | None = None, d_location: DataFrame | None = None) -> DataFrame:
     """person_id -> fact keys as dimension ids: disease and location through their attribute
     tuples, gender through its code, age as the bucket number.  Inner joins, as the reference."""
-    # The id maps have one row per source dimension row; freezing them gives an exact count,
-    # so they are broadcast (never a shuffle of all patients onto a handful of keys).
-    dmap = freeze_small(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"), "disease-map")
+    # The id maps have one row per source dimension row; they are counted exactly and then
+    # broadcast (never a shuffle of all patients onto a handful of keys).
+    dmap = small_lookup(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"))
     p = person.select("person_id", F.col("disease_id").alias("_dsrc"), "gender", "primary_location_id",
                       age_bucket(F.col("age")).alias("age_id"))
     p = p.join(dmap, p._dsrc == dmap.src_id, "inner").withColumnRenamed("dim_id", "disease_id") \
@@ -51,8 +51,7 @@ def person_cells(person: DataFrame, disease: DataFrame, d_disease: DataFrame, d_
     # dim_gender is bounded by the gender codes: safe to broadcast.
     p = p.join(F.broadcast(d_gender.select("gender_id", "gender")), "gender", "inner").drop("gender")
     if d_location is not None:
-        lmap = freeze_small(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"),
-                            "location-map")
+        lmap = small_lookup(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"))
         p = p.join(lmap, p.primary_location_id == lmap.src_id, "inner") \
             .withColumnRenamed("dim_id", "location_id").drop("src_id")
     return p.drop("primary_location_id")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_bucket, age_range, gender_desc, year_of
 from ..operators.joins import lookup
-from ..operators.keys import freeze_small, with_dense_id
+from ..operators.keys import small_lookup, with_dense_id
 
 # Re-aimed default validity of the intensity SCD dimension (the reference uses 2020-2025 for
 # outcomes dated 2020-2023; the test tables ship 1995-2001).
@@ -51,7 +51,7 @@ def source_map(df: DataFrame, dim: DataFrame, attrs: Sequence[str], src_id: str,
 
 def dim_age(person: DataFrame) -> DataFrame:
     """M1: the age buckets present in the data; age_id is the bucket number (1-8)."""
-    return freeze_small(person.select(age_bucket(F.col("age")).alias("age_id"),
+    return small_lookup(person.select(age_bucket(F.col("age")).alias("age_id"),
                                 age_range(F.col("age")).alias("age_range")).distinct())
 
 

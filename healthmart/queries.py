@@ -136,11 +136,25 @@ SCD_CHANGE = ("AUTOMOBILE", "9", 2001, W.SCD_DEFAULT_END)  # re-aim of the refer
 V4_YEARS = (2000, 2001)
 
 
+class _Dims:
+    """Dimensions of one query, built on first use only."""
+
+    def __init__(self, v):
+        self.v = v
+        self._c = {}
+
+    def __getitem__(self, key):
+        if key not in self._c:
+            v = self.v
+            make = {"person": v.person, "cond": v.condition, "loc": v.location,
+                    "age": lambda: W.dim_age(self["person"]), "disease": lambda: W.dim_disease(self["cond"]),
+                    "gender": lambda: W.dim_gender(self["person"]), "location": lambda: W.dim_location(self["loc"])}
+            self._c[key] = make[key]()
+        return self._c[key]
+
+
 def _dims(v):
-    person, cond, loc = v.person(), v.condition(), v.location()
-    return {"person": person, "cond": cond, "loc": loc,
-            "age": W.dim_age(person), "disease": W.dim_disease(cond),
-            "gender": W.dim_gender(person), "location": W.dim_location(loc)}
+    return _Dims(v)
 
 
 register("m1_dim_age", O.dims_sql("SELECT * FROM d_age"))(

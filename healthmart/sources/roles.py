@@ -113,7 +113,9 @@ class RoleViews:
         once, by the order key that defines the outcome view.  With ``how="left"`` every
         outcome row is kept.
         """
-        orders = self.order_person().join(per_person, "person_id", how)
+        # Sort-merge on the order key: the orders side is itself a join, whose size estimate
+        # is unknown to the planner, and the line items must never become the broadcast side.
+        orders = self.order_person().join(per_person, "person_id", how).hint("merge")
         keep = list(dict.fromkeys(["order_key", *cols]))
         out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
         return out if "order_key" in cols else out.drop("order_key")
