@@ -49,13 +49,23 @@ def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_lookup(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """A derived lookup table (no generated ids) kept for reuse, counted exactly, and marked for
-    broadcast only when the count is within ``max_rows``.  One job.  The frame is persisted,
-    not frozen: it is a deterministic function of its inputs, so a lost block is recomputed
-    from lineage with the same content."""
+def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+    """Persist and count ``df`` exactly (one job); the frame carries a broadcast hint only when
+    the count is within ``max_rows``.  Persisted, not frozen: callers use it for frames that are
+    a deterministic function of their inputs, so a lost block is recomputed with the same rows."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    n = kept.count()
+    return (F.broadcast(kept) if n <= max_rows else kept), n
+
+
+def small_lookup(df: DataFrame, bounded: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A derived lookup table (no generated ids), broadcast when small.  ``bounded=True`` states
+    a size bound by construction (a fixed domain): the hint is set without counting.  Otherwise
+    the table is counted exactly first (``sized``)."""
+    if bounded:
+        # Persisted lazily: the first query that reads it fills the cache, later ones reuse it.
+        return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return sized(df, max_rows)[0]
 
 
 def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str, *,
@@ -63,9 +73,9 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
                   single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order_cols``.
 
-    ``bounded=True`` skips freezing and counting for inputs that are tiny by construction
-    (a literal change batch).  Order keys should be unique; ties get distinct ids in the
-    frozen order.
+    ``bounded=True`` skips the count for inputs whose size is bounded by construction (a fixed
+    domain such as age buckets, or a literal change batch); the result is broadcast-hinted.
+    Order keys should be unique; ties are broken by the remaining columns.
     """
     order = _order(order_cols)
     named = {c for c in order_cols if isinstance(c, str)}
@@ -77,7 +87,8 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
         return d.withColumn(name, (F.row_number().over(Window.orderBy(*total)) + (start - 1)).cast("long"))
 
     if bounded:
-        return window(df)
+        # Persisted lazily: the first query that reads it fills the cache, later ones reuse it.
+        return F.broadcast(window(df).persist(StorageLevel.MEMORY_AND_DISK))
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     if n <= single_task_max:

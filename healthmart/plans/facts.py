@@ -38,12 +38,14 @@ def overall_avg_cost(profit: DataFrame) -> Column:
 
 
 def person_cells(person: DataFrame, disease: DataFrame, d_disease: DataFrame, d_gender: DataFrame,
-                 location: DataFrame | None = None, d_location: DataFrame | None = None) -> DataFrame:
+                 location: DataFrame | None = None, d_location: DataFrame | None = None,
+                 bounded_dims: bool = False) -> DataFrame:
     """person_id -> fact keys as dimension ids: disease and location through their attribute
     tuples, gender through its code, age as the bucket number.  Inner joins, as the reference."""
-    # The id maps have one row per source dimension row; they are counted exactly and then
-    # broadcast (never a shuffle of all patients onto a handful of keys).
-    dmap = small_lookup(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"))
+    # The id maps have one row per source dimension row; they are broadcast - after an exact
+    # count, or directly when the dimensions are bounded by construction (``bounded_dims``) -
+    # never a shuffle of all patients onto a handful of keys.
+    dmap = small_lookup(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"), bounded_dims)
     p = person.select("person_id", F.col("disease_id").alias("_dsrc"), "gender", "primary_location_id",
                       age_bucket(F.col("age")).alias("age_id"))
     p = p.join(dmap, p._dsrc == dmap.src_id, "inner").withColumnRenamed("dim_id", "disease_id") \
@@ -51,7 +53,8 @@ def person_cells(person: DataFrame, disease: DataFrame, d_disease: DataFrame, d_
     # dim_gender is bounded by the gender codes: safe to broadcast.
     p = p.join(F.broadcast(d_gender.select("gender_id", "gender")), "gender", "inner").drop("gender")
     if d_location is not None:
-        lmap = small_lookup(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"))
+        lmap = small_lookup(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"),
+                            bounded_dims)
         p = p.join(lmap, p.primary_location_id == lmap.src_id, "inner") \
             .withColumnRenamed("dim_id", "location_id").drop("src_id")
     return p.drop("primary_location_id")

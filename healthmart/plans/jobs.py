@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..operators.keys import sized
 from ..sources.roles import role_views
 from ..sources.tables import Catalog
 from . import facts as FT
@@ -40,7 +41,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "finalpro
     del d_med
 
     cells = FT.person_cells(person, cond, d_disease, d_gender, loc, d_loc)
-    lines = v.outcome_with(cells, how="left", cols=("order_key", "indication_id", "outcome"))
+    cells, n = sized(cells)
+    lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
     cat.replace("fact_disease_outcome", FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit()))
     cells_nc = FT.person_cells(person, cond, d_disease, d_gender)
     cat.replace("fact_disease_outcome_no_country",

@@ -29,11 +29,12 @@ SCD_DEFAULT_END = 2003
 
 
 def dim_from_distinct(df: DataFrame, attrs: Sequence[str], src_id: str, id_name: str,
-                      renames: dict[str, str] | None = None) -> DataFrame:
-    """DISTINCT attrs, numbered by the smallest source id of each tuple."""
+                      renames: dict[str, str] | None = None, bounded: bool = False) -> DataFrame:
+    """DISTINCT attrs, numbered by the smallest source id of each tuple.  ``bounded=True`` when
+    the source has a size bound by construction (no count is needed to broadcast it)."""
     renames = renames or {}
     g = df.groupBy(*attrs).agg(F.min(src_id).alias("_src"))
-    g = with_dense_id(g, ["_src"], id_name)
+    g = with_dense_id(g, ["_src"], id_name, bounded=bounded)
     return g.select(id_name, *[F.col(a).alias(renames.get(a, a)) for a in attrs])
 
 
@@ -51,16 +52,17 @@ def source_map(df: DataFrame, dim: DataFrame, attrs: Sequence[str], src_id: str,
 
 def dim_age(person: DataFrame) -> DataFrame:
     """M1: the age buckets present in the data; age_id is the bucket number (1-8)."""
+    # Bounded by construction: at most one row per bucket.
     return small_lookup(person.select(age_bucket(F.col("age")).alias("age_id"),
-                                age_range(F.col("age")).alias("age_range")).distinct())
+                                age_range(F.col("age")).alias("age_range")).distinct(), bounded=True)
 
 
 DISEASE_ATTRS = ["disease_name", "intensity_level_qty", "disease_type_code"]
 
 
-def dim_disease(disease: DataFrame) -> DataFrame:
+def dim_disease(disease: DataFrame, bounded: bool = False) -> DataFrame:
     """M2."""
-    return dim_from_distinct(disease, DISEASE_ATTRS, "disease_id", "disease_id")
+    return dim_from_distinct(disease, DISEASE_ATTRS, "disease_id", "disease_id", bounded=bounded)
 
 
 def dim_medicine(medicine: DataFrame) -> DataFrame:
@@ -92,15 +94,16 @@ def dim_gender(person: DataFrame) -> DataFrame:
     """M5: distinct gender codes with their description, numbered by code (bounded domain)."""
     g = person.select(F.col("gender")).where(F.col("gender").isNotNull()).distinct() \
         .select("gender", gender_desc(F.col("gender")).alias("gender_desc"))
-    return with_dense_id(g, ["gender"], "gender_id").select("gender_id", "gender", "gender_desc")
+    # Bounded by construction: one row per one-character gender code.
+    return with_dense_id(g, ["gender"], "gender_id", bounded=True).select("gender_id", "gender", "gender_desc")
 
 
 LOCATION_ATTRS = ["city_name", "state_province_name", "country_name", "developing_flag", "wealth_rank_number"]
 
 
-def dim_location(location: DataFrame) -> DataFrame:
+def dim_location(location: DataFrame, bounded: bool = False) -> DataFrame:
     """M6."""
-    return dim_from_distinct(location, LOCATION_ATTRS, "location_id", "location_id")
+    return dim_from_distinct(location, LOCATION_ATTRS, "location_id", "location_id", bounded=bounded)
 
 
 PROFIT_ATTRS = ["cost", "price", "profit", "percentage_profit"]
@@ -114,7 +117,8 @@ def dim_profit(profit: DataFrame) -> DataFrame:
 def dim_year(outcome: DataFrame) -> DataFrame:
     """M8: outcome years, numbered in order (bounded by the calendar)."""
     years = outcome.select(year_of(F.col("outcome_date")).alias("year")).distinct()
-    return with_dense_id(years, ["year"], "year_id").select("year_id", "year")
+    # Bounded by construction: one row per calendar year present.
+    return with_dense_id(years, ["year"], "year_id", bounded=True).select("year_id", "year")
 
 
 def dim_diseased_patient(person: DataFrame, d_gender: DataFrame, d_age: DataFrame) -> DataFrame:

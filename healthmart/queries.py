@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle as O
+from .operators.keys import sized
 from .plans import kpi
 from .sources.roles import role_views
 
@@ -146,9 +147,12 @@ class _Dims:
     def __getitem__(self, key):
         if key not in self._c:
             v = self.v
+            # condition (market segments) and location (nations) are bounded by construction.
             make = {"person": v.person, "cond": v.condition, "loc": v.location,
-                    "age": lambda: W.dim_age(self["person"]), "disease": lambda: W.dim_disease(self["cond"]),
-                    "gender": lambda: W.dim_gender(self["person"]), "location": lambda: W.dim_location(self["loc"])}
+                    "age": lambda: W.dim_age(self["person"]),
+                    "disease": lambda: W.dim_disease(self["cond"], bounded=True),
+                    "gender": lambda: W.dim_gender(self["person"]),
+                    "location": lambda: W.dim_location(self["loc"], bounded=True)}
             self._c[key] = make[key]()
         return self._c[key]
 
@@ -230,13 +234,12 @@ def _outcome_fact(spark, d, with_location: bool):
     v = role_views(spark, d)
     x = _dims(v)
     if with_location:
-        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"])
-        # Patient cells meet the orders (orders-sized) before the line items, so the lines are
-        # joined once - by the order key that defines the outcome view anyway.
-        lines = v.outcome_with(cells, how="left", cols=("order_key", "indication_id", "outcome"))
+        cells, n = sized(FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"],
+                                         x["location"], bounded_dims=True))
+        lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
         fact = FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit())
     else:
-        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"])
+        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], bounded_dims=True)
         fact = FT.fact_disease_outcome_no_country(v.outcome(), cells, v.indication(), v.profit())
     return fact, x
 
@@ -319,8 +322,9 @@ _GOV_VIEWS = ("v_outcome", "v_person_d", "v_condition", "v_indication", "v_medic
     *_GOV_VIEWS))
 def r1(spark, d):
     v = role_views(spark, d)
-    patients = GV.patient_record(v.person(with_dates=True), v.condition(), v.location())
-    return GV.medical_records_from(v.outcome_with(patients, cols=("indication_id",)), v.indication(), v.medicine())
+    patients, n = sized(GV.patient_record(v.person(with_dates=True), v.condition(), v.location()))
+    return GV.medical_records_from(v.outcome_with(patients, cols=("indication_id",), per_person_rows=n),
+                                   v.indication(), v.medicine())
 
 
 register("r2_own_patient_rows", O.with_views(f"SELECT * FROM v_person_d WHERE person_id = {PATIENT}", "v_person_d"))(

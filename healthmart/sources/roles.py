@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hundredths_to_money, money_from_double, half_up_div
+from ..operators.keys import BROADCAST_MAX_ROWS
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -105,19 +106,23 @@ class RoleViews:
 
     def outcome_with(self, per_person: DataFrame, how: str = "inner",
                      cols: tuple[str, ...] = ("order_key", "line_number", "indication_id", "outcome",
-                                              "outcome_date")) -> DataFrame:
-        """Outcome rows carrying ``per_person`` columns (joined on person_id).
-
-        Same rows as ``outcome().join(per_person, "person_id", how)``, but the person side
-        meets the orders (a quarter of the line items) first, so the line items are joined
-        once, by the order key that defines the outcome view.  With ``how="left"`` every
-        outcome row is kept.
+                                              "outcome_date"), per_person_rows: int | None = None) -> DataFrame:
+        """Outcome rows carrying ``per_person`` columns (joined on person_id); same rows as
+        ``outcome().join(per_person, "person_id", how)``.
+
+        ``per_person_rows`` is an exact count of ``per_person`` (see ``operators.keys.sized``).
+        Within the broadcast bound the person side is broadcast into the outcome view.  Beyond it
+        (or unknown) the person side meets the orders (a quarter of the line items) first, so
+        the line items are shuffled once, by the order key that defines the outcome view anyway.
         """
-        # Sort-merge on the order key: the orders side is itself a join, whose size estimate
-        # is unknown to the planner, and the line items must never become the broadcast side.
-        orders = self.order_person().join(per_person, "person_id", how).hint("merge")
         keep = list(dict.fromkeys(["order_key", *cols]))
-        out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
+        if per_person_rows is not None and per_person_rows <= BROADCAST_MAX_ROWS:
+            out = self.outcome().select(*keep, "person_id").join(F.broadcast(per_person), "person_id", how)
+        else:
+            # Sort-merge on the order key: the orders side is itself a join, whose size estimate
+            # is unknown to the planner, and the line items must never become the broadcast side.
+            orders = self.order_person().join(per_person, "person_id", how).hint("merge")
+            out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
         return out if "order_key" in cols else out.drop("order_key")
 
     # -- indication / profit ---------------------------------------------------------------
@@ -174,7 +179,8 @@ class RoleViews:
             return self._raw["_condition"]
         from ..operators.keys import with_dense_id
         seg = self.raw("customer").select(F.col("c_mktsegment").alias("disease_name")).distinct()
-        seg = with_dense_id(seg, ["disease_name"], "disease_id")
+        # Bounded by construction: the market segment is a fixed domain of the TPC-H schema.
+        seg = with_dense_id(seg, ["disease_name"], "disease_id", bounded=True)
         self._raw["_condition"] = seg.select(
             "disease_id", "disease_name",
             (F.col("disease_id") + 6).alias("intensity_level_qty"),
