@@ -38,7 +38,7 @@ def update_from(df: DataFrame, src: DataFrame, on, assignments: Mapping[str, str
     """
     pairs = _pairs(on)
     if check:
-        assert_unique(src, [rc for _, rc in pairs], "UPDATE ... FROM source")
+        src = assert_unique(src, [rc for _, rc in pairs], "UPDATE ... FROM source")
     s = src.select(*[F.col(rc).alias(f"_u{i}") for i, (_, rc) in enumerate(pairs)],
                    *[F.col(v).alias(f"_v_{k}") for k, v in assignments.items()],
                    F.lit(True).alias("_matched"))
@@ -58,7 +58,7 @@ def update_from(df: DataFrame, src: DataFrame, on, assignments: Mapping[str, str
 def remap_key(child: DataFrame, fk: str, mapping: DataFrame, old: str = "old_key",
               new: str = "new_key") -> DataFrame:
     """ON UPDATE CASCADE - rewrite a child's foreign key through an old -> new key map."""
-    assert_unique(mapping, [old], "key remapping")
+    mapping = assert_unique(mapping, [old], "key remapping")
     m = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"), F.lit(True).alias("_hit"))
     j = child.join(m, child[fk] == m["_old"], "left")
     return j.select(*[F.when(F.col("_hit").isNotNull(), F.col("_new").cast(child.schema[fk].dataType))
@@ -102,7 +102,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, attrs: Sequence[str
     """One change batch in one pass - close the current version of every changed key (end =
     start_year - 1) and open the new version [start_year, end_year]; unchanged keys and new
     keys are handled alike.  A key listed twice in the batch is an error."""
-    assert_unique(changes, [key], "SCD-2 change batch")
+    changes = assert_unique(changes, [key], "SCD-2 change batch")
     cur = dim.where(F.col(current_col)).select(key, *attrs)
     cmp = changes.select(key, *[F.col(a).alias(f"_n_{a}") for a in attrs]).join(
         cur.select(key, *[F.col(a).alias(f"_o_{a}") for a in attrs]), key, "left")
@@ -126,7 +126,7 @@ def restate(fact: DataFrame, versions_by_year: DataFrame, fact_keys: Sequence[st
     covering version keep their value; two covering versions are an error (the reference's
     scalar subquery would fail).  Running it twice gives the same table.
     """
-    assert_unique(versions_by_year, list(fact_keys), "restatement source")
+    versions_by_year = assert_unique(versions_by_year, list(fact_keys), "restatement source")
     v = versions_by_year.select(*[F.col(k).alias(f"_r_{k}") for k in fact_keys],
                                 F.col(value_col).alias("_r_val"), F.lit(True).alias("_r_hit"))
     cond = None

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,18 +52,25 @@ def not_in(df: DataFrame, keys: DataFrame, on: str | dict[str, str], *, check: b
     (lc, rc), = _pairs(on)
     right = keys.select(F.col(rc).alias("_nk"))
     if check:
-        if right.where(F.col("_nk").isNull()).limit(1).count() > 0:
+        # One job answers both questions (the key set is aggregated, never collected).
+        total, nulls = right.agg(F.count(F.lit(1)), F.count_if(F.col("_nk").isNull())).first()
+        if nulls:
             raise IntegrityError(f"NOT IN subquery over {rc!r} contains NULL: the SQL answer would be empty")
-        if right.limit(1).count() == 0:
+        if total == 0:
             return df
     return df.where(F.col(lc).isNotNull()).join(right, df[lc] == right["_nk"], "left_anti")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> None:
-    """Fail fast when a key that must identify one row identifies several."""
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
+    """Fail fast when a key that must identify one row identifies several.
+
+    Returns ``df`` persisted, so the join that follows the check reuses the rows the check
+    computed instead of computing them again (a lost block is recomputed from lineage)."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    dup = kept.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise IntegrityError(f"{what}: key {dict(zip(keys, dup[0][:len(keys)]))} matches more than one row")
+    return kept
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, cols: Sequence[str], *, check: bool = True) -> DataFrame:
@@ -72,7 +80,7 @@ def lookup(df: DataFrame, dim: DataFrame, on, cols: Sequence[str], *, check: boo
     """
     pairs = _pairs(on)
     if check:
-        assert_unique(dim, [rc for _, rc in pairs], "scalar lookup")
+        dim = assert_unique(dim, [rc for _, rc in pairs], "scalar lookup")
     r = dim.select(*[F.col(rc).alias(f"_l{i}") for i, (_, rc) in enumerate(pairs)], *cols)
     cond = None
     for i, (lc, _) in enumerate(pairs):

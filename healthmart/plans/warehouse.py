@@ -134,16 +134,17 @@ def dim_diseased_patient(person: DataFrame, d_gender: DataFrame, d_age: DataFram
                     "start_date", "end_date", "person_id")
 
 
-def dim_intensity_level(disease: DataFrame) -> DataFrame:
+def dim_intensity_level(disease: DataFrame, bounded: bool = False) -> DataFrame:
     """Distinct non-NULL intensity levels, numbered in order."""
     lv = disease.where(F.col("intensity_level_qty").isNotNull()) \
         .select(F.col("intensity_level_qty").alias("intensity_level")).distinct()
-    return with_dense_id(lv, ["intensity_level"], "intensity_level_id") \
+    return with_dense_id(lv, ["intensity_level"], "intensity_level_id", bounded=bounded) \
         .select("intensity_level_id", "intensity_level")
 
 
 def dim_disease_intensity(disease: DataFrame, d_disease: DataFrame, d_level: DataFrame,
-                          start_year: int = SCD_DEFAULT_START, end_year: int | None = SCD_DEFAULT_END) -> DataFrame:
+                          start_year: int = SCD_DEFAULT_START, end_year: int | None = SCD_DEFAULT_END,
+                          bounded: bool = False) -> DataFrame:
     """Initial load of the SCD-2 intensity dimension - every disease current, with the
     default validity; ids follow the source disease id."""
     j = disease.select("disease_id", "disease_name", "intensity_level_qty") \
@@ -152,7 +153,7 @@ def dim_disease_intensity(disease: DataFrame, d_disease: DataFrame, d_level: Dat
     j = j.select("disease_id", "disease_name", "intensity_level",
                  F.lit(start_year).cast("long").alias("start_year"),
                  F.lit(end_year).cast("long").alias("end_year"), F.lit(True).alias("is_current"))
-    j = with_dense_id(j, ["disease_id", "disease_name", "intensity_level"], "intensity_level_scd_id")
+    j = with_dense_id(j, ["disease_id", "disease_name", "intensity_level"], "intensity_level_scd_id", bounded=bounded)
     return j.select("intensity_level_scd_id", "disease_name", "intensity_level", "start_year", "end_year",
                     "is_current")
 

@@ -214,11 +214,13 @@ register("m10_dim_intensity_level", O.dims_sql("SELECT * FROM d_level"))(
 _DIL = O.dil_sql(W.SCD_DEFAULT_START, W.SCD_DEFAULT_END)
 
 
-def _dil(v, cond=None, d_disease=None, d_level=None):
-    cond = cond if cond is not None else v.condition()
-    d_disease = d_disease if d_disease is not None else W.dim_disease(cond)
-    d_level = d_level if d_level is not None else W.dim_intensity_level(cond)
-    return W.dim_disease_intensity(cond, d_disease, d_level), d_disease, d_level
+def _dil(v):
+    # The condition view is bounded by construction (market segments), and so is everything
+    # derived from it here.
+    cond = v.condition()
+    d_disease = W.dim_disease(cond, bounded=True)
+    d_level = W.dim_intensity_level(cond, bounded=True)
+    return W.dim_disease_intensity(cond, d_disease, d_level, bounded=True), d_disease, d_level
 
 
 register("m11_dim_disease_intensity", O.dims_sql("SELECT * FROM d_dil", extra=[_DIL]))(

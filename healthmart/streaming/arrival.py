@@ -24,7 +24,7 @@ def enrich_on_arrival(df: DataFrame, lookup: DataFrame, on: tuple[str, str], col
     """Attach ``cols`` from ``lookup`` where ``df[on[0]] == lookup[on[1]]`` (left join)."""
     left_key, right_key = on
     if check:
-        assert_unique(lookup, [right_key], "arrival lookup")
+        lookup = assert_unique(lookup, [right_key], "arrival lookup")
     lk = lookup.select(F.col(right_key).alias("_lk"), *cols)
     keep = [c for c in df.columns if c not in cols]
     out = df.select(*keep).join(lk, F.col(left_key) == F.col("_lk"), "left").drop("_lk")
