@@ -55,7 +55,10 @@ def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame,
     a deterministic function of their inputs, so a lost block is recomputed with the same rows."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
-    return (F.broadcast(kept) if n <= max_rows else kept), n
+    if n <= max_rows:
+        return F.broadcast(kept), n
+    kept.unpersist()   # large: leave it to the planner, and keep no copy in executor memory
+    return df, n
 
 
 def small_lookup(df: DataFrame, bounded: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

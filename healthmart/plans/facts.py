@@ -19,7 +19,7 @@ from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
 from ..operators.joins import freq, valid_in
-from ..operators.keys import small_lookup, with_dense_id
+from ..operators.keys import sized, small_lookup, with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -93,9 +93,10 @@ def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, pro
     """
     keys = keys or ["disease_id", "age_id", "gender_id", "location_id"]
     ic = freq(lines.select("indication_id"), ["indication_id"], "_ic")
-    supp = indication.select("indication_id").join(
-        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner") \
-        .join(ic, "indication_id", "inner")
+    # One row per indication: broadcast into the outcome rows after an exact count when small.
+    supp, _ = sized(indication.select("indication_id").join(
+        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner")
+        .join(ic, "indication_id", "inner"))
     has_cell = None
     for k in keys:
         c = F.col(k).isNotNull()
@@ -121,8 +122,10 @@ def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indica
     keys = ["disease_id", "age_id", "gender_id"]
     ind = indication.select("indication_id").distinct().withColumn("_has", F.lit(True))
     o = outcome.select("person_id", "indication_id", "outcome")
-    lines = o.join(profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner") \
-        .join(ind, "indication_id", "left")
+    # Margins with the indication flag, one row per profit row: broadcast after an exact count
+    # when small, shuffled otherwise.
+    margins, _ = sized(profit.select("indication_id", "cost_cents", "profit_cents").join(ind, "indication_id", "left"))
+    lines = o.join(margins, "indication_id", "inner")
     has = F.col("_has").isNotNull()
     pc = lines.groupBy("person_id", "cost_cents").agg(
         F.count(F.lit(1)).alias("_cnt"),

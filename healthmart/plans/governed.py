@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import semi
+from ..operators.keys import sized
 
 RECORD_COLS = ["person_id", "last_name", "first_name", "gender", "age", "country_name", "is_insured",
                "disease", "medication_name", "severity_value", "start_date", "end_date"]
@@ -46,8 +47,10 @@ def medical_records(outcome: DataFrame, person: DataFrame, disease: DataFrame, i
 
 
 def medical_records_from(outcome_with_patient: DataFrame, indication: DataFrame, medicine: DataFrame) -> DataFrame:
-    """R1 for outcome rows that already carry their patient's record columns."""
-    return outcome_with_patient.join(drug_names(indication, medicine), "indication_id", "inner").select(*RECORD_COLS)
+    """R1 for outcome rows that already carry their patient's record columns.  The drug side
+    has one row per indication: broadcast after an exact count when small, shuffled otherwise."""
+    drugs, _ = sized(drug_names(indication, medicine))
+    return outcome_with_patient.join(drugs, "indication_id", "inner").select(*RECORD_COLS)
 
 
 def own_rows(df: DataFrame, person_id: int | None, col: str = "person_id") -> DataFrame:
