@@ -64,3 +64,33 @@ def test_fact_joins_line_items_once(spark, unfrozen_facts):
     p = plan(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
     assert "CartesianProduct" not in p
     assert p.count("lineitem.parquet") == 2
+
+
+SMALL_DIM_KEYS = ("c_mktsegment", "_seg", "_dsrc", "src_id", "primary_location_id", "medicine_id",
+                  "disease_name", "gender", "_a_")
+
+
+@pytest.mark.parametrize("name", ["c1_target_patients", "c3_patients_per_company", "c6_profit_per_company",
+                                  "b1_fact_disease_outcome", "b2_fact_outcome_no_country",
+                                  "r1_medical_records_doctor"])
+def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, unfrozen_facts, name):
+    """Planned as if every table were too big for the planner to broadcast: only the hints
+    backed by a bound (fixed-size tables, exact counts) remain, and the remaining shuffles are on
+    order, person and indication keys - never all rows onto a handful of dimension keys."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Q.REGISTRY[name].build(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        if old_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old_aqe)
+    # Aggregations on few keys are fine (map-side partial aggregation); shuffle *joins* are not.
+    joins = re.findall(r"\(\d+\) (?:SortMergeJoin|ShuffledHashJoin)[^\n]*\nLeft keys \[\d+\]: \[([^\]]*)\]", p)
+    bad = [k for k in joins if any(re.search(rf"\b{d}", k) for d in SMALL_DIM_KEYS)]
+    assert not bad, bad
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
