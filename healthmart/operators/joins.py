@@ -113,10 +113,3 @@ def valid_in(years: DataFrame, versions: DataFrame, year_col: str = "year",
     years_covered = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
     v = versions.withColumn("_y", F.explode(years_covered))
     return years.join(v, years[year_col] == v["_y"], "inner").drop("_y")
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a bounded scan);
-    otherwise return it unchanged and let the planner shuffle or AQE decide at run time."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

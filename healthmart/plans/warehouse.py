@@ -13,7 +13,6 @@ intensity levels) use a plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,13 +155,3 @@ def dim_disease_intensity(disease: DataFrame, d_disease: DataFrame, d_level: Dat
     j = with_dense_id(j, ["disease_id", "disease_name", "intensity_level"], "intensity_level_scd_id", bounded=bounded)
     return j.select("intensity_level_scd_id", "disease_name", "intensity_level", "start_year", "end_year",
                     "is_current")
-
-
-@dataclass
-class Dimensions:
-    age: DataFrame
-    disease: DataFrame
-    gender: DataFrame
-    location: DataFrame
-    year: DataFrame | None = None
-    level: DataFrame | None = None
