@@ -436,3 +436,24 @@ def a10_stream(spark, d):
     person = v.person().select("person_id", "primary_location_id")
     return run_arrivals(spark, f"{d}/events*.parquet", v.raw("events").schema, person,
                         ("user_id", "person_id"), ["primary_location_id"])
+
+
+# -- A2 + K1 + A10: the operational outcome table as the reference loads it -------------------
+from .sources.schemas import SCHEMAS  # noqa: E402
+from .sources.tables import conform  # noqa: E402
+from .operators.keys import with_dense_id  # noqa: E402
+
+_OUTCOME_ORDER = ["outcome_date", "order_key", "line_number", "person_id", "indication_id", "outcome"]
+
+
+@register("a2_load_outcome_table", O.with_views(f"""
+    SELECT {O.rn(', '.join('o.' + c for c in _OUTCOME_ORDER))} AS outcome_id, o.person_id, o.indication_id, o.outcome, o.outcome_date,
+           i.medicine_id
+    FROM v_outcome o LEFT JOIN v_indication i ON o.indication_id = i.indication_id""", "v_outcome", "v_indication"))
+def a2_outcome(spark, d):
+    """Arriving outcome rows get their auto-numbered key (in arrival order: date, then order and
+    line) and the trigger's medicine id, and are conformed to the declared outcome schema."""
+    v = role_views(spark, d)
+    rows_in = enrich_on_arrival(v.outcome(), v.indication(), ("indication_id", "indication_id"), ["medicine_id"])
+    numbered = with_dense_id(rows_in, _OUTCOME_ORDER, "outcome_id")
+    return conform(numbered, SCHEMAS["outcome"])
