@@ -93,6 +93,12 @@ def test_scd_change_and_restatement_on_test_tables(spark):
     dil = Q.REGISTRY["s1j_dim_after_change"].build(spark, SF001)
     cur = dil.where("is_current").groupBy("disease_name").count().where("count > 1").count()
     assert cur == 0   # at most one current version per key
+    a, b = dil.alias("a"), dil.alias("b")
+    overlap = a.join(b, (F.col("a.disease_name") == F.col("b.disease_name"))
+                     & (F.col("a.intensity_level_scd_id") < F.col("b.intensity_level_scd_id"))
+                     & (F.col("a.start_year") <= F.coalesce(F.col("b.end_year"), F.lit(9999)))
+                     & (F.col("b.start_year") <= F.coalesce(F.col("a.end_year"), F.lit(9999))))
+    assert overlap.count() == 0   # validity ranges of one key never overlap
 
 
 def test_dim_medicine_collapses_after_merger(spark):

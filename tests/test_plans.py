@@ -70,9 +70,10 @@ SMALL_DIM_KEYS = ("c_mktsegment", "_seg", "_dsrc", "src_id", "primary_location_i
                   "disease_name", "gender", "_a_")
 
 
-@pytest.mark.parametrize("name", ["c1_target_patients", "c3_patients_per_company", "c6_profit_per_company",
-                                  "b1_fact_disease_outcome", "b2_fact_outcome_no_country",
-                                  "r1_medical_records_doctor"])
+@pytest.mark.parametrize("name", ["c1_target_patients", "c2_other_patients", "c3_patients_per_company",
+                                  "c6_profit_per_company", "b1_fact_disease_outcome", "b2_fact_outcome_no_country",
+                                  "s1j_fact_restated", "m9_dim_diseased_patient", "r1_medical_records_doctor",
+                                  "r6_patient_own_record", "a10_enrich_outcomes_batch"])
 def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, unfrozen_facts, name):
     """Planned as if every table were too big for the planner to broadcast: only the hints
     backed by a bound (fixed-size tables, exact counts) remain, and the remaining shuffles are on
