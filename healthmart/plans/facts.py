@@ -1,11 +1,12 @@
 """Fact loads B1-B3, star reads V1-V4 and the SCD-2 change with fact restatement (S1j).
 
-B1 and B2 never build the reference's wide join row by row.  Outcomes are first reduced to
-one row per (person, indication) - partial aggregation runs map-side, so a patient or an
-indication holding a third of all outcomes costs one row per map task in the shuffle - and
-only then meet the patient attributes and the margins.  B2's per-person cost table, which the
-reference joins on the person alone (k outcomes x c costs rows per person, T7), is folded
-into per-person sums first; the result is algebraically identical and linear in size.
+B1 and B2 never build the reference's wide join row by row.  In B1 each outcome row picks up
+its patient's fact keys (patient cells) and its indication's margins and global frequency (one
+row per indication), then aggregates straight into its cell; partial aggregation runs map-side,
+so the final shuffle holds at most one row per (map task, cell) however hot a patient,
+indication or cell is.  B2's per-person cost table, which the reference joins on the person
+alone (k outcomes x c costs rows per person, T7), is folded into per-person sums first; the
+result is algebraically identical and linear in size.
 """
 
 from __future__ import annotations

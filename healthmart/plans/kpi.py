@@ -1,10 +1,10 @@
 """Company KPIs (C1-C6), competing products (C7, C8), the merger (C9, C10) and the KPI
 before/after comparison (C11).
 
-Plan shape: the medicine/indication side is small and filtered first; the outcome side is
-only ever semi-joined, counted per indication (partial aggregation map-side) and then joined
-to the margins - the aggregate-before-join rewrite of the reference, which keeps the
-shuffle at one row per (map task, indication) whatever the number of outcomes.
+Plan shape: the medicine/indication side (one row per indication) is filtered first; the
+outcome side is only ever semi-joined, counted per indication (partial aggregation map-side)
+and then joined to the margins - the aggregate-before-join rewrite of the reference, which
+keeps the shuffle at one row per (map task, indication) whatever the number of outcomes.
 """
 
 from __future__ import annotations
