@@ -80,24 +80,27 @@ for _after, _prefix in ((False, ""), (True, "c11_after_merger_")):
 
 # -- C7-C10 ----------------------------------------------------------------------------------
 _COMP_IN = f"('{COMPETING[0]}', '{COMPETING[1]}')"
-_DUP = f"""SELECT active_ingredient_name FROM v_medicine_part WHERE company IN {_COMP_IN}
-           GROUP BY active_ingredient_name HAVING COUNT(*) > 1"""
 
 
-@register("c7_competing_products", O.with_views(f"""
-    SELECT * FROM v_medicine_part WHERE company IN {_COMP_IN}
-      AND active_ingredient_name IN ({_DUP}) ORDER BY active_ingredient_name""", "v_medicine_part"))
+def _competing_sql(src: str) -> str:
+    """Drugs of the two companies whose ingredient is shared by more than one of their drugs."""
+    return f"""SELECT medicine_id, standard_industry_number, name, company, active_ingredient_name
+        FROM (SELECT *, COUNT(*) OVER (PARTITION BY active_ingredient_name) AS sharing
+              FROM {src} WHERE company IN {_COMP_IN}) t
+        WHERE sharing > 1 AND active_ingredient_name IS NOT NULL"""
+
+
+@register("c7_competing_products", O.with_views(_competing_sql("v_medicine_part"), "v_medicine_part"))
 def c7(spark, sf_dir):
     return kpi.competing_products(role_views(spark, sf_dir).medicine_part(), COMPETING)
 
 
 @register("c8_competing_outcomes", O.with_views(f"""
     SELECT o.order_key, o.line_number, o.person_id, o.indication_id, o.outcome, o.outcome_date,
-           fm.medication_name, fm.company
-    FROM v_outcome o JOIN v_indication i ON o.indication_id = i.indication_id
-    JOIN (SELECT medicine_id, name AS medication_name, company FROM v_medicine_part
-          WHERE company IN {_COMP_IN} AND active_ingredient_name IN ({_DUP})) fm
-      ON i.medicine_id = fm.medicine_id
+           cp.name AS medication_name, cp.company
+    FROM ({_competing_sql("v_medicine_part")}) cp
+    JOIN v_indication i ON i.medicine_id = cp.medicine_id
+    JOIN v_outcome o ON o.indication_id = i.indication_id
     ORDER BY 1, 2, 3, 4, 5, 6, 7, 8 LIMIT 20""", "v_outcome", "v_indication", "v_medicine_part"))
 def c8(spark, sf_dir):
     v = role_views(spark, sf_dir)
@@ -119,11 +122,8 @@ def c10(spark, sf_dir):
     return kpi.merge_companies(role_views(spark, sf_dir).medicine_part(), *COMPETING)
 
 
-@register("c7_after_merger_competing_products", O.with_views(f"""
-    SELECT * FROM v_medicine_part_merged WHERE company IN {_COMP_IN}
-      AND active_ingredient_name IN (SELECT active_ingredient_name FROM v_medicine_part_merged
-          WHERE company IN {_COMP_IN} GROUP BY active_ingredient_name HAVING COUNT(*) > 1)
-    ORDER BY active_ingredient_name""", "v_medicine_part", extra=_MERGED_PART))
+@register("c7_after_merger_competing_products", O.with_views(_competing_sql("v_medicine_part_merged"),
+                                                            "v_medicine_part", extra=_MERGED_PART))
 def c7_after(spark, sf_dir):
     merged = kpi.merge_companies(role_views(spark, sf_dir).medicine_part(), *COMPETING)
     return kpi.competing_products(merged, COMPETING)
@@ -197,11 +197,10 @@ register("m8_dim_year", O.dims_sql("SELECT * FROM d_year"))(
 
 
 @register("m9_dim_diseased_patient", O.dims_sql(f"""
-    SELECT {O.rn('dp.person_id')} AS diseased_patient_id, dp.last_name, dp.first_name,
-           (SELECT g.gender_id FROM d_gender g WHERE g.gender = dp.gender) AS gender_id,
-           (SELECT a.age_id FROM d_age a WHERE a.age_range = {O.age_range('dp.age')}) AS age_id,
-           dp.is_insured, dp.start_date, dp.end_date, dp.person_id
-    FROM v_person_d dp""", "v_person_d"))
+    SELECT {O.rn('pe.person_id')} AS diseased_patient_id, pe.last_name, pe.first_name, g.gender_id, a.age_id,
+           pe.is_insured, pe.start_date, pe.end_date, pe.person_id
+    FROM v_person_d pe LEFT JOIN d_gender g ON g.gender = pe.gender
+    LEFT JOIN d_age a ON a.age_range = {O.age_range('pe.age')}""", "v_person_d"))
 def m9(spark, d):
     v = role_views(spark, d)
     person = v.person(with_dates=True)
@@ -312,16 +311,16 @@ from .plans import governed as GV  # noqa: E402
 from .streaming.arrival import enrich_on_arrival, run_arrivals  # noqa: E402
 
 PATIENT = 1  # the reference reads as patient 1
-_REC = """dp.last_name, dp.first_name, dp.gender, dp.age, l.country_name, dp.is_insured, d.disease_name AS disease,
-          m.name AS medication_name, dp.severity_value, dp.start_date, dp.end_date"""
+_REC = """pe.last_name, pe.first_name, pe.gender, pe.age, loc.country_name, pe.is_insured, cd.disease_name AS disease,
+          drug.name AS medication_name, pe.severity_value, pe.start_date, pe.end_date"""
 _GOV_VIEWS = ("v_outcome", "v_person_d", "v_condition", "v_indication", "v_medicine", "v_location")
 
 
 @register("r1_medical_records_doctor", O.with_views(f"""
-    SELECT o.person_id, {_REC} FROM v_outcome o JOIN v_person_d dp ON o.person_id = dp.person_id
-    JOIN v_condition d ON dp.disease_id = d.disease_id JOIN v_indication i ON o.indication_id = i.indication_id
-    JOIN v_medicine m ON i.medicine_id = m.medicine_id JOIN v_location l ON dp.primary_location_id = l.location_id""",
-    *_GOV_VIEWS))
+    SELECT o.person_id, {_REC}
+    FROM v_outcome o, v_person_d pe, v_condition cd, v_indication i, v_medicine drug, v_location loc
+    WHERE pe.person_id = o.person_id AND cd.disease_id = pe.disease_id AND i.indication_id = o.indication_id
+      AND drug.medicine_id = i.medicine_id AND loc.location_id = pe.primary_location_id""", *_GOV_VIEWS))
 def r1(spark, d):
     v = role_views(spark, d)
     patients, n = sized(GV.patient_record(v.person(with_dates=True), v.condition(), v.location()))
@@ -344,15 +343,16 @@ def r4(spark, d):
 
 
 @register("r6_patient_own_record", O.with_views(f"""
-    SELECT o.person_id, {_REC}
-    FROM (SELECT * FROM v_person_d WHERE person_id = {PATIENT}) dp
-    LEFT JOIN v_location l ON dp.primary_location_id = l.location_id
-    LEFT JOIN v_condition d ON dp.disease_id = d.disease_id
-    LEFT JOIN (SELECT * FROM v_outcome WHERE person_id = {PATIENT}) o ON dp.person_id = o.person_id
-    LEFT JOIN (SELECT * FROM v_indication i WHERE EXISTS (SELECT 1 FROM v_outcome o2
-               WHERE o2.indication_id = i.indication_id AND o2.person_id = {PATIENT})) i ON o.indication_id = i.indication_id
-    LEFT JOIN v_medicine m ON i.medicine_id = m.medicine_id
-    WHERE dp.person_id = {PATIENT}""", *_GOV_VIEWS))
+    SELECT mine.person_id, {_REC.replace("drug.name", "my_drugs.name")}
+    FROM v_person_d pe
+    LEFT JOIN v_location loc ON loc.location_id = pe.primary_location_id
+    LEFT JOIN v_condition cd ON cd.disease_id = pe.disease_id
+    LEFT JOIN mine ON mine.person_id = pe.person_id
+    LEFT JOIN my_drugs ON my_drugs.indication_id = mine.indication_id
+    WHERE pe.person_id = {PATIENT}""", *_GOV_VIEWS, extra=[
+    ("mine", f"SELECT * FROM v_outcome WHERE person_id = {PATIENT}"),
+    ("my_drugs", """SELECT i.indication_id, m.name FROM v_indication i JOIN v_medicine m ON m.medicine_id = i.medicine_id
+                    WHERE i.indication_id IN (SELECT indication_id FROM mine)""")]))
 def r6(spark, d):
     v = role_views(spark, d)
     return GV.my_record(GV.PatientSession(PATIENT), v.person(with_dates=True), v.location(), v.condition(),
