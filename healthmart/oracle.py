@@ -112,17 +112,17 @@ def kpi_sql(company: str, medicine_cte: str = "v_medicine") -> dict[str, str]:
     drug = f"""v_indication i JOIN {medicine_cte} m ON m.medicine_id = i.medicine_id"""
     target = f"SELECT i.indication_id FROM {drug} WHERE m.company = '{company}'"
     return {
-        "c1": f"""SELECT COUNT(DISTINCT o.person_id) AS pharma_patients
+        "c1": f"""SELECT COUNT(DISTINCT o.person_id) AS target_patients
                   FROM v_outcome o WHERE o.indication_id IN ({target})""",
-        "c2": f"""SELECT COUNT(DISTINCT o.person_id) AS non_pharma_patients
+        "c2": f"""SELECT COUNT(DISTINCT o.person_id) AS other_patients
                   FROM v_outcome o WHERE o.indication_id NOT IN ({target})""",
         "c3": f"""SELECT m.company AS company_name, COUNT(DISTINCT o.person_id) AS patient_count
                   FROM v_outcome o JOIN {drug} ON i.indication_id = o.indication_id
                   GROUP BY m.company""",
-        "c4": f"""SELECT CAST(SUM(p.profit) AS DECIMAL(38,2)) AS pharma_total_profit
+        "c4": f"""SELECT CAST(SUM(p.profit) AS DECIMAL(38,2)) AS target_total_profit
                   FROM v_outcome o JOIN v_profit p ON p.indication_id = o.indication_id
                   WHERE o.indication_id IN ({target})""",
-        "c5": f"""SELECT CAST(SUM(p.profit) AS DECIMAL(38,2)) AS total_nonpharmacorp_profit
+        "c5": f"""SELECT CAST(SUM(p.profit) AS DECIMAL(38,2)) AS other_total_profit
                   FROM v_outcome o JOIN v_profit p ON p.indication_id = o.indication_id
                   WHERE o.indication_id IN (SELECT i.indication_id FROM {drug} WHERE m.company <> '{company}')""",
         "c6": f"""SELECT m.company AS company_name, CAST(SUM(p.profit) AS DECIMAL(38,2)) AS total_profit
@@ -135,13 +135,13 @@ def kpi_sql(company: str, medicine_cte: str = "v_medicine") -> dict[str, str]:
 def merged_medicine_sql(src: str, acquirer: str, acquired: str) -> list[tuple[str, str]]:
     """C9 then C10 as CTEs over ``src``; the last CTE is ``{src}_merged``."""
     return [
-        (f"{src}_pn", f"""SELECT active_ingredient_name, MIN(name) AS pharma_name FROM {src}
+        (f"{src}_acq", f"""SELECT active_ingredient_name, MIN(name) AS acquirer_name FROM {src}
                           WHERE company = '{acquirer}' GROUP BY active_ingredient_name"""),
         (f"{src}_renamed", f"""SELECT m.medicine_id, m.standard_industry_number,
-                    CASE WHEN m.company = '{acquired}' AND pn.active_ingredient_name IS NOT NULL
-                         THEN pn.pharma_name ELSE m.name END AS name,
+                    CASE WHEN m.company = '{acquired}' AND acq.active_ingredient_name IS NOT NULL
+                         THEN acq.acquirer_name ELSE m.name END AS name,
                     m.company, m.active_ingredient_name
-                FROM {src} m LEFT JOIN {src}_pn pn ON m.active_ingredient_name = pn.active_ingredient_name"""),
+                FROM {src} m LEFT JOIN {src}_acq acq ON m.active_ingredient_name = acq.active_ingredient_name"""),
         (f"{src}_merged", f"""SELECT medicine_id, standard_industry_number, name,
                     CASE WHEN company = '{acquired}' THEN '{acquirer}' ELSE company END AS company,
                     active_ingredient_name FROM {src}_renamed"""),

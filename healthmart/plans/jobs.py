@@ -19,7 +19,7 @@ from . import kpi
 from . import warehouse as W
 
 
-def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "finalproject_dw",
+def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "healthmart_dw",
                     acquirer: str = "Brand#1", acquired: str = "Brand#2") -> Catalog:
     v = role_views(spark, sf_dir)
     cat = Catalog(spark, namespace)

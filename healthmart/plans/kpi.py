@@ -40,7 +40,7 @@ def c1_patients(outcome: DataFrame, medicine: DataFrame, indication: DataFrame,
     """Distinct patients treated with the company's drugs (exact count)."""
     hit = semi(outcome.select("person_id", "indication_id"),
                target_indications(medicine, indication, company), "indication_id")
-    return hit.agg(F.countDistinct("person_id").alias("pharma_patients"))
+    return hit.agg(F.countDistinct("person_id").alias("target_patients"))
 
 
 def c2_other_patients(outcome: DataFrame, medicine: DataFrame, indication: DataFrame,
@@ -49,7 +49,7 @@ def c2_other_patients(outcome: DataFrame, medicine: DataFrame, indication: DataF
     (NOT IN semantics, T4).  Not the complement of C1."""
     rest = not_in(outcome.select("person_id", "indication_id"),
                   target_indications(medicine, indication, company), "indication_id")
-    return rest.agg(F.countDistinct("person_id").alias("non_pharma_patients"))
+    return rest.agg(F.countDistinct("person_id").alias("other_patients"))
 
 
 def c3_patients_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def c4_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, pr
     """C4: company total profit = sum over indications of (outcome count x unit profit)."""
     hit = semi(outcome.select("indication_id"), target_indications(medicine, indication, company),
                "indication_id")
-    return _profit_total(freq(hit, ["indication_id"]), profit, [], "pharma_total_profit")
+    return _profit_total(freq(hit, ["indication_id"]), profit, [], "target_total_profit")
 
 
 def c5_other_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, profit: DataFrame,
@@ -81,7 +81,7 @@ def c5_other_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFra
     """As C4 for every other company; ``!=`` drops drugs with a NULL company (T5)."""
     hit = semi(outcome.select("indication_id"),
                target_indications(medicine, indication, company, negate=True), "indication_id")
-    return _profit_total(freq(hit, ["indication_id"]), profit, [], "total_nonpharmacorp_profit")
+    return _profit_total(freq(hit, ["indication_id"]), profit, [], "other_total_profit")
 
 
 def c6_profit_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame,
@@ -127,8 +127,8 @@ def merger_rename(medicine: DataFrame, acquirer: str, acquired: str) -> DataFram
     one arbitrarily, we pick the smallest name so the result is deterministic.
     """
     names = medicine.where(F.col("company") == acquirer).groupBy("active_ingredient_name") \
-        .agg(F.min("name").alias("pharma_name"))
-    return update_from(medicine, names, "active_ingredient_name", {"name": "pharma_name"},
+        .agg(F.min("name").alias("acquirer_name"))
+    return update_from(medicine, names, "active_ingredient_name", {"name": "acquirer_name"},
                        cond=F.col("company") == acquired)
 
 
@@ -145,11 +145,11 @@ def merge_companies(medicine: DataFrame, acquirer: str, acquired: str) -> DataFr
 class Kpis:
     """C11: the six KPIs over one medicine table; call once before and once after a merger."""
 
-    pharma_patients: DataFrame
-    non_pharma_patients: DataFrame
+    target_patients: DataFrame
+    other_patients: DataFrame
     patients_per_company: DataFrame
-    pharma_profit: DataFrame
-    non_pharma_profit: DataFrame
+    target_profit: DataFrame
+    other_profit: DataFrame
     profit_per_company: DataFrame
 
 

@@ -9,8 +9,8 @@ from .conftest import rows
 
 def _tables(spark):
     person = spark.createDataFrame([
-        (1, "Garcia", "David", "M", 1, 58, 1, 10, dt.date(2020, 12, 12), dt.date(2020, 12, 22), True),
-        (2, "Martinez", "Sophia", "F", 1, 45, 1, 6, None, None, False),
+        (1, "Doe", "Jan", "M", 1, 58, 1, 10, dt.date(2020, 12, 12), dt.date(2020, 12, 22), True),
+        (2, "Roe", "Kim", "F", 1, 45, 1, 6, None, None, False),
         (3, "Lone", "Nobody", "F", 1, 30, 1, 1, None, None, False)],
         "person_id long, last_name string, first_name string, gender string, primary_location_id long, age long, "
         "disease_id long, severity_value long, start_date date, end_date date, is_insured boolean")

@@ -10,7 +10,7 @@ from .conftest import SF001, rows
 
 
 def _tables(spark):
-    medicine = spark.createDataFrame([(1, "A", "PharmaCorp"), (2, "B", "MediHealth"), (3, "C", None), (4, "D", "Empty")],
+    medicine = spark.createDataFrame([(1, "A", "Acme"), (2, "B", "Beta"), (3, "C", None), (4, "D", "Empty")],
                                      "medicine_id long, name string, company string")
     indication = spark.createDataFrame([(10, 1), (20, 2), (30, 3), (40, 4)], "indication_id long, medicine_id long")
     outcome = spark.createDataFrame([(1, 10), (1, 20), (2, 20), (3, 30), (3, 30)], "person_id long, indication_id long")
@@ -22,14 +22,14 @@ def _tables(spark):
 def test_kpis_and_null_company_rules(spark):
     # empty_company fixture: a company with no outcome and a NULL company (T5)
     o, m, i, p = _tables(spark)
-    assert kpi.c1_patients(o, m, i, "PharmaCorp").first()[0] == 1
-    assert kpi.c2_other_patients(o, m, i, "PharmaCorp").first()[0] == 3    # NOT IN keeps the NULL company
-    assert kpi.c4_profit(o, m, i, p, "PharmaCorp").first()[0] == Decimal("1.50")
-    assert kpi.c5_other_profit(o, m, i, p, "PharmaCorp").first()[0] == Decimal("4.00")   # != drops NULL company
+    assert kpi.c1_patients(o, m, i, "Acme").first()[0] == 1
+    assert kpi.c2_other_patients(o, m, i, "Acme").first()[0] == 3    # NOT IN keeps the NULL company
+    assert kpi.c4_profit(o, m, i, p, "Acme").first()[0] == Decimal("1.50")
+    assert kpi.c5_other_profit(o, m, i, p, "Acme").first()[0] == Decimal("4.00")   # != drops NULL company
     assert kpi.c4_profit(o, m, i, p, "Empty").first()[0] is None           # SUM over nothing is NULL
     per = dict(rows(kpi.c6_profit_per_company(o, m, i, p)))
-    assert per == {"PharmaCorp": Decimal("1.50"), "MediHealth": Decimal("4.00"), None: Decimal("8.00")}
-    assert dict(rows(kpi.c3_patients_per_company(o, m, i))) == {"PharmaCorp": 1, "MediHealth": 2, None: 1}
+    assert per == {"Acme": Decimal("1.50"), "Beta": Decimal("4.00"), None: Decimal("8.00")}
+    assert dict(rows(kpi.c3_patients_per_company(o, m, i))) == {"Acme": 1, "Beta": 2, None: 1}
 
 
 def test_c4_plus_c5_is_total_profit_on_test_tables(spark):

@@ -39,9 +39,9 @@ def test_lookup_semantics(spark):
 
 
 def test_update_where_reads_old_row_and_skips_null_predicate(spark):
-    df = spark.createDataFrame([("MediHealth", "x"), ("PharmaCorp", "y"), (None, "z")], "company string, name string")
-    out = update_where(df, F.col("company") == "MediHealth", {"company": "PharmaCorp", "name": F.col("company")})
-    assert rows(out) == [("PharmaCorp", "MediHealth"), ("PharmaCorp", "y"), (None, "z")]
+    df = spark.createDataFrame([("Beta", "x"), ("Acme", "y"), (None, "z")], "company string, name string")
+    out = update_where(df, F.col("company") == "Beta", {"company": "Acme", "name": F.col("company")})
+    assert rows(out) == [("Acme", "Beta"), ("Acme", "y"), (None, "z")]
 
 
 def test_update_from_duplicate_source_raises(spark):
@@ -90,32 +90,32 @@ def test_valid_in_bounds(spark):
 
 
 def _dil(spark):
-    return spark.createDataFrame([(1, "COVID-19", 7, 2020, 2025, True), (2, "Cholera", 7, 2020, 2025, True)],
+    return spark.createDataFrame([(1, "Disease-A", 7, 2020, 2025, True), (2, "Disease-B", 7, 2020, 2025, True)],
                                  "id long, disease_name string, intensity_level long, start_year long, "
                                  "end_year long, is_current boolean")
 
 
 def test_scd2_close_then_open(spark):
     dil = _dil(spark)
-    closed = scd2_close(dil, spark.createDataFrame([("COVID-19",)], "disease_name string"), "disease_name", 2022)
-    opened = scd2_open(closed, spark.createDataFrame([("COVID-19", "9", 2023, 2025, True)],
+    closed = scd2_close(dil, spark.createDataFrame([("Disease-A",)], "disease_name string"), "disease_name", 2022)
+    opened = scd2_open(closed, spark.createDataFrame([("Disease-A", "9", 2023, 2025, True)],
                                                      "disease_name string, intensity_level string, start_year long, "
                                                      "end_year long, is_current boolean"), "id", {})
-    assert rows(opened) == [(1, "COVID-19", 7, 2020, 2022, False), (2, "Cholera", 7, 2020, 2025, True),
-                            (3, "COVID-19", 9, 2023, 2025, True)]
+    assert rows(opened) == [(1, "Disease-A", 7, 2020, 2022, False), (2, "Disease-B", 7, 2020, 2025, True),
+                            (3, "Disease-A", 9, 2023, 2025, True)]
 
 
 def test_scd2_apply_changed_unchanged_new_duplicate(spark):
     # scd_change fixture
     dil = _dil(spark)
-    ch = spark.createDataFrame([("COVID-19", 9), ("Cholera", 7), ("Flu", 3)], "disease_name string, intensity_level long")
+    ch = spark.createDataFrame([("Disease-A", 9), ("Disease-B", 7), ("Flu", 3)], "disease_name string, intensity_level long")
     out = scd2_apply(dil, ch, "disease_name", ["intensity_level"], 2023, "id", end_year=2025)
     got = rows(out)
-    assert (1, "COVID-19", 7, 2020, 2022, False) in got
-    assert (2, "Cholera", 7, 2020, 2025, True) in got        # unchanged: untouched
-    assert sorted(r[1:3] for r in got if r[0] > 2) == [("COVID-19", 9), ("Flu", 3)]
+    assert (1, "Disease-A", 7, 2020, 2022, False) in got
+    assert (2, "Disease-B", 7, 2020, 2025, True) in got        # unchanged: untouched
+    assert sorted(r[1:3] for r in got if r[0] > 2) == [("Disease-A", 9), ("Flu", 3)]
     assert sorted(r[0] for r in got) == [1, 2, 3, 4]
-    dup = spark.createDataFrame([("COVID-19", 9), ("COVID-19", 8)], "disease_name string, intensity_level long")
+    dup = spark.createDataFrame([("Disease-A", 9), ("Disease-A", 8)], "disease_name string, intensity_level long")
     with pytest.raises(IntegrityError):
         scd2_apply(dil, dup, "disease_name", ["intensity_level"], 2023, "id")
 

@@ -15,7 +15,7 @@ def test_load_csv_applies_schema_defaults_and_char_trim(spark):
     path = os.path.join(d, "patients.csv")
     with open(path, "w") as f:
         f.write("person_id,last_name,first_name,gender,primary_location_id,age,disease_id,start_date,end_date\n")
-        f.write("1,Garcia,David,M ,6,58,1,2020-12-12,2020-12-22\n")
+        f.write("1,Doe,Jan,M ,6,58,1,2020-12-12,2020-12-22\n")
     df = load(spark, path, "diseased_patient", fmt="csv", options={"header": "true"})
     assert df.schema == SCHEMAS["diseased_patient"] or [f.name for f in df.schema] == SCHEMAS["diseased_patient"].names
     r = df.first()
@@ -23,9 +23,9 @@ def test_load_csv_applies_schema_defaults_and_char_trim(spark):
 
 
 def test_append_rows_casts_text_explicitly(spark):
-    dil = spark.createDataFrame([(1, "COVID-19", 7)], "id long, disease_name string, intensity_level long")
-    out = append_rows(spark, dil, [{"id": 2, "disease_name": "COVID-19", "intensity_level": "9"}])
-    assert rows(out) == [(1, "COVID-19", 7), (2, "COVID-19", 9)]
+    dil = spark.createDataFrame([(1, "Disease-A", 7)], "id long, disease_name string, intensity_level long")
+    out = append_rows(spark, dil, [{"id": 2, "disease_name": "Disease-A", "intensity_level": "9"}])
+    assert rows(out) == [(1, "Disease-A", 7), (2, "Disease-A", 9)]
     with pytest.raises(Exception):
         append_rows(spark, dil, [{"id": 3, "intensity_level": "x"}]).collect()
 
