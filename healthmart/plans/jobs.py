@@ -44,7 +44,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "healthma
     cells, n = sized(cells)
     lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
     cat.replace("fact_disease_outcome", FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit()))
-    cells_nc = FT.person_cells(person, cond, d_disease, d_gender)
+    cells_nc, _ = sized(FT.person_cells(person, cond, d_disease, d_gender))
     cat.replace("fact_disease_outcome_no_country",
                 FT.fact_disease_outcome_no_country(v.outcome(), cells_nc, v.indication(), v.profit()))
     cat.replace("fact_disease_intensity", FT.fact_disease_intensity(d_year, dil, d_disease, d_level))

@@ -240,7 +240,7 @@ def _outcome_fact(spark, d, with_location: bool):
         lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
         fact = FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit())
     else:
-        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], bounded_dims=True)
+        cells, _ = sized(FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], bounded_dims=True))
         fact = FT.fact_disease_outcome_no_country(v.outcome(), cells, v.indication(), v.profit())
     return fact, x
 
