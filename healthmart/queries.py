@@ -13,9 +13,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle as O
-from .operators.keys import sized
+from .operators import integrity as IG
+from .operators.keys import sized, with_dense_id
+from .plans import facts as FT
+from .plans import governed as GV
 from .plans import kpi
+from .plans import warehouse as W
 from .sources.roles import role_views
+from .sources.schemas import SCHEMAS
+from .sources.tables import conform
+from .streaming.arrival import enrich_on_arrival, run_arrivals
 
 TARGET = "ASIA"
 KPI_ACQUIRED = "AMERICA"
@@ -130,8 +137,6 @@ def c7_after(spark, sf_dir):
 
 
 # -- warehouse: dimensions M1-M11 --------------------------------------------------------------
-from .plans import facts as FT  # noqa: E402
-from .plans import warehouse as W  # noqa: E402
 
 SCD_CHANGE = ("AUTOMOBILE", "9", 2001, W.SCD_DEFAULT_END)  # re-aim of the reference's change
 V4_YEARS = (2000, 2001)
@@ -293,22 +298,28 @@ _V3 = """SELECT f.fact_disease_intensity_id, y.year AS year, d.disease_name, ilq
 
 register("b3_fact_disease_intensity", O.dims_sql("SELECT * FROM f_int", extra=_B3))(
     lambda spark, d: _intensity(spark, d, False)[0])
-register("v3_star_intensity", O.dims_sql(_V3.format(f="f_int", where=""), extra=_B3))(
-    lambda spark, d: FT.star_intensity(*(lambda r: (r[0], r[2], r[3], r[4]))(_intensity(spark, d, False))))
+
+
+@register("v3_star_intensity", O.dims_sql(_V3.format(f="f_int", where=""), extra=_B3))
+def v3(spark, d):
+    fact, _, d_year, d_disease, d_level = _intensity(spark, d, False)
+    return FT.star_intensity(fact, d_year, d_disease, d_level)
+
+
 register("s1j_dim_after_change", O.dims_sql("SELECT * FROM d_dil2", extra=_S1))(
     lambda spark, d: _intensity(spark, d, True)[1])
 register("s1j_fact_restated", O.dims_sql("SELECT * FROM f_restated", extra=_S1))(
     lambda spark, d: _intensity(spark, d, True)[0])
-register("v4_star_intensity_two_years", O.dims_sql(
-    _V3.format(f="f_restated", where=f"WHERE y.year IN {V4_YEARS}"), extra=_S1))(
-    lambda spark, d: FT.star_intensity(*(lambda r: (r[0], r[2], r[3], r[4]))(_intensity(spark, d, True)),
-                                       years=V4_YEARS))
+
+
+@register("v4_star_intensity_two_years", O.dims_sql(
+    _V3.format(f="f_restated", where=f"WHERE y.year IN {V4_YEARS}"), extra=_S1))
+def v4(spark, d):
+    fact, _, d_year, d_disease, d_level = _intensity(spark, d, True)
+    return FT.star_intensity(fact, d_year, d_disease, d_level, years=V4_YEARS)
 
 
 # -- governed reads R1-R6 ------------------------------------------------------------------------
-from .operators import integrity as IG  # noqa: E402
-from .plans import governed as GV  # noqa: E402
-from .streaming.arrival import enrich_on_arrival, run_arrivals  # noqa: E402
 
 PATIENT = 1  # the reference reads as patient 1
 _REC = """pe.last_name, pe.first_name, pe.gender, pe.age, loc.country_name, pe.is_insured, cd.disease_name AS disease,
@@ -439,9 +450,6 @@ def a10_stream(spark, d):
 
 
 # -- A2 + K1 + A10: the operational outcome table as the reference loads it -------------------
-from .sources.schemas import SCHEMAS  # noqa: E402
-from .sources.tables import conform  # noqa: E402
-from .operators.keys import with_dense_id  # noqa: E402
 
 _OUTCOME_ORDER = ["outcome_date", "order_key", "line_number", "person_id", "indication_id", "outcome"]
 
