@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators.keys import sized
-from ..sources.roles import role_views
+from ..sources.roles import TEST_TABLES, role_views
 from ..sources.tables import Catalog
 from . import facts as FT
 from . import kpi
@@ -61,3 +61,25 @@ def apply_intensity_change(cat: Catalog, disease_name: str, level: str, from_yea
     dil = cat.replace("dim_disease_intensity_level", dil, reads_itself=True)
     fact = FT.restate_intensity(cat.scan("fact_disease_intensity"), d_year, dil, d_disease, d_level)
     cat.replace("fact_disease_intensity", fact, reads_itself=True)
+
+
+# Bucket keys of the co-located layout: line items and orders meet on the order key in every
+# outcome query, which makes that join the dominant shuffle at scale.
+COLOCATED_BUCKETS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def store_colocated(spark: SparkSession, sf_dir: str, namespace: str, buckets: int) -> Catalog:
+    """Store the source tables as catalog tables, with line items and orders bucketed (and
+    sorted) by order key into the same number of buckets.  Role views read with
+    ``role_views(spark, sf_dir, namespace)`` then join them bucket by bucket, without a shuffle.
+    The bucket count should give buckets of a few hundred MB at the target scale."""
+    v = role_views(spark, sf_dir)
+    cat = Catalog(spark, namespace)
+    for name in TEST_TABLES:
+        df = v.raw(name)
+        writer = df.write.mode("overwrite").format("parquet")
+        if name in COLOCATED_BUCKETS:
+            key = COLOCATED_BUCKETS[name]
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(cat.name(name))
+    return cat

@@ -65,14 +65,18 @@ class RoleViews:
 
     spark: SparkSession
     sf_dir: str
+    namespace: str | None = None   # read catalog tables of this namespace instead of files
     _raw: dict = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            reader = self.spark.read
-            if name in TEST_SCHEMAS:
-                reader = reader.schema(TEST_SCHEMAS[name])
-            self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            if self.namespace is not None:
+                self._raw[name] = self.spark.table(f"`{self.namespace}`.`{name}`")
+            else:
+                reader = self.spark.read
+                if name in TEST_SCHEMAS:
+                    reader = reader.schema(TEST_SCHEMAS[name])
+                self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     # -- outcome ---------------------------------------------------------------------------
@@ -222,5 +226,7 @@ class RoleViews:
         return self.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
 
 
-def role_views(spark: SparkSession, sf_dir: str) -> RoleViews:
-    return RoleViews(spark, sf_dir)
+def role_views(spark: SparkSession, sf_dir: str, namespace: str | None = None) -> RoleViews:
+    """Role views over the Parquet files in ``sf_dir``, or over the catalog tables of
+    ``namespace`` (see ``plans.jobs.store_colocated``)."""
+    return RoleViews(spark, sf_dir, namespace)

@@ -95,3 +95,24 @@ def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, unfrozen
     bad = [k for k in joins if any(re.search(rf"\b{d}", k) for d in SMALL_DIM_KEYS)]
     assert not bad, bad
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_colocated_tables_join_without_shuffle(spark):
+    """Line items and orders bucketed by order key: the outcome view's join needs no exchange,
+    even when nothing may be broadcast, and the KPIs are unchanged."""
+    from healthmart.plans import kpi
+    from healthmart.plans.jobs import store_colocated
+    from healthmart.sources.roles import role_views
+    store_colocated(spark, SF001, "hm_colocated_test", buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        v = role_views(spark, SF001, "hm_colocated_test")
+        p = plan(v.outcome())
+        assert "SortMergeJoin" in p and "Exchange" not in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    files, tables = role_views(spark, SF001), role_views(spark, SF001, "hm_colocated_test")
+    a = kpi.c6_profit_per_company(files.outcome(), files.medicine(), files.indication(), files.profit()).collect()
+    b = kpi.c6_profit_per_company(tables.outcome(), tables.medicine(), tables.indication(), tables.profit()).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
