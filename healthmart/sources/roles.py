@@ -230,3 +230,19 @@ def role_views(spark: SparkSession, sf_dir: str, namespace: str | None = None) -
     """Role views over the Parquet files in ``sf_dir``, or over the catalog tables of
     ``namespace`` (see ``plans.jobs.store_colocated``)."""
     return RoleViews(spark, sf_dir, namespace)
+
+
+def register_views(spark: SparkSession, sf_dir: str, competing: bool = False,
+                   namespace: str | None = None) -> RoleViews:
+    """Expose the role views as temp views named like the operational tables, for SQL users:
+    ``outcome``, ``indication``, ``medicine``, ``profit``, ``diseased_patient``, ``location``,
+    ``disease``.  ``competing=True`` exposes the part-based medicine table instead of the KPI one.
+    Spark SQL over these views is planned exactly like the DataFrame jobs (same pruning and
+    pushdown into the Parquet scans)."""
+    v = role_views(spark, sf_dir, namespace)
+    views = {"outcome": v.outcome(), "indication": v.indication(),
+             "medicine": v.medicine_part() if competing else v.medicine(), "profit": v.profit(),
+             "diseased_patient": v.person(with_dates=True), "location": v.location(), "disease": v.condition()}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return v

@@ -69,3 +69,18 @@ def test_competing_outcomes_is_a_stable_sample(spark):
     a = rows(Q.REGISTRY["c8_competing_outcomes"].build(spark, SF001))
     b = rows(Q.REGISTRY["c8_competing_outcomes"].build(spark, SF001))
     assert a == b and len(a) <= 20
+
+
+def test_sql_surface_matches_dataframe_jobs(spark):
+    from healthmart.sources.roles import register_views
+    v = register_views(spark, SF001)
+    by_sql = spark.sql("""
+        SELECT m.company AS company_name, SUM(p.profit) AS total_profit
+        FROM outcome o JOIN indication i ON i.indication_id = o.indication_id
+        JOIN medicine m ON m.medicine_id = i.medicine_id
+        JOIN profit p ON p.indication_id = o.indication_id
+        GROUP BY m.company""")
+    by_df = kpi.c6_profit_per_company(v.outcome(), v.medicine(), v.indication(), v.profit())
+    assert dict(rows(by_sql)) == dict(rows(by_df))
+    # names resolve case-insensitively, as unquoted names do in the reference (P10)
+    assert spark.sql("SELECT COUNT(*) FROM Diseased_Patient WHERE Person_ID = 1").first()[0] == 1
