@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from decimal import Decimal, ROUND_HALF_UP
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
 from ..operators.joins import freq, valid_in
-from ..operators.keys import sized, small_lookup, with_dense_id
+from ..operators.keys import BROADCAST_MAX_ROWS, sized, small_lookup, with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -89,28 +90,43 @@ def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, pro
     patient has no complete cell).  Every outcome row counts towards the *global* frequency of
     its indication (T12); only rows with a cell enter the fact.
 
-    Two aggregations read ``lines``: the frequency per indication and the fact per cell.  Both
-    aggregate map-side first, so neither shuffles more than one row per (map task, key).
+    The plan follows an exact count of the per-indication margins:
+
+    * few margins: two map-side passes over the outcome rows - the frequency per indication
+      (partial aggregation, one row per indication and map task in the shuffle), then the fact,
+      with margins and frequencies broadcast (their size is bounded by the count);
+    * many margins: one pass that aggregates outcome rows to (cell, indication) partials - at
+      most cells x indications rows - kept for both uses, so the line items are read once and
+      only the partials meet the margins.
     """
     keys = keys or ["disease_id", "age_id", "gender_id", "location_id"]
-    ic = freq(lines.select("indication_id"), ["indication_id"], "_ic")
-    # One row per indication: broadcast into the outcome rows after an exact count when small.
-    supp, _ = sized(indication.select("indication_id").join(
-        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner")
-        .join(ic, "indication_id", "inner"))
+    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
+    margins, n_margins = sized(indication.select("indication_id").join(
+        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner"))
     has_cell = None
     for k in keys:
         c = F.col(k).isNotNull()
         has_cell = c if has_cell is None else has_cell & c
-    j = lines.where(has_cell).select(*keys, "indication_id", *[f.alias(c) for f, (_, c) in
-                                                               zip(_flags(F.col("outcome")), OUTCOMES)]) \
-        .join(supp, "indication_id", "inner")
+
+    if n_margins <= BROADCAST_MAX_ROWS:
+        ic = freq(lines.select("indication_id"), ["indication_id"], "_ic")
+        # At most one row per margin row: bounded by the count above.
+        supp = F.broadcast(margins.join(ic, "indication_id", "inner"))
+        rows = lines.where(has_cell).select(*keys, "indication_id", F.lit(1).cast("long").alias("_n"), *flags)
+    else:
+        rows = lines.select(*keys, "indication_id", *flags).groupBy(*keys, "indication_id").agg(
+            F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS]) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        ic = rows.groupBy("indication_id").agg(F.sum("_n").alias("_ic"))
+        supp = margins.join(ic, "indication_id", "inner")
+        rows = rows.where(has_cell)
+    j = rows.join(supp, "indication_id", "inner")
     agg = j.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in COUNT_COLS],
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.col("_ic") * F.col("cost_cents")).alias("_wsum"),
-        F.sum(F.col("_ic")).alias("_wcnt"),
-        F.sum(F.col("profit_cents")).alias("_psum"))
+        F.sum("_n").alias("_rows"),
+        F.sum(F.col("_n") * F.col("_ic") * F.col("cost_cents")).alias("_wsum"),
+        F.sum(F.col("_n") * F.col("_ic")).alias("_wcnt"),
+        F.sum(F.col("_n") * F.col("profit_cents")).alias("_psum"))
     return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
 
 

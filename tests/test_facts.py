@@ -118,3 +118,13 @@ def test_dim_medicine_collapses_after_merger(spark):
     assert default.count() == 8 and default.where(F.col("medicine_id").isNull()).count() == 0   # T2: nothing lost
     literal = W.dim_indication(lit_ind, merged, dim, literal=True)
     assert literal.count() == 5   # the reference's id-to-surrogate comparison drops source ids 6-8
+
+
+def test_b1_many_margins_path_equals_few_margins_path(spark, monkeypatch):
+    """The one-pass (cell, indication) plan used when margins are too many to broadcast gives
+    the same fact as the two-pass broadcast plan."""
+    from healthmart import queries as Q
+    few = rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
+    monkeypatch.setattr(FT, "BROADCAST_MAX_ROWS", 0)
+    many = rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
+    assert few == many and len(few) > 0
