@@ -138,17 +138,25 @@ def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indica
     cost-table sums) - computed without materialising the product."""
     keys = ["disease_id", "age_id", "gender_id"]
     ind = indication.select("indication_id").distinct().withColumn("_has", F.lit(True))
-    o = outcome.select("person_id", "indication_id", "outcome")
-    # Margins with the indication flag, one row per profit row: broadcast after an exact count
-    # when small, shuffled otherwise.
-    margins, _ = sized(profit.select("indication_id", "cost_cents", "profit_cents").join(ind, "indication_id", "left"))
-    lines = o.join(margins, "indication_id", "inner")
+    # Margins with the indication flag, one row per profit row; exact count decides the plan.
+    margins, n_margins = sized(profit.select("indication_id", "cost_cents", "profit_cents")
+                               .join(ind, "indication_id", "left"))
+    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
+    o = outcome.select("person_id", "indication_id", *flags)
+    if n_margins <= BROADCAST_MAX_ROWS:
+        base = o.withColumn("_k", F.lit(1).cast("long"))          # margins are broadcast to the rows
+    else:
+        # Many margins: reduce the outcome rows to (person, indication) partials first, so only
+        # the partials are shuffled to meet the margins.
+        base = o.groupBy("person_id", "indication_id").agg(
+            F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(c) for c in COUNT_COLS])
+    lines = base.join(margins, "indication_id", "inner")
     has = F.col("_has").isNotNull()
     pc = lines.groupBy("person_id", "cost_cents").agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.sum(F.when(has, 1).otherwise(0)).alias("_n"),
-        *[F.sum(F.when(has, f).otherwise(0)).alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)],
-        F.sum(F.when(has, F.col("profit_cents"))).alias("_p"))
+        F.sum("_k").alias("_cnt"),
+        F.sum(F.when(has, F.col("_k")).otherwise(0)).alias("_n"),
+        *[F.sum(F.when(has, F.col(c)).otherwise(0)).alias(c) for c in COUNT_COLS],
+        F.sum(F.when(has, F.col("profit_cents") * F.col("_k"))).alias("_p"))
     pp = pc.groupBy("person_id").agg(
         F.count(F.lit(1)).alias("_c"), F.sum("_cnt").alias("_s"),
         F.sum(F.col("cost_cents") * F.col("_cnt")).alias("_w"),

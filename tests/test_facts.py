@@ -128,3 +128,14 @@ def test_b1_many_margins_path_equals_few_margins_path(spark, monkeypatch):
     monkeypatch.setattr(FT, "BROADCAST_MAX_ROWS", 0)
     many = rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
     assert few == many and len(few) > 0
+
+
+def test_b2_many_margins_path_equals_naive(spark, monkeypatch):
+    from healthmart.sources.roles import role_views
+    v = role_views(spark, SF001)
+    person, cond = v.person(), v.condition()
+    cells = FT.person_cells(person, cond, W.dim_disease(cond), W.dim_gender(person))
+    args = (v.outcome(), cells, v.indication(), v.profit())
+    naive = rows(FT.fact_disease_outcome_no_country_naive(*args))
+    monkeypatch.setattr(FT, "BROADCAST_MAX_ROWS", 0)
+    assert rows(FT.fact_disease_outcome_no_country(*args)) == naive
