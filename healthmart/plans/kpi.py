@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dml import update_from, update_where
 from ..operators.joins import freq, not_in, semi
-from ..operators.keys import sized
+from ..operators.keys import BROADCAST_MAX_ROWS, sized
 
 TOTAL = "decimal(38,2)"
 
@@ -55,8 +55,13 @@ def c2_other_patients(outcome: DataFrame, medicine: DataFrame, indication: DataF
 def c3_patients_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame) -> DataFrame:
     """Distinct patients per company, largest first (NULLs first when descending, as PostgreSQL)."""
     # One row per indication: broadcast into the outcome rows after an exact count when small.
-    ci, _ = sized(company_indications(medicine, indication))
-    j = outcome.select("person_id", "indication_id").join(ci, "indication_id", "inner")
+    # Otherwise the outcome side is first reduced to distinct (indication, person) pairs - a
+    # map-side partial dedup - so only the pairs are shuffled to meet the companies.
+    ci, n = sized(company_indications(medicine, indication))
+    pairs = outcome.select("person_id", "indication_id")
+    if n > BROADCAST_MAX_ROWS:
+        pairs = pairs.distinct()
+    j = pairs.join(ci, "indication_id", "inner")
     return j.groupBy(F.col("company").alias("company_name")).agg(
         F.countDistinct("person_id").alias("patient_count")).orderBy(F.col("patient_count").desc_nulls_first())
 
