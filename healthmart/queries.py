@@ -440,6 +440,17 @@ def a10(spark, d):
     return enrich_on_arrival(v.outcome(), v.indication(), ("indication_id", "indication_id"), ["medicine_id"])
 
 
+@register("a10_enrich_outcomes_stream", O.with_views("""
+    SELECT o.*, i.medicine_id FROM v_outcome o LEFT JOIN v_indication i ON o.indication_id = i.indication_id""",
+    "v_outcome", "v_indication"))
+def a10_outcome_stream(spark, d):
+    """The reference's trigger case as a stream: line items arrive, become outcome rows (a
+    stream-static join with the orders) and get their indication's medicine on arrival."""
+    v = role_views(spark, d)
+    return run_arrivals(spark, f"{d}/lineitem*.parquet", v.raw("lineitem").schema, v.indication(),
+                        ("indication_id", "indication_id"), ["medicine_id"], prepare=v.outcome_from)
+
+
 @register("a10_enrich_events_stream", O.with_views("""
     SELECT e.*, p.primary_location_id FROM events e LEFT JOIN v_person p ON e.user_id = p.person_id""", "v_person"))
 def a10_stream(spark, d):

@@ -83,7 +83,11 @@ class RoleViews:
     def outcome(self) -> DataFrame:
         """One row per line item: who (order's customer), which indication (supplier), what
         happened and when.  (order_key, line_number) is lineage, not a unique key."""
-        li = self.raw("lineitem")
+        return self.outcome_from(self.raw("lineitem"))
+
+    def outcome_from(self, li: DataFrame) -> DataFrame:
+        """The outcome view over given line items - a batch or a stream of arriving ones (then
+        the orders join is a stream-static join)."""
         od = self.raw("orders").select("o_orderkey", "o_custkey")
         return li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
             F.col("l_orderkey").alias("order_key"),

@@ -9,7 +9,7 @@ lookup table are not propagated to rows already stored (the lookup is as of arri
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +40,11 @@ def stream_folder(spark: SparkSession, sub: str) -> str:
 
 def run_arrivals(spark: SparkSession, source: str, schema: T.StructType, lookup: DataFrame,
                  on: tuple[str, str], cols: Sequence[str], out_path: str | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Drive the enrichment as a Structured Streaming query over the files at ``source``.
 
+    ``prepare`` turns the arriving rows into the rows to enrich (stream-static joins allowed).
     Runs with ``availableNow`` (all present files, in micro-batches, then stop) into a Parquet
     sink with its own checkpoint, so a restart resumes where it stopped and no row is written
     twice.  Returns the sink's content as a batch DataFrame.
@@ -53,6 +55,8 @@ def run_arrivals(spark: SparkSession, source: str, schema: T.StructType, lookup:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
+    if prepare is not None:
+        stream = prepare(stream)   # e.g. arriving line items -> outcome rows
     enriched = enrich_on_arrival(stream, lookup, on, cols)
     q = (enriched.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start(out_path))
