@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Largest input numbered by a single-task window.  The count is exact (taken on the frozen
-# table), so the single partition the window needs is bounded by this number, not the data.
+# Largest input numbered by a single-task window.  The count is exact (taken on the persisted
+# input), so the single partition the window needs is bounded by this number, not the data.
 SINGLE_TASK_MAX_ROWS = 200_000
-# Frozen results with at most this many rows (an exact count, not an estimate) are marked for
-# broadcast, so joins against small derived dimensions never shuffle the large side - even
-# where the planner's size estimate is missing or wrong.  Anything larger gets no hint.
+# Results with at most this many rows (an exact count, not an estimate) are marked for
+# broadcast, so joins against small derived tables never shuffle the large side - even where
+# the planner's size estimate is missing or wrong.  Anything larger gets no hint.
 BROADCAST_MAX_ROWS = 100_000
 
 
