@@ -1,6 +1,7 @@
 """K1: dense surrogate keys 1..n in a stated order, without a single-partition sort of big data.
 
-The input is counted exactly first (one job over a persisted frame):
+The input is counted first, up to the single-task bound (one job over a persisted frame; every
+partition stops reading once the bound is passed):
 
 * up to ``SINGLE_TASK_MAX_ROWS`` rows: one ``row_number()`` window, ordered by the order columns
   and then by every other column, so ids are a function of the rows and a recomputation after a
@@ -49,12 +50,21 @@ def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def count_upto(df: DataFrame, limit: int) -> int:
+    """Exact row count when it is at most ``limit``, else ``limit + 1``.  One job in which every
+    partition stops after ``limit + 1`` rows: answering "is it small?" never costs a full pass
+    over a large frame."""
+    return df.limit(limit + 1).count()
+
+
 def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Persist and count ``df`` exactly (one job); the frame carries a broadcast hint only when
-    the count is within ``max_rows``.  Persisted, not frozen: callers use it for frames that are
-    a deterministic function of their inputs, so a lost block is recomputed with the same rows."""
+    """Persist ``df`` and count it up to ``max_rows + 1`` (one job); the frame carries a
+    broadcast hint only when it has at most ``max_rows`` rows (then the count is exact and the
+    whole frame was computed and kept).  Persisted, not frozen: callers use it for frames that
+    are a deterministic function of their inputs, so a lost block is recomputed with the same
+    rows."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
+    n = count_upto(kept, max_rows)
     if n <= max_rows:
         return F.broadcast(kept), n
     kept.unpersist()   # large: leave it to the planner, and keep no copy in executor memory
@@ -93,7 +103,7 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
         # Persisted lazily: the first query that reads it fills the cache, later ones reuse it.
         return F.broadcast(window(df).persist(StorageLevel.MEMORY_AND_DISK))
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
+    n = count_upto(kept, single_task_max)
     if n <= single_task_max:
         out = window(kept)
         return F.broadcast(out) if n <= BROADCAST_MAX_ROWS else out
