@@ -34,13 +34,17 @@ def duck():
     return con
 
 
+def _nullsafe(t):
+    return tuple((x is None, str(x)) for x in t)
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
-    got = sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
+    got = sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=_nullsafe)
     cur = duck.execute(E.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    want = sorted(tuple(r[i] for i in order) for r in cur.fetchall())
+    want = sorted((tuple(r[i] for i in order) for r in cur.fetchall()), key=_nullsafe)
     assert got == want
