@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import pct_of_rows, weighted_mean
+from ..functions.aggregates import count_if, pct_of_rows, weighted_mean
 from ..functions.scalar import age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
 from ..operators.joins import freq, valid_in
@@ -184,7 +184,7 @@ def fact_disease_outcome_no_country_naive(outcome: DataFrame, cells: DataFrame,
     j = cells.join(o, "person_id", "inner").join(indication.select("indication_id"), "indication_id", "inner") \
         .join(pr, "indication_id", "inner").join(ic, "person_id", "inner")
     agg = j.groupBy(*keys).agg(
-        *[F.sum(f).alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)],
+        *[count_if(F.col("outcome") == v).alias(c) for v, c in OUTCOMES],
         F.count(F.lit(1)).alias("_rows"),
         F.sum(F.col("_ic_cost") * F.col("_ic_n")).alias("_wsum"),
         F.sum("_ic_n").alias("_wcnt"),

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.aggregates import weighted_sum
 from ..operators.dml import update_from, update_where
 from ..operators.joins import freq, not_in, semi
 from ..operators.keys import BROADCAST_MAX_ROWS, sized
@@ -69,7 +70,7 @@ def c3_patients_per_company(outcome: DataFrame, medicine: DataFrame, indication:
 def _profit_total(counts: DataFrame, profit: DataFrame, keys: list[str], name: str) -> DataFrame:
     p = profit.select("indication_id", "profit")
     j = counts.join(p, "indication_id", "inner")
-    total = F.sum(F.col("occurrence_count") * F.col("profit")).cast(TOTAL).alias(name)
+    total = weighted_sum(F.col("occurrence_count"), F.col("profit")).cast(TOTAL).alias(name)
     return j.groupBy(*keys).agg(total) if keys else j.agg(total)
 
 

@@ -52,3 +52,13 @@ def test_text_to_int_is_strict(spark):
     assert spark.createDataFrame([(" 9",)], "t string").select(to_int_strict(F.col("t"))).first()[0] == 9
     with pytest.raises(Exception):
         spark.createDataFrame([("x",)], "t string").select(to_int_strict(F.col("t"))).collect()
+
+
+def test_conditional_count_and_weighted_sum(spark):
+    from healthmart.functions import count_if, weighted_sum
+    df = spark.createDataFrame([("a", "recovered", 2, Decimal("1.50")), ("a", None, 3, None), ("a", "died", 1, Decimal("2.00"))],
+                               "k string, o string, w long, x decimal(10,2)")
+    r = df.groupBy("k").agg(count_if(F.col("o") == "recovered").alias("c"), weighted_sum(F.col("w"), F.col("x")).alias("s")).first()
+    assert (r["c"], r["s"]) == (1, Decimal("5.00"))      # NULL outcome counts 0; NULL value is skipped
+    empty = df.where("k = 'none'").agg(weighted_sum(F.col("w"), F.col("x")).alias("s")).first()
+    assert empty["s"] is None                             # SUM over nothing is NULL, not 0
