@@ -5,27 +5,97 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, mixing, quality, sharding, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+#: The mixture: three domains of sources, languages inside them, sources inside those.  A weight is
+#: an integer share among siblings; None stands for any value of that level; 1 where none is given.
+MIX_WEIGHTS = {("web",): 5, ("reference",): 3, ("community",): 2,
+               (None, "en"): 4, (None, "de"): 2, (None, "fr"): 2,
+               ("web", None, "src0"): 3}
+#: Budget as a fraction of all tokens, epochs of a document at most, seed of the orders.
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 5), 2, 42
+
+
+def mix_path() -> dict[str, Column]:
+    number = F.regexp_extract("source", r"^src(\d{1,6})$", 1)
+    domain = (F.when(number == "", "community").when(number.cast("int") < 10, "web")
+              .when(number.cast("int") < 15, "reference").otherwise("community"))
+    return {"domain": F.coalesce(domain, F.lit("community")), "lang": F.col("lang"), "source": F.col("source")}
+
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), 16)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), mix_path(), MIX_WEIGHTS, share=MIX_SHARE,
+                          max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_sharding": op2_sharding,
+    "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
+    "op9_mixing": op9_mixing,
 }
 
+
+def _mix_sql() -> str:
+    """The mixture by a direct formulation: every epoch's documents are numbered in one window."""
+    num, den = MIX_SHARE
+
+    def level(name: str, cols: str, key: str, parent: str, weight: str) -> str:
+        over = f"PARTITION BY {parent}" if parent else ""
+        source = f"JOIN {parent and 'g_' + parent.split(',')[-1].strip()} p USING ({parent})" if parent else "CROSS JOIN root p"
+        return f"""
+ n_{name} AS (SELECT {cols}, SUM(tokens)::HUGEINT * {MIX_EPOCHS} AS cap, ({weight})::HUGEINT AS weight FROM leaf GROUP BY {cols}),
+ o_{name} AS (SELECT n.*, p.given AS budget,
+   SUM(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left,
+   COALESCE(SUM(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c_before
+   FROM n_{name} n {source} WINDOW w AS ({over} ORDER BY cap::DOUBLE / weight::DOUBLE, {key})),
+ f_{name} AS (SELECT *, cap * w_left <= weight * (budget - c_before) AS is_full FROM o_{name}),
+ g_{name} AS (SELECT {cols}, CASE WHEN is_full THEN cap ELSE (weight * (budget
+   - COALESCE(SUM(cap) FILTER (WHERE is_full) OVER ({over}), 0)))
+   // SUM(weight) FILTER (WHERE NOT is_full) OVER ({over}) END AS given FROM f_{name})"""
+
+    return f"""WITH d AS (SELECT doc_id,
+   CASE WHEN TRY_CAST(regexp_extract(source, '^src([0-9]{{1,6}})$', 1) AS INT) < 10 THEN 'web'
+        WHEN TRY_CAST(regexp_extract(source, '^src([0-9]{{1,6}})$', 1) AS INT) < 15 THEN 'reference' ELSE 'community' END AS domain,
+   COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+   COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
+ leaf AS (SELECT domain, lang, source, SUM(n_tokens)::HUGEINT AS tokens FROM d GROUP BY ALL),
+ root AS (SELECT SUM(tokens) * {num} // {den} AS given FROM leaf),{
+    level("domain", "domain", "domain", "", "CASE domain WHEN 'web' THEN 5 WHEN 'reference' THEN 3 ELSE 2 END")},{
+    level("lang", "domain, lang", "lang", "domain", "CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END")},{
+    level("source", "domain, lang, source", "source", "domain, lang", "CASE WHEN domain = 'web' AND source = 'src0' THEN 3 ELSE 1 END")},
+ b AS (SELECT domain, lang, source, given, CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS whole, tokens
+   FROM g_source JOIN leaf USING (domain, lang, source)),
+ e AS (SELECT d.*, b.given, b.whole, b.given - b.whole * b.tokens AS rest, SUM(n_tokens) OVER (PARTITION BY domain, lang, source
+   ORDER BY md5('{MIX_SEED}:' || b.whole || ':' || COALESCE(doc_id::VARCHAR, '')), doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS upto
+   FROM d JOIN b USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, u.epoch::BIGINT AS epoch, given::BIGINT AS leaf_budget
+FROM e, (SELECT UNNEST(range({MIX_EPOCHS} + 1)) AS epoch) u WHERE u.epoch < whole OR (u.epoch = whole AND upto <= rest)"""
+
+
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_mixing": _mix_sql()}
