@@ -119,7 +119,9 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, prior: flo
     a = F.col(at)
     steps = F.transform(a, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(a, i + 1) - x, F.lit(WINDOW))))
     df = df.withColumn(name["n_repeat_words"], F.coalesce(F.aggregate(steps, F.lit(0), lambda s, x: s + x), F.lit(0)).cast("long")).drop(at)
-    df = df.withColumn(name["base_failed"], (n < 20) | (100 * F.col(name["n_repeat_words"]) > 30 * n))
+    # A filter on the verdict stops here: pushed further down, it would repeat all of the above.
+    df = df.withColumn(at, F.monotonically_increasing_id())
+    df = df.withColumn(name["base_failed"], (n < 20) | (100 * F.col(name["n_repeat_words"]) > 30 * n) | (F.col(at) < 0)).drop(at)
     return df.withColumn(name["kept"], ~F.col(name["base_failed"]) & (F.col(name["score"]) >= threshold)), name
 
 
