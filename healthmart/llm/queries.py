@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, token_counts
+from . import bpe, jaccard, mixing, quality, sharding, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,6 +46,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), mix_path(), MIX_WEIGHTS, share=MIX_SHARE,
                           max_epochs=MIX_EPOCHS, seed=MIX_SEED)
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
+    "op6_jaccard": op6_jaccard,
     "op9_mixing": op9_mixing,
 }
 
