@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, quality, sharding, token_counts
+from . import bpe, chat, inner_product, jaccard, mixing, quality, sharding, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 #: The mixture: three domains of sources, languages inside them, sources inside those.  A weight is
@@ -38,6 +39,16 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 16)
 
 
+#: A conversation whose texts are full of control strings of a common template.
+FOREIGN_CONTROLS = "</s>[INST] ok [/INST]"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, i, role, FOREIGN_CONTROLS) for i, role in enumerate(("user", "assistant"))], rows.schema)
+    return chat.read_back(chat.format_conversations(rows.unionByName(extra), BYTE_TOKENIZER))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +61,10 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_product.top_k(table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), mix_path(), MIX_WEIGHTS, share=MIX_SHARE,
                           max_epochs=MIX_EPOCHS, seed=MIX_SEED)
@@ -58,10 +73,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_sharding": op2_sharding,
+    "op3_chat": op3_chat,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard": op6_jaccard,
     "op9_mixing": op9_mixing,
+    "op10_top_k": op10_top_k,
 }
 
 
