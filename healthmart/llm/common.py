@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once a session), so that they need no installation."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(sc, "_shipped_package", None) == str(package) or not package.is_dir():
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{package.name}-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(path)
+    sc._shipped_package = str(package)
+
+
 def bound_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch hands to Python, by rows and by bytes."""
+    """Before Python runs on executors: send them this package, and bound what one Arrow batch hands
+    over, by rows and by bytes."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
