@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, inner_product, jaccard, mixing, quality, sharding, token_counts
+from . import bpe, chat, inner_product, jaccard, mixing, page_text, quality, sharding, token_counts, token_shards
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,19 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_product.top_k(table(spark, sf_dir, "embeddings"), 20, 20)
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+#: Token shards: end token, ids in a sequence, sequences in a file, key of the training order.
+END_ID, SEQUENCE, SHARD_ROWS, ORDER_KEY = 50_256, 2048, 4096, 20_240
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN,
+                                    end_id=END_ID, length=SEQUENCE, rows_per_shard=SHARD_ROWS, key=ORDER_KEY)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), mix_path(), MIX_WEIGHTS, share=MIX_SHARE,
                           max_epochs=MIX_EPOCHS, seed=MIX_SEED)
@@ -77,6 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard": op6_jaccard,
+    "op7_page_text": op7_page_text,
+    "op8_token_shards": op8_token_shards,
     "op9_mixing": op9_mixing,
     "op10_top_k": op10_top_k,
 }
