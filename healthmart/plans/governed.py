@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import semi
-from ..operators.keys import sized
 
 RECORD_COLS = ["person_id", "last_name", "first_name", "gender", "age", "country_name", "is_insured",
                "disease", "medication_name", "severity_value", "start_date", "end_date"]
@@ -47,10 +46,8 @@ def medical_records(outcome: DataFrame, person: DataFrame, disease: DataFrame, i
 
 
 def medical_records_from(outcome_with_patient: DataFrame, indication: DataFrame, medicine: DataFrame) -> DataFrame:
-    """R1 for outcome rows that already carry their patient's record columns.  The drug side
-    has one row per indication: broadcast after an exact count when small, shuffled otherwise."""
-    drugs, _ = sized(drug_names(indication, medicine))
-    return outcome_with_patient.join(drugs, "indication_id", "inner").select(*RECORD_COLS)
+    """R1 for outcome rows that already carry their patient's record columns."""
+    return outcome_with_patient.join(drug_names(indication, medicine), "indication_id", "inner").select(*RECORD_COLS)
 
 
 def own_rows(df: DataFrame, person_id: int | None, col: str = "person_id") -> DataFrame:
@@ -107,11 +104,11 @@ PATIENT_TABLES = ("diseased_patient", "location", "disease", "medicine", "outcom
 def role_session(spark: SparkSession, tables: "callable", role: str, person_id: int | None = None) -> SparkSession:
     """A new Spark session whose temp views are exactly what ``role`` may read.
 
-    ``tables(session)`` returns the operational tables as DataFrames of that session.  The
-    doctor sees only the flattened record view; a patient sees six tables, three of them
-    filtered to the person (profit and disease_type are absent).  The person id is held in a
-    session variable, so SQL over the views follows ``SET VAR current_person_id = ...``, and a
-    read with the variable unset fails instead of returning everything.
+    ``tables(session)`` returns the operational tables as DataFrames of that session.  The doctor
+    sees only the flattened record view; a patient sees six tables, three of them filtered to the
+    person (profit and disease_type are absent).  No view holds rows of anybody else.  The person id
+    is also a session variable (X9); ``set_patient`` changes both.  Without a person every read of a
+    filtered view fails instead of returning everything.
     """
     s = spark.newSession()
     t = tables(s)
@@ -121,16 +118,20 @@ def role_session(spark: SparkSession, tables: "callable", role: str, person_id:
         return s
     if role != "patient":
         raise ValueError(f"unknown role {role!r}")
-    s.sql("DECLARE OR REPLACE VARIABLE current_person_id BIGINT DEFAULT NULL")
-    if person_id is not None:
-        s.sql(f"SET VAR current_person_id = {int(person_id)}")
-    for name in PATIENT_TABLES:
-        t[name].createOrReplaceTempView(f"_base_{name}")
-    ctx = "COALESCE(current_person_id, raise_error('patient context is not set'))"
-    s.sql(f"CREATE OR REPLACE TEMP VIEW diseased_patient AS SELECT * FROM _base_diseased_patient WHERE person_id = {ctx}")
-    s.sql(f"CREATE OR REPLACE TEMP VIEW outcome AS SELECT * FROM _base_outcome WHERE person_id = {ctx}")
-    s.sql("""CREATE OR REPLACE TEMP VIEW indication AS SELECT * FROM _base_indication i
-             WHERE EXISTS (SELECT 1 FROM outcome o WHERE o.indication_id = i.indication_id)""")
-    for name in ("location", "disease", "medicine"):
-        s.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT * FROM _base_{name}")
+    set_patient(s, t, person_id)
     return s
+
+
+def set_patient(session: SparkSession, tables: "dict[str, DataFrame]", person_id: int | None) -> None:
+    """Make ``person_id`` the session's patient (None: nobody)."""
+    session.sql("DECLARE OR REPLACE VARIABLE current_person_id BIGINT DEFAULT NULL")
+    if person_id is None:
+        mine = F.raise_error(F.lit("patient context is not set")).cast("boolean")
+    else:
+        session.sql(f"SET VAR current_person_id = {int(person_id)}")
+        mine = F.col("person_id") == F.lit(int(person_id))
+    outcome = tables["outcome"].where(mine)
+    views = {"diseased_patient": tables["diseased_patient"].where(mine), "outcome": outcome,
+             "indication": semi(tables["indication"], outcome.select("indication_id"), "indication_id")}
+    for name in PATIENT_TABLES:
+        views.get(name, tables[name]).createOrReplaceTempView(name)

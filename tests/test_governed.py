@@ -60,7 +60,11 @@ def test_role_sessions(spark):
     assert sorted(r[0] for r in pat.sql("SELECT indication_id FROM indication").collect()) == [7, 9]
     with pytest.raises(Exception):
         pat.sql("SELECT * FROM profit").collect()          # not granted to patients
-    pat.sql("SET VAR current_person_id = 1")               # the views follow the context
+    assert sorted(v.name for v in pat.catalog.listTables() if v.isTemporary) == sorted(GV.PATIENT_TABLES)
+    assert [v.name for v in doc.catalog.listTables() if v.isTemporary] == [GV.DOCTOR_VIEW]
+    assert {r[0] for t in ("diseased_patient", "outcome") for r in pat.table(t).select("person_id").collect()} == {2}
+    assert pat.sql("SELECT current_person_id").first()[0] == 2
+    GV.set_patient(pat, tabs(pat), 1)                      # the views follow the context
     assert sorted(r[0] for r in pat.sql("SELECT indication_id FROM indication").collect()) == [7, 8]
     unset = GV.role_session(spark, tabs, "patient")
     with pytest.raises(Exception):
