@@ -63,19 +63,18 @@ def to_int_strict(text: Column) -> Column:
     return F.trim(text).cast("long")
 
 
-def _idiv(num: Column, den: Column) -> Column:
-    """Floor division of non-negative integers, exact at any magnitude (decimal, not double)."""
-    whole = (num - F.pmod(num, den)).cast("decimal(38,0)")
-    return (whole / den.cast("decimal(38,0)")).cast("long")
+WIDE = "decimal(38,0)"
 
 
 def half_up_div(num: Column, den: Column) -> Column:
     """round(num / den) to an integer, halves away from zero; NULL when den is 0 or NULL.
 
-    Integer arithmetic keeps the result identical in every engine (no double rounding).
+    Exact integer arithmetic in 38 digits, so neither a double's rounding nor a 64-bit overflow can
+    change the result; the quotient itself must fit 64 bits.
     """
-    q = _idiv(F.abs(num) * 2 + den, den * 2)
-    return F.when(den > 0, F.signum(num).cast("long") * q)
+    n, d = num.cast(WIDE), den.cast(WIDE)
+    q = F.call_function("div", (F.abs(n) * 2 + d).cast(WIDE), F.when(d > 0, (d * 2).cast(WIDE)))
+    return F.when(d > 0, F.signum(n).cast("long") * q.cast("long"))
 
 
 def hundredths_to_money(hundredths: Column) -> Column:
@@ -86,7 +85,7 @@ def hundredths_to_money(hundredths: Column) -> Column:
 def ratio_money(num: Column, den: Column, scale: int = 1) -> Column:
     """DECIMAL(10,2) of ``scale * num / den`` rounded half away from zero, as PostgreSQL stores a
     numeric quotient into DECIMAL(10,2).  ``num`` is in hundredths when it is money."""
-    return hundredths_to_money(half_up_div(num * scale, den))
+    return hundredths_to_money(half_up_div(num.cast(WIDE) * scale, den))
 
 
 def money_from_double(value: Column) -> tuple[Column, Column]:

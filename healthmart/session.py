@@ -39,8 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    A machine-local temporary folder is only chosen when the session has no setting
-    at all, which is the case in local tests.
+    A temporary folder is only chosen when the session has no setting and runs on one machine
+    (a ``local`` master, as in tests); on a cluster a missing setting is an error, because executors
+    would write to disks the others cannot see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder shared by all executors (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="healthmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,6 +1,6 @@
 from .schemas import SCHEMAS, WAREHOUSE_SCHEMAS, VARCHAR_LIMITS
-from .tables import Catalog, append, append_rows, load, rebuild, scan
+from .tables import Catalog, append_rows, load
 from .roles import RoleViews, role_views
 
-__all__ = ["SCHEMAS", "WAREHOUSE_SCHEMAS", "VARCHAR_LIMITS", "Catalog", "append",
-           "append_rows", "load", "rebuild", "scan", "RoleViews", "role_views"]
+__all__ = ["SCHEMAS", "WAREHOUSE_SCHEMAS", "VARCHAR_LIMITS", "Catalog", 
+           "append_rows", "load", "RoleViews", "role_views"]

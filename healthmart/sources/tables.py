@@ -3,6 +3,7 @@ from a query (A6) and literal rows (A7)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,12 +73,23 @@ class Catalog:
         """A3."""
         return self.spark.table(self.name(table))
 
-    def replace(self, table: str, df: DataFrame, reads_itself: bool = False) -> DataFrame:
-        """A4: drop-and-rebuild; rerunning gives the same state."""
-        if reads_itself:
-            from ..operators.keys import freeze
-            df = freeze(df, f"replace-{table}")
-        df.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
+    def replace(self, table: str, df: DataFrame) -> DataFrame:
+        """A4: drop-and-rebuild; rerunning gives the same state.  The new version is written beside the
+        table and takes its name when it is complete; until then readers, ``df`` itself among them,
+        see the old version, and a failed write leaves it in place."""
+        version = uuid.uuid4().hex
+        new, old = f"{table}__new_{version}", f"{table}__old_{version}"
+        try:
+            df.write.format("parquet").saveAsTable(self.name(new))
+        except BaseException:
+            self.drop(new)
+            raise
+        had = self.exists(table)
+        if had:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
+        self.spark.sql(f"ALTER TABLE {self.name(new)} RENAME TO {self.name(table)}")
+        if had:
+            self.drop(old)
         return self.scan(table)
 
     def append(self, table: str, df: DataFrame, cols: Sequence[str] | None = None) -> None:
@@ -90,21 +102,6 @@ class Catalog:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
 
-def scan(spark: SparkSession, name: str) -> DataFrame:
-    """A3: full scan of a catalog table."""
-    return spark.table(name)
-
-
-def rebuild(catalog: Catalog, table: str, df: DataFrame, reads_itself: bool = False) -> DataFrame:
-    """A4."""
-    return catalog.replace(table, df, reads_itself)
-
-
-def append(catalog: Catalog, table: str, df: DataFrame, cols: Sequence[str] | None = None) -> None:
-    """A6."""
-    catalog.append(table, df, cols)
-
-
 def append_rows(spark: SparkSession, df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
     """Union literal rows (partial column lists allowed) onto ``df``.  Values are cast to the
     target types explicitly, so '9' lands in an integer column (and 'x' raises)."""

@@ -61,10 +61,10 @@ def test_update_from_matched_null_overwrites(spark):
     assert rows(out) == [("a", None, "M"), ("b", "old", "M"), ("c", "old", "P"), (None, "old", "M")]
 
 
-@pytest.mark.parametrize("single_task_max", [1_000_000, 5])
-def test_dense_ids_follow_order_both_paths(spark, single_task_max):
+@pytest.mark.parametrize("at_most", [None, 200])
+def test_dense_ids_follow_order(spark, at_most):
     df = spark.range(0, 200).select((F.col("id") * 7 % 200).alias("k"), F.lit("x").alias("v")).repartition(7)
-    out = with_dense_id(df, ["k"], "sid", single_task_max=single_task_max)
+    out = with_dense_id(df, ["k"], "sid", at_most=at_most)
     got = sorted((r["k"], r["sid"]) for r in out.collect())
     assert [sid for _, sid in got] == list(range(1, 201))   # 1..n, no gaps, in key order
 
@@ -160,8 +160,42 @@ def test_apply_rules_defaults_and_violations(spark):
 def test_dense_ids_split_a_hot_key(spark):
     # a third of the rows share one order value: ids stay 1..n and the hot value spans partitions
     df = spark.range(0, 300).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    out = with_dense_id(df, ["k"], "sid", single_task_max=5)
+    out = with_dense_id(df, ["k"], "sid")
     got = sorted(r["sid"] for r in out.collect())
     assert got == list(range(1, 301))
     hot = sorted(r["sid"] for r in out.where("k = -1").collect())
     assert hot == list(range(1, 101))   # equal keys take consecutive ids
+
+
+def test_dense_ids_are_a_function_of_the_rows(spark):
+    """Tied order values: the same ids at any partitioning and input order, and as a fixed domain."""
+    data = [(k, v) for k in (1, 1, 1, 2, 2, None) for v in "dacbe"]
+    df = spark.createDataFrame(data, "k long, v string").distinct()
+    want = rows(with_dense_id(df, ["k"], "sid", at_most=100))
+    for parts in (1, 3, 9):
+        shuffled = spark.createDataFrame(data[::-1], "k long, v string").distinct().repartition(parts)
+        assert rows(with_dense_id(shuffled, ["k"], "sid")) == want
+
+
+def test_a_fixed_domain_that_outgrows_its_bound_raises(spark):
+    from healthmart.operators.keys import fixed_domain
+    with pytest.raises(Exception, match="fixed domain"):
+        with_dense_id(spark.range(6), ["id"], "sid", at_most=5).collect()
+    with pytest.raises(Exception, match="fixed domain"):
+        fixed_domain(spark.range(6), 5).collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from healthmart.session import ensure_checkpoint_dir
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda k, d=None: d)}))
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Cluster)

@@ -3,10 +3,14 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from healthmart.sources import SCHEMAS, Catalog, append_rows, load
 from healthmart.plans.jobs import apply_intensity_change, build_warehouse
 
+from healthmart.plans import kpi
+from healthmart.sources.roles import role_views
+
 from .conftest import SF001, rows
 
 
@@ -36,21 +40,37 @@ def test_catalog_rebuild_append_and_self_replace(spark):
     cat.replace("t", spark.createDataFrame([(1, "a")], "k long, v string"))   # rerun: same state
     cat.append("t", spark.createDataFrame([(2,)], "k long"))                  # absent column -> NULL
     assert rows(cat.scan("t")) == [(1, "a"), (2, None)]
-    cat.replace("t", cat.scan("t").where("k > 1"), reads_itself=True)
+    cat.replace("t", cat.scan("t").where("k > 1"))
     assert rows(cat.scan("t")) == [(2, None)]
+    with pytest.raises(Exception):
+        cat.replace("t", cat.scan("t").withColumn("k", F.raise_error(F.lit("broken"))))
+    assert rows(cat.scan("t")) == [(2, None)]                                 # the old version stays
+    assert [x.name for x in spark.catalog.listTables("hm_test_ns")] == ["t"]
 
 
 def test_warehouse_job_matches_registered_queries(spark):
     from healthmart import queries as Q
     cat = build_warehouse(spark, SF001, namespace="hm_dw_test")
     for table, query in [("dim_age", "m1_dim_age"), ("dim_disease", "m2_dim_disease"),
-                         ("dim_medicine", "m3_dim_medicine"), ("dim_gender", "m5_dim_gender"),
+                         ("dim_indication", "m4_dim_indication"), ("dim_gender", "m5_dim_gender"),
                          ("dim_location", "m6_dim_location"), ("dim_year", "m8_dim_year"),
                          ("dim_diseased_patient", "m9_dim_diseased_patient"),
                          ("fact_disease_outcome", "b1_fact_disease_outcome"),
                          ("fact_disease_outcome_no_country", "b2_fact_outcome_no_country"),
                          ("fact_disease_intensity", "b3_fact_disease_intensity")]:
         assert rows(cat.scan(table)) == rows(Q.REGISTRY[query].build(spark, SF001)), table
+    from healthmart.operators.integrity import orphans
+    for child, fk, parent, pk in [("dim_indication", "medicine_id", "dim_medicine", "medicine_id"),
+                                  ("fact_disease_outcome", "location_id", "dim_location", "location_id"),
+                                  ("fact_disease_intensity", "year_id", "dim_year", "year_id")]:
+        assert orphans(cat.scan(child), fk, cat.scan(parent), pk, (child, fk, parent, pk)).first()["orphan_rows"] == 0
+    # The stored id of an indication's medicine is that of its own drug.
+    v = role_views(spark, SF001)
+    own = v.indication().join(v.medicine().select("medicine_id", "name"), "medicine_id").select("indication_id", "name")
+    stored = cat.scan("dim_indication").join(cat.scan("dim_medicine"), "medicine_id").select("indication_id", "medicine_name")
+    renamed = kpi.merge_companies(v.medicine(), "ASIA", "AMERICA").select("medicine_id", F.col("name").alias("new"))
+    want = v.indication().join(renamed, "medicine_id").select("indication_id", F.col("new"))
+    assert rows(stored) == rows(want) and own.count() == stored.count()
     apply_intensity_change(cat, *Q.SCD_CHANGE)
     assert rows(cat.scan("fact_disease_intensity")) == rows(Q.REGISTRY["s1j_fact_restated"].build(spark, SF001))
     assert rows(cat.scan("dim_disease_intensity_level")) == rows(Q.REGISTRY["s1j_dim_after_change"].build(spark, SF001))
