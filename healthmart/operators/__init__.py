@@ -1,8 +1,8 @@
 from .joins import (IntegrityError, assert_unique, freq, lookup, not_in, semi,
                     valid_in)
-from .keys import freeze, sized, small_lookup, with_dense_id
+from .keys import fixed_domain, freeze, release_scratch, with_dense_id
 from .dml import (remap_key, restate, scd2_apply, scd2_close, scd2_open, update_from, update_where)
 
 __all__ = ["IntegrityError", "assert_unique", "freq", "lookup", "not_in", "semi",
-           "valid_in", "freeze", "sized", "small_lookup", "with_dense_id", "remap_key", "restate", "scd2_apply", "scd2_close", "scd2_open",
+           "valid_in", "fixed_domain", "freeze", "release_scratch", "with_dense_id", "remap_key", "restate", "scd2_apply", "scd2_close", "scd2_open",
            "update_from", "update_where"]

@@ -83,7 +83,7 @@ def scd2_close(dim: DataFrame, keys: DataFrame, key: str, end_year: int,
 
 def scd2_open(dim: DataFrame, rows: DataFrame, id_col: str, defaults: Mapping[str, object]) -> DataFrame:
     """Append new versions, numbering them after the largest existing id; columns absent
-    from ``rows`` take ``defaults``.  ``rows`` is a change batch (small by construction)."""
+    from ``rows`` take ``defaults``.  A change batch may be of any size."""
     add = rows
     for c, v in defaults.items():
         if c not in add.columns:
@@ -92,7 +92,7 @@ def scd2_open(dim: DataFrame, rows: DataFrame, id_col: str, defaults: Mapping[st
             add = add.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     add = add.select(*[F.col(c).cast(dim.schema[c].dataType) for c in dim.columns if c != id_col])
     top = dim.agg(F.max(id_col)).first()[0] or 0
-    add = with_dense_id(add, [c for c in add.columns], id_col, bounded=True, start=int(top) + 1)
+    add = with_dense_id(add, [c for c in add.columns], id_col, start=int(top) + 1)
     return dim.unionByName(add.select(*dim.columns))
 
 

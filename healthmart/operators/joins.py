@@ -1,11 +1,10 @@
 """Join-shaped operators: semi/anti joins for IN / NOT IN / EXISTS, scalar lookups, the
-pre-aggregated frequency join, the validity range join and a size-checked broadcast."""
+pre-aggregated frequency join and the validity range join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +21,6 @@ def _pairs(on: str | Sequence[str] | dict[str, str]) -> list[tuple[str, str]]:
     return [(c, c) for c in on]
 
 
-def _cond(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc] == right[rc]
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Q5/Q6/Q12: rows of ``df`` whose key occurs in ``keys`` (IN / EXISTS).  Never duplicates."""
     pairs = _pairs(on)
@@ -62,15 +53,11 @@ def not_in(df: DataFrame, keys: DataFrame, on: str | dict[str, str], *, check: b
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
-    """Fail fast when a key that must identify one row identifies several.
-
-    Returns ``df`` persisted, so the join that follows the check reuses the rows the check
-    computed instead of computing them again (a lost block is recomputed from lineage)."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    dup = kept.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    """Fail fast when a key that must identify one row identifies several (T6, Q9); returns ``df``."""
+    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise IntegrityError(f"{what}: key {dict(zip(keys, dup[0][:len(keys)]))} matches more than one row")
-    return kept
+    return df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, cols: Sequence[str], *, check: bool = True) -> DataFrame:

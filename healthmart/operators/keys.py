@@ -1,15 +1,16 @@
-"""K1: dense surrogate keys 1..n in a stated order, without a single-partition sort of big data.
-
-The input is counted first, up to the single-task bound (one job over a persisted frame; every
-partition stops reading once the bound is passed):
-
-* up to ``SINGLE_TASK_MAX_ROWS`` rows: one ``row_number()`` window, ordered by the order columns
-  and then by every other column, so ids are a function of the rows and a recomputation after a
-  lost executor reproduces them; small results carry a broadcast hint;
-* more: the input is frozen as a written Parquet table in the shared checkpoint folder
-  (``spark.checkpoint.dir``), range-partitioned and sorted, and each row's partition and
-  position are recorded while writing; ids are then offset + position.  Only one row per
-  partition (its count) reaches the driver; no task holds more than one range partition.
+"""K1: dense surrogate keys start, start + 1, ... in a stated order, without a single-partition sort of
+big data.
+
+Rows are range-partitioned and sorted by the order columns, then by all other columns, so ids are a
+function of the rows at any size and partitioning; rows equal in every column are interchangeable,
+and their place in the input splits them across range partitions.  Each row's partition and position
+are recorded in a written table (in ``spark.checkpoint.dir``), whichever task attempt commits; the
+id is the position plus the number of rows in the partitions before.  One row per partition (its
+count) reaches the driver.
+
+Tables of a fixed domain (age buckets, gender codes, market segments, calendar years, a literal
+change batch) state their largest size with ``at_most``: they are numbered by one window and marked for
+broadcast, and a table that turns out larger raises instead of overflowing a task or an executor.
 """
 
 from __future__ import annotations
@@ -17,19 +18,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Largest input numbered by a single-task window.  The count is exact (taken on the persisted
-# input), so the single partition the window needs is bounded by this number, not the data.
-SINGLE_TASK_MAX_ROWS = 200_000
-# Results with at most this many rows (an exact count, not an estimate) are marked for
-# broadcast, so joins against small derived tables never shuffle the large side - even where
-# the planner's size estimate is missing or wrong.  Anything larger gets no hint.
-BROADCAST_MAX_ROWS = 100_000
+# Largest sizes of the fixed domains (rows).
+AGE_BUCKETS, GENDER_CODES, CONDITIONS, LOCATIONS, YEARS, CHANGE_BATCH = 8, 64, 1_000, 1_000, 10_000, 10_000
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
@@ -37,10 +32,20 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
+def scratch_root(spark) -> str:
+    """This application's scratch folder under the shared checkpoint location."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/healthmart-tables/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark, tag: str) -> str:
-    """A new folder under the shared checkpoint location (never a machine-local temp dir)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/healthmart-tables/{tag}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark) -> None:
+    """Delete this application's scratch tables.  For the owner of a finished job: frames that still
+    read them fail afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
@@ -50,82 +55,39 @@ def freeze(df: DataFrame, tag: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def count_upto(df: DataFrame, limit: int) -> int:
-    """Exact row count when it is at most ``limit``, else ``limit + 1``.  One job in which every
-    partition stops after ``limit + 1`` rows: answering "is it small?" never costs a full pass
-    over a large frame."""
-    return df.limit(limit + 1).count()
-
-
-def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Persist ``df`` and count it up to ``max_rows + 1`` (one job); the frame carries a
-    broadcast hint only when it has at most ``max_rows`` rows (then the count is exact and the
-    whole frame was computed and kept).  Persisted, not frozen: callers use it for frames that
-    are a deterministic function of their inputs, so a lost block is recomputed with the same
-    rows."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = count_upto(kept, max_rows)
-    if n <= max_rows:
-        return F.broadcast(kept), n
-    kept.unpersist()   # large: leave it to the planner, and keep no copy in executor memory
-    return df, n
-
-
-def small_lookup(df: DataFrame, bounded: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """A derived lookup table (no generated ids), broadcast when small.  ``bounded=True`` states
-    a size bound by construction (a fixed domain): the hint is set without counting.  Otherwise
-    the table is counted exactly first (``sized``)."""
-    if bounded:
-        # Persisted lazily: the first query that reads it fills the cache, later ones reuse it.
-        return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK))
-    return sized(df, max_rows)[0]
+def fixed_domain(df: DataFrame, at_most: int) -> DataFrame:
+    """A table of at most ``at_most`` rows by its meaning, numbered 1.. in ``_nth`` by all columns and
+    marked for broadcast.  One more row raises when the table is read."""
+    nth = F.row_number().over(Window.orderBy(*_order(df.columns)))
+    checked = F.when(F.col("_nth") <= at_most, F.col("_nth")).otherwise(
+        F.raise_error(F.lit(f"a fixed domain of at most {at_most} rows holds more")).cast("int"))
+    return F.broadcast(df.limit(at_most + 1).withColumn("_nth", nth).withColumn("_nth", checked))
 
 
 def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str, *,
-                  bounded: bool = False, start: int = 1,
-                  single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Add ``name`` = start, start+1, ... following ``order_cols``.
-
-    ``bounded=True`` skips the count for inputs whose size is bounded by construction (a fixed
-    domain such as age buckets, or a literal change batch); the result is broadcast-hinted.
-    Order keys should be unique; ties are broken by the remaining columns.
-    """
+                  at_most: int | None = None, start: int = 1) -> DataFrame:
+    """Add ``name`` = start, start + 1, ... following ``order_cols``; ties are broken by the remaining
+    columns.  ``at_most`` states the size of a fixed domain (see the module text)."""
     order = _order(order_cols)
     named = {c for c in order_cols if isinstance(c, str)}
-    # Every other column breaks ties, so the numbering is a function of the rows alone: a
-    # recomputed partition (lost executor) gets exactly the same ids.
     total = order + [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
-
-    def window(d: DataFrame) -> DataFrame:
-        return d.withColumn(name, (F.row_number().over(Window.orderBy(*total)) + (start - 1)).cast("long"))
-
-    if bounded:
-        # Persisted lazily: the first query that reads it fills the cache, later ones reuse it.
-        return F.broadcast(window(df).persist(StorageLevel.MEMORY_AND_DISK))
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = count_upto(kept, single_task_max)
-    if n <= single_task_max:
-        out = window(kept)
-        return F.broadcast(out) if n <= BROADCAST_MAX_ROWS else out
-
-    # A tiebreak taken from the frozen table makes the order total, so a value shared by a third
-    # of all rows is still split across range partitions instead of landing in one task.
-    frozen = freeze(kept, "keys-in").withColumn("_tie", F.monotonically_increasing_id())
-    kept.unpersist()
-    order = order + [F.col("_tie").asc()]
-    ranged = frozen.repartitionByRange(*order).sortWithinPartitions(*order) \
-        .withColumn("_pid", F.spark_partition_id()) \
+    if at_most is not None:
+        nth = F.row_number().over(Window.orderBy(*total))
+        over = F.raise_error(F.lit(f"{name}: a fixed domain of at most {at_most} rows holds more")).cast("long")
+        numbered = df.limit(at_most + 1).withColumn("_nth", nth)
+        return F.broadcast(numbered.withColumn(name, F.when(F.col("_nth") <= at_most, F.col("_nth").cast("long") + (start - 1))
+                                               .otherwise(over)).drop("_nth"))
+    total = total + [F.col("_tie").asc()]
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*total).sortWithinPartitions(*total) \
+        .drop("_tie").withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    # Partition and position are written together with the rows: whichever task attempt
-    # commits, the recorded positions are the ones the offsets below refer to.
-    placed = freeze(ranged, "keys-ranged")
+    placed = freeze(ranged, "keys")
     counts = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
     offsets, running = [], start
     for pid, count in counts:
         offsets.append((pid, running))
         running += count
-    off = df.sparkSession.createDataFrame(offsets, "_pid int, _offset long")
-    # ``off`` has one row per partition: its size is bounded by the partition count.
-    out = placed.join(F.broadcast(off), "_pid", "inner")
-    return out.withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")) \
-        .drop("_pid", "_pos", "_offset", "_tie")
+    # One row per partition.
+    off = F.broadcast(df.sparkSession.createDataFrame(offsets, "_pid int, _offset long"))
+    return placed.join(off, "_pid", "inner").withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")) \
+        .drop("_pid", "_pos", "_offset")

@@ -1,10 +1,10 @@
 """Fact loads B1-B3, star reads V1-V4 and the SCD-2 change with fact restatement (S1j).
 
-B1 and B2 never build the reference's wide join row by row.  In B1 each outcome row picks up
-its patient's fact keys (patient cells) and its indication's margins and global frequency (one
-row per indication), then aggregates straight into its cell; partial aggregation runs map-side,
-so the final shuffle holds at most one row per (map task, cell) however hot a patient,
-indication or cell is.  B2's per-person cost table, which the reference joins on the person
+B1 and B2 never build the reference's wide join row by row.  In B1 the outcome rows, with their
+patient's fact keys (patient cells), are counted into (cell, indication) partials; the global
+frequency of an indication is the sum of its partials, and only partials meet the margins.  Partial
+aggregation runs map-side, so a hot patient, indication or cell costs one row per map task.
+Products of counts and money are computed in 38 digits.  B2's per-person cost table, which the reference joins on the person
 alone (k outcomes x c costs rows per person, T7), is folded into per-person sums first; the
 result is algebraically identical and linear in size.
 """
@@ -13,15 +13,14 @@ from __future__ import annotations
 
 from decimal import Decimal, ROUND_HALF_UP
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import count_if, pct_of_rows, weighted_mean
-from ..functions.scalar import age_bucket, outcome_is, ratio_money
+from ..functions.aggregates import pct_of_rows, weighted_mean
+from ..functions.scalar import WIDE, age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
-from ..operators.joins import freq, valid_in
-from ..operators.keys import BROADCAST_MAX_ROWS, sized, small_lookup, with_dense_id
+from ..operators.joins import valid_in
+from ..operators.keys import with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -41,22 +40,21 @@ def overall_avg_cost(profit: DataFrame) -> Column:
 
 def person_cells(person: DataFrame, disease: DataFrame, d_disease: DataFrame, d_gender: DataFrame,
                  location: DataFrame | None = None, d_location: DataFrame | None = None,
-                 bounded_dims: bool = False) -> DataFrame:
+                 fixed_domains: bool = False) -> DataFrame:
     """person_id -> fact keys as dimension ids: disease and location through their attribute
     tuples, gender through its code, age as the bucket number.  Inner joins, as the reference."""
-    # The id maps have one row per source dimension row; they are broadcast - after an exact
-    # count, or directly when the dimensions are bounded by construction (``bounded_dims``) -
-    # never a shuffle of all patients onto a handful of keys.
-    dmap = small_lookup(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"), bounded_dims)
+    # The id maps have one row per source dimension row.  Sources that are fixed domains (their size
+    # is checked where they are numbered, or fixed by the schema) are marked for broadcast, so
+    # patients are never shuffled onto a handful of keys.
+    mark = F.broadcast if fixed_domains else (lambda df: df)
+    dmap = mark(source_map(disease, d_disease, DISEASE_ATTRS, "disease_id", "disease_id"))
     p = person.select("person_id", F.col("disease_id").alias("_dsrc"), "gender", "primary_location_id",
                       age_bucket(F.col("age")).alias("age_id"))
     p = p.join(dmap, p._dsrc == dmap.src_id, "inner").withColumnRenamed("dim_id", "disease_id") \
         .drop("src_id", "_dsrc")
-    # dim_gender is bounded by the gender codes: safe to broadcast.
-    p = p.join(F.broadcast(d_gender.select("gender_id", "gender")), "gender", "inner").drop("gender")
+    p = p.join(d_gender.select("gender_id", "gender"), "gender", "inner").drop("gender")
     if d_location is not None:
-        lmap = small_lookup(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"),
-                            bounded_dims)
+        lmap = mark(source_map(location, d_location, LOCATION_ATTRS, "location_id", "location_id"))
         p = p.join(lmap, p.primary_location_id == lmap.src_id, "inner") \
             .withColumnRenamed("dim_id", "location_id").drop("src_id")
     return p.drop("primary_location_id")
@@ -90,43 +88,29 @@ def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, pro
     patient has no complete cell).  Every outcome row counts towards the *global* frequency of
     its indication (T12); only rows with a cell enter the fact.
 
-    The plan follows an exact count of the per-indication margins:
-
-    * few margins: two map-side passes over the outcome rows - the frequency per indication
-      (partial aggregation, one row per indication and map task in the shuffle), then the fact,
-      with margins and frequencies broadcast (their size is bounded by the count);
-    * many margins: one pass that aggregates outcome rows to (cell, indication) partials - at
-      most cells x indications rows - kept for both uses, so the line items are read once and
-      only the partials meet the margins.
+    One pass counts outcome rows into (cell, indication) partials - at most cells x indications
+    rows.  Their sums per indication are the frequencies, and only they meet the margins.
     """
     keys = keys or ["disease_id", "age_id", "gender_id", "location_id"]
     flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
-    margins, n_margins = sized(indication.select("indication_id").join(
-        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner"))
+    margins = indication.select("indication_id").join(
+        profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner")
     has_cell = None
     for k in keys:
         c = F.col(k).isNotNull()
         has_cell = c if has_cell is None else has_cell & c
-
-    if n_margins <= BROADCAST_MAX_ROWS:
-        ic = freq(lines.select("indication_id"), ["indication_id"], "_ic")
-        # At most one row per margin row: bounded by the count above.
-        supp = F.broadcast(margins.join(ic, "indication_id", "inner"))
-        rows = lines.where(has_cell).select(*keys, "indication_id", F.lit(1).cast("long").alias("_n"), *flags)
-    else:
-        rows = lines.select(*keys, "indication_id", *flags).groupBy(*keys, "indication_id").agg(
-            F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS]) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        ic = rows.groupBy("indication_id").agg(F.sum("_n").alias("_ic"))
-        supp = margins.join(ic, "indication_id", "inner")
-        rows = rows.where(has_cell)
-    j = rows.join(supp, "indication_id", "inner")
+    rows = lines.select(*keys, "indication_id", *flags).groupBy(*keys, "indication_id").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS])
+    # An indication has at most one partial per cell, so its window is small however hot it is.
+    rows = rows.withColumn("_ic", F.sum("_n").over(Window.partitionBy("indication_id"))).where(has_cell)
+    j = rows.join(margins, "indication_id", "inner")
+    n, ic = F.col("_n").cast(WIDE), F.col("_ic").cast(WIDE)
     agg = j.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in COUNT_COLS],
         F.sum("_n").alias("_rows"),
-        F.sum(F.col("_n") * F.col("_ic") * F.col("cost_cents")).alias("_wsum"),
-        F.sum(F.col("_n") * F.col("_ic")).alias("_wcnt"),
-        F.sum(F.col("_n") * F.col("profit_cents")).alias("_psum"))
+        F.sum((n * ic).cast(WIDE) * F.col("cost_cents").cast(WIDE)).alias("_wsum"),
+        F.sum((n * ic).cast(WIDE)).alias("_wcnt"),
+        F.sum(n * F.col("profit_cents").cast(WIDE)).alias("_psum"))
     return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
 
 
@@ -138,57 +122,31 @@ def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indica
     cost-table sums) - computed without materialising the product."""
     keys = ["disease_id", "age_id", "gender_id"]
     ind = indication.select("indication_id").distinct().withColumn("_has", F.lit(True))
-    # Margins with the indication flag, one row per profit row; exact count decides the plan.
-    margins, n_margins = sized(profit.select("indication_id", "cost_cents", "profit_cents")
-                               .join(ind, "indication_id", "left"))
+    margins = profit.select("indication_id", "cost_cents", "profit_cents").join(ind, "indication_id", "left")
     flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
     o = outcome.select("person_id", "indication_id", *flags)
-    if n_margins <= BROADCAST_MAX_ROWS:
-        base = o.withColumn("_k", F.lit(1).cast("long"))          # margins are broadcast to the rows
-    else:
-        # Many margins: reduce the outcome rows to (person, indication) partials first, so only
-        # the partials are shuffled to meet the margins.
-        base = o.groupBy("person_id", "indication_id").agg(
-            F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(c) for c in COUNT_COLS])
+    # (person, indication) partials first: only they are shuffled to meet the margins.
+    base = o.groupBy("person_id", "indication_id").agg(
+        F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(c) for c in COUNT_COLS])
     lines = base.join(margins, "indication_id", "inner")
     has = F.col("_has").isNotNull()
     pc = lines.groupBy("person_id", "cost_cents").agg(
         F.sum("_k").alias("_cnt"),
         F.sum(F.when(has, F.col("_k")).otherwise(0)).alias("_n"),
         *[F.sum(F.when(has, F.col(c)).otherwise(0)).alias(c) for c in COUNT_COLS],
-        F.sum(F.when(has, F.col("profit_cents") * F.col("_k"))).alias("_p"))
+        F.sum(F.when(has, F.col("profit_cents").cast(WIDE) * F.col("_k").cast(WIDE))).alias("_p"))
     pp = pc.groupBy("person_id").agg(
         F.count(F.lit(1)).alias("_c"), F.sum("_cnt").alias("_s"),
-        F.sum(F.col("cost_cents") * F.col("_cnt")).alias("_w"),
+        F.sum(F.col("cost_cents").cast(WIDE) * F.col("_cnt").cast(WIDE)).alias("_w"),
         F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS], F.sum("_p").alias("_p"))
     pp = pp.where(F.col("_n") > 0)
     j = pp.join(cells, "person_id", "inner")
     agg = j.groupBy(*keys).agg(
         *[F.sum(F.col(c) * F.col("_c")).alias(c) for c in COUNT_COLS],
         F.sum(F.col("_n") * F.col("_c")).alias("_rows"),
-        F.sum(F.col("_n") * F.col("_w")).alias("_wsum"),
-        F.sum(F.col("_n") * F.col("_s")).alias("_wcnt"),
-        F.sum(F.col("_p") * F.col("_c")).alias("_psum"))
-    return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
-
-
-def fact_disease_outcome_no_country_naive(outcome: DataFrame, cells: DataFrame, indication: DataFrame,
-                                          profit: DataFrame) -> DataFrame:
-    """B2 exactly as the reference joins it (fan-out on person).  Comparison and tests only:
-    its intermediate size is sum over persons of outcomes x distinct costs."""
-    keys = ["disease_id", "age_id", "gender_id"]
-    o = outcome.select("person_id", "indication_id", "outcome")
-    pr = profit.select("indication_id", "cost_cents", "profit_cents")
-    ic = o.join(pr, "indication_id", "inner").groupBy("person_id", F.col("cost_cents").alias("_ic_cost")) \
-        .agg(F.count("indication_id").alias("_ic_n"))
-    j = cells.join(o, "person_id", "inner").join(indication.select("indication_id"), "indication_id", "inner") \
-        .join(pr, "indication_id", "inner").join(ic, "person_id", "inner")
-    agg = j.groupBy(*keys).agg(
-        *[count_if(F.col("outcome") == v).alias(c) for v, c in OUTCOMES],
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.col("_ic_cost") * F.col("_ic_n")).alias("_wsum"),
-        F.sum("_ic_n").alias("_wcnt"),
-        F.sum("profit_cents").alias("_psum"))
+        F.sum(F.col("_n").cast(WIDE) * F.col("_w")).alias("_wsum"),
+        F.sum(F.col("_n").cast(WIDE) * F.col("_s").cast(WIDE)).alias("_wcnt"),
+        F.sum(F.col("_p") * F.col("_c").cast(WIDE)).alias("_psum"))
     return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
 
 

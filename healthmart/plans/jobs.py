@@ -2,16 +2,14 @@
 
 ``build_warehouse`` = merger updates on the operational medicine table (S2), dimension loads
 (S3), fact loads (S4); ``apply_intensity_change`` = SCD-2 close/open and fact restatement.
-Each table is written whole (drop-and-rebuild, A4) into one namespace (A5); a table computed
-from itself is first frozen as a separate written table, so no file is read while being
-overwritten.  Facts read the dimensions back from the catalog, so keys are fixed before use.
+Each table is written whole (drop-and-rebuild, A4) into one namespace (A5), as a new version that
+takes the table's name when it is complete, so a table may be computed from itself.  Facts read the dimensions back from the catalog, so keys are fixed before use.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.keys import sized
 from ..sources.roles import TEST_TABLES, role_views
 from ..sources.tables import Catalog
 from . import facts as FT
@@ -20,31 +18,29 @@ from . import warehouse as W
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, namespace: str = "healthmart_dw",
-                    acquirer: str = "Brand#1", acquired: str = "Brand#2") -> Catalog:
+                    acquirer: str = "ASIA", acquired: str = "AMERICA") -> Catalog:
     v = role_views(spark, sf_dir)
     cat = Catalog(spark, namespace)
     person, cond, loc = v.person(with_dates=True), v.condition(), v.location()
-    medicine = kpi.merge_companies(v.medicine_part(), acquirer, acquired)
+    # One medicine table for both dimensions that read it.
+    medicine = kpi.merge_companies(v.medicine(), acquirer, acquired)
 
     d_age = cat.replace("dim_age", W.dim_age(person))
     d_disease = cat.replace("dim_disease", W.dim_disease(cond))
     d_med = cat.replace("dim_medicine", W.dim_medicine(medicine))
-    kpi_med = v.medicine()
-    cat.replace("dim_indication", W.dim_indication(v.indication(), kpi_med, W.dim_medicine(kpi_med)))
+    cat.replace("dim_indication", W.dim_indication(v.indication(), medicine, d_med))
     d_gender = cat.replace("dim_gender", W.dim_gender(person))
     d_loc = cat.replace("dim_location", W.dim_location(loc))
     cat.replace("dim_profit", W.dim_profit(v.profit()))
-    d_year = cat.replace("dim_year", W.dim_year(v.outcome()))
+    d_year = cat.replace("dim_year", W.dim_year(v.outcome_lines()))
     cat.replace("dim_diseased_patient", W.dim_diseased_patient(person, d_gender, d_age))
     d_level = cat.replace("dim_intensity_level_quantity", W.dim_intensity_level(cond))
     dil = cat.replace("dim_disease_intensity_level", W.dim_disease_intensity(cond, d_disease, d_level))
-    del d_med
 
-    cells = FT.person_cells(person, cond, d_disease, d_gender, loc, d_loc)
-    cells, n = sized(cells)
-    lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
+    cells = FT.person_cells(person, cond, d_disease, d_gender, loc, d_loc, fixed_domains=True)
+    lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"))
     cat.replace("fact_disease_outcome", FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit()))
-    cells_nc, _ = sized(FT.person_cells(person, cond, d_disease, d_gender))
+    cells_nc = FT.person_cells(person, cond, d_disease, d_gender, fixed_domains=True)
     cat.replace("fact_disease_outcome_no_country",
                 FT.fact_disease_outcome_no_country(v.outcome(), cells_nc, v.indication(), v.profit()))
     cat.replace("fact_disease_intensity", FT.fact_disease_intensity(d_year, dil, d_disease, d_level))
@@ -58,9 +54,9 @@ def apply_intensity_change(cat: Catalog, disease_name: str, level: str, from_yea
     d_level = cat.scan("dim_intensity_level_quantity")
     dil = FT.change_intensity(cat.scan("dim_disease_intensity_level"), d_disease, disease_name, level,
                               from_year, to_year)
-    dil = cat.replace("dim_disease_intensity_level", dil, reads_itself=True)
+    dil = cat.replace("dim_disease_intensity_level", dil)
     fact = FT.restate_intensity(cat.scan("fact_disease_intensity"), d_year, dil, d_disease, d_level)
-    cat.replace("fact_disease_intensity", fact, reads_itself=True)
+    cat.replace("fact_disease_intensity", fact)
 
 
 # Bucket keys of the co-located layout: line items and orders meet on the order key in every

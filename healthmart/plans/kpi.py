@@ -9,15 +9,12 @@ keeps the shuffle at one row per (map task, indication) whatever the number of o
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import weighted_sum
 from ..operators.dml import update_from, update_where
 from ..operators.joins import freq, not_in, semi
-from ..operators.keys import BROADCAST_MAX_ROWS, sized
 
 TOTAL = "decimal(38,2)"
 
@@ -39,7 +36,8 @@ def target_indications(medicine: DataFrame, indication: DataFrame, company: str,
 
 def c1_patients(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, company: str) -> DataFrame:
     """Distinct patients treated with the company's drugs (exact count)."""
-    hit = semi(outcome.select("person_id", "indication_id"),
+    # Distinct pairs first: only they are shuffled to meet the company's indications.
+    hit = semi(outcome.select("person_id", "indication_id").distinct(),
                target_indications(medicine, indication, company), "indication_id")
     return hit.agg(F.countDistinct("person_id").alias("target_patients"))
 
@@ -48,21 +46,16 @@ def c2_other_patients(outcome: DataFrame, medicine: DataFrame, indication: DataF
                       company: str) -> DataFrame:
     """Distinct patients with an outcome on an indication *not in* the company's set
     (NOT IN semantics, T4).  Not the complement of C1."""
-    rest = not_in(outcome.select("person_id", "indication_id"),
+    rest = not_in(outcome.select("person_id", "indication_id").distinct(),
                   target_indications(medicine, indication, company), "indication_id")
     return rest.agg(F.countDistinct("person_id").alias("other_patients"))
 
 
 def c3_patients_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame) -> DataFrame:
     """Distinct patients per company, largest first (NULLs first when descending, as PostgreSQL)."""
-    # One row per indication: broadcast into the outcome rows after an exact count when small.
-    # Otherwise the outcome side is first reduced to distinct (indication, person) pairs - a
-    # map-side partial dedup - so only the pairs are shuffled to meet the companies.
-    ci, n = sized(company_indications(medicine, indication))
-    pairs = outcome.select("person_id", "indication_id")
-    if n > BROADCAST_MAX_ROWS:
-        pairs = pairs.distinct()
-    j = pairs.join(ci, "indication_id", "inner")
+    # Distinct (indication, person) pairs first, so only they are shuffled to meet the companies.
+    pairs = outcome.select("person_id", "indication_id").distinct()
+    j = pairs.join(company_indications(medicine, indication), "indication_id", "inner")
     return j.groupBy(F.col("company").alias("company_name")).agg(
         F.countDistinct("person_id").alias("patient_count")).orderBy(F.col("patient_count").desc_nulls_first())
 
@@ -77,17 +70,17 @@ def _profit_total(counts: DataFrame, profit: DataFrame, keys: list[str], name: s
 def c4_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, profit: DataFrame,
               company: str) -> DataFrame:
     """C4: company total profit = sum over indications of (outcome count x unit profit)."""
-    hit = semi(outcome.select("indication_id"), target_indications(medicine, indication, company),
-               "indication_id")
-    return _profit_total(freq(hit, ["indication_id"]), profit, [], "target_total_profit")
+    counts = freq(outcome.select("indication_id"), ["indication_id"])
+    hit = semi(counts, target_indications(medicine, indication, company), "indication_id")
+    return _profit_total(hit, profit, [], "target_total_profit")
 
 
 def c5_other_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, profit: DataFrame,
                     company: str) -> DataFrame:
     """As C4 for every other company; ``!=`` drops drugs with a NULL company (T5)."""
-    hit = semi(outcome.select("indication_id"),
-               target_indications(medicine, indication, company, negate=True), "indication_id")
-    return _profit_total(freq(hit, ["indication_id"]), profit, [], "other_total_profit")
+    counts = freq(outcome.select("indication_id"), ["indication_id"])
+    hit = semi(counts, target_indications(medicine, indication, company, negate=True), "indication_id")
+    return _profit_total(hit, profit, [], "other_total_profit")
 
 
 def c6_profit_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame,
@@ -145,25 +138,3 @@ def merger_move(medicine: DataFrame, acquirer: str, acquired: str) -> DataFrame:
 
 def merge_companies(medicine: DataFrame, acquirer: str, acquired: str) -> DataFrame:
     return merger_move(merger_rename(medicine, acquirer, acquired), acquirer, acquired)
-
-
-@dataclass
-class Kpis:
-    """C11: the six KPIs over one medicine table; call once before and once after a merger."""
-
-    target_patients: DataFrame
-    other_patients: DataFrame
-    patients_per_company: DataFrame
-    target_profit: DataFrame
-    other_profit: DataFrame
-    profit_per_company: DataFrame
-
-
-def kpis(outcome: DataFrame, medicine: DataFrame, indication: DataFrame, profit: DataFrame,
-         company: str) -> Kpis:
-    return Kpis(c1_patients(outcome, medicine, indication, company),
-                c2_other_patients(outcome, medicine, indication, company),
-                c3_patients_per_company(outcome, medicine, indication),
-                c4_profit(outcome, medicine, indication, profit, company),
-                c5_other_profit(outcome, medicine, indication, profit, company),
-                c6_profit_per_company(outcome, medicine, indication, profit))

@@ -5,9 +5,8 @@ source id of each tuple, so the surrogate equals the source id whenever source r
 distinct; age ids are bucket numbers, gender ids follow the code.  Facts never rely on that
 coincidence: ``source_map`` joins source rows to dimension rows through the attributes.
 
-Dimensions whose size grows with the data use the two-phase key builder (no single-partition
-sort); the ones with a size bound by construction (age buckets, gender codes, calendar years,
-intensity levels) use a plain window.
+Dimensions whose size grows with the data use the range-partitioned key builder (no single-partition
+sort); those of a fixed domain (age buckets, gender codes, calendar years) state its size.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_bucket, age_range, gender_desc, year_of
 from ..operators.joins import lookup
-from ..operators.keys import small_lookup, with_dense_id
+from ..operators.keys import (AGE_BUCKETS, GENDER_CODES, YEARS, fixed_domain, with_dense_id)
 
 # Re-aimed default validity of the intensity SCD dimension (the reference uses 2020-2025 for
 # outcomes dated 2020-2023; the test tables ship 1995-2001).
@@ -28,12 +27,12 @@ SCD_DEFAULT_END = 2003
 
 
 def dim_from_distinct(df: DataFrame, attrs: Sequence[str], src_id: str, id_name: str,
-                      renames: dict[str, str] | None = None, bounded: bool = False) -> DataFrame:
-    """DISTINCT attrs, numbered by the smallest source id of each tuple.  ``bounded=True`` when
-    the source has a size bound by construction (no count is needed to broadcast it)."""
+                      renames: dict[str, str] | None = None, at_most: int | None = None) -> DataFrame:
+    """DISTINCT attrs, numbered by the smallest source id of each tuple.  ``at_most`` when
+    the source is a fixed domain of that size."""
     renames = renames or {}
     g = df.groupBy(*attrs).agg(F.min(src_id).alias("_src"))
-    g = with_dense_id(g, ["_src"], id_name, bounded=bounded)
+    g = with_dense_id(g, ["_src"], id_name, at_most=at_most)
     return g.select(id_name, *[F.col(a).alias(renames.get(a, a)) for a in attrs])
 
 
@@ -51,17 +50,16 @@ def source_map(df: DataFrame, dim: DataFrame, attrs: Sequence[str], src_id: str,
 
 def dim_age(person: DataFrame) -> DataFrame:
     """M1: the age buckets present in the data; age_id is the bucket number (1-8)."""
-    # Bounded by construction: at most one row per bucket.
-    return small_lookup(person.select(age_bucket(F.col("age")).alias("age_id"),
-                                age_range(F.col("age")).alias("age_range")).distinct(), bounded=True)
+    return fixed_domain(person.select(age_bucket(F.col("age")).alias("age_id"),
+                                      age_range(F.col("age")).alias("age_range")).distinct(), AGE_BUCKETS).drop("_nth")
 
 
 DISEASE_ATTRS = ["disease_name", "intensity_level_qty", "disease_type_code"]
 
 
-def dim_disease(disease: DataFrame, bounded: bool = False) -> DataFrame:
+def dim_disease(disease: DataFrame, at_most: int | None = None) -> DataFrame:
     """M2."""
-    return dim_from_distinct(disease, DISEASE_ATTRS, "disease_id", "disease_id", bounded=bounded)
+    return dim_from_distinct(disease, DISEASE_ATTRS, "disease_id", "disease_id", at_most=at_most)
 
 
 def dim_medicine(medicine: DataFrame) -> DataFrame:
@@ -82,10 +80,10 @@ def dim_indication(indication: DataFrame, medicine: DataFrame, dim_med: DataFram
     if literal:
         keep = dim_med.select(F.col("medicine_id").alias("_m"))
         return ind.join(keep, ind.medicine_id == keep._m, "left_semi").distinct()
-    # source medicine id -> dim id through (name, company); unknown medicines keep a NULL id.
+    # source medicine id -> dim id through (name, company); an unknown medicine drops the indication.
     pairs = source_map(medicine, dim_med, ["name", "company"], "medicine_id", "medicine_id",
                        {"name": "medicine_name"})
-    out = ind.join(pairs, ind.medicine_id == pairs.src_id, "left")
+    out = ind.join(pairs, ind.medicine_id == pairs.src_id, "inner")
     return out.select("indication_id", F.col("dim_id").alias("medicine_id"), "disease_id").distinct()
 
 
@@ -93,16 +91,15 @@ def dim_gender(person: DataFrame) -> DataFrame:
     """M5: distinct gender codes with their description, numbered by code (bounded domain)."""
     g = person.select(F.col("gender")).where(F.col("gender").isNotNull()).distinct() \
         .select("gender", gender_desc(F.col("gender")).alias("gender_desc"))
-    # Bounded by construction: one row per one-character gender code.
-    return with_dense_id(g, ["gender"], "gender_id", bounded=True).select("gender_id", "gender", "gender_desc")
+    return with_dense_id(g, ["gender"], "gender_id", at_most=GENDER_CODES).select("gender_id", "gender", "gender_desc")
 
 
 LOCATION_ATTRS = ["city_name", "state_province_name", "country_name", "developing_flag", "wealth_rank_number"]
 
 
-def dim_location(location: DataFrame, bounded: bool = False) -> DataFrame:
+def dim_location(location: DataFrame, at_most: int | None = None) -> DataFrame:
     """M6."""
-    return dim_from_distinct(location, LOCATION_ATTRS, "location_id", "location_id", bounded=bounded)
+    return dim_from_distinct(location, LOCATION_ATTRS, "location_id", "location_id", at_most=at_most)
 
 
 PROFIT_ATTRS = ["cost", "price", "profit", "percentage_profit"]
@@ -114,10 +111,10 @@ def dim_profit(profit: DataFrame) -> DataFrame:
 
 
 def dim_year(outcome: DataFrame) -> DataFrame:
-    """M8: outcome years, numbered in order (bounded by the calendar)."""
+    """M8: outcome years, numbered in order (bounded by the calendar).  Reads the outcome date only, so
+    outcome rows without their person (no join) will do."""
     years = outcome.select(year_of(F.col("outcome_date")).alias("year")).distinct()
-    # Bounded by construction: one row per calendar year present.
-    return with_dense_id(years, ["year"], "year_id", bounded=True).select("year_id", "year")
+    return with_dense_id(years, ["year"], "year_id", at_most=YEARS).select("year_id", "year")
 
 
 def dim_diseased_patient(person: DataFrame, d_gender: DataFrame, d_age: DataFrame) -> DataFrame:
@@ -125,25 +122,24 @@ def dim_diseased_patient(person: DataFrame, d_gender: DataFrame, d_age: DataFram
     NULL, two matches -> error).  ``person_id`` is kept as lineage (T3)."""
     p = person.select("person_id", "last_name", "first_name", "gender", age_range(F.col("age")).alias("_ar"),
                       "is_insured", "start_date", "end_date")
-    # dim_gender and dim_age have bounded sizes (gender codes, 8 buckets): broadcast is safe.
-    p = lookup(p, F.broadcast(d_gender), {"gender": "gender"}, ["gender_id"])
-    p = lookup(p, F.broadcast(d_age), {"_ar": "age_range"}, ["age_id"])
+    p = lookup(p, d_gender, {"gender": "gender"}, ["gender_id"])
+    p = lookup(p, d_age, {"_ar": "age_range"}, ["age_id"])
     p = with_dense_id(p, ["person_id"], "diseased_patient_id")
     return p.select("diseased_patient_id", "last_name", "first_name", "gender_id", "age_id", "is_insured",
                     "start_date", "end_date", "person_id")
 
 
-def dim_intensity_level(disease: DataFrame, bounded: bool = False) -> DataFrame:
+def dim_intensity_level(disease: DataFrame, at_most: int | None = None) -> DataFrame:
     """Distinct non-NULL intensity levels, numbered in order."""
     lv = disease.where(F.col("intensity_level_qty").isNotNull()) \
         .select(F.col("intensity_level_qty").alias("intensity_level")).distinct()
-    return with_dense_id(lv, ["intensity_level"], "intensity_level_id", bounded=bounded) \
+    return with_dense_id(lv, ["intensity_level"], "intensity_level_id", at_most=at_most) \
         .select("intensity_level_id", "intensity_level")
 
 
 def dim_disease_intensity(disease: DataFrame, d_disease: DataFrame, d_level: DataFrame,
                           start_year: int = SCD_DEFAULT_START, end_year: int | None = SCD_DEFAULT_END,
-                          bounded: bool = False) -> DataFrame:
+                          at_most: int | None = None) -> DataFrame:
     """Initial load of the SCD-2 intensity dimension - every disease current, with the
     default validity; ids follow the source disease id."""
     j = disease.select("disease_id", "disease_name", "intensity_level_qty") \
@@ -152,6 +148,6 @@ def dim_disease_intensity(disease: DataFrame, d_disease: DataFrame, d_level: Dat
     j = j.select("disease_id", "disease_name", "intensity_level",
                  F.lit(start_year).cast("long").alias("start_year"),
                  F.lit(end_year).cast("long").alias("end_year"), F.lit(True).alias("is_current"))
-    j = with_dense_id(j, ["disease_id", "disease_name", "intensity_level"], "intensity_level_scd_id", bounded=bounded)
+    j = with_dense_id(j, ["disease_id", "disease_name", "intensity_level"], "intensity_level_scd_id", at_most=at_most)
     return j.select("intensity_level_scd_id", "disease_name", "intensity_level", "start_year", "end_year",
                     "is_current")

@@ -11,17 +11,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
+from .functions.scalar import to_int_strict
 from .operators import integrity as IG
-from .operators.keys import sized, with_dense_id
+from .operators.dml import remap_key, scd2_apply
+from .operators.keys import CONDITIONS, LOCATIONS, with_dense_id
 from .plans import facts as FT
 from .plans import governed as GV
 from .plans import kpi
 from .plans import warehouse as W
+from .plans.jobs import apply_intensity_change
 from .sources.roles import role_views
 from .sources.schemas import SCHEMAS
-from .sources.tables import conform
+from .sources.tables import Catalog, append_rows, conform
 from .streaming.arrival import enrich_on_arrival, run_arrivals
 
 TARGET = "ASIA"
@@ -102,16 +106,23 @@ def c7(spark, sf_dir):
     return kpi.competing_products(role_views(spark, sf_dir).medicine_part(), COMPETING)
 
 
-@register("c8_competing_outcomes", O.with_views(f"""
+def _competing_outcomes_sql(src: str) -> str:
+    return f"""
     SELECT o.order_key, o.line_number, o.person_id, o.indication_id, o.outcome, o.outcome_date,
            cp.name AS medication_name, cp.company
-    FROM ({_competing_sql("v_medicine_part")}) cp
-    JOIN v_indication i ON i.medicine_id = cp.medicine_id
-    JOIN v_outcome o ON o.indication_id = i.indication_id
-    ORDER BY 1, 2, 3, 4, 5, 6, 7, 8 LIMIT 20""", "v_outcome", "v_indication", "v_medicine_part"))
+    FROM ({_competing_sql(src)}) cp
+    JOIN v_indication_part i ON i.medicine_id = cp.medicine_id
+    JOIN v_outcome_part o ON o.indication_id = i.indication_id
+    ORDER BY 1, 2, 3, 4, 5, 6, 7, 8 LIMIT 20"""
+
+
+_COMP_VIEWS = ("v_outcome_part", "v_indication_part", "v_medicine_part")
+
+
+@register("c8_competing_outcomes", O.with_views(_competing_outcomes_sql("v_medicine_part"), *_COMP_VIEWS))
 def c8(spark, sf_dir):
     v = role_views(spark, sf_dir)
-    return kpi.competing_outcomes(v.outcome(), v.indication(), v.medicine_part(), COMPETING)
+    return kpi.competing_outcomes(v.outcome_part(), v.indication_part(), v.medicine_part(), COMPETING)
 
 
 _MERGED_PART = O.merged_medicine_sql("v_medicine_part", *COMPETING)
@@ -129,6 +140,20 @@ def c10(spark, sf_dir):
     return kpi.merge_companies(role_views(spark, sf_dir).medicine_part(), *COMPETING)
 
 
+@register("c7_after_rename_competing_products", O.with_views(_competing_sql("v_medicine_part_renamed"),
+                                                            "v_medicine_part", extra=_MERGED_PART[:2]))
+def c7_renamed(spark, sf_dir):
+    """The confirm read between the rename and the move."""
+    return kpi.competing_products(kpi.merger_rename(role_views(spark, sf_dir).medicine_part(), *COMPETING), COMPETING)
+
+
+@register("c8_after_merger_competing_outcomes", O.with_views(_competing_outcomes_sql("v_medicine_part_merged"),
+                                                            *_COMP_VIEWS, extra=_MERGED_PART))
+def c8_after(spark, sf_dir):
+    v = role_views(spark, sf_dir)
+    return kpi.competing_outcomes(v.outcome_part(), v.indication_part(), kpi.merge_companies(v.medicine_part(), *COMPETING), COMPETING)
+
+
 @register("c7_after_merger_competing_products", O.with_views(_competing_sql("v_medicine_part_merged"),
                                                             "v_medicine_part", extra=_MERGED_PART))
 def c7_after(spark, sf_dir):
@@ -152,12 +177,11 @@ class _Dims:
     def __getitem__(self, key):
         if key not in self._c:
             v = self.v
-            # condition (market segments) and location (nations) are bounded by construction.
             make = {"person": v.person, "cond": v.condition, "loc": v.location,
                     "age": lambda: W.dim_age(self["person"]),
-                    "disease": lambda: W.dim_disease(self["cond"], bounded=True),
+                    "disease": lambda: W.dim_disease(self["cond"], at_most=CONDITIONS),
                     "gender": lambda: W.dim_gender(self["person"]),
-                    "location": lambda: W.dim_location(self["loc"], bounded=True)}
+                    "location": lambda: W.dim_location(self["loc"], at_most=LOCATIONS)}
             self._c[key] = make[key]()
         return self._c[key]
 
@@ -179,7 +203,7 @@ register("m3_dim_medicine", O.with_views(
 
 @register("m4_dim_indication", O.with_views(
     f"""SELECT i.indication_id, dm.medicine_id, i.disease_id FROM v_indication i
-        LEFT JOIN (SELECT m.medicine_id AS src_id, dm.medicine_id FROM v_medicine_merged m
+        JOIN (SELECT m.medicine_id AS src_id, dm.medicine_id FROM v_medicine_merged m
                    JOIN dmk dm ON m.name IS NOT DISTINCT FROM dm.medicine_name
                               AND m.company IS NOT DISTINCT FROM dm.company) dm ON i.medicine_id = dm.src_id""",
     "v_indication", "v_medicine", extra=_MERGED_KPI + [("dmk", f"""SELECT {O.rn('src')} AS medicine_id, medicine_name, company
@@ -191,6 +215,18 @@ def m4(spark, d):
     return W.dim_indication(v.indication(), med, W.dim_medicine(med))
 
 
+@register("m4_dim_indication_literal", O.with_views(f"""
+    SELECT DISTINCT i.indication_id, i.medicine_id, i.disease_id FROM v_indication i WHERE i.medicine_id IN (SELECT medicine_id FROM dmk)""",
+    "v_indication", "v_medicine", extra=_MERGED_KPI + [("dmk", f"""SELECT {O.rn('src')} AS medicine_id, medicine_name, company
+        FROM (SELECT name AS medicine_name, company, MIN(medicine_id) AS src FROM v_medicine_merged
+              GROUP BY name, company) t""")]))
+def m4_literal(spark, d):
+    """As the reference writes it: by the source medicine id itself."""
+    v = role_views(spark, d)
+    med = kpi.merge_companies(v.medicine(), TARGET, KPI_ACQUIRED)
+    return W.dim_indication(v.indication(), med, W.dim_medicine(med), literal=True)
+
+
 register("m5_dim_gender", O.dims_sql("SELECT * FROM d_gender"))(
     lambda spark, d: W.dim_gender(role_views(spark, d).person()))
 register("m6_dim_location", O.dims_sql("SELECT * FROM d_location"))(
@@ -198,7 +234,7 @@ register("m6_dim_location", O.dims_sql("SELECT * FROM d_location"))(
 register("m7_dim_profit", O.dims_sql("SELECT * FROM d_profit"))(
     lambda spark, d: W.dim_profit(role_views(spark, d).profit()))
 register("m8_dim_year", O.dims_sql("SELECT * FROM d_year"))(
-    lambda spark, d: W.dim_year(role_views(spark, d).outcome()))
+    lambda spark, d: W.dim_year(role_views(spark, d).outcome_lines()))
 
 
 @register("m9_dim_diseased_patient", O.dims_sql(f"""
@@ -219,12 +255,10 @@ _DIL = O.dil_sql(W.SCD_DEFAULT_START, W.SCD_DEFAULT_END)
 
 
 def _dil(v):
-    # The condition view is bounded by construction (market segments), and so is everything
-    # derived from it here.
     cond = v.condition()
-    d_disease = W.dim_disease(cond, bounded=True)
-    d_level = W.dim_intensity_level(cond, bounded=True)
-    return W.dim_disease_intensity(cond, d_disease, d_level, bounded=True), d_disease, d_level
+    d_disease = W.dim_disease(cond, at_most=CONDITIONS)
+    d_level = W.dim_intensity_level(cond, at_most=CONDITIONS)
+    return W.dim_disease_intensity(cond, d_disease, d_level, at_most=CONDITIONS), d_disease, d_level
 
 
 register("m11_dim_disease_intensity", O.dims_sql("SELECT * FROM d_dil", extra=[_DIL]))(
@@ -240,12 +274,12 @@ def _outcome_fact(spark, d, with_location: bool):
     v = role_views(spark, d)
     x = _dims(v)
     if with_location:
-        cells, n = sized(FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"],
-                                         x["location"], bounded_dims=True))
-        lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"), per_person_rows=n)
+        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"],
+                                fixed_domains=True)
+        lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome"))
         fact = FT.fact_disease_outcome_from_lines(lines, v.indication(), v.profit())
     else:
-        cells, _ = sized(FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], bounded_dims=True))
+        cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], fixed_domains=True)
         fact = FT.fact_disease_outcome_no_country(v.outcome(), cells, v.indication(), v.profit())
     return fact, x
 
@@ -282,7 +316,7 @@ def v2(spark, d):
 def _intensity(spark, d, changed: bool):
     v = role_views(spark, d)
     dil, d_disease, d_level = _dil(v)
-    d_year = W.dim_year(v.outcome())
+    d_year = W.dim_year(v.outcome_lines())
     fact = FT.fact_disease_intensity(d_year, dil, d_disease, d_level)
     if changed:
         dil = FT.change_intensity(dil, d_disease, *SCD_CHANGE)
@@ -334,8 +368,8 @@ _GOV_VIEWS = ("v_outcome", "v_person_d", "v_condition", "v_indication", "v_medic
       AND drug.medicine_id = i.medicine_id AND loc.location_id = pe.primary_location_id""", *_GOV_VIEWS))
 def r1(spark, d):
     v = role_views(spark, d)
-    patients, n = sized(GV.patient_record(v.person(with_dates=True), v.condition(), v.location()))
-    return GV.medical_records_from(v.outcome_with(patients, cols=("indication_id",), per_person_rows=n),
+    patients = GV.patient_record(v.person(with_dates=True), v.condition(), v.location())
+    return GV.medical_records_from(v.outcome_with(patients, cols=("indication_id",)),
                                    v.indication(), v.medicine())
 
 
@@ -371,15 +405,16 @@ def r6(spark, d):
 
 
 # -- integrity A8, A9 ------------------------------------------------------------------------------
-_PATIENT_LIMITS = {"last_name": 50, "first_name": 50, "gender": 1}
+# Lengths that real rows break: customer names have 18 characters, segment names 8 to 10.
+_PATIENT_LIMITS = {"last_name": 17, "first_name": 8, "gender": 1}
 
 
 @register("a8_patient_rule_violations", O.with_views("""
     SELECT person_id, column_name, rule, length FROM (
-        SELECT person_id, 'last_name' AS column_name, 'max length 50' AS rule, CAST(LENGTH(last_name) AS BIGINT) AS length
-        FROM v_person WHERE LENGTH(last_name) > 50
-        UNION ALL SELECT person_id, 'first_name', 'max length 50', CAST(LENGTH(first_name) AS BIGINT)
-        FROM v_person WHERE LENGTH(first_name) > 50
+        SELECT person_id, 'last_name' AS column_name, 'max length 17' AS rule, CAST(LENGTH(last_name) AS BIGINT) AS length
+        FROM v_person WHERE LENGTH(last_name) > 17
+        UNION ALL SELECT person_id, 'first_name', 'max length 8', CAST(LENGTH(first_name) AS BIGINT)
+        FROM v_person WHERE LENGTH(first_name) > 8
         UNION ALL SELECT person_id, 'gender', 'max length 1', CAST(LENGTH(gender) AS BIGINT)
         FROM v_person WHERE LENGTH(gender) > 1
         UNION ALL SELECT person_id, 'gender', 'not null', CAST(NULL AS BIGINT) FROM v_person WHERE gender IS NULL) t""",
@@ -447,7 +482,7 @@ def a10_outcome_stream(spark, d):
     """The reference's trigger case as a stream: line items arrive, become outcome rows (a
     stream-static join with the orders) and get their indication's medicine on arrival."""
     v = role_views(spark, d)
-    return run_arrivals(spark, f"{d}/lineitem*.parquet", v.raw("lineitem").schema, v.indication(),
+    return run_arrivals(spark, f"{d}/lineitem.parque[t]", v.raw("lineitem").schema, v.indication(),
                         ("indication_id", "indication_id"), ["medicine_id"], prepare=v.outcome_from)
 
 
@@ -456,7 +491,7 @@ def a10_outcome_stream(spark, d):
 def a10_stream(spark, d):
     v = role_views(spark, d)
     person = v.person().select("person_id", "primary_location_id")
-    return run_arrivals(spark, f"{d}/events*.parquet", v.raw("events").schema, person,
+    return run_arrivals(spark, f"{d}/events.parque[t]", v.raw("events").schema, person,
                         ("user_id", "person_id"), ["primary_location_id"])
 
 
@@ -476,3 +511,104 @@ def a2_outcome(spark, d):
     rows_in = enrich_on_arrival(v.outcome(), v.indication(), ("indication_id", "indication_id"), ["medicine_id"])
     numbered = with_dense_id(rows_in, _OUTCOME_ORDER, "outcome_id")
     return conform(numbered, SCHEMAS["outcome"])
+
+
+# -- the first month's KPIs: inputs that tell persons apart ------------------------------------------
+MONTH = ("1996-01-01", "1996-01-31")
+_MONTH_OUTCOME = [("v_outcome_month", f"SELECT * FROM v_outcome WHERE outcome_date BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'")]
+
+
+def _month_kpi(spark, d, fn):
+    v = role_views(spark, d)
+    outcome = v.outcome().where(F.col("outcome_date").between(F.lit(MONTH[0]).cast("date"), F.lit(MONTH[1]).cast("date")))
+    return fn(outcome, v.medicine(), v.indication(), TARGET)
+
+
+for _key, _fn in (("c1", kpi.c1_patients), ("c2", kpi.c2_other_patients)):
+    _sql = _KPI_SQL[_key].replace("v_outcome", "v_outcome_month")
+    register(f"{_key}_patients_of_one_month", O.with_views(_sql, *_KPI_VIEWS, extra=_MONTH_OUTCOME))(
+        lambda spark, d, fn=_fn: _month_kpi(spark, d, fn))
+
+
+# -- catalog tables, literal rows, key remapping, SCD batch, casts, governed sessions ----------------
+_STORED = "healthmart_stored"
+
+
+@register("a4_fact_read_back", O.dims_sql("""
+    SELECT * FROM f_restated UNION ALL SELECT 0 AS fact_disease_intensity_id, NULL AS year_id, NULL AS disease_id, NULL AS intensity_level_id""",
+    extra=_S1))
+def a4_stored(spark, d):
+    """Dimensions and the intensity fact stored in a catalog namespace, the change applied to the
+    stored tables (each replaced by a version computed from itself), an INSERT ... SELECT and a literal
+    row appended, and the fact read back."""
+    v = role_views(spark, d)
+    cat = Catalog(spark, _STORED)
+    dil, d_disease, d_level = _dil(v)
+    d_year = W.dim_year(v.outcome_lines())
+    for name, df in (("dim_disease", d_disease), ("dim_year", d_year), ("dim_intensity_level_quantity", d_level),
+                     ("dim_disease_intensity_level", dil)):
+        cat.replace(name, df)
+    fact = FT.fact_disease_intensity(cat.scan("dim_year"), cat.scan("dim_disease_intensity_level"), cat.scan("dim_disease"),
+                                     cat.scan("dim_intensity_level_quantity"))
+    cat.replace("fact_disease_intensity", fact.limit(0))
+    cat.append("fact_disease_intensity", fact, fact.columns)
+    apply_intensity_change(cat, *SCD_CHANGE)
+    cat.replace("fact_disease_intensity", append_rows(spark, cat.scan("fact_disease_intensity"), [{"fact_disease_intensity_id": 0}]))
+    return cat.scan("fact_disease_intensity")
+
+
+@register("a11_remap_medicine_key", O.with_views("""
+    SELECT indication_id, CASE WHEN medicine_id % 2 = 0 THEN medicine_id + 1000 ELSE medicine_id END AS medicine_id, disease_id, dosage
+    FROM v_indication""", "v_indication"))
+def a11(spark, d):
+    """Even medicine keys move up by 1000, and the indications follow."""
+    v = role_views(spark, d)
+    moved = v.medicine().where("medicine_id % 2 = 0").select("medicine_id", (F.col("medicine_id") + 1000).alias("new_id"))
+    return remap_key(v.indication(), "medicine_id", moved, "medicine_id", "new_id")
+
+
+_BATCH_LEVEL, _BATCH_YEAR = 3, 1999
+
+
+@register("d4b_scd_batch", O.dims_sql(f"""
+    SELECT intensity_level_scd_id, disease_name, intensity_level, start_year,
+           CASE WHEN changed THEN {_BATCH_YEAR - 1} ELSE end_year END AS end_year, NOT changed AS is_current FROM (
+        SELECT *, disease_name <> 'MACHINERY' AND intensity_level <> {_BATCH_LEVEL} AS changed FROM d_dil) t
+    UNION ALL SELECT (SELECT MAX(intensity_level_scd_id) FROM d_dil) + ROW_NUMBER() OVER (ORDER BY disease_name), disease_name,
+           {_BATCH_LEVEL}, {_BATCH_YEAR}, CAST(NULL AS BIGINT), TRUE FROM d_dil WHERE disease_name <> 'MACHINERY' AND intensity_level <> {_BATCH_LEVEL}""",
+    extra=[_DIL]))
+def d4b(spark, d):
+    """Every condition but one gets level 3 from 1999, in one batch."""
+    dil, _, _ = _dil(role_views(spark, d))
+    changes = dil.where("disease_name <> 'MACHINERY'").select("disease_name", F.lit(_BATCH_LEVEL).cast("long").alias("intensity_level"))
+    return scd2_apply(dil, changes, "disease_name", ["intensity_level"], _BATCH_YEAR, "intensity_level_scd_id")
+
+
+@register("x8_strict_casts", "SELECT c_custkey, CAST(SUBSTR(c_name, 10) AS BIGINT) AS name_number FROM customer")
+def x8(spark, d):
+    """The number inside every customer name, cast strictly."""
+    return role_views(spark, d).raw("customer").select("c_custkey", to_int_strict(F.substring("c_name", 10, 20)).alias("name_number"))
+
+
+def _role_session(spark, d, role, person=None):
+    def tables(session):
+        v = role_views(session, d)
+        return {"outcome": v.outcome(), "diseased_patient": v.person(with_dates=True), "disease": v.condition(),
+                "indication": v.indication(), "medicine": v.medicine(), "location": v.location()}
+
+    return GV.role_session(spark, tables, role, person)
+
+
+register("r7_doctor_records", REGISTRY["r1_medical_records_doctor"].sql)(
+    lambda spark, d: _role_session(spark, d, "doctor").table(GV.DOCTOR_VIEW))
+register("r7_patient_outcomes", REGISTRY["r3_own_outcome_rows"].sql)(
+    lambda spark, d: _role_session(spark, d, "patient", PATIENT).table("outcome"))
+register("r7_patient_indications", REGISTRY["r4_own_indication_rows"].sql)(
+    lambda spark, d: _role_session(spark, d, "patient", PATIENT).table("indication"))
+
+
+@register("x9_session_value", O.with_views(f"""
+    SELECT CAST({PATIENT} AS BIGINT) AS person_id, COUNT(*) AS outcomes FROM v_outcome WHERE person_id = {PATIENT}""", "v_outcome"))
+def x9(spark, d):
+    """The session's person, next to what its filtered view counts."""
+    return _role_session(spark, d, "patient", PATIENT).sql("SELECT current_person_id AS person_id, COUNT(*) AS outcomes FROM outcome")

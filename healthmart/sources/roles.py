@@ -24,8 +24,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keys import CONDITIONS, with_dense_id
 from ..functions.scalar import hundredths_to_money, money_from_double, half_up_div
-from ..operators.keys import BROADCAST_MAX_ROWS
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -114,23 +114,16 @@ class RoleViews:
 
     def outcome_with(self, per_person: DataFrame, how: str = "inner",
                      cols: tuple[str, ...] = ("order_key", "line_number", "indication_id", "outcome",
-                                              "outcome_date"), per_person_rows: int | None = None) -> DataFrame:
+                                              "outcome_date")) -> DataFrame:
         """Outcome rows carrying ``per_person`` columns (joined on person_id); same rows as
         ``outcome().join(per_person, "person_id", how)``.
 
-        ``per_person_rows`` is an exact count of ``per_person`` (see ``operators.keys.sized``).
-        Within the broadcast bound the person side is broadcast into the outcome view.  Beyond it
-        (or unknown) the person side meets the orders (a quarter of the line items) first, so
-        the line items are shuffled once, by the order key that defines the outcome view anyway.
+        The person side meets the orders (a quarter of the line items) first, so line items are
+        shuffled at most once, by the order key that defines the outcome view anyway.
         """
         keep = list(dict.fromkeys(["order_key", *cols]))
-        if per_person_rows is not None and per_person_rows <= BROADCAST_MAX_ROWS:
-            out = self.outcome().select(*keep, "person_id").join(F.broadcast(per_person), "person_id", how)
-        else:
-            # Sort-merge on the order key: the orders side is itself a join, whose size estimate
-            # is unknown to the planner, and the line items must never become the broadcast side.
-            orders = self.order_person().join(per_person, "person_id", how).hint("merge")
-            out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
+        orders = self.order_person().join(per_person, "person_id", how)
+        out = self.outcome_lines().select(*keep).join(orders, "order_key", "inner")
         return out if "order_key" in cols else out.drop("order_key")
 
     # -- indication / profit ---------------------------------------------------------------
@@ -185,10 +178,8 @@ class RoleViews:
         """Distinct market segments, numbered by name (bounded: one row per segment)."""
         if "_condition" in self._raw:
             return self._raw["_condition"]
-        from ..operators.keys import with_dense_id
         seg = self.raw("customer").select(F.col("c_mktsegment").alias("disease_name")).distinct()
-        # Bounded by construction: the market segment is a fixed domain of the TPC-H schema.
-        seg = with_dense_id(seg, ["disease_name"], "disease_id", bounded=True)
+        seg = with_dense_id(seg, ["disease_name"], "disease_id", at_most=CONDITIONS)
         self._raw["_condition"] = seg.select(
             "disease_id", "disease_name",
             (F.col("disease_id") + 6).alias("intensity_level_qty"),
@@ -225,9 +216,17 @@ class RoleViews:
             F.when(F.col("r_name").isin("AFRICA", "ASIA"), "Y").otherwise("N").alias("developing_flag"),
             (F.col("n_nationkey") % 10 + 1).cast("long").alias("wealth_rank_number"))
 
-    # -- arrivals --------------------------------------------------------------------------
-    def arrivals(self) -> DataFrame:
-        return self.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
+    # -- outcomes and indications of parts -----------------------------------------------
+    def outcome_part(self) -> DataFrame:
+        """Outcome rows whose indication is that of the part taken (competing products)."""
+        return self.outcome_from(self.raw("lineitem").withColumn("l_suppkey", F.col("l_partkey")))
+
+    def indication_part(self) -> DataFrame:
+        """One indication for each part, of the part-based medicine table."""
+        p = self.raw("part")
+        return p.select(F.col("p_partkey").alias("indication_id"), F.col("p_partkey").alias("medicine_id"),
+                        (F.col("p_partkey") % 5 + 1).alias("disease_id"),
+                        F.concat(F.lit("dose-"), F.col("p_partkey").cast("string")).alias("dosage"))
 
 
 def role_views(spark: SparkSession, sf_dir: str, namespace: str | None = None) -> RoleViews:

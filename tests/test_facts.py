@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from healthmart.plans import facts as FT
 from healthmart.plans import warehouse as W
 
+from .naive import fact_disease_outcome_no_country_naive
 from .conftest import SF001, rows
 
 
@@ -34,7 +35,7 @@ def test_b2_rewrite_equals_naive_on_fanout(spark):
         [(1, 10, "recovered"), (1, 11, "died"), (1, 12, "relapse"), (2, 10, "worsened")],
         [(10, 1000, 500), (11, 2000, -300), (12, 2000, 100)])
     fast = FT.fact_disease_outcome_no_country(o, cells, ind, prof)
-    slow = FT.fact_disease_outcome_no_country_naive(o, cells, ind, prof)
+    slow = fact_disease_outcome_no_country_naive(o, cells, ind, prof)
     assert rows(fast) == rows(slow)
     r = [x for x in fast.collect() if x["gender_id"] is not None and x["age_id"] == 3][0]
     # 3 outcomes x 2 cost rows: the reference's COUNT(*) is 6, each flag counted twice
@@ -80,7 +81,7 @@ def test_b2_rewrite_equals_naive_on_test_tables(spark):
     person, cond = v.person(), v.condition()
     cells = FT.person_cells(person, cond, W.dim_disease(cond), W.dim_gender(person))
     args = (v.outcome(), cells, v.indication(), v.profit())
-    assert rows(FT.fact_disease_outcome_no_country(*args)) == rows(FT.fact_disease_outcome_no_country_naive(*args))
+    assert rows(FT.fact_disease_outcome_no_country(*args)) == rows(fact_disease_outcome_no_country_naive(*args))
 
 
 def test_scd_change_and_restatement_on_test_tables(spark):
@@ -120,22 +121,34 @@ def test_dim_medicine_collapses_after_merger(spark):
     assert literal.count() == 5   # the reference's id-to-surrogate comparison drops source ids 6-8
 
 
-def test_b1_many_margins_path_equals_few_margins_path(spark, monkeypatch):
-    """The one-pass (cell, indication) plan used when margins are too many to broadcast gives
-    the same fact as the two-pass broadcast plan."""
-    from healthmart import queries as Q
-    few = rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
-    monkeypatch.setattr(FT, "BROADCAST_MAX_ROWS", 0)
-    many = rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
-    assert few == many and len(few) > 0
-
-
-def test_b2_many_margins_path_equals_naive(spark, monkeypatch):
-    from healthmart.sources.roles import role_views
-    v = role_views(spark, SF001)
-    person, cond = v.person(), v.condition()
-    cells = FT.person_cells(person, cond, W.dim_disease(cond), W.dim_gender(person))
-    args = (v.outcome(), cells, v.indication(), v.profit())
-    naive = rows(FT.fact_disease_outcome_no_country_naive(*args))
-    monkeypatch.setattr(FT, "BROADCAST_MAX_ROWS", 0)
-    assert rows(FT.fact_disease_outcome_no_country(*args)) == naive
+def test_wide_products_are_exact(spark):
+    """A hot indication at the largest legal cost: products far beyond 64 bits."""
+    n, cents = 40_000, 9_999_999_999
+    o = spark.range(n).select((F.col("id") % 3).alias("person_id"), F.lit(1).cast("long").alias("indication_id"), F.lit("recovered").alias("outcome"))
+    ind = spark.createDataFrame([(1,)], "indication_id long")
+    prof = spark.createDataFrame([(1, cents, -cents)], "indication_id long, cost_cents long, profit_cents long")
+    cells = spark.createDataFrame([(p, 1, 1, 1, 1) for p in range(3)], "person_id long, disease_id long, age_id long, gender_id long, location_id long")
+    for fact in (FT.fact_disease_outcome(o, cells, ind, prof), FT.fact_disease_outcome_no_country(o, cells.drop("location_id"), ind, prof)):
+        r = fact.first()
+        assert (r["recovered_count"], str(r["effectiveness"]), str(r["avg_cost_per_drug"]), str(r["avg_profit"])) == (
+            n, "100.00", "99999999.99", "-99999999.99")
+
+
+def test_unknown_medicines_drop_their_indications(spark):
+    med = spark.createDataFrame([(1, "n", "c")], "medicine_id long, name string, company string")
+    ind = spark.createDataFrame([(1, 1, 1), (2, 77, 1), (3, None, 1)], "indication_id long, medicine_id long, disease_id long")
+    assert rows(W.dim_indication(ind, med, W.dim_medicine(med))) == [(1, 1, 1)]
+
+
+def test_star_reads_are_in_order_with_nulls(spark):
+    """null_sort: NULL measures come first when descending and last when ascending."""
+    measures = [(1, "1.00", "2.00"), (2, None, "1.00"), (3, "1.00", None), (4, "3.00", "5.00"), (5, "3.00", "9.00"), (6, None, None)]
+    cols = ["fact_disease_outcome_id", "disease_id", "age_id", "gender_id", "location_id", *FT.COUNT_COLS, *FT.MEASURES]
+    fact = spark.createDataFrame([(i, 1, 1, 1, 1, 0, 0, 0, 0, e, a, None, None) for i, e, a in measures],
+                                 ", ".join(f"{c} {'string' if c in FT.MEASURES else 'long'}" for c in cols))
+    d = spark.createDataFrame([(1, "d")], "disease_id long, disease_name string")
+    age = spark.createDataFrame([(1, "0-10")], "age_id long, age_range string")
+    g = spark.createDataFrame([(1, "M")], "gender_id long, gender string")
+    loc = spark.createDataFrame([(1, "x")], "location_id long, country_name string")
+    assert [r[0] for r in FT.star_outcome(fact, d, age, g, loc).collect()] == [6, 2, 5, 4, 3, 1]
+    assert [r[0] for r in FT.star_outcome(fact, d, age, g).collect()] == [3, 1, 5, 4, 6, 2]

@@ -84,12 +84,3 @@ def test_sql_surface_matches_dataframe_jobs(spark):
     assert dict(rows(by_sql)) == dict(rows(by_df))
     # names resolve case-insensitively, as unquoted names do in the reference (P10)
     assert spark.sql("SELECT COUNT(*) FROM Diseased_Patient WHERE Person_ID = 1").first()[0] == 1
-
-
-def test_c3_large_company_table_path(spark, monkeypatch):
-    from healthmart.sources.roles import role_views
-    v = role_views(spark, SF001)
-    args = (v.outcome(), v.medicine(), v.indication())
-    small = rows(kpi.c3_patients_per_company(*args))
-    monkeypatch.setattr(kpi, "BROADCAST_MAX_ROWS", 0)
-    assert rows(kpi.c3_patients_per_company(*args)) == small

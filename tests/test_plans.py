@@ -12,26 +12,36 @@ from .conftest import SF001
 
 
 @pytest.fixture
-def unfrozen_facts(monkeypatch):
-    """Number fact rows lazily so the whole fact plan is visible to explain()."""
-    from pyspark.sql import functions as F
-    import healthmart.plans.facts as FT
-    monkeypatch.setattr(FT, "with_dense_id", lambda df, order, name, **kw: df.withColumn(name, F.lit(1)))
+def written(monkeypatch):
+    """Plans of the tables a query writes on its way (numbered facts): they are part of what runs."""
+    import healthmart.operators.keys as K
+    plans, freeze = [], K.freeze
 
+    def spy(df, tag="frozen"):
+        plans.append(_explain(df))
+        return freeze(df, tag)
 
-def plan(df) -> str:
+    monkeypatch.setattr(K, "freeze", spy)
+    return plans
+
+
+def _explain(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
     return buf.getvalue()
 
 
+def plan(df, written=()) -> str:
+    return "\n".join([*written, _explain(df)])
+
+
 @pytest.mark.parametrize("name", ["c1_target_patients", "c2_other_patients", "c3_patients_per_company",
                                   "c4_target_profit", "c6_profit_per_company", "b1_fact_disease_outcome",
                                   "b2_fact_outcome_no_country", "b3_fact_disease_intensity", "s1j_fact_restated",
                                   "r1_medical_records_doctor", "r6_patient_own_record", "a10_enrich_outcomes_batch"])
-def test_no_cartesian_or_nested_loop(spark, unfrozen_facts, name):
-    p = plan(Q.REGISTRY[name].build(spark, SF001))
+def test_no_cartesian_or_nested_loop(spark, written, name):
+    p = plan(Q.REGISTRY[name].build(spark, SF001), written)
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
 
 
@@ -53,17 +63,16 @@ def test_not_in_is_a_plain_anti_join(spark):
     assert "LeftAnti" in p and "isnull" not in p.split("LeftAnti")[1].split("\n")[0].lower()
 
 
-def test_range_join_is_an_equi_join(spark, unfrozen_facts):
-    p = plan(Q.REGISTRY["b3_fact_disease_intensity"].build(spark, SF001))
+def test_range_join_is_an_equi_join(spark, written):
+    p = plan(Q.REGISTRY["b3_fact_disease_intensity"].build(spark, SF001), written)
     assert "Generate" in p and "explode" in p
 
 
-def test_fact_joins_line_items_once(spark, unfrozen_facts):
-    # B1: line items are read for the frequency and for the fact, but never shuffled to meet
-    # the patient attributes (those reach the orders first).
-    p = plan(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
+def test_fact_joins_line_items_once(spark, written):
+    # B1: line items are read once, for the frequency and for the fact.
+    p = plan(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001), written)
     assert "CartesianProduct" not in p
-    assert p.count("lineitem.parquet") == 2
+    assert p.count("lineitem.parquet") == 1
 
 
 SMALL_DIM_KEYS = ("c_mktsegment", "_seg", "_dsrc", "src_id", "primary_location_id", "medicine_id",
@@ -74,7 +83,7 @@ SMALL_DIM_KEYS = ("c_mktsegment", "_seg", "_dsrc", "src_id", "primary_location_i
                                   "c6_profit_per_company", "b1_fact_disease_outcome", "b2_fact_outcome_no_country",
                                   "s1j_fact_restated", "m9_dim_diseased_patient", "r1_medical_records_doctor",
                                   "r6_patient_own_record", "a10_enrich_outcomes_batch"])
-def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, unfrozen_facts, name):
+def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, written, name):
     """Planned as if every table were too big for the planner to broadcast: only the hints
     backed by a bound (fixed-size tables, exact counts) remain, and the remaining shuffles are on
     order, person and indication keys - never all rows onto a handful of dimension keys."""
@@ -83,7 +92,7 @@ def test_large_scale_plans_never_shuffle_on_small_dimension_keys(spark, unfrozen
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(Q.REGISTRY[name].build(spark, SF001))
+        p = plan(Q.REGISTRY[name].build(spark, SF001), written)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         if old_aqe is None:
@@ -116,3 +125,19 @@ def test_colocated_tables_join_without_shuffle(spark):
     a = kpi.c6_profit_per_company(files.outcome(), files.medicine(), files.indication(), files.profit()).collect()
     b = kpi.c6_profit_per_company(tables.outcome(), tables.medicine(), tables.indication(), tables.profit()).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+@pytest.mark.parametrize("name", ["c1_target_patients", "c2_other_patients", "c4_target_profit", "c5_other_profit", "m8_dim_year"])
+def test_line_items_are_shuffled_once_at_most(spark, written, name):
+    """With broadcasts off, line items meet the orders; what follows works on pairs or counts."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Q.REGISTRY[name].build(spark, SF001), written)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    before = re.findall(r"Exchange\nInput[^\n]*\nArguments: hashpartitioning\(([^)]*)\)", p)
+    raw = [k for k in before if "l_orderkey" in k]
+    assert len(raw) <= 1
+    if name == "m8_dim_year":
+        assert "orders.parquet" not in p
