@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES
+from .common import SPACES, written
 
 GAP = r"[\x20\x09-\x0D]+"
 NOT_GAP = r"[^\x20\x09-\x0D]"
@@ -72,7 +72,8 @@ def weights(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, prior: floa
     rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text"))
     rows = rows.join(F.broadcast(trusted), rows["d_id"] == trusted["t_id"], "left").select("text", "t")
     grams = _hashes(rows, "text", "words", "hashes").select("t", F.explode(_grams("hashes", bits)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("t").alias("target"))
+    # Written, because both the totals and the ratios read it: 2 ** bits rows at most.
+    counts = written(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("t").alias("target")), "grams")
     total = counts.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"))
     ratio = F.log((F.col("target") + prior) / (F.col("raw") * (F.col("target_all") / F.col("raw_all")) + prior))
     seen = counts.join(F.broadcast(total)).select("bucket", ratio.alias("ratio"))    # one row of totals
