@@ -322,6 +322,10 @@ def training_page(rng: random.Random) -> str:
         inner += main_block()
         if rng.random() < .12:
             inner += part(rng.choice(["ad", "side", "form", "notice"]))
+    if rng.random() < .25:
+        # Long runs of short paragraphs, some of them alike.
+        short = [words(1, 5) for _ in range(rng.choice([1, 3, 20]))]
+        inner += "".join(f"<p>{MARK} {rng.choice(short)}</p>" for _ in range(rng.randint(4, 40)))
     if rng.random() < .15:
         inner += part("comments")
     named = f'{rng.choice(["class", "id"])}="{rng.choice(MAIN_NAMES)}"'
