@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,6 +58,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def round_robin(df: DataFrame, *keys) -> DataFrame:
-    """Deal rows evenly by a hash of ``keys`` over the session's shuffle partitions."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.  It does so when the driver's garbage
+    collection finds their plans unused, which a long chain of written tables would otherwise wait for."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -7,6 +7,7 @@ cent.  The join is exact (shingles are 64-bit hashes; no link is lost, none is c
 2. Tiles: linked sets share a shingle among the first ``n - ceil(t n) + 1`` of each in any common
    order.  The order puts frequent shingles last; it is a hint that changes no result.  A tile holds
    the nodes with one such shingle, sorted by size and compared only within the size ratio.
+   Of tiles with the same members one is kept.
 3. First round: every member is paired with its tile's first member.  Pairs are tested, and their
    components found.  Second round: only pairs of a tile in different components are left, so a
    group of near copies never yields all its pairs.
@@ -32,16 +33,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _Cache
-from .common import bound_batches, written
+from .common import bound_batches, free_shuffles
+from .common import written as _written
 
 WORDS, PERCENT = 5, 80
 #: Frequent shingles known to all tasks, at most; documents of a batch that make one frequent.
 FREQUENT, FREQUENT_IN_BATCH = 1 << 16, 6
-#: Bits of a signature: a power of two of at least twice the size, in these bounds.
-MIN_BITS, MAX_BITS = 64, 1 << 13
+#: Bits of a signature: a power of two, at least this many and at least eight for each shingle.
+MIN_BITS = 64
+#: Bits of the filter on ids whose texts are read again.
+FILTER_BITS = 1 << 24
+#: Steps in which the sets of pairs are brought together.
+SLICES = 4
 #: Rows compared with each other at once inside a tile.
 BLOCK = 1024
 
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    out = _written(df, tag)
+    free_shuffles(df.sparkSession)
+    return out
+
+
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _word_hash = _Cache(xxhash.xxh3_64_intdigest, 500_000)
 
@@ -73,7 +86,7 @@ def prefix(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 def signature(grams: np.ndarray) -> bytes:
     bits = MIN_BITS
-    while bits < min(2 * len(grams), MAX_BITS):
+    while bits < 8 * len(grams):
         bits *= 2
     mark = np.zeros(bits, np.uint8)
     mark[(grams >> np.uint64(7)) % np.uint64(bits)] = 1
@@ -137,8 +150,8 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def _tiles(nodes: DataFrame) -> DataFrame:
-    """``(h, n, id, first)``: the members of every tile with at least two, and the tile's first member.
-    A streaming pass over rows sorted by tile; no tile is held."""
+    """``(h, n, id, first, first_n)``: the members of every tile with at least two, and the tile's first
+    member, its smallest.  A streaming pass over rows sorted by tile; no tile is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.int64
@@ -155,32 +168,39 @@ def _tiles(nodes: DataFrame) -> DataFrame:
 
     rows = nodes.select(F.explode("prefix").alias("h"), "n", "id")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "h").sortWithinPartitions("h", "n", "id").mapInArrow(run, "h bigint, n bigint, id bigint, first bigint")
+    return rows.repartition(n, "h").sortWithinPartitions("h", "n", "id").mapInArrow(run, "h bigint, n bigint, id bigint, first bigint, first_n bigint")
 
 
 def _members(rows: np.ndarray, tile, lead, last: bool):
-    h, _, ids = rows
+    h = rows[0]
     if not h.size:
-        return (h, h, h, h), rows, tile, lead
+        return (h,) * 5, rows, tile, lead
     before = np.concatenate([[tile is not None and h[0] == tile], h[1:] == h[:-1]]).astype(bool)
     after = np.concatenate([h[1:] == h[:-1], [False]]).astype(bool)
-    starts = np.flatnonzero(~before)
-    which = np.cumsum(~before) - 1
-    first = np.where(which < 0, lead if lead is not None else 0, ids[starts[np.maximum(which, 0)]] if starts.size else 0)
+    # The first member of each row's tile; column 0 of ``firsts`` is that of the tile going on.
+    firsts = np.concatenate([np.array(lead or (0, 0), np.int64)[:, None], rows[1:][:, ~before]], axis=1)[:, np.cumsum(~before)]
     keep = before | after
     if not last:
         keep[-1] = False
-    out = (h[keep], rows[1][keep], ids[keep], first[keep])
+    out = (*rows[:, keep], firsts[1, keep], firsts[0, keep])
     if last:
         return out, rows[:, :0], None, None
     # The last row waits; what stands before it says whether it continues a tile.
     if h.size > 1:
-        tile, lead = int(h[-2]), int(first[-2])
+        tile, lead = int(h[-2]), (int(firsts[0, -2]), int(firsts[1, -2]))
     return out, rows[:, -1:], tile, lead
 
 
 def _tile_batch(out) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["h", "n", "id", "first"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["h", "n", "id", "first", "first_n"])
+
+
+def _distinct_tiles(tiles: DataFrame) -> DataFrame:
+    """Of tiles with the same members (a shared passage gives one for each of its shingles) only one.
+    Members are compared by their number and two 64-bit digests."""
+    digest = [F.sum(F.xxhash64("id").cast("decimal(38,0)")), F.sum(F.xxhash64(F.lit(1), "id").cast("decimal(38,0)")), F.count(F.lit(1))]
+    same = tiles.groupBy("h").agg(*[d.alias(f"d{i}") for i, d in enumerate(digest)])
+    return tiles.join(same.groupBy("d0", "d1", "d2").agg(F.min("h").alias("h")).select("h"), "h", "left_semi")
 
 
 def _cross_pairs(tiles: DataFrame) -> DataFrame:
@@ -248,8 +268,7 @@ def _sized(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], ["a", "b"])
 
     info = nodes.select("id", "n", "sig")
-    both = (pairs.join(info.toDF("a", "n_a", "sig_a"), "a").join(info.toDF("b", "n_b", "sig_b"), "b")
-            .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")))
+    both = pairs.join(info.toDF("a", "n_a", "sig_a"), "a").join(info.toDF("b", "n_b", "sig_b"), "b")
     return both.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -296,42 +315,77 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
 
 
+def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(id, set)``: the shingles of the documents in ``pairs``.  A bitmap of FILTER_BITS bits keeps
+    tasks from hashing, and shuffling, texts of other ids (more ids than that only let more through)."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    bit = F.pmod("id", F.lit(FILTER_BITS)).cast("bigint") + 1
+    marks = ids.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
+    marked = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in marks:                            # FILTER_BITS / 32768 rows of 4 KB at most
+        at = (r["k"] - 1) * 4096
+        marked[at:at + 4096] = np.frombuffer(r["bits"], np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [-1 if i is None else i % FILTER_BITS for i in batch.column(0).to_pylist()]
+            rows = [r for r, k in enumerate(keys) if k >= 0 and marked[k >> 3] >> (k & 7) & 1]
+            sets = [shingles(batch.column(1)[r].as_py()).tobytes() for r in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sets, pa.binary())], ["id", "set"])
+
+    found = docs.select("id", "text").mapInArrow(run, "id bigint, set binary").where("length(set) > 0")
+    return written(found.join(ids, "id", "left_semi"), "grams")
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From ``docs`` (id, text): the described rows with the node each belongs to, and the links
-    found between nodes, enough of them that nodes linked by any chain are connected."""
+    """From ``docs`` (id, text): the described rows, and the links found between nodes, enough of
+    them that nodes linked by any chain are connected."""
     bound_batches(docs.sparkSession)
     rows = written(_described(docs, _frequent(docs)), "sets")
-    named = rows.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("node"))
-    rows = rows.join(named, "digest", "left")
-    nodes = written(rows.where("id = node").select("id", "n", "digest", "sig", "prefix").dropDuplicates(["id", "digest"]), "nodes")
-    tiles = written(_tiles(nodes), "tiles")
-    paired = tiles.select("id").distinct()
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "set"])
-
-    met = docs.join(paired, "id", "left_semi").select("id", "text")
-    sets = written(met.mapInArrow(grams, "id bigint, set binary").where("length(set) > 0").dropDuplicates(["id", "set"]), "grams")
-    stars = tiles.where("id <> first").select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
-    found = written(_exact(_sized(stars, nodes), sets), "links")
-    comp = components(found)
-    inside = tiles.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    inside = written(inside.select("h", "n", "id", "comp"), "placed")
+    named = _named(rows)
+    nodes = rows.join(named, (rows["digest"] == named["of"]) & (rows["id"] == named["node"]), "left_semi")
+    info = nodes.select("id", "n", "sig").distinct()
+    tiles = written(_distinct_tiles(written(_tiles(nodes), "all-tiles")), "tiles")
+    stars = (tiles.where(f"id <> first and 100 * first_n >= {PERCENT} * n")
+             .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct())
+    found = _linked(docs, _sized(stars, info))
+    inside = tiles.join(components(found), "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
     mixed = inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("h")
-    left = inside.join(mixed, "h", "left_semi").join(nodes.select("id", "n", "sig"), ["id", "n"])
-    more = _exact(_cross_pairs(left), sets)
-    return rows, written(found.unionByName(more), "all-links")
+    left = inside.join(mixed, "h", "left_semi").join(info, ["id", "n"])
+    return rows, found.unionByName(_linked(docs, _cross_pairs(left)))
+
+
+def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that link.  Sets meet in SLICES steps, one after the other, so that only a part of the
+    pairs has its sets in shuffle files at a time."""
+    pairs = written(pairs, "pairs")
+    sets = _sets(docs, pairs)
+    found = None
+    for k in range(SLICES):
+        part = written(_exact(pairs.where(_slice("a") == k), sets), "links")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _slice(col: str):
+    return F.pmod(F.xxhash64(col), F.lit(SLICES).cast("bigint"))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """``(of, node)``: the smallest id of each digest."""
+    known = rows.where("digest is not null and id is not null")
+    return known.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("node"))
 
 
 def classes(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)`` of each row of ``df``."""
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     rows, found = links(docs)
+    named = _named(rows)
+    rows = rows.select("id", "n", "digest").join(named, rows["digest"] == named["of"], "left").select("id", "n", "node")
     comp = components(found.unionByName(_shared_ids(rows)))
-    named = rows.select("id", "n", F.coalesce("node", "id").alias("node")).join(comp.toDF("node", "comp"), "node", "left")
-    return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+    placed = rows.select("id", "n", F.coalesce("node", "id").alias("node")).join(comp.toDF("node", "comp"), "node", "left")
+    return placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                         F.when(F.col("id").isNotNull(), F.coalesce("comp", "node")).alias("component_id"))
 
 
