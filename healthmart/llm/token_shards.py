@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
-from .common import bound_batches, scratch, written
+from .common import bound_batches, scratch
 
 ROUNDS = 4
+#: Level of zstd for ids that wait to become shards, in the table of sequences and in the shuffle.
+LEVEL = 9
 #: Ids of a task gathered before its whole sequences are handed on.
 GATHER = 2_000_000
 
@@ -62,6 +64,11 @@ def _mix(x: np.ndarray, key: int, r: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=1)
+def codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=LEVEL)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
@@ -122,7 +129,10 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
     (by default a new folder below the checkpoint folder)."""
     spark = df.sparkSession
     folder = (folder or scratch(spark, "token-shards")).rstrip("/")
-    table = written(sequences(df, path, pattern, end_id, length, id_col=id_col, text_col=text_col), "sequences")
+    numbered = sequences(df, path, pattern, end_id, length, id_col=id_col, text_col=text_col)
+    waiting = scratch(spark, "sequences")
+    numbered.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(LEVEL)).parquet(waiting)
+    table = spark.read.schema(numbered.schema).parquet(waiting)
     counts = sorted((r["part"], r["n"]) for r in table.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())   # a row a task
     offsets, n = {}, 0
     for part, c in counts:
@@ -134,7 +144,9 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.array([offsets[p] for p in batch.column(0).to_pylist()], np.int64) + batch.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(feistel(at, n, key)), *batch.columns[2:]], ["slot", "n_tokens", "doc_ids", "ids"])
+            packed = [codec().compress(x.as_buffer(), asbytes=True) for x in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([pa.array(feistel(at, n, key)), *batch.columns[2:4], pa.array(packed, pa.binary())],
+                                             ["slot", "n_tokens", "doc_ids", "ids"])
 
     placed = (table.mapInArrow(slots, "slot bigint, n_tokens int, doc_ids array<bigint>, ids binary")
               .withColumn("shard", F.floor(F.col("slot") / rows_per_shard).cast("bigint")))
@@ -162,7 +174,7 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
                     shard, held = s, []
                     name = f"{base}/.{uuid.uuid4().hex}"
                     out = store.open_output_stream(name)
-                out.write(ids.ljust(stride, b"\0"))
+                out.write(codec().decompress(ids, 2 * n_tokens, asbytes=True).ljust(stride, b"\0"))
                 held.append((slot, n_tokens, docs))
         if out is not None:
             yield close()
