@@ -3,7 +3,8 @@
 A page is cut into blocks: runs of text between block-level tags, in page order.  Each block has the
 hashed tokens of its tag path (tag names, words of class and id values), a hashed bag of its words
 and a few measures.  A bidirectional LSTM in numpy reads the blocks of the whole page and labels each as main text or
-not, so a block is judged with what stands before and behind it.  Main blocks are joined by newlines.
+not, so a block is judged with what stands before and behind it.  Main blocks are joined by two
+newlines.
 
 The model is trained here, on the driver, from pages that ``training_page`` makes up: known main
 blocks among menus, headers, notices, adverts, forms, sidebars, comments and footers in many
@@ -389,7 +390,7 @@ def extract(df: DataFrame, *, model: Labeller | None = None, id_col: str = "page
                 for i in range(0, len(held), PAGES_AT_ONCE):
                     part = held[i:i + PAGES_AT_ONCE]
                     for (row, found), score in zip(part, model.score([b for _, b in part]), strict=True):
-                        texts[row] = "\n".join(t for (_, t, _), s in zip(found, score, strict=True) if s > 0)
+                        texts[row] = "\n\n".join(t for (_, t, _), s in zip(found, score, strict=True) if s > 0)
                 held.clear()
 
             size = 0

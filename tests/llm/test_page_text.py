@@ -74,3 +74,19 @@ def test_edges(spark):
     assert len(got) == 6 and by[1] == by[2] == by[3] == "" and by[None] == "One two three."
     assert by[5] == article(long)
     assert page_text.extract(df.limit(0)).count() == 0
+
+
+def test_two_newlines_between_blocks(spark):
+    said = [f"This is sentence number {i} of a page with several paragraphs." for i in range(3)]
+    df = spark.createDataFrame([(1, "u", "<article>" + "".join(f"<p>{x}</p>" for x in said) + "</article>")], PAGES)
+    (row,) = plain(page_text.extract(df))
+    assert row["text"] == "\n\n".join(said) and row["n_chars"] == sum(map(len, said)) + 4
+
+
+def test_two_newlines_on_every_page(spark):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{TEST_DIR}/pages.parquet").collect()}
+    rows = plain(Q.QUERIES["op7_page_text"](spark, TEST_DIR))
+    assert len(rows) == len(pages)
+    for r in rows:
+        want = article(pages[r["page_id"]]).replace("\n", "\n\n")       # a block holds no newline
+        assert r["text"] == want and r["n_chars"] == len(want)
