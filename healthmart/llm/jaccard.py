@@ -10,7 +10,8 @@ cent.  The join is exact (shingles are 64-bit hashes; no link is lost, none is c
    Of tiles with the same members one is kept.
 3. First round: every member is paired with its tile's first member.  Pairs are tested, and their
    components found.  Second round: only pairs of a tile in different components are left, so a
-   group of near copies never yields all its pairs.
+   group of near copies never yields all its pairs, also where a stranger shares its tile.  Large
+   tiles are cut into blocks, and the pairs of blocks are spread over tasks.
 4. A pair is tested by hashed bitmaps first (as many bits as the size band asks for): a bit set in
    one and not in the other is a shingle the other lacks, which bounds the overlap from above.
    Survivors are intersected exactly, as sorted arrays.
@@ -24,6 +25,7 @@ empty table gives an empty table; only the id and text columns are read, so othe
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +47,7 @@ MIN_BITS = 64
 FILTER_BITS = 1 << 24
 #: Steps in which the sets of pairs are brought together.
 SLICES = 4
-#: Rows compared with each other at once inside a tile.
+#: Members of a tile that are compared as one block; larger tiles are cut into blocks of about as many.
 BLOCK = 1024
 
 
@@ -203,37 +205,68 @@ def _distinct_tiles(tiles: DataFrame) -> DataFrame:
     return tiles.join(same.groupBy("d0", "d1", "d2").agg(F.min("h").alias("h")).select("h"), "h", "left_semi")
 
 
-def _cross_pairs(tiles: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of a tile in different components that sizes and bitmaps let through.  Rows
-    come sorted by tile and size; a row is compared with the rows before it that are large enough."""
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """``(h, p, q, side, n, id, comp)`` from the members (h, n, id, comp, members) of tiles with several
+    components: what is compared with each other, as pairs of blocks p and q (sides 0 and 1).
+
+    A tile of at most BLOCK members is one block, compared with itself.  A larger one is cut by size bands
+    (sizes within the ratio are in the same band or in neighbours), and a band into blocks of about
+    BLOCK members: a large component has blocks of its own, the others share blocks, each whole in one.
+    Blocks of the same large component do not meet, so only members of different components do, and
+    those of a shared block.
+    """
+    small = members.where(F.col("members") <= BLOCK).select("h", F.lit("").alias("p"), F.lit("").alias("q"), F.lit(0).alias("side"), "n", "id", "comp")
+    large = members.where(F.col("members") > BLOCK)
+    if large.isEmpty():
+        return small
+    # A little wider than the ratio, so that rounding never puts a pair two bands apart.
+    large = large.select("h", "n", "id", "comp", F.floor(F.log("n") / (1.01 * math.log(100 / PERCENT))).cast("bigint").alias("band"))
+    parts = large.groupBy("h", "band", "comp").agg(F.count(F.lit(1)).alias("rows")).withColumn("own", F.col("rows") > BLOCK // 2)
+    shared = parts.where(~F.col("own")).groupBy("h", "band").agg(F.sum("rows").alias("together"))
+    parts = parts.join(shared, ["h", "band"], "left").select(
+        "h", "band", "comp", "own", F.ceil(F.when(F.col("own"), F.col("rows")).otherwise(F.col("together")) / BLOCK).cast("bigint").alias("k"))
+    key = F.when(F.col("own"), F.xxhash64("id")).otherwise(F.xxhash64("comp"))
+    owner = F.when(F.col("own"), F.col("comp"))
+    placed = large.join(parts, ["h", "band", "comp"]).select(
+        "h", "n", "id", "comp", "band", owner.alias("owner"),
+        F.concat_ws(":", F.col("band").cast("string"), F.coalesce(owner.cast("string"), F.lit("")), F.pmod(key, F.col("k")).cast("string")).alias("block"))
+    placed = written(placed, "blocks")
+    blocks = placed.select("h", "band", "owner", "block").distinct()
+    one = blocks.select("h", F.col("band").alias("band_1"), F.col("owner").alias("owner_1"), F.col("block").alias("p"),
+                        F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    two = blocks.select("h", "band", F.col("owner").alias("owner_2"), F.col("block").alias("q"))
+    pairs = (one.join(two, ["h", "band"]).where((F.col("band") > F.col("band_1")) | (F.col("p") <= F.col("q")))
+             .where(F.coalesce(F.col("owner_1") != F.col("owner_2"), F.lit(True))).select("h", "p", "q"))
+    sides = (pairs.select("h", F.col("p").alias("block"), "p", "q", F.lit(0).alias("side"))
+             .unionByName(pairs.where("p <> q").select("h", F.col("q").alias("block"), "p", "q", F.lit(1).alias("side"))))
+    return small.unionByName(placed.join(sides, ["h", "block"]).select("h", "p", "q", "side", "n", "id", "comp"))
+
+
+def _cross_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that sizes and bitmaps let through, from the rows of
+    ``_block_pairs`` with their bitmaps.  A task holds one pair of blocks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, window = None, []                # blocks of (n, id, comp, sig list) still within the ratio
-        rows: list[tuple] = []
+        at, sides = None, ([], [])             # rows (n, id, comp, sig) of the pair of blocks
 
         def flush():
-            nonlocal window
-            if not rows:
-                return
-            n, ids, comp = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-            block = (n, ids, comp, [r[4] for r in rows])
-            window = [w for w in window if 100 * w[0][-1] >= PERCENT * n[0]]
-            for other in [*window, block]:
-                yield from _compare(other, block, other is block)
-            window.append(block)
-            rows.clear()
+            if sides[0]:
+                one, two = ((*(np.array([r[i] for r in rows], np.int64) for i in range(3)), [r[3] for r in rows]) for rows in sides)
+                if at[1] == at[2]:
+                    yield from _compare(one, one, True)
+                elif sides[1]:
+                    yield from _compare(one, two, False)
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != tile or len(rows) >= BLOCK:
+            for h, p, q, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (h, p, q) != at:
                     yield from flush()
-                    if row[0] != tile:
-                        tile, window = row[0], []
-                rows.append(row)
+                    at, sides = (h, p, q), ([], [])
+                sides[side].append(row)
         yield from flush()
 
-    n = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (tiles.select("h", "n", "id", "comp", "sig").repartition(n, "h").sortWithinPartitions("h", "n", "id")
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (members.select("h", "p", "q", "side", "n", "id", "comp", "sig").repartition(n, "h", "p", "q").sortWithinPartitions("h", "p", "q")
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
@@ -350,8 +383,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct())
     found = _linked(docs, _sized(stars, info))
     inside = tiles.join(components(found), "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
-    mixed = inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("h")
-    left = inside.join(mixed, "h", "left_semi").join(info, ["id", "n"])
+    mixed = (inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
+             .where("x <> y").select("h", "members"))
+    left = _block_pairs(written(inside.join(mixed, "h"), "mixed")).join(info, ["id", "n"])
     return rows, found.unionByName(_linked(docs, _cross_pairs(left)))
 
 

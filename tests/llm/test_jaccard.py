@@ -100,3 +100,44 @@ def test_bitmaps_bound_the_overlap_from_above():
         size = min(len(s), len(t))
         if 100 * common >= 80 * (len(a) + len(b) - common):
             assert jaccard.may_link(len(a), jaccard.folded([s], size)[0], len(b), jaccard.folded([t], size)[0])
+
+
+def test_a_stranger_does_not_bring_all_pairs_of_a_group(spark, monkeypatch):
+    """Tile 1: a group of 400 with two strangers.  Tile 2: 60 components of one or two members in many
+    sizes.  Tile 3: small.  All pairs across components meet once, and few others."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(3)
+    rows = [(1, rng.randint(90, 110), i, 0) for i in range(400)] + [(1, 100, 400, 400), (1, 104, 401, 401)]
+    rows += [(2, rng.randint(4, 60), 500 + i, 500 + i // 2 * 2 if i % 3 else 500 + i) for i in range(90)]
+    rows += [(3, 10, 700 + i, 700 + i % 2) for i in range(10)]
+    many = {h: sum(r[0] == h for r in rows) for h in (1, 2, 3)}
+    df = spark.createDataFrame([(*r, many[r[0]]) for r in rows], "h bigint, n bigint, id bigint, comp bigint, members bigint")
+    tasks = {}
+    for r in plain(jaccard._block_pairs(df)):
+        tasks.setdefault((r["h"], r["p"], r["q"]), ([], []))[r["side"]].append((r["n"], r["id"], r["comp"]))
+    met, work = [], {1: 0, 2: 0, 3: 0}
+    for (h, p, q), (one, two) in tasks.items():
+        assert len(one) + len(two) <= 6 * 16
+        work[h] += len(one) * len(one if p == q else two)
+        both = [(x, y) for i, x in enumerate(one) for y in one[:i]] if p == q else [(x, y) for x in one for y in two]
+        met += [(h, *sorted((x[1], y[1]))) for x, y in both if x[2] != y[2] and 100 * min(x[0], y[0]) >= 80 * max(x[0], y[0])]
+    want = {(r[0], *sorted((r[2], o[2]))) for r in rows for o in rows
+            if r[0] == o[0] and r[3] != o[3] and 100 * min(r[1], o[1]) >= 80 * max(r[1], o[1])}
+    assert len(met) == len(set(met)) and set(met) == want
+    assert work[1] <= 402 * 16            # not 402 * 402 / 2
+
+
+def test_group_with_strangers_against_all_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(80):
+        t = list(base)
+        t[rng.randrange(60)] = word()
+        texts.append(" ".join(t))
+    # Strangers share half of the group's text; the last ones also lie between group and strangers.
+    texts += [" ".join(base[:k] + [word() for _ in range(60 - k)]) for k in (20, 30, 40, 45, 50, 52, 54, 56) for _ in range(3)]
+    rng.shuffle(texts)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    assert got(plain(jaccard.classes(docs(spark, texts)))) == brute(list(enumerate(texts)))
