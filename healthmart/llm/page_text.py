@@ -11,8 +11,8 @@ blocks among menus, headers, notices, adverts, forms, sidebars, comments and foo
 markups.  It learns from a fixed number of pages (``TRAIN_PAGES``) and is a few hundred kilobytes.
 
 Defined results: a null or empty page gives an empty text with 0 characters, as does a page without
-main blocks; broken markup is read as far as it goes (an unclosed comment, script or style drops the rest,
-an unclosed tag is text); pages are independent, so ties, repeated rows and null ids pass through; an empty
+main blocks; broken markup is read as far as it goes (an unclosed comment, script, style or other raw text drops
+the rest, other unclosed hidden elements end with their parent, an unclosed tag is text); pages are independent, so ties, repeated rows and null ids pass through; an empty
 table gives an empty table; only the id, URL and HTML columns are read, so others cannot clash.
 """
 
@@ -43,10 +43,18 @@ fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hg
 optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TAGS = frozenset("canvas iframe math noembed noframes noscript object script style svg template title".split())
+# Of the hidden ones, those that hold elements and not raw text; those of them that may be self-closed; what
+# ends them when it starts inside, and the elements inside them in which it does not.
+NESTED_TAGS = frozenset("canvas math object svg template".split())
+FOREIGN_TAGS = frozenset("math svg".split())
+LEAVES_FOREIGN = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing
+menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+HTML_INSIDE = frozenset("annotation-xml canvas desc foreignobject mi mn mo ms mtext object template title".split())
 CLOSES_P = BLOCK_TAGS - {"body", "html", "head", "button", "option", "optgroup", "caption", "tr", "td", "th", "tbody", "thead", "tfoot"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNQUOTED = re.compile(r"""=\s*[^\s"']*/\Z""")          # a slash that ends a value, not the tag
 _PART = re.compile(r"[a-z]+|[0-9]+")
 _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in HIDDEN_TAGS}
 
@@ -58,9 +66,12 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     parts: list[str] = []
     path: tuple[str, ...] | None = None
     linked, links = 0, 0
+    hidden = -1                                # place of the outermost open hidden element in the stack
 
     def text(raw: str) -> None:
         nonlocal path, linked
+        if hidden >= 0:
+            return
         if "&" in raw:
             raw = html.unescape(raw)
         parts.append(raw)
@@ -93,10 +104,24 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             continue
         name = name.lower()
         if not m.group(1):
-            if name in HIDDEN_TAGS:
+            if hidden >= 0 and name in LEAVES_FOREIGN and stack[hidden][0] in FOREIGN_TAGS and not any(t in HTML_INSIDE for t, _ in stack[hidden:]):
+                links -= sum(t == "a" for t, _ in stack[hidden:])
+                del stack[hidden:]
+                hidden = -1
+            foreign = name in FOREIGN_TAGS or hidden >= 0 and any(t in FOREIGN_TAGS for t, _ in stack[hidden:])
+            if foreign and m.group(3).endswith("/") and not _UNQUOTED.search(m.group(3)):
+                continue
+            if name in HIDDEN_TAGS and name not in NESTED_TAGS and not (foreign and name == "title"):
                 close = _ENDS[name].search(page, at)
                 at = close.end() if close else n
                 continue
+            if name in NESTED_TAGS and hidden < 0:
+                hidden = len(stack)
+            if hidden >= 0:
+                if name not in VOID_TAGS:
+                    stack.append((name, ()))
+                    links += name == "a"
+                continue
             if name == "br":
                 parts.append(" ")
                 continue
@@ -110,9 +135,11 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 stack.append((name, _tokens(name, m.group(3))))
                 links += name == "a"
         else:
-            if name in BLOCK_TAGS:
-                end()
             links -= _pop(stack, name, ())
+            if len(stack) <= hidden:           # it has ended, by its own end tag or with its parent
+                hidden = -1
+            if hidden < 0 and name in BLOCK_TAGS:
+                end()
     end()
     return out
 

@@ -90,3 +90,17 @@ def test_two_newlines_on_every_page(spark):
     for r in rows:
         want = article(pages[r["page_id"]]).replace("\n", "\n\n")       # a block holds no newline
         assert r["text"] == want and r["n_chars"] == len(want)
+
+
+def test_self_closed_and_unclosed_hidden_elements():
+    cut = lambda page: [t for _, t, _ in page_text.blocks(page)]
+    assert cut("<svg class='i'/><math/><p>a</p>") == cut("<svg hidden/><p>a</p>") == ["a"]
+    assert cut("<svg id=a/>x</svg><p>b</p>") == ["b"]                           # the slash belongs to the value
+    for tag in ("object", "canvas", "template", "svg", "math"):
+        assert cut(f"<div>a <{tag}>x</div><p>b</p>") == ["a", "b"]
+        assert cut(f"<div>a <{tag}>x <{tag}>y</{tag}> z</{tag}> b</div>") == ["a b"]
+    assert cut("<p>a <object><p>x</p><br>y</object> b</p>c") == ["a b", "c"]
+    assert cut("<p>a <svg><path d='M0'/><g><path></g><title>x</title></svg> b</p><p>c") == ["a b", "c"]
+    assert cut("<article><svg><path><p>a</p></article>") == ["a"]               # HTML ends svg here
+    assert cut("<svg><foreignObject><p>x</p></foreignObject></svg><p>a</p>") == ["a"]
+    assert cut("<p>a</p><noscript>x <p>y") == ["a"]                             # raw text, to the end
