@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, inner_product, jaccard, mixing, page_text, quality, sharding, token_counts, token_shards
+from . import bpe, chat, hard_negatives, hash_forest, inner_product, jaccard, lexical, mixing, page_text, quality, sharding, token_counts, token_shards
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -83,6 +83,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           max_epochs=MIX_EPOCHS, seed=MIX_SEED)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Some rows are given the next label, so that labels do not follow the clusters exactly.
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), 100, 5, 5, 80, 256, label=label)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def op13_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_forest.nearest(table(spark, sf_dir, "embeddings"), 5, 50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_sharding": op2_sharding,
@@ -94,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_shards": op8_token_shards,
     "op9_mixing": op9_mixing,
     "op10_top_k": op10_top_k,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical": op12_lexical,
+    "op13_hash_forest": op13_hash_forest,
 }
 
 
