@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .joins import IntegrityError, _pairs, assert_unique
 from .keys import with_dense_id
+from .scd import scd2_merge
 
 
 def _lit(v) -> Column:
@@ -56,9 +57,10 @@ def update_from(df: DataFrame, src: DataFrame, on, assignments: Mapping[str, str
 
 
 def remap_key(child: DataFrame, fk: str, mapping: DataFrame, old: str = "old_key",
-              new: str = "new_key") -> DataFrame:
+              new: str = "new_key", *, check: bool = True) -> DataFrame:
     """ON UPDATE CASCADE - rewrite a child's foreign key through an old -> new key map."""
-    mapping = assert_unique(mapping, [old], "key remapping")
+    if check:
+        mapping = assert_unique(mapping, [old], "key remapping")
     m = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"), F.lit(True).alias("_hit"))
     j = child.join(m, child[fk] == m["_old"], "left")
     return j.select(*[F.when(F.col("_hit").isNotNull(), F.col("_new").cast(child.schema[fk].dataType))
@@ -99,22 +101,11 @@ def scd2_open(dim: DataFrame, rows: DataFrame, id_col: str, defaults: Mapping[st
 def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, attrs: Sequence[str], start_year: int,
                id_col: str, end_year: int | None = None, current_col: str = "is_current",
                start_col: str = "start_year", end_col: str = "end_year") -> DataFrame:
-    """One change batch in one pass - close the current version of every changed key (end =
+    """D4b for a batch that starts in one year: close the current version of every changed key (end =
     start_year - 1) and open the new version [start_year, end_year]; unchanged keys and new
     keys are handled alike.  A key listed twice in the batch is an error."""
-    changes = assert_unique(changes, [key], "SCD-2 change batch")
-    cur = dim.where(F.col(current_col)).select(key, *attrs)
-    cmp = changes.select(key, *[F.col(a).alias(f"_n_{a}") for a in attrs]).join(
-        cur.select(key, *[F.col(a).alias(f"_o_{a}") for a in attrs]), key, "left")
-    differs = None
-    for a in attrs:
-        d = ~F.col(f"_n_{a}").eqNullSafe(F.col(f"_o_{a}"))
-        differs = d if differs is None else differs | d
-    real = cmp.where(differs).select(key, *[F.col(f"_n_{a}").alias(a) for a in attrs])
-    closed = scd2_close(dim, real, key, start_year - 1, current_col, end_col)
-    opened = real.withColumn(start_col, F.lit(start_year)).withColumn(end_col, F.lit(end_year)) \
-        .withColumn(current_col, F.lit(True))
-    return scd2_open(closed, opened, id_col, {})
+    batch = changes.select(key, *attrs, F.lit(start_year).cast("bigint").alias(start_col), F.lit(end_year).cast("bigint").alias(end_col))
+    return scd2_merge(dim, batch, key, attrs, id_col, current_col, start_col, end_col)
 
 
 def restate(fact: DataFrame, versions_by_year: DataFrame, fact_keys: Sequence[str], target: str,

@@ -1,8 +1,8 @@
 """Fact loads B1-B3, star reads V1-V4 and the SCD-2 change with fact restatement (S1j).
 
 B1 and B2 never build the reference's wide join row by row.  In B1 the outcome rows, with their
-patient's fact keys (patient cells), are counted into (cell, indication) partials; the global
-frequency of an indication is the sum of its partials, and only partials meet the margins.  Partial
+patient's fact keys (patient cells), meet one row per indication (its global frequency and margins) and
+are summed per cell; stored (cell, indication) partials give the same fact without the rows.  Partial
 aggregation runs map-side, so a hot patient, indication or cell costs one row per map task.
 Products of counts and money are computed in 38 digits.  B2's per-person cost table, which the reference joins on the person
 alone (k outcomes x c costs rows per person, T7), is folded into per-person sums first; the
@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from decimal import Decimal, ROUND_HALF_UP
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import WIDE, age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close, scd2_open
-from ..operators.joins import valid_in
+from ..operators.joins import freq, valid_in
 from ..operators.keys import with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
@@ -82,36 +82,60 @@ def fact_disease_outcome(outcome: DataFrame, cells: DataFrame, indication: DataF
     return fact_disease_outcome_from_lines(lines, indication, profit, keys)
 
 
-def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, profit: DataFrame,
-                                    keys: list[str] | None = None) -> DataFrame:
-    """B1 over outcome rows that already carry their patient's fact keys (NULL keys when the
-    patient has no complete cell).  Every outcome row counts towards the *global* frequency of
-    its indication (T12); only rows with a cell enter the fact.
+OUTCOME_KEYS = ["disease_id", "age_id", "gender_id", "location_id"]
 
-    One pass counts outcome rows into (cell, indication) partials - at most cells x indications
-    rows.  Their sums per indication are the frequencies, and only they meet the margins.
-    """
-    keys = keys or ["disease_id", "age_id", "gender_id", "location_id"]
-    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
-    margins = indication.select("indication_id").join(
+
+def _margins(indication: DataFrame, profit: DataFrame) -> DataFrame:
+    return indication.select("indication_id").join(
         profit.select("indication_id", "cost_cents", "profit_cents"), "indication_id", "inner")
+
+
+def _cell_measures(rows: DataFrame, keys: list[str], n: Column, overall: Column) -> DataFrame:
+    """B1 from rows that carry cell, flags or counts, margins, their number ``n`` and the frequency ``_ic``."""
     has_cell = None
     for k in keys:
         c = F.col(k).isNotNull()
         has_cell = c if has_cell is None else has_cell & c
-    rows = lines.select(*keys, "indication_id", *flags).groupBy(*keys, "indication_id").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS])
-    # An indication has at most one partial per cell, so its window is small however hot it is.
-    rows = rows.withColumn("_ic", F.sum("_n").over(Window.partitionBy("indication_id"))).where(has_cell)
-    j = rows.join(margins, "indication_id", "inner")
-    n, ic = F.col("_n").cast(WIDE), F.col("_ic").cast(WIDE)
-    agg = j.groupBy(*keys).agg(
+    n, ic = n.cast(WIDE), F.col("_ic").cast(WIDE)
+    agg = rows.where(has_cell).groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in COUNT_COLS],
-        F.sum("_n").alias("_rows"),
+        F.sum(n).cast("bigint").alias("_rows"),
         F.sum((n * ic).cast(WIDE) * F.col("cost_cents").cast(WIDE)).alias("_wsum"),
         F.sum((n * ic).cast(WIDE)).alias("_wcnt"),
         F.sum(n * F.col("profit_cents").cast(WIDE)).alias("_psum"))
-    return _finish(agg, keys, "fact_disease_outcome_id", overall_avg_cost(profit))
+    return _finish(agg, keys, "fact_disease_outcome_id", overall)
+
+
+def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, profit: DataFrame,
+                                    keys: list[str] | None = None) -> DataFrame:
+    """B1 over outcome rows that already carry their patient's fact keys (NULL keys when the
+    patient has no complete cell).  Every outcome row counts towards the *global* frequency of
+    its indication (T12); only rows with a cell enter the fact.
+
+    The frequencies are counted first (map-side partials: one row per task and indication); with the
+    margins they are one small row per indication, which the outcome rows meet before they are
+    summed per cell.  Spark broadcasts that side by its measured size or shuffles with skew split.
+    """
+    keys = keys or OUTCOME_KEYS
+    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
+    side = _margins(indication, profit).join(freq(lines, ["indication_id"], "_ic"), "indication_id", "inner")
+    rows = lines.select(*keys, "indication_id", *flags).join(side, "indication_id", "inner")
+    return _cell_measures(rows, keys, F.lit(1), overall_avg_cost(profit))
+
+
+def outcome_partials(lines: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """B1's mergeable state: outcome rows counted per (cell, indication).  Partials of several batches add up."""
+    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
+    keys = keys or OUTCOME_KEYS
+    return lines.select(*keys, "indication_id", *flags).groupBy(*keys, "indication_id").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in COUNT_COLS])
+
+
+def fact_from_partials(partials: DataFrame, indication: DataFrame, profit: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """B1 from stored partials: frequencies are their sums per indication (T12), measures follow as from the rows."""
+    keys = keys or OUTCOME_KEYS
+    side = _margins(indication, profit).join(partials.groupBy("indication_id").agg(F.sum("rows").alias("_ic")), "indication_id", "inner")
+    return _cell_measures(partials.join(side, "indication_id", "inner"), keys, F.col("rows"), overall_avg_cost(profit))
 
 
 def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indication: DataFrame,
@@ -120,25 +144,29 @@ def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indica
     (cost, count) in the reference's Indication_Costs, the fan-out join contributes, per o,
     c_p copies; so every measure is a per-person sum times c_p (or times N_p for the
     cost-table sums) - computed without materialising the product."""
-    keys = ["disease_id", "age_id", "gender_id"]
+    return fact_from_person_costs(person_costs(outcome, indication, profit), cells, profit)
+
+
+def person_costs(outcome: DataFrame, indication: DataFrame, profit: DataFrame) -> DataFrame:
+    """B2's mergeable state: outcome rows with their margins, summed per (person, cost).  Partials add up."""
     ind = indication.select("indication_id").distinct().withColumn("_has", F.lit(True))
     margins = profit.select("indication_id", "cost_cents", "profit_cents").join(ind, "indication_id", "left")
     flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
-    o = outcome.select("person_id", "indication_id", *flags)
-    # (person, indication) partials first: only they are shuffled to meet the margins.
-    base = o.groupBy("person_id", "indication_id").agg(
-        F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(c) for c in COUNT_COLS])
-    lines = base.join(margins, "indication_id", "inner")
+    lines = outcome.select("person_id", "indication_id", *flags).join(margins, "indication_id", "inner")
     has = F.col("_has").isNotNull()
-    pc = lines.groupBy("person_id", "cost_cents").agg(
-        F.sum("_k").alias("_cnt"),
-        F.sum(F.when(has, F.col("_k")).otherwise(0)).alias("_n"),
+    return lines.groupBy("person_id", "cost_cents").agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_if(has).alias("n"),
         *[F.sum(F.when(has, F.col(c)).otherwise(0)).alias(c) for c in COUNT_COLS],
-        F.sum(F.when(has, F.col("profit_cents").cast(WIDE) * F.col("_k").cast(WIDE))).alias("_p"))
+        F.sum(F.when(has, F.col("profit_cents").cast(WIDE))).alias("p"))
+
+
+def fact_from_person_costs(pc: DataFrame, cells: DataFrame, profit: DataFrame) -> DataFrame:
+    """B2 from the sums per (person, cost)."""
+    keys = ["disease_id", "age_id", "gender_id"]
     pp = pc.groupBy("person_id").agg(
-        F.count(F.lit(1)).alias("_c"), F.sum("_cnt").alias("_s"),
-        F.sum(F.col("cost_cents").cast(WIDE) * F.col("_cnt").cast(WIDE)).alias("_w"),
-        F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS], F.sum("_p").alias("_p"))
+        F.count(F.lit(1)).alias("_c"), F.sum("cnt").alias("_s"),
+        F.sum(F.col("cost_cents").cast(WIDE) * F.col("cnt").cast(WIDE)).alias("_w"),
+        F.sum("n").alias("_n"), *[F.sum(c).alias(c) for c in COUNT_COLS], F.sum("p").alias("_p"))
     pp = pp.where(F.col("_n") > 0)
     j = pp.join(cells, "person_id", "inner")
     agg = j.groupBy(*keys).agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions.scalar import to_int_strict
 from .operators import integrity as IG
+from .operators.cascade import orphan_report
 from .operators.dml import remap_key, scd2_apply
 from .operators.keys import CONDITIONS, LOCATIONS, with_dense_id
 from .plans import facts as FT
@@ -444,12 +445,9 @@ PK_CHECKS = [("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderk
         COUNT(*) AS orphan_rows FROM {c} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)"""
     for c, fk, p, pk in FK_CHECKS))
 def a9(spark, d):
+    """All foreign keys at once: each table is read once."""
     v = role_views(spark, d)
-    parts = [IG.orphans(v.raw(c), fk, v.raw(p), pk, (c, fk, p, pk)) for c, fk, p, pk in FK_CHECKS]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    return orphan_report({t: v.raw(t) for t in dict.fromkeys(t for fk in FK_CHECKS for t in (fk[0], fk[2]))}, FK_CHECKS)
 
 
 @register("a9_duplicate_key_report", " UNION ALL ".join(
@@ -612,3 +610,6 @@ register("r7_patient_indications", REGISTRY["r4_own_indication_rows"].sql)(
 def x9(spark, d):
     """The session's person, next to what its filtered view counts."""
     return _role_session(spark, d, "patient", PATIENT).sql("SELECT current_person_id AS person_id, COUNT(*) AS outcomes FROM outcome")
+
+
+from . import change_queries  # noqa: E402,F401  (registers its queries; it builds on the names above)

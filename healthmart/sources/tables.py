@@ -3,8 +3,10 @@ from a query (A6) and literal rows (A7)."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,10 @@ def load(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
     return conform(raw, schema, DEFAULTS.get(table), CHAR_COLUMNS.get(table, ()))
 
 
+#: Table property that names a table's version.
+VERSION = "healthmart.version"
+
+
 class Catalog:
     """A5: one namespace (Spark database) of tables.
 
@@ -67,7 +73,7 @@ class Catalog:
         return f"`{self.namespace}`.`{table}`"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table, self.namespace)
+        return self.spark.catalog.tableExists(self.name(table))
 
     def scan(self, table: str) -> DataFrame:
         """A3."""
@@ -77,20 +83,81 @@ class Catalog:
         """A4: drop-and-rebuild; rerunning gives the same state.  The new version is written beside the
         table and takes its name when it is complete; until then readers, ``df`` itself among them,
         see the old version, and a failed write leaves it in place."""
+        return self.replace_all({table: df})[table]
+
+    def replace_all(self, frames: Mapping[str, DataFrame], partition_by: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+        """Replace several tables in one swap: all new versions are written first, and only when every one is
+        complete do they take the names.  A failed write leaves all tables as they were.  A driver that
+        dies between two renames leaves both versions behind, and ``recover`` finishes the swap."""
         version = uuid.uuid4().hex
-        new, old = f"{table}__new_{version}", f"{table}__old_{version}"
         try:
-            df.write.format("parquet").saveAsTable(self.name(new))
+            for table, df in frames.items():
+                by = (partition_by or {}).get(table, ())
+                df.write.format("parquet").partitionBy(*by).saveAsTable(self.name(f"{table}__new_{version}"))
+                self.spark.sql(f"ALTER TABLE {self.name(f'{table}__new_{version}')} SET TBLPROPERTIES ('{VERSION}' = '{version}')")
         except BaseException:
-            self.drop(new)
+            for table in frames:
+                self.drop(f"{table}__new_{version}")
             raise
-        had = self.exists(table)
-        if had:
-            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
-        self.spark.sql(f"ALTER TABLE {self.name(new)} RENAME TO {self.name(table)}")
-        if had:
-            self.drop(old)
-        return self.scan(table)
+        # Tables that exist go first: an old version that was moved away shows that all new ones are complete.
+        for table in sorted(frames, key=lambda t: not self.exists(t)):
+            self._swap(table, version)
+        for table in frames:
+            self.drop(f"{table}__old_{version}")
+        return {table: self.scan(table) for table in frames}
+
+    def _swap(self, table: str, version: str) -> None:
+        if self.exists(table) and not self.exists(f"{table}__old_{version}"):
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(f'{table}__old_{version}')}")
+        self.spark.sql(f"ALTER TABLE {self.name(f'{table}__new_{version}')} RENAME TO {self.name(table)}")
+        self._relocate_partitions(table)
+
+    def _relocate_partitions(self, table: str) -> None:
+        """A catalog may keep a partition's folder under the name that the table had before."""
+        info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        if not any(r["col_name"] == "# Partition Information" for r in info):
+            return
+        home = next(r["data_type"] for r in info if r["col_name"] == "Location").rstrip("/")
+        for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect():
+            spec = [part.split("=", 1) for part in r["partition"].split("/")]
+            values = ", ".join(f"`{k}` = NULL" if v == "__HIVE_DEFAULT_PARTITION__" else "`{}` = '{}'".format(k, unquote(v).replace("'", "\\'")) for k, v in spec)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} PARTITION ({values}) SET LOCATION '{home}/{r['partition']}'")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def recover(self) -> None:
+        """After a driver died in ``replace_all`` (for the namespace's only writer): a swap that had begun is
+        finished, new versions whose swap had not begun are dropped."""
+        left = [(m[1], m[2], m[3]) for t in self.spark.catalog.listTables(self.namespace) if not t.isTemporary
+                and (m := re.fullmatch(r"(.+)__(new|old)_([0-9a-f]{32})", t.name))]
+        begun = {version for _, kind, version in left if kind == "old"}
+        for table, kind, version in left:
+            if kind == "new" and version in begun:
+                self._swap(table, version)
+            elif kind == "new":
+                self.drop(f"{table}__new_{version}")
+        for table, kind, version in left:
+            if kind == "old":
+                self.drop(f"{table}__old_{version}")
+
+    def overwrite_partitions(self, table: str, df: DataFrame, by: Sequence[str]) -> None:
+        """Replace the partitions of a table that ``df`` has rows of and leave the others' files alone.  The rows
+        are staged first, so ``df`` may be computed from the table.  A table that does not exist is made."""
+        if not self.exists(table):
+            self.replace_all({table: df}, {table: by})
+            return
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*self.scan(table).columns).write.mode("overwrite").insertInto(self.name(table))
+        finally:
+            self.spark.conf.set(mode, before)
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def version(self, table: str) -> str | None:
+        """The version that ``replace`` gave the table; it changes with every replacement."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return next((r["value"] for r in rows if r["key"] == VERSION), None)
 
     def append(self, table: str, df: DataFrame, cols: Sequence[str] | None = None) -> None:
         """INSERT INTO table (cols) SELECT ... - by column name; absent columns get NULL."""

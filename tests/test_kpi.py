@@ -73,6 +73,7 @@ def test_competing_outcomes_is_a_stable_sample(spark):
 
 def test_sql_surface_matches_dataframe_jobs(spark):
     from healthmart.sources.roles import register_views
+    spark = spark.newSession()      # its temp views stay out of the other tests' sight
     v = register_views(spark, SF001)
     by_sql = spark.sql("""
         SELECT m.company AS company_name, SUM(p.profit) AS total_profit

@@ -45,7 +45,42 @@ def test_catalog_rebuild_append_and_self_replace(spark):
     with pytest.raises(Exception):
         cat.replace("t", cat.scan("t").withColumn("k", F.raise_error(F.lit("broken"))))
     assert rows(cat.scan("t")) == [(2, None)]                                 # the old version stays
-    assert [x.name for x in spark.catalog.listTables("hm_test_ns")] == ["t"]
+    assert [x.name for x in spark.catalog.listTables("hm_test_ns") if not x.isTemporary] == ["t"]
+
+
+def test_catalog_swap_of_several_tables(spark, monkeypatch):
+    one = spark.createDataFrame([(1,)], "k long")
+    cat = Catalog(spark, "hm_swap_ns")
+    cat.replace_all({"a": one, "b": one})
+    first = cat.version("a")
+    assert first and cat.version("b") == first
+    with pytest.raises(Exception):                                            # a failed write changes neither
+        cat.replace_all({"a": one.union(one), "b": one.withColumn("k", F.raise_error(F.lit("broken")))})
+    assert (cat.scan("a").count(), cat.version("a")) == (1, first)
+    # A driver that dies between the renames: recover() finishes the swap.
+    real, calls = Catalog._swap, []
+
+    def dies(self, table, version):
+        calls.append(table)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        real(self, table, version)
+
+    monkeypatch.setattr(Catalog, "_swap", dies)
+    with pytest.raises(KeyboardInterrupt):
+        cat.replace_all({"a": one.union(one), "b": one.union(one), "c": one})
+    monkeypatch.undo()
+    assert (cat.scan("a").count(), cat.scan("b").count()) == (2, 1)
+    cat.recover()
+    assert [cat.scan(t).count() for t in "abc"] == [2, 2, 1] and len({cat.version(t) for t in "abc"}) == 1
+    # A driver that dies before the first rename: the new versions go.
+    monkeypatch.setattr(Catalog, "_swap", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        cat.replace_all({"a": one, "b": one})
+    monkeypatch.undo()
+    cat.recover()
+    assert [cat.scan(t).count() for t in "abc"] == [2, 2, 1]
+    assert sorted(x.name for x in spark.catalog.listTables("hm_swap_ns") if not x.isTemporary) == ["a", "b", "c"]
 
 
 def test_warehouse_job_matches_registered_queries(spark):
