@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators.cascade import cascade, orphan_report
 from .operators.checked import checked_append
+from .operators.keys import freeze
 from .operators.scd import scd2_merge
 from .plans import audience as AU
 from .plans import facts as FT
@@ -220,7 +221,7 @@ def s1j_by_year(spark, d):
     """The intensity fact partitioned by year, with only the changed years rewritten."""
     v = role_views(spark, d)
     dil, d_disease, d_level = _dil(v)
-    d_year = W.dim_year(v.outcome_lines())
+    d_year = freeze(W.dim_year(v.outcome_lines()), "years")
     cat = Catalog(spark, "healthmart_by_year")
     store_by_year(cat, "fact_disease_intensity", FT.fact_disease_intensity(d_year, dil, d_disease, d_level))
     changed = FT.change_intensity(dil, d_disease, *SCD_CHANGE)

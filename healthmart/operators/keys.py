@@ -5,8 +5,8 @@ Rows are range-partitioned and sorted by the order columns, then by all other co
 function of the rows at any size and partitioning; rows equal in every column are interchangeable,
 and their place in the input splits them across range partitions.  Each row's partition and position
 are recorded in a written table (in ``spark.checkpoint.dir``), whichever task attempt commits; the
-id is the position plus the number of rows in the partitions before.  One row per partition (its
-count) reaches the driver.
+id is the position plus the number of rows in the partitions before (a running sum over one row per
+partition, which is also all that is broadcast).
 
 Tables of a fixed domain (age buckets, gender codes, market segments, calendar years, a literal
 change batch) state their largest size with ``at_most``: they are numbered by one window and marked for
@@ -82,12 +82,9 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
         .drop("_tie").withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     placed = freeze(ranged, "keys")
-    counts = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
-    offsets, running = [], start
-    for pid, count in counts:
-        offsets.append((pid, running))
-        running += count
-    # One row per partition.
-    off = F.broadcast(df.sparkSession.createDataFrame(offsets, "_pid int, _offset long"))
+    # One row per partition: their running sum is one small task, and no job of its own.
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    off = F.broadcast(counts.select("_pid", (F.coalesce(before, F.lit(0)) + start).alias("_offset")))
     return placed.join(off, "_pid", "inner").withColumn(name, (F.col("_offset") + F.col("_pos")).cast("long")) \
         .drop("_pid", "_pos", "_offset")

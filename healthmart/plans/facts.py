@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import WIDE, age_bucket, outcome_is, ratio_money
-from ..operators.dml import restate, scd2_close, scd2_open
+from ..operators.dml import restate, scd2_close
 from ..operators.joins import freq, valid_in
 from ..operators.keys import with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
@@ -234,10 +234,11 @@ def change_intensity(dil: DataFrame, d_disease: DataFrame, disease_name: str, le
     literal insert, and is cast to the column type."""
     keys = d_disease.where(F.col("disease_name") == disease_name).select("disease_name")
     closed = scd2_close(dil, keys, "disease_name", from_year - 1)
-    spark = dil.sparkSession
-    row = spark.createDataFrame([(disease_name, level, from_year, to_year, True)],
-                                "disease_name string, intensity_level string, start_year long, end_year long, is_current boolean")
-    return scd2_open(closed, row, "intensity_level_scd_id", {})
+    # One literal row: its id is the next one, without the key builder.
+    top = dil.agg(F.max("intensity_level_scd_id")).first()[0] or 0
+    row = dil.sparkSession.createDataFrame([(top + 1, disease_name, level, from_year, to_year, True)],
+                                           "intensity_level_scd_id long, disease_name string, intensity_level string, start_year long, end_year long, is_current boolean")
+    return closed.unionByName(row.select(*[F.col(c).cast(dil.schema[c].dataType) for c in dil.columns]))
 
 
 def restate_intensity(fact: DataFrame, d_year: DataFrame, dil: DataFrame, d_disease: DataFrame,

@@ -18,7 +18,7 @@ from .functions.scalar import to_int_strict
 from .operators import integrity as IG
 from .operators.cascade import orphan_report
 from .operators.dml import remap_key, scd2_apply
-from .operators.keys import CONDITIONS, LOCATIONS, with_dense_id
+from .operators.keys import CONDITIONS, LOCATIONS, freeze, with_dense_id
 from .plans import facts as FT
 from .plans import governed as GV
 from .plans import kpi
@@ -317,7 +317,7 @@ def v2(spark, d):
 def _intensity(spark, d, changed: bool):
     v = role_views(spark, d)
     dil, d_disease, d_level = _dil(v)
-    d_year = W.dim_year(v.outcome_lines())
+    d_year = freeze(W.dim_year(v.outcome_lines()), "years")   # read several times; the line items only once
     fact = FT.fact_disease_intensity(d_year, dil, d_disease, d_level)
     if changed:
         dil = FT.change_intensity(dil, d_disease, *SCD_CHANGE)
