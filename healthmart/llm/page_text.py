@@ -22,6 +22,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,8 +35,9 @@ from .common import bound_batches
 
 PATH_DIMS, WORD_DIMS, HIDDEN = 512, 32, 12
 TRAIN_PAGES, EPOCHS, SEED, RATE = 700, 16, 7, 0.02
-#: Pages that are labelled together, at most; and blocks in them, unless one page has more.
-PAGES_AT_ONCE, BLOCKS_AT_ONCE = 256, 60_000
+#: Pages that are labelled together, at most; blocks that are held for it; and cells of the array of pages by the
+#: longest of them, unless one page has more blocks.
+PAGES_AT_ONCE, BLOCKS_AT_ONCE, CELLS_AT_ONCE = 256, 60_000, 30_000
 
 # Tags of the HTML standard that end a line of text, hold no text, or hold text that is not shown.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
@@ -52,21 +54,23 @@ menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul va
 HTML_INSIDE = frozenset("annotation-xml canvas desc foreignobject mi mn mo ms mtext object template title".split())
 CLOSES_P = BLOCK_TAGS - {"body", "html", "head", "button", "option", "optgroup", "caption", "tr", "td", "th", "tbody", "thead", "tfoot"}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_OPEN = re.compile(r"<!--.*|<[!?].*", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _UNQUOTED = re.compile(r"""=\s*[^\s"']*/\Z""")          # a slash that ends a value, not the tag
 _PART = re.compile(r"[a-z]+|[0-9]+")
 _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in HIDDEN_TAGS}
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
-    """Blocks of a page: the tokens of the tag path, the text, and the part of it inside links."""
-    out: list[tuple[tuple[str, ...], str, float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def blocks(page: str) -> list[tuple[int, str, float]]:
+    """Blocks of a page: the hashed tokens of the tag path (a bit for each), the text, and the part of it inside links."""
+    out: list[tuple[int, str, float]] = []
+    stack: list[tuple[str, int]] = []          # open elements, with the bits of the path down to them
     parts: list[str] = []
-    path: tuple[str, ...] | None = None
+    path: int | None = None
     linked, links = 0, 0
     hidden = -1                                # place of the outermost open hidden element in the stack
+    opened: Counter = Counter()                # how often each name is open
 
     def text(raw: str) -> None:
         nonlocal path, linked
@@ -77,7 +81,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         parts.append(raw)
         if not raw.isspace():
             if path is None:
-                path = tuple(t for _, tokens in stack for t in tokens)
+                path = stack[-1][1] if stack else 0
             if links:
                 linked += len(raw)
 
@@ -90,23 +94,23 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         parts.clear()
         path, linked = None, 0
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        m = _TAG.search(page, at)
+        # Behind the last ">" nothing but a comment or declaration that is left open can start.
+        m = _TAG.search(page, at) if at <= last else _OPEN.search(page, at)
         if m is None:
             text(page[at:])
             break
         if m.start() > at:
             text(page[at:m.start()])
         at = m.end()
-        name = m.group(2)
+        name = m.group(2) if m.re is _TAG else None
         if name is None:
             continue
         name = name.lower()
         if not m.group(1):
             if hidden >= 0 and name in LEAVES_FOREIGN and stack[hidden][0] in FOREIGN_TAGS and not any(t in HTML_INSIDE for t, _ in stack[hidden:]):
-                links -= sum(t == "a" for t, _ in stack[hidden:])
-                del stack[hidden:]
+                links -= _cut(stack, opened, hidden)
                 hidden = -1
             foreign = name in FOREIGN_TAGS or hidden >= 0 and any(t in FOREIGN_TAGS for t, _ in stack[hidden:])
             if foreign and m.group(3).endswith("/") and not _UNQUOTED.search(m.group(3)):
@@ -119,7 +123,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 hidden = len(stack)
             if hidden >= 0:
                 if name not in VOID_TAGS:
-                    stack.append((name, ()))
+                    stack.append((name, 0))
+                    opened[name] += 1
                     links += name == "a"
                 continue
             if name == "br":
@@ -128,14 +133,15 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             if name in BLOCK_TAGS:
                 end()
                 if name in CLOSES_P:
-                    links -= _pop(stack, "p", ("button", "td", "th"))
+                    links -= _pop(stack, opened, "p", ("button", "td", "th"))
                 if name in ("li", "dd", "dt", "option", "td", "th", "tr"):
-                    links -= _pop(stack, name, ("ul", "ol", "dl", "table"))
+                    links -= _pop(stack, opened, name, ("ul", "ol", "dl", "table"))
             if name not in VOID_TAGS:
-                stack.append((name, _tokens(name, m.group(3))))
+                stack.append((name, _path_bits(name, m.group(3)) | (stack[-1][1] if stack else 0)))
+                opened[name] += 1
                 links += name == "a"
         else:
-            links -= _pop(stack, name, ())
+            links -= _pop(stack, opened, name, ())
             if len(stack) <= hidden:           # it has ended, by its own end tag or with its parent
                 hidden = -1
             if hidden < 0 and name in BLOCK_TAGS:
@@ -144,13 +150,21 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     return out
 
 
-def _pop(stack: list, name: str, stops: tuple[str, ...]) -> int:
+def _cut(stack: list, opened: Counter, at: int) -> int:
+    """Close all elements from this place on; links closed by it."""
+    gone = Counter(t for t, _ in stack[at:])
+    opened.subtract(gone)
+    del stack[at:]
+    return gone["a"]
+
+
+def _pop(stack: list, opened: Counter, name: str, stops: tuple[str, ...]) -> int:
     """Close the innermost open ``name``, if it is open before any of ``stops``; links closed by it."""
+    if not opened[name]:
+        return 0
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] == name:
-            gone = sum(t == "a" for t, _ in stack[i:])
-            del stack[i:]
-            return gone
+            return _cut(stack, opened, i)
         if stack[i][0] in stops:
             break
     return 0
@@ -165,8 +179,16 @@ def _tokens(name: str, attributes: str) -> tuple[str, ...]:
 
 
 @lru_cache(maxsize=20_000)
-def _path_ids(path: tuple[str, ...]) -> np.ndarray:
-    return np.unique([zlib.crc32(t.encode()) % PATH_DIMS for t in path]).astype(np.int64)
+def _path_bits(name: str, attributes: str) -> int:
+    bits = 0
+    for t in _tokens(name, attributes):
+        bits |= 1 << zlib.crc32(t.encode()) % PATH_DIMS
+    return bits
+
+
+@lru_cache(maxsize=20_000)
+def _path_ids(path: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(path.to_bytes(PATH_DIMS // 8, "little"), np.uint8), bitorder="little"))
 
 
 class _Hash(dict):
@@ -219,7 +241,7 @@ class Labeller:
                 kept.append(([], np.zeros((0, EXTRA))))
         return x, real, kept
 
-    def _pass(self, x: np.ndarray, real: np.ndarray, d: int) -> tuple[np.ndarray, list]:
+    def _pass(self, x: np.ndarray, real: np.ndarray, d: int, keep: bool = True) -> tuple[np.ndarray, list]:
         h, n = HIDDEN, x.shape[0]
         x, rec = x[:, :, 4 * h * d:4 * h * (d + 1)], self.w[f"rec{d}"]
         hid, cell, out, tape = np.zeros((n, h)), np.zeros((n, h)), np.zeros((n, x.shape[1], h)), []
@@ -230,7 +252,8 @@ class Labeller:
             on = real[:, t, None]
             new = f * cell + i * g
             tc = np.tanh(new)
-            tape.append((t, i, f, o, g, cell, tc, hid, on))
+            if keep:
+                tape.append((t, i, f, o, g, cell, tc, hid, on))
             cell, hid = np.where(on, new, cell), np.where(on, o * tc, hid)
             out[:, t] = hid
         return out, tape
@@ -238,7 +261,7 @@ class Labeller:
     def score(self, pages: list[list[tuple]]) -> list[np.ndarray]:
         """For each page the log-odds of its blocks to be main text."""
         x, real, _ = self.inputs(pages)
-        both = np.concatenate([self._pass(x, real, d)[0] for d in (0, 1)], axis=2)
+        both = np.concatenate([self._pass(x, real, d, keep=False)[0] for d in (0, 1)], axis=2)
         z = both @ self.w["out"] + self.w["cut"]
         return [z[i, :len(p)] for i, p in enumerate(pages)]
 
@@ -414,8 +437,13 @@ def extract(df: DataFrame, *, model: Labeller | None = None, id_col: str = "page
             def label() -> None:
                 # Pages of like length share an array.
                 held.sort(key=lambda x: len(x[1]))
-                for i in range(0, len(held), PAGES_AT_ONCE):
-                    part = held[i:i + PAGES_AT_ONCE]
+                i = 0
+                while i < len(held):
+                    # Sorted by length: the last page of a part is its longest.
+                    end = i + 1
+                    while end < len(held) and end - i < PAGES_AT_ONCE and (end + 1 - i) * len(held[end][1]) <= CELLS_AT_ONCE:
+                        end += 1
+                    part, i = held[i:end], end
                     for (row, found), score in zip(part, model.score([b for _, b in part]), strict=True):
                         texts[row] = "\n\n".join(t for (_, t, _), s in zip(found, score, strict=True) if s > 0)
                 held.clear()

@@ -1,5 +1,7 @@
 import html
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -95,3 +97,23 @@ def test_self_closed_and_unclosed_hidden_elements():
     assert cut("<article><svg><path><p>a</p></article>") == ["a"]               # HTML ends svg here
     assert cut("<svg><foreignObject><p>x</p></foreignObject></svg><p>a</p>") == ["a"]
     assert cut("<p>a</p><noscript>x <p>y") == ["a"]                             # raw text, to the end
+
+
+def test_long_and_broken_pages(spark):
+    """One page of many blocks among short ones, unclosed elements and unclosed tags: bounded memory, near linear time."""
+    began = time.process_time()
+    deep = page_text.blocks("<div class=a1>x" * 100_000)
+    assert len(deep) == 100_000 and deep[0][0] == deep[-1][0]
+    assert [t for _, t, _ in page_text.blocks("<a " * 300_000)] == [" ".join(["<a"] * 300_000)]
+    assert [t for _, t, _ in page_text.blocks("<p>a</p>" + "<b " * 1000 + "<!-- open")] == ["a", " ".join(["<b"] * 1000)]
+    assert time.process_time() - began < 20
+    long = "<article>" + "".join(f"<p>sentence number {i} of a long page.</p>" for i in range(20_000)) + "</article>"
+    said = "This is one sentence of a short page."
+    rows = [(i, "u", f"<article><p>{said}</p></article>") for i in range(255)] + [(255, "u", long)]
+    got = page_text.extract(spark.createDataFrame(rows, PAGES))
+    assert {r["page_id"]: r["n_chars"] for r in got.collect()} == {i: len(said) for i in range(255)} | {255: len(article(long))}
+    found, model = page_text.blocks(long), page_text.trained()
+    tracemalloc.start()
+    model.score([found])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
