@@ -7,7 +7,8 @@ merge on their own.  A batch of distinct pre-tokens is held as one ragged array
 each round every pre-token applies its lowest-rank pair, all pre-tokens at once, until none has a
 pair left, and the surviving symbols are counted.  Where a merge at a rank could create a pair of
 the same or a lower rank, only the leftmost occurrence is applied in that round, as a sequential
-merge would; otherwise all its occurrences are.
+merge would; otherwise all its occurrences are.  A long word of that kind (a run of thousands of spaces) would
+take as many rounds, so it leaves the arrays and its pairs are merged through a queue.
 
 Characters that are no piece cost one byte token per UTF-8 byte when the model has byte pieces,
 else one unknown token for each run of them.
@@ -21,7 +22,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ MARK = "▁"
 NONE = np.int64(1 << 40)       # rank of "no such pair"
 #: Pre-tokens a worker's cache holds before it starts anew, and merged together in one array.
 CACHE_ENTRIES, ARRAY_SYMBOLS = 600_000, 400_000
+#: Symbols from which on a word that could only merge one pair a round is merged by a queue.
+QUEUED = 256
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -115,10 +119,39 @@ class Model:
                 stay = np.repeat(~over, sizes)
                 sym, word, rank, made = sym[stay], word[stay], rank[stay], made[stay]
                 continue
-            sym, word, rank, made = self._round(sym, word, rank, made, np.repeat(best, sizes))
+            sym, word, rank, made = self._round(sym, word, rank, made, np.repeat(best, sizes), total)
         return total.tolist()
 
-    def _round(self, sym, word, rank, made, best):
+    def _queued(self, sym: list[int]) -> int:
+        """Symbols that are left of one word, merged one pair after the other: the lowest rank first, then the
+        leftmost.  Pairs of equal rank that a merge makes anew queue up with the rest."""
+        merges = self.by_pair
+        n = len(sym)
+        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), n
+        queue = [(m[0], i, sym[i], sym[i + 1]) for i in range(n - 1) if (m := merges.get((sym[i], sym[i + 1])))]
+        heapify(queue)
+        while queue:
+            _, i, a, b = heappop(queue)
+            j = after[i]
+            if sym[i] != a or j >= n or sym[j] != b:
+                continue                                         # one of the two has been merged since
+            sym[i], sym[j] = merges[a, b][1], -2
+            alive -= 1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if m := merges.get((sym[i], sym[k])):
+                    heappush(queue, (m[0], i, sym[i], sym[k]))
+            h = before[i]
+            if h >= 0 and (m := merges.get((sym[h], sym[i]))):
+                heappush(queue, (m[0], h, sym[h], sym[i]))
+        return alive
+
+    @cached_property
+    def by_pair(self) -> dict[tuple[int, int], tuple[int, int]]:
+        return {(k >> 32, k & 0xFFFFFFFF): (r, o) for k, r, o in zip(self.key.tolist(), self.rank.tolist(), self.out.tolist())}
+
+    def _round(self, sym, word, rank, made, best, total):
         at = np.flatnonzero(rank == best)
         # Of overlapping pairs (a run such as "aaa") every second one merges, from the left.
         new_run = np.r_[True, np.diff(at) != 1]
@@ -140,6 +173,13 @@ class Model:
         risky[has_left] |= r <= best[at[has_left]]
         if risky.any():
             wary = np.unique(word[at[risky]])
+            # One merge a round is too slow for a long word: it leaves the arrays for a queue of its own.
+            long = wary[np.searchsorted(word, wary, side="right") - np.searchsorted(word, wary) > QUEUED]
+            if long.size:
+                for w in long:
+                    total[w] += self._queued(sym[np.searchsorted(word, w):np.searchsorted(word, w, side="right")].tolist())
+                stay = ~np.isin(word, long)
+                return sym[stay], word[stay], rank[stay], made[stay]
             first = np.r_[True, word[at[1:]] != word[at[:-1]]]
             keep = first | ~np.isin(word[at], wary)
             at, merged = at[keep], merged[keep]

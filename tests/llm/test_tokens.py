@@ -1,6 +1,7 @@
 import hashlib
 import random
 import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -129,3 +130,13 @@ def test_whole_table(spark, library):
     assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
     assert sum(r["n_tokens"] for r in rows) == sum(len(library.encode_ordinary(r["text"] or "")) + 1 for r in texts)
     assert {d for r in rows for d in r["doc_ids"]} == {r["doc_id"] for r in texts}
+
+
+def test_long_runs_of_spaces(spark):
+    """Words that could merge only one pair a round go through the queue: as the library, and in time."""
+    library = sentencepiece.SentencePieceProcessor(model_file=Q.PIECE_MODEL)
+    texts = ["x" + " " * n + "y" for n in (2, 255, 256, 257, 1000, 20_001)] + ["a" * 3000, "ab" * 2000, " " * 5000, "\u2581" * 700, "-" * 4000 + " " * 300 + "=" * 999]
+    assert token_counts.counter(Q.PIECE_MODEL).counts(texts) == [len(library.encode(t)) for t in texts]
+    began = time.process_time()
+    token_counts.counter(Q.PIECE_MODEL).counts(["x" + " " * 300_000 + "y"])
+    assert time.process_time() - began < 20
