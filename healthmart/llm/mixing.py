@@ -15,7 +15,10 @@ Defined results: a null path value is the empty string; a null text has no token
 without tokens cost nothing and are in a prefix up to where it ends; equal ids are ordered by
 token count, and repeated rows are selected one by one; empty tables give empty tables.  A leaf whose budget is
 smaller than its first document gets none.  Columns the operator adds to a table get free names.
-The leaf table is broadcast; a tree of more than ``MAX_LEAVES`` leaves is refused.
+The tree may be of any size: siblings are split by running sums over range partitions, one small sum for each
+partition and parent.  What a leaf's documents need to know of it reaches them in two joins: leaves that hold
+at least one in HOT of all rows, of which there are HOT at most, are broadcast; the others are left to
+Spark's choice, and none of them is large enough to burden a task of a shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import WORD, written
 from .quality import _fresh
 
-BUCKET_HEX, MAX_LEAVES = 3, 100_000
+BUCKET_HEX, HOT = 3, 1000
 BIG = "decimal(38,0)"
 
 
@@ -55,15 +58,29 @@ def _split(nodes: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
     Children are taken by rising capacity for their weight: as long as a child's fair part of what
     is left is more than it can hold, it is full; the others share the rest by weight.
     """
-    within = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    order = within.orderBy((F.col("cap").cast("double") / F.col("weight").cast("double")), name)
-    nodes = (nodes.withColumn("w_left", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)).cast(BIG))
-             .withColumn("c_before", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast(BIG)))
+    nothing = F.lit(0).cast(BIG)
+    # The children in order, by range: no task holds all children of one parent.
+    order = [*parent, F.col("cap").cast("double") / F.col("weight").cast("double"), name]
+    nodes = written(nodes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "siblings")
+    inside = Window.partitionBy(*parent, "part").orderBy(*order[len(parent):])
+    nodes = (nodes.withColumn("w_in", F.sum("weight").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+             .withColumn("c_in", F.sum("cap").over(inside.rowsBetween(Window.unboundedPreceding, -1))))
+    sums = nodes.groupBy(*parent, "part").agg(F.sum("weight").alias("w"), F.sum("cap").alias("c"))
+    parts = Window.partitionBy(*parent).orderBy("part") if parent else Window.orderBy("part")       # one row a partition
+    before = parts.rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = sums.select(*parent, "part", F.sum("w").over(whole).alias("w_all"), F.coalesce(F.sum("w").over(before), nothing).alias("w_off"),
+                       F.coalesce(F.sum("c").over(before), nothing).alias("c_off"))
+    nodes = nodes.join(sums, [*parent, "part"])
+    nodes = (nodes.withColumn("w_left", (F.col("w_all") - F.col("w_off") - F.coalesce("w_in", nothing)).cast(BIG))
+             .withColumn("c_before", (F.col("c_off") + F.coalesce("c_in", nothing)).cast(BIG)))
     nodes = nodes.withColumn("full", F.expr(f"cap * w_left <= weight * cast(budget - c_before as {BIG})"))
-    nodes = (nodes.withColumn("c_full", F.sum(F.when(F.col("full"), F.col("cap")).otherwise(F.lit(0).cast(BIG))).over(within).cast(BIG))
-             .withColumn("w_rest", F.sum(F.when(~F.col("full"), F.col("weight")).otherwise(F.lit(0).cast(BIG))).over(within).cast(BIG)))
+    rest = nodes.groupBy(*parent).agg(F.sum(F.when(F.col("full"), F.col("cap")).otherwise(nothing)).cast(BIG).alias("c_full"),
+                                      F.sum(F.when(~F.col("full"), F.col("weight")).otherwise(nothing)).cast(BIG).alias("w_rest"))
+    nodes = nodes.join(rest, list(parent)) if parent else nodes.join(F.broadcast(rest))             # without a parent one row
     given = F.expr(f"case when full then cap else cast((weight * cast(budget - c_full as {BIG})) div w_rest as {BIG}) end")
-    return nodes.withColumn("given", given).drop("w_left", "c_before", "full", "c_full", "w_rest", "weight", "cap", "budget")
+    return nodes.withColumn("given", given).drop(
+        "part", "w_in", "c_in", "w_all", "w_off", "c_off", "w_left", "c_before", "full", "c_full", "w_rest", "weight", "cap", "budget")
 
 
 def budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[tuple, int], share: tuple[int, int],
@@ -78,42 +95,56 @@ def budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[tuple, int]
         cols = list(path[:level])
         nodes = caps.groupBy(*cols).agg(F.sum("cap").cast(BIG).alias("cap")).withColumn("weight", _weight(cols, weights))
         parent = root if above is None else above.withColumnRenamed("given", "budget")
-        nodes = nodes.join(F.broadcast(parent)) if above is None else nodes.join(F.broadcast(parent), cols[:-1])
+        nodes = nodes.join(F.broadcast(parent)) if above is None else nodes.join(parent, cols[:-1])     # the root is one row
         above = _split(nodes, cols[:-1], cols[-1])
-    return leaves.join(F.broadcast(above), list(path))
+    return leaves.join(above, list(path))
+
+
+def _told(rows: DataFrame, facts: DataFrame, cols: Sequence[str], n_rows: int, spread: Column, salt: str) -> DataFrame:
+    """``rows`` with what ``facts`` (leaf, rows ``n`` of the leaf, more) says of their leaf; NULL where it has none."""
+    told = [c for c in facts.columns if c not in (*cols, "n")]
+    facts = facts.withColumn("hot", F.col("n") * HOT >= n_rows)
+    hot = facts.where("hot").select(*cols, *[F.col(c).alias(f"hot_{c}") for c in told], "hot")
+    cold = facts.where("NOT hot").select(*cols, *told, F.xxhash64(*cols).alias(salt))
+    out = rows.join(F.broadcast(hot), cols, "left")                 # HOT rows at most
+    # Rows of hot leaves match nothing here, wherever they go.
+    out = out.withColumn(salt, F.when(F.col("hot"), spread).otherwise(F.xxhash64(*cols))).join(cold, [*cols, salt], "left")
+    return out.withColumns({c: F.coalesce(F.col(f"hot_{c}"), F.col(c)) for c in told}).drop("hot", salt, *[f"hot_{c}" for c in told])
 
 
 def mix(docs: DataFrame, path: Mapping[str, Column], weights: Mapping[tuple, int], *, share: tuple[int, int],
         max_epochs: int, seed: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """The selected rows of ``docs``, once for each epoch they are selected in, and the names of the
     columns added: the path, ``n_tokens``, ``epoch`` and ``leaf_budget``."""
-    want = [*path, "n_tokens", "epoch", "leaf_budget", "order_key"]
+    want = [*path, "n_tokens", "epoch", "leaf_budget", "order_key", "salt"]
     name = dict(zip(want, _fresh(docs, *[f"mix_{w}" for w in want]), strict=True))
     rows = docs.withColumns({name[k]: F.coalesce(c.cast("string"), F.lit("")) for k, c in path.items()}
                             | {name["n_tokens"]: token_count(F.col(text_col))})
     cols = [name[k] for k in path]
     tokens = rows.groupBy(*cols).agg(F.sum(name["n_tokens"]).cast("long").alias("tokens"), F.count(F.lit(1)).alias("n"))
     tokens = written(tokens, "leaves")
-    if tokens.limit(MAX_LEAVES + 1).count() > MAX_LEAVES:
-        raise ValueError(f"the tree has more than {MAX_LEAVES} leaves")
     by_name = {v: k for k, v in name.items()}
     plain = tokens.select(*[F.col(c).alias(by_name[c]) for c in cols], "tokens")
     leaf = budgets(plain, list(path), weights, share, max_epochs)
+    counts = tokens.select(*[F.col(c).alias(by_name[c]) for c in cols], "n")
+    leaf = leaf.join(counts, list(path))
     leaf = leaf.withColumn("whole", F.expr("case when tokens > 0 then cast(given div tokens as bigint) else 0 end"))
     leaf = leaf.withColumn("rest", F.expr("cast(given as bigint) - whole * tokens")).select(
-        *[F.col(by_name[c]).alias(c) for c in cols], F.col("given").cast("long").alias(name["leaf_budget"]), "whole", "rest")
+        *[F.col(by_name[c]).alias(c) for c in cols], F.col("given").cast("long").alias(name["leaf_budget"]), "whole", "rest", "n")
     leaf = written(leaf, "budgets")
 
     # The order of the last, partial epoch: a seeded digest of the id.
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    keyed = rows.join(F.broadcast(leaf), cols).withColumn(name["order_key"], key)
+    n_rows = leaf.agg(F.sum("n")).first()[0] or 0
+    spread = F.xxhash64(id_col, name["n_tokens"])
+    keyed = _told(rows, leaf, cols, n_rows, spread, name["salt"]).withColumn(name["order_key"], key)
     bucket = F.substring(name["order_key"], 1, BUCKET_HEX)
     sums = keyed.groupBy(*cols, "rest", bucket.alias("bucket")).agg(F.sum(name["n_tokens"]).alias("t"))
     run = Window.partitionBy(*cols).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ends = (sums.withColumn("upto", F.sum("t").over(run)).where(F.col("upto") > F.col("rest"))
             .groupBy(*cols).agg(F.min(F.struct(F.col("bucket"), (F.col("upto") - F.col("t")).alias("before"))).alias("end")))
     ends = written(ends.select(*cols, F.col("end.bucket").alias("end_bucket"), F.col("end.before").alias("before")), "ends")
-    placed = keyed.join(F.broadcast(ends), cols, "left")        # one row a leaf, as bounded as the leaves
+    placed = _told(keyed, ends.join(leaf.select(*cols, "n"), cols), cols, n_rows, spread, name["salt"])
 
     inside = F.col("end_bucket").isNull() | (bucket < F.col("end_bucket"))
     epochs = F.when(F.col("whole") + inside.cast("int") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") + inside.cast("int") - 1))

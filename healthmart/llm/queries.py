@@ -20,8 +20,8 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MIX_WEIGHTS = {("web",): 5, ("reference",): 3, ("community",): 2,
                (None, "en"): 4, (None, "de"): 2, (None, "fr"): 2,
                ("web", None, "src0"): 3}
-#: Budget as a fraction of all tokens, epochs of a document at most, seed of the orders.
-MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 5), 2, 42
+#: Budget as a fraction of all tokens (as many as there are), epochs of a document at most, seed of the orders.
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (1, 1), 2, 42
 
 
 def mix_path() -> dict[str, Column]:

@@ -1,7 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 import healthmart.llm.queries as Q
@@ -53,10 +52,35 @@ def test_mixture_edges(spark):
     assert empty.count() == 0
 
 
-def test_tree_must_be_small(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_LEAVES", 2)
-    with pytest.raises(ValueError):
-        mixing.remix(docs(spark, ["a", "b", "c"]), path(), {}, share=(1, 2), max_epochs=1, seed=1)
+def water(leaves, budget, weight):
+    """One level by plain water filling: leaves by rising capacity for their weight."""
+    out, left, todo = {}, budget, sorted(leaves, key=lambda x: (x[1] / weight, x[0]))
+    total = weight * len(todo)
+    for i, (name, cap) in enumerate(todo):
+        if cap * total > weight * left:
+            return out | {n: weight * left // total for n, _ in todo[i:]}
+        out[name], left, total = cap, left - cap, total - weight
+    return out
+
+
+def test_a_tree_of_many_leaves(spark):
+    """200,000 sources under one language: split by range partitions, as by one pass over all of them."""
+    rows = spark.range(200_000).select(F.lit("d").alias("domain"), F.lit("en").alias("lang"), F.format_string("s%06d", "id").alias("source"),
+                                       (F.col("id") * 7919 % 1000 + 1).alias("tokens"))
+    got = {r["source"]: int(r["given"]) for r in mixing.budgets(rows, ["domain", "lang", "source"], {}, (1, 2), 1).collect()}
+    caps = [(f"s{i:06d}", i * 7919 % 1000 + 1) for i in range(200_000)]
+    assert got == water(caps, sum(c for _, c in caps) // 2, 1)
+
+
+def test_leaves_that_are_not_broadcast(spark, duck):
+    """A third of the rows in one source, all joins by shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q.QUERIES["op9_mixing"](spark, TEST_DIR)
+        got = Counter((r["doc_id"], r["epoch"]) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == Counter(duck.execute(f"SELECT doc_id, epoch FROM ({Q.ORACLE_SQL['op9_mixing']}) t").fetchall())
 
 
 def check_shards(rows, texts, n):
