@@ -129,7 +129,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, prior: flo
 def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """One row per document: its id, the base counts, the score and the verdict."""
     rows = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("row_text"))
-    labelled = labels.withColumnRenamed(id_col, "row_id")
+    labelled = labels.select(F.col(id_col).alias("row_id"), "quality", "toxic")
     df, name = verdicts(rows, labelled, id_col="row_id", text_col="row_text", **params)
     return df.select(F.col("row_id").alias(id_col), *[F.col(v).alias(k) for k, v in name.items()])
 
