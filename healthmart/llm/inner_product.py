@@ -10,10 +10,11 @@ the partial sum of the first coordinates plus the Cauchy-Schwarz bound of the re
 what is left is scored exactly, in integers.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do
-rows with a null id; an empty vector and a shorter one count as padded with zeros; repeated rows
-count once; rows with a query's own id are not its candidates; ties go to the smaller id; a query
+rows with a null id, nor vectors whose integer length reaches 2 ** 31.5 (their scores need not fit 64
+bits); an empty vector and a shorter one count as padded with zeros; repeated rows count once; of several
+vectors of one id the first by (dimensions, length, bytes) counts; rows with a query's own id are not its candidates; ties go to the smaller id; a query
 with fewer candidates than k gets all of them; empty tables give empty tables; only the id and
-vector columns are read, so others cannot clash.  Scores are exact below 2 ** 63.
+vector columns are read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, written
+from .vectors import one_per_id
 
 SCALE = 64
+#: Longest integer vector: by Cauchy-Schwarz its scores fit 64 bits.
+LONGEST = 2.0 ** 31.5
 #: Vectors of a candidate block and of a query block; pairs tested at once.
 CANDIDATES, QUERIES, QUERY_STEP = 4096, 1024, 128
 #: Relative slack of bounds for rounding in the rotation.
@@ -37,8 +41,9 @@ SLACK = 1e-9
 def _whole(v) -> np.ndarray | None:
     if v is None or any(x is None for x in v):
         return None
-    a = np.floor(SCALE * np.asarray(v, np.float64))
-    return a.astype(np.int64) if np.isfinite(a).all() else None
+    with np.errstate(over="ignore", invalid="ignore"):
+        a = np.floor(SCALE * np.asarray(v, np.float64))
+        return a.astype(np.int64) if float((a * a).sum()) < LONGEST ** 2 else None       # also not for nan
 
 
 def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -54,7 +59,7 @@ def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                  pa.array([a.tobytes() for _, a in kept], pa.binary())], ["id", "dims", "norm", "vec"])
 
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("vec"))
-    return rows.mapInArrow(run, "id bigint, dims int, norm double, vec binary").distinct()
+    return one_per_id(rows.mapInArrow(run, "id bigint, dims int, norm double, vec binary"), "dims", "norm", "vec")
 
 
 def _matrix(vecs: list[bytes], dims: int) -> np.ndarray:
@@ -66,18 +71,21 @@ def _matrix(vecs: list[bytes], dims: int) -> np.ndarray:
 
 
 def _rotation(vectors: DataFrame, dims: int) -> np.ndarray:
-    """Right singular vectors of the table of all vectors, the strongest first.  Each task sends one
-    dims x dims Gram matrix."""
+    """Right singular vectors of the table of all vectors, the strongest first.  The driver gets one dims x dims
+    Gram matrix, summed by its cells over the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = np.zeros((dims, dims))
         for batch in batches:
             x = _matrix(batch.column(0).to_pylist(), dims).astype(np.float64)
             gram += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary())], ["gram"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims)), pa.array(gram.ravel())], ["cell", "value"])
 
-    grams = [np.frombuffer(r["gram"]).reshape(dims, dims) for r in vectors.select("vec").mapInArrow(run, "gram binary").collect()]
-    _, v = np.linalg.eigh(sum(grams, np.zeros((dims, dims))))
+    cells = vectors.select("vec").mapInArrow(run, "cell bigint, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    gram = np.zeros(dims * dims)
+    for r in cells.collect():
+        gram[r["cell"]] = r["value"]
+    _, v = np.linalg.eigh(gram.reshape(dims, dims))
     return np.ascontiguousarray(v[:, ::-1])
 
 

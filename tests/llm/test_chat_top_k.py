@@ -106,6 +106,10 @@ def test_top_k_edges(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("clash"))
     assert found(inner_product.top_k(df)) == brute_top_k(rows)
     assert found(inner_product.top_k(df.unionByName(df.where("vec_id < 40")))) == brute_top_k(rows)
+    long = df.select("vec_id", "embedding").unionByName(spark.createDataFrame([(200, [1e300, 1.0]), (220, [1e18])], "vec_id bigint, embedding array<double>"))
+    assert found(inner_product.top_k(long)) == brute_top_k(rows)
+    twice = spark.createDataFrame([(0, [1.0]), (1, [1.0]), (1, [3.0]), (2, [2.0])], "vec_id bigint, embedding array<double>")
+    assert found(inner_product.top_k(twice)) == [(0, 1, 2, 8192), (0, 2, 1, 4096)]
     few = df.where("vec_id in (0, 20, 61)")
     assert found(inner_product.top_k(few)) == brute_top_k([r for r in rows if r[0] in (0, 20, 61)])
     assert found(inner_product.top_k(df.where("vec_id = 0"))) == [] and found(inner_product.top_k(df.limit(0))) == []
