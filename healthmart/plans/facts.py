@@ -1,8 +1,8 @@
 """Fact loads B1-B3, star reads V1-V4 and the SCD-2 change with fact restatement (S1j).
 
 B1 and B2 never build the reference's wide join row by row.  In B1 the outcome rows, with their
-patient's fact keys (patient cells), meet one row per indication (its global frequency and margins) and
-are summed per cell; stored (cell, indication) partials give the same fact without the rows.  Partial
+patient's fact keys (patient cells), are counted into a written table of (cell, indication) partials;
+their sums per indication are its global frequency, and only partials meet the margins.  Partial
 aggregation runs map-side, so a hot patient, indication or cell costs one row per map task.
 Products of counts and money are computed in 38 digits.  B2's per-person cost table, which the reference joins on the person
 alone (k outcomes x c costs rows per person, T7), is folded into per-person sums first; the
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import pct_of_rows, weighted_mean
 from ..functions.scalar import WIDE, age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close
-from ..operators.joins import freq, valid_in
-from ..operators.keys import with_dense_id
+from ..operators.joins import valid_in
+from ..operators.keys import freeze, with_dense_id
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -112,15 +112,11 @@ def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, pro
     patient has no complete cell).  Every outcome row counts towards the *global* frequency of
     its indication (T12); only rows with a cell enter the fact.
 
-    The frequencies are counted first (map-side partials: one row per task and indication); with the
-    margins they are one small row per indication, which the outcome rows meet before they are
-    summed per cell.  Spark broadcasts that side by its measured size or shuffles with skew split.
+    One pass counts outcome rows into (cell, indication) partials, a written table.  Their sums per
+    indication are the frequencies, and only partials meet the margins: no second pass over the rows and
+    no sort.
     """
-    keys = keys or OUTCOME_KEYS
-    flags = [f.alias(c) for f, (_, c) in zip(_flags(F.col("outcome")), OUTCOMES)]
-    side = _margins(indication, profit).join(freq(lines, ["indication_id"], "_ic"), "indication_id", "inner")
-    rows = lines.select(*keys, "indication_id", *flags).join(side, "indication_id", "inner")
-    return _cell_measures(rows, keys, F.lit(1), overall_avg_cost(profit))
+    return fact_from_partials(freeze(outcome_partials(lines, keys), "partials"), indication, profit, keys)
 
 
 def outcome_partials(lines: DataFrame, keys: list[str] | None = None) -> DataFrame:

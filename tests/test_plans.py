@@ -7,6 +7,7 @@ import re
 import pytest
 
 from healthmart import queries as Q
+from healthmart.plans import facts as FT
 
 from .conftest import SF001
 
@@ -21,7 +22,8 @@ def written(monkeypatch):
         plans.append(_explain(df))
         return freeze(df, tag)
 
-    monkeypatch.setattr(K, "freeze", spy)
+    for module in (K, FT, Q):
+        monkeypatch.setattr(module, "freeze", spy)
     return plans
 
 
