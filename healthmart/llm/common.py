@@ -55,7 +55,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a written table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned, when all that reads them has been written itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -14,7 +14,8 @@ cent.  The join is exact (shingles are 64-bit hashes; no link is lost, none is c
    tiles are cut into blocks, and the pairs of blocks are spread over tasks.
 4. A pair is tested by hashed bitmaps first (as many bits as the size band asks for): a bit set in
    one and not in the other is a shingle the other lacks, which bounds the overlap from above.
-   Survivors are intersected exactly, as sorted arrays.
+   Survivors are intersected exactly, as sorted arrays, in steps that send no more sets than there
+   are.  After each step the components are joined up, and pairs inside one need no test any more.
 
 Defined results: null and empty texts, and texts of white space, have no shingles, link with nothing
 and are their own component; rows with the same id are one document, linked with what any of its
@@ -35,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _Cache
-from .common import bound_batches, free_shuffles
+from .common import bound_batches, free_shuffles, release
 from .common import written as _written
+from .quality import _fresh
 
 WORDS, PERCENT = 5, 80
 #: Frequent shingles known to all tasks, at most; documents of a batch that make one frequent.
@@ -45,15 +47,17 @@ FREQUENT, FREQUENT_IN_BATCH = 1 << 16, 6
 MIN_BITS = 64
 #: Bits of the filter on ids whose texts are read again.
 FILTER_BITS = 1 << 24
-#: Steps in which the sets of pairs are brought together.
-SLICES = 4
+#: Bytes of sets that are sent to meet their partners in one step, where the sets themselves are not more.
+STEP_BYTES = 64 << 20
 #: Members of a tile that are compared as one block; larger tiles are cut into blocks of about as many.
 BLOCK = 1024
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, *done: DataFrame) -> DataFrame:
+    """A written table; the tables in ``done`` have had their last reader by then."""
     out = _written(df, tag)
     free_shuffles(df.sparkSession)
+    release(*done)
     return out
 
 
@@ -271,9 +275,21 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
 
 
 def _compare(one, two, same: bool) -> Iterator[pa.RecordBatch]:
-    size = min(min(map(len, one[3])), min(map(len, two[3])))
-    sig_1, sig_2 = folded(one[3], size), folded(two[3], size)
-    step = max(1, (1 << 22) // (len(two[0]) * size))
+    """Pairs of rows (n, id, comp, sig) that may link, by classes of bitmap width.  Sizes within the ratio have equal
+    widths or neighbouring ones, so a bitmap is folded once at most."""
+    widths = [np.array(list(map(len, x[3]))) for x in (one, two)]
+    for w in np.unique(widths[0]):
+        for v in np.unique(widths[1]):
+            if max(w, v) > 2 * min(w, v) or same and w > v:
+                continue
+            p, q = np.flatnonzero(widths[0] == w), np.flatnonzero(widths[1] == v)
+            size = int(min(w, v))
+            yield from _compare_class([x[p] for x in one[:3]], folded([one[3][i] for i in p], size),
+                                      [x[q] for x in two[:3]], folded([two[3][i] for i in q], size), same and w == v)
+
+
+def _compare_class(one, sig_1, two, sig_2, same: bool) -> Iterator[pa.RecordBatch]:
+    step = max(1, (1 << 22) // (len(two[0]) * sig_1.shape[1] * 8))
     for i in range(0, len(one[0]), step):
         n = one[0][i:i + step, None]
         ok = (one[2][i:i + step, None] != two[2][None]) & (100 * np.minimum(n, two[0]) >= PERCENT * np.maximum(n, two[0]))
@@ -339,7 +355,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = written(small, "edges")
+        edges = written(small, "edges", edges)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -351,7 +367,8 @@ def components(links: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(id, set)``: the shingles of the documents in ``pairs``.  A bitmap of FILTER_BITS bits keeps
     tasks from hashing, and shuffling, texts of other ids (more ids than that only let more through)."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    # Written, so that the join below knows its size before texts are hashed.
+    ids = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     bit = F.pmod("id", F.lit(FILTER_BITS)).cast("bigint") + 1
     marks = ids.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     marked = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -367,42 +384,64 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sets, pa.binary())], ["id", "set"])
 
     found = docs.select("id", "text").mapInArrow(run, "id bigint, set binary").where("length(set) > 0")
-    return written(found.join(ids, "id", "left_semi"), "grams")
+    return written(found.join(ids, "id", "left_semi"), "grams", ids)
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From ``docs`` (id, text): the described rows, and the links found between nodes, enough of
     them that nodes linked by any chain are connected."""
     bound_batches(docs.sparkSession)
-    rows = written(_described(docs, _frequent(docs)), "sets")
+    described = written(_described(docs, _frequent(docs)), "sets")
+    rows = written(described.select("id", "n", "digest"), "rows")
     named = _named(rows)
-    nodes = rows.join(named, (rows["digest"] == named["of"]) & (rows["id"] == named["node"]), "left_semi")
-    info = nodes.select("id", "n", "sig").distinct()
-    tiles = written(_distinct_tiles(written(_tiles(nodes), "all-tiles")), "tiles")
+    nodes = described.join(named, (described["digest"] == named["of"]) & (described["id"] == named["node"]), "left_semi")
+    every = written(_tiles(nodes), "all-tiles")
+    tiles = written(_distinct_tiles(every), "tiles", every)
+    # Only members of tiles are compared: the others' bitmaps and prefixes go.
+    members = tiles.select("id").distinct()
+    info = written(nodes.join(members, "id", "left_semi").select("id", "n", "sig").distinct(), "info", described)
     stars = (tiles.where(f"id <> first and 100 * first_n >= {PERCENT} * n")
              .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct())
-    found = _linked(docs, _sized(stars, info))
-    inside = tiles.join(components(found), "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
+    found = _linked(docs, written(_sized(stars, info), "pairs"), info, None)
+    comp = components(found)
+    inside = tiles.join(comp, "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
     mixed = (inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
              .where("x <> y").select("h", "members"))
-    left = _block_pairs(written(inside.join(mixed, "h"), "mixed")).join(info, ["id", "n"])
-    return rows, found.unionByName(_linked(docs, _cross_pairs(left)))
+    mixed = written(inside.join(mixed, "h"), "mixed", tiles)
+    pairs = written(_cross_pairs(_block_pairs(mixed).join(info, ["id", "n"])), "pairs", mixed)
+    return rows, _linked(docs, pairs, info, found)
 
 
-def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that link.  Sets meet in SLICES steps, one after the other, so that only a part of the
-    pairs has its sets in shuffle files at a time."""
-    pairs = written(pairs, "pairs")
-    sets = _sets(docs, pairs)
-    found = None
-    for k in range(SLICES):
-        part = written(_exact(pairs.where(_slice("a") == k), sets), "links")
-        found = part if found is None else found.unionByName(part)
-    return found
-
+def _linked(docs: DataFrame, pairs: DataFrame, info: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``known`` links and those of ``pairs`` (written, and deleted at the end) that link, enough of them that whatever
+    they all connect is connected.
 
-def _slice(col: str):
-    return F.pmod(F.xxhash64(col), F.lit(SLICES).cast("bigint"))
+    The set of one of a pair is sent to the other's.  A step takes as many pairs, by a hash, as send about as
+    much as all sets of the pairs hold; then pairs that have come into one component are dropped."""
+    none = pairs.select("a", "b").limit(0) if known is None else known
+    if pairs.isEmpty():
+        release(pairs)
+        return none
+    sets = _sets(docs, pairs)
+    size = info.select("id", (8 * F.col("n")).alias("size"))
+    held = sets.agg(F.sum(F.octet_length("set"))).first()[0] or 0
+    found, step = known, 0
+    while True:
+        sent = pairs.join(size, pairs["a"] == size["id"]).agg(F.sum("size")).first()[0] or 0
+        if not sent:
+            break
+        steps = math.ceil(sent / max(held, STEP_BYTES))
+        now = F.pmod(F.xxhash64(F.lit(step), "a", "b"), F.lit(steps)) == 0
+        part = written(_exact(pairs.where(now), sets), "links")
+        found, step = part if found is None else found.unionByName(part), step + 1
+        if steps == 1:
+            break
+        comp = components(found)
+        left = pairs.where(~now).join(comp.toDF("a", "comp_a"), "a", "left").join(comp.toDF("b", "comp_b"), "b", "left")
+        left = left.where(~F.coalesce(F.col("comp_a") == F.col("comp_b"), F.lit(False))).select("a", "b")
+        pairs = written(left, "pairs", pairs)
+    release(pairs, sets)
+    return none if found is None else found
 
 
 def _named(rows: DataFrame) -> DataFrame:
@@ -433,11 +472,12 @@ def _shared_ids(rows: DataFrame) -> DataFrame:
 def first_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` without near copies: of each component the document with the smallest id,
     once; rows with a null id stay."""
+    kept_id, kept_rows = _fresh(df, "kept_id", "kept_rows")
     keep = classes(df, id_col=id_col, text_col=text_col).where(F.col(id_col) == F.col("component_id"))
-    keep = written(keep.groupBy(F.col("component_id").alias("kept_id")).agg(F.count(F.lit(1)).alias("kept_rows")), "kept")
+    keep = written(keep.groupBy(F.col("component_id").alias(kept_id)).agg(F.count(F.lit(1)).alias(kept_rows)), "kept")
     cols = [F.col(f"`{c}`") for c in df.columns]
-    marked = df.join(keep, df[id_col] == keep["kept_id"], "left")
-    single = marked.where("kept_rows = 1").select(*cols)
+    marked = df.join(keep, df[id_col] == keep[kept_id], "left")
+    single = marked.where(F.col(kept_rows) == 1).select(*cols)
     # Only ids with several rows are compared row by row.
-    several = marked.where("kept_rows > 1").select(*cols).dropDuplicates([id_col])
+    several = marked.where(F.col(kept_rows) > 1).select(*cols).dropDuplicates([id_col])
     return single.unionByName(several).unionByName(df.where(F.col(id_col).isNull()))
