@@ -14,7 +14,8 @@ cent.  The join is exact (shingles are 64-bit hashes; no link is lost, none is c
    tiles are cut into blocks, and the pairs of blocks are spread over tasks.
 4. A pair is tested by hashed bitmaps first (as many bits as the size band asks for): a bit set in
    one and not in the other is a shingle the other lacks, which bounds the overlap from above.
-   Survivors are intersected exactly, as sorted arrays, in steps that send no more sets than there
+   Short bitmaps travel to the tiles, wide ones only to the distinct pairs that these let through;
+   a pair that has met in an earlier tile is not tested again in one of the next.  Survivors are intersected exactly, as sorted arrays, in steps that send no more sets than there
    are.  After each step the components are joined up, and pairs inside one need no test any more.
 
 Defined results: null and empty texts, and texts of white space, have no shingles, link with nothing
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _Cache
@@ -43,8 +44,10 @@ from .quality import _fresh
 WORDS, PERCENT = 5, 80
 #: Frequent shingles known to all tasks, at most; documents of a batch that make one frequent.
 FREQUENT, FREQUENT_IN_BATCH = 1 << 16, 6
-#: Bits of a signature: a power of two, at least this many and at least eight for each shingle.
-MIN_BITS = 64
+#: Bits of a signature: a power of two, at least MIN_BITS and at least so many for each shingle, in a wide and a short one.
+MIN_BITS, WIDE, SHORT = 64, 8, 2
+#: Tiles of a member before this one, by hash, that its row in a tile names.
+EARLIER = 4
 #: Bits of the filter on ids whose texts are read again.
 FILTER_BITS = 1 << 24
 #: Bytes of sets that are sent to meet their partners in one step, where the sets themselves are not more.
@@ -90,9 +93,9 @@ def prefix(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return grams[:take]
 
 
-def signature(grams: np.ndarray) -> bytes:
+def signature(grams: np.ndarray, per: int = WIDE) -> bytes:
     bits = MIN_BITS
-    while bits < 8 * len(grams):
+    while bits < per * len(grams):
         bits *= 2
     mark = np.zeros(bits, np.uint8)
     mark[(grams >> np.uint64(7)) % np.uint64(bits)] = 1
@@ -135,24 +138,25 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
 
 def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(id, n, digest, sig, prefix)`` of each row."""
+    """``(id, n, digest, sig, short, prefix)`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, sig, firsts = [], [], [], []
+            n, digest, sig, short, firsts = [], [], [], [], []
             for t in batch.column(1):
                 g = shingles(t.as_py())
                 n.append(len(g))
                 digest.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
                 sig.append(signature(g))
+                short.append(signature(g, SHORT))
                 firsts.append(prefix(g, frequent).view(np.int64))
             ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             flat = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "digest", "sig", "prefix"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(short, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "digest", "sig", "short", "prefix"])
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, digest binary, sig binary, prefix array<bigint>")
+    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, digest binary, sig binary, short binary, prefix array<bigint>")
 
 
 def _tiles(nodes: DataFrame) -> DataFrame:
@@ -217,14 +221,15 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     (sizes within the ratio are in the same band or in neighbours), and a band into blocks of about
     BLOCK members: a large component has blocks of its own, the others share blocks, each whole in one.
     Blocks of the same large component do not meet, so only members of different components do, and
-    those of a shared block.
+    those of a shared block.  Other columns of ``members`` go along.
     """
-    small = members.where(F.col("members") <= BLOCK).select("h", F.lit("").alias("p"), F.lit("").alias("q"), F.lit(0).alias("side"), "n", "id", "comp")
+    row = ["n", "id", "comp", *(c for c in members.columns if c not in ("h", "n", "id", "comp", "members"))]
+    small = members.where(F.col("members") <= BLOCK).select("h", F.lit("").alias("p"), F.lit("").alias("q"), F.lit(0).alias("side"), *row)
     large = members.where(F.col("members") > BLOCK)
     if large.isEmpty():
         return small
     # A little wider than the ratio, so that rounding never puts a pair two bands apart.
-    large = large.select("h", "n", "id", "comp", F.floor(F.log("n") / (1.01 * math.log(100 / PERCENT))).cast("bigint").alias("band"))
+    large = large.select("h", *row, F.floor(F.log("n") / (1.01 * math.log(100 / PERCENT))).cast("bigint").alias("band"))
     parts = large.groupBy("h", "band", "comp").agg(F.count(F.lit(1)).alias("rows")).withColumn("own", F.col("rows") > BLOCK // 2)
     shared = parts.where(~F.col("own")).groupBy("h", "band").agg(F.sum("rows").alias("together"))
     parts = parts.join(shared, ["h", "band"], "left").select(
@@ -232,7 +237,7 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     key = F.when(F.col("own"), F.xxhash64("id")).otherwise(F.xxhash64("comp"))
     owner = F.when(F.col("own"), F.col("comp"))
     placed = large.join(parts, ["h", "band", "comp"]).select(
-        "h", "n", "id", "comp", "band", owner.alias("owner"),
+        "h", *row, "band", owner.alias("owner"),
         F.concat_ws(":", F.col("band").cast("string"), F.coalesce(owner.cast("string"), F.lit("")), F.pmod(key, F.col("k")).cast("string")).alias("block"))
     placed = written(placed, "blocks")
     blocks = placed.select("h", "band", "owner", "block").distinct()
@@ -243,19 +248,20 @@ def _block_pairs(members: DataFrame) -> DataFrame:
              .where(F.coalesce(F.col("owner_1") != F.col("owner_2"), F.lit(True))).select("h", "p", "q"))
     sides = (pairs.select("h", F.col("p").alias("block"), "p", "q", F.lit(0).alias("side"))
              .unionByName(pairs.where("p <> q").select("h", F.col("q").alias("block"), "p", "q", F.lit(1).alias("side"))))
-    return small.unionByName(placed.join(sides, ["h", "block"]).select("h", "p", "q", "side", "n", "id", "comp"))
+    return small.unionByName(placed.join(sides, ["h", "block"]).select("h", "p", "q", "side", *row))
 
 
 def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that sizes and bitmaps let through, from the rows of
+    """Pairs ``(a, b)`` of different components that sizes and short bitmaps let through, from the rows of
     ``_block_pairs`` with their bitmaps.  A task holds one pair of blocks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sides = None, ([], [])             # rows (n, id, comp, sig) of the pair of blocks
+        at, sides = None, ([], [])             # rows (n, id, comp, earlier tiles, short bitmap) of the pair of blocks
 
         def flush():
             if sides[0]:
-                one, two = ((*(np.array([r[i] for r in rows], np.int64) for i in range(3)), [r[3] for r in rows]) for rows in sides)
+                one, two = ((*(np.array([r[i] for r in rows], np.int64) for i in range(3)), _padded([r[3] for r in rows]),
+                             [r[4] for r in rows]) for rows in sides)
                 if at[1] == at[2]:
                     yield from _compare(one, one, True)
                 elif sides[1]:
@@ -270,22 +276,45 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
         yield from flush()
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (members.select("h", "p", "q", "side", "n", "id", "comp", "sig").repartition(n, "h", "p", "q").sortWithinPartitions("h", "p", "q")
+    return (members.select("h", "p", "q", "side", "n", "id", "comp", "earlier", "short").repartition(n, "h", "p", "q").sortWithinPartitions("h", "p", "q")
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
+def _padded(lists: list[list[int]]) -> np.ndarray:
+    """Lists of at most EARLIER tiles as rows, filled up with 0."""
+    out = np.zeros((len(lists), EARLIER), np.int64)
+    for i, x in enumerate(lists):
+        out[i, :len(x)] = x
+    return out
+
+
+def _earlier(members: DataFrame) -> DataFrame:
+    """With ``earlier``: the last EARLIER tiles of a member before this one, in the order of their hashes."""
+    before = Window.partitionBy("id").orderBy("h").rowsBetween(-EARLIER, -1)
+    return members.withColumn("earlier", F.collect_list("h").over(before))
+
+
+def _met(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether members of this tile are both in one of the earlier tiles that their rows name.  The first tile
+    that two members share never says so, hence every pair is tested there at least."""
+    out = np.zeros(len(x), bool)
+    for i in range(EARLIER):
+        out |= ((x[:, i, None] == y) & (y != 0)).any(1)        # a tile of hash 0 would only be tested twice
+    return out
+
+
 def _compare(one, two, same: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows (n, id, comp, sig) that may link, by classes of bitmap width.  Sizes within the ratio have equal
-    widths or neighbouring ones, so a bitmap is folded once at most."""
-    widths = [np.array(list(map(len, x[3]))) for x in (one, two)]
+    """Pairs of rows (n, id, comp, earlier tiles, bitmap) that may link, by classes of bitmap width.  Sizes within the
+    ratio have equal widths or neighbouring ones, so a bitmap is folded once at most."""
+    widths = [np.array(list(map(len, x[4]))) for x in (one, two)]
     for w in np.unique(widths[0]):
         for v in np.unique(widths[1]):
             if max(w, v) > 2 * min(w, v) or same and w > v:
                 continue
             p, q = np.flatnonzero(widths[0] == w), np.flatnonzero(widths[1] == v)
             size = int(min(w, v))
-            yield from _compare_class([x[p] for x in one[:3]], folded([one[3][i] for i in p], size),
-                                      [x[q] for x in two[:3]], folded([two[3][i] for i in q], size), same and w == v)
+            yield from _compare_class([x[p] for x in one[:4]], folded([one[4][i] for i in p], size),
+                                      [x[q] for x in two[:4]], folded([two[4][i] for i in q], size), same and w == v)
 
 
 def _compare_class(one, sig_1, two, sig_2, same: bool) -> Iterator[pa.RecordBatch]:
@@ -296,6 +325,8 @@ def _compare_class(one, sig_1, two, sig_2, same: bool) -> Iterator[pa.RecordBatc
         if same:
             ok &= np.arange(i, i + len(n))[:, None] < np.arange(len(two[0]))[None]
         p, q = np.nonzero(ok)
+        new = ~_met(one[3][i + p], two[3][q])
+        p, q = p[new], q[new]
         if not p.size:
             continue
         fits = may_link(one[0][i + p], sig_1[i + p], two[0][q], sig_2[q])
@@ -399,7 +430,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tiles = written(_distinct_tiles(every), "tiles", every)
     # Only members of tiles are compared: the others' bitmaps and prefixes go.
     members = tiles.select("id").distinct()
-    info = written(nodes.join(members, "id", "left_semi").select("id", "n", "sig").distinct(), "info", described)
+    info = written(nodes.join(members, "id", "left_semi").select("id", "n", "sig", "short").distinct(), "info", described)
     stars = (tiles.where(f"id <> first and 100 * first_n >= {PERCENT} * n")
              .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct())
     found = _linked(docs, written(_sized(stars, info), "pairs"), info, None)
@@ -407,9 +438,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     inside = tiles.join(comp, "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
     mixed = (inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
              .where("x <> y").select("h", "members"))
-    mixed = written(inside.join(mixed, "h"), "mixed", tiles)
-    pairs = written(_cross_pairs(_block_pairs(mixed).join(info, ["id", "n"])), "pairs", mixed)
-    return rows, _linked(docs, pairs, info, found)
+    mixed = written(_earlier(inside.join(mixed, "h")), "mixed", tiles)
+    pairs = written(_cross_pairs(_block_pairs(mixed).join(info.select("id", "n", "short"), ["id", "n"])), "pairs", mixed)
+    return rows, _linked(docs, written(_sized(pairs, info), "pairs", pairs), info, found)
 
 
 def _linked(docs: DataFrame, pairs: DataFrame, info: DataFrame, known: DataFrame | None) -> DataFrame:
