@@ -9,7 +9,8 @@ cent.  The join is exact (shingles are 64-bit hashes; no link is lost, none is c
    the nodes with one such shingle, sorted by size and compared only within the size ratio.
    Of tiles with the same members one is kept.
 3. First round: every member is paired with its tile's first member.  Pairs are tested, and their
-   components found.  Second round: only pairs of a tile in different components are left, so a
+   components found.  Second round: where a tile holds several members of one component, the others are
+   paired with one of the largest, another in each tile.  Last round: only pairs of a tile in different components are left, so a
    group of near copies never yields all its pairs, also where a stranger shares its tile.  Large
    tiles are cut into blocks, and the pairs of blocks are spread over tasks.
 4. A pair is tested by hashed bitmaps first (as many bits as the size band asks for): a bit set in
@@ -161,7 +162,7 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 def _tiles(nodes: DataFrame) -> DataFrame:
     """``(h, n, id, first, first_n)``: the members of every tile with at least two, and the tile's first
-    member, its smallest.  A streaming pass over rows sorted by tile; no tile is held."""
+    member in the order of hashed ids (a smallest member would be the least like the others).  A streaming pass over rows sorted by tile; no tile is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.int64
@@ -178,7 +179,7 @@ def _tiles(nodes: DataFrame) -> DataFrame:
 
     rows = nodes.select(F.explode("prefix").alias("h"), "n", "id")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "h").sortWithinPartitions("h", "n", "id").mapInArrow(run, "h bigint, n bigint, id bigint, first bigint, first_n bigint")
+    return rows.repartition(n, "h").sortWithinPartitions("h", F.xxhash64("id"), "id").mapInArrow(run, "h bigint, n bigint, id bigint, first bigint, first_n bigint")
 
 
 def _members(rows: np.ndarray, tile, lead, last: bool):
@@ -431,18 +432,42 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Only members of tiles are compared: the others' bitmaps and prefixes go.
     members = tiles.select("id").distinct()
     info = written(nodes.join(members, "id", "left_semi").select("id", "n", "sig", "short").distinct(), "info", described)
-    stars = (tiles.where(f"id <> first and 100 * first_n >= {PERCENT} * n")
+    stars = (tiles.where(f"id <> first and 100 * least(n, first_n) >= {PERCENT} * greatest(n, first_n)")
              .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct())
     found = _linked(docs, written(_sized(stars, info), "pairs"), info, None)
     comp = components(found)
-    inside = tiles.join(comp, "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
-    mixed = (inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
-             .where("x <> y").select("h", "members"))
-    mixed = written(_earlier(inside.join(mixed, "h")), "mixed", tiles)
+    mixed = written(_mixed(tiles, comp), "mixed", tiles)
+    more = written(_sized(_second_stars(mixed), info), "pairs")
+    if more.isEmpty():
+        release(more)
+        mixed = written(_earlier(mixed), "mixed", mixed)
+    else:
+        found = _linked(docs, more, info, found)
+        mixed = written(_earlier(_mixed(mixed, components(found))), "mixed", mixed)
     pairs = written(_cross_pairs(_block_pairs(mixed).join(info.select("id", "n", "short"), ["id", "n"])), "pairs", mixed)
     return rows, _linked(docs, written(_sized(pairs, info), "pairs", pairs), info, found)
 
 
+def _mixed(tiles: DataFrame, comp: DataFrame) -> DataFrame:
+    """``(h, n, id, comp, members)``: the members of tiles that hold several components."""
+    inside = tiles.select("h", "n", "id").join(comp, "id", "left").select("h", "n", "id", F.coalesce("comp", "id").alias("comp"))
+    several = (inside.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
+               .where("x <> y").select("h", "members"))
+    return inside.join(several, "h").select("h", "n", "id", "comp", "members")
+
+
+def _second_stars(mixed: DataFrame) -> DataFrame:
+    """Pairs of a tile's members with one member of its largest component, where that has several in the tile.
+    The member is chosen by a hash with the tile, so a document meets others of the component in other tiles.
+    Never more pairs than rows, while a group that the first round left in parts mostly becomes one."""
+    one = F.min(F.struct(F.xxhash64("h", "id").alias("by"), "id", "n"))
+    parts = mixed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("rows"), one.alias("one")).where("rows > 1")
+    best = parts.groupBy("h").agg(F.max(F.struct("rows", "comp", "one")).alias("best"))
+    best = best.select("h", F.col("best.comp").alias("to_comp"), F.col("best.one.id").alias("to"), F.col("best.one.n").alias("to_n"))
+    return (mixed.join(best, "h").where(f"comp <> to_comp and 100 * least(n, to_n) >= {PERCENT} * greatest(n, to_n)")
+            .select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct())
+
+
 def _linked(docs: DataFrame, pairs: DataFrame, info: DataFrame, known: DataFrame | None) -> DataFrame:
     """``known`` links and those of ``pairs`` (written, and deleted at the end) that link, enough of them that whatever
     they all connect is connected.

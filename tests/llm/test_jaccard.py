@@ -141,3 +141,20 @@ def test_group_with_strangers_against_all_pairs(spark, monkeypatch):
     rng.shuffle(texts)
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     assert got(plain(jaccard.classes(docs(spark, texts)))) == brute(list(enumerate(texts)))
+
+
+def test_second_stars_are_no_more_than_rows(spark):
+    """Members meet one member of their tile's largest component; tiles without a component of several are left."""
+    rows = [(1, 100, i, 0 if i < 30 else i) for i in range(60)] + [(1, 10, 60, 60)]
+    rows += [(2, 50, 100 + i, 100 + i) for i in range(20)] + [(3, 50, i, 0) for i in range(5)] + [(3, 50, 200, 200)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "h bigint, n bigint, id bigint, comp bigint, members bigint")
+    pairs = {(r["a"], r["b"]) for r in plain(jaccard._second_stars(df))}
+    comp = {r[2]: r[3] for r in rows}
+    assert all(comp[a] == 0 and comp[b] == b for a, b in pairs)
+    assert sorted(b for _, b in pairs) == [*range(30, 60), 200]        # 60 is too small, tile 2 has no group
+    assert len({a for a, b in pairs if b < 60}) == 1
+
+
+def test_a_pair_met_in_an_earlier_tile_is_skipped():
+    one, two = jaccard._padded([[], [5], [5, 7], [0]]), jaccard._padded([[], [7], [9, 7], [0]])
+    assert jaccard._met(one, two).tolist() == [False, False, True, False]
