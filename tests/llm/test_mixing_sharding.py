@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import healthmart.llm.queries as Q
@@ -101,22 +103,62 @@ def test_shards_of_the_documents(spark):
     rows = plain(Q.QUERIES["op2_sharding"](spark, TEST_DIR))
     assert len(rows) == len(texts)
     load = check_shards(rows, texts, 16)
-    # LPT: no load exceeds the mean by more than the largest group.
-    assert max(load.values()) <= sum(load.values()) / 16 + max(r["size"] for r in rows)
+    assert sorted(load.items()) == sorted(enumerate(plain_lpt(rows, texts, 16)))
+    counts = Counter((sum(r["size"] for r in g), g[0]["shard"]) for g in groups_of(rows, texts).values())
+    assert counts == plain_counts(rows, texts, 16)
 
 
 def test_shard_edges(spark, monkeypatch):
     monkeypatch.setattr(sharding, "CHUNK_ROWS", 2)
-    monkeypatch.setattr(sharding, "FINE", 4)
+    monkeypatch.setattr(sharding, "HOT", 6)
     texts = ["same"] * 9 + [None, None, "", "", "x" * 5000] + [f"t{i}" for i in range(40)]
     df = docs(spark, texts).withColumn("shard", F.lit("clash")).withColumn("bytes", F.lit(1))
     rows = plain(sharding.shard(df, 3))
     assert len(rows) == len(texts)
-    check_shards(rows, dict(enumerate(texts)), 3)
+    load = check_shards(rows, dict(enumerate(texts)), 3)
+    assert [load[s] for s in range(3)] == plain_lpt(rows, dict(enumerate(texts)), 3)
     assert sharding.shard(df.limit(0), 3).count() == 0
     again = plain(sharding.shard(df.repartition(7), 3))
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
 def test_lpt_takes_the_least_loaded_shard():
-    assert sharding.schedule([("a", 7), ("b", 5), ("c", 4), ("d", 3)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+    assert list(sharding.schedule([(7, 1), (5, 1), (4, 1), (3, 1)], 2)) == [[1, 0], [0, 1], [0, 1], [1, 0]]
+
+
+def plain_schedule(sizes, n_shards):
+    """Every group one by one to the least-loaded shard, the first of equals."""
+    loads, out = [0] * n_shards, []
+    for size, n in sizes:
+        out.append([0] * n_shards)
+        for _ in range(n):
+            s = loads.index(min(loads))
+            loads[s] += size
+            out[-1][s] += 1
+    return loads, out
+
+
+@given(st.dictionaries(st.integers(1, 300), st.integers(1, 90), max_size=12), st.integers(1, 9))
+def test_levelled_sizes_equal_the_plain_schedule(histogram, n_shards):
+    sizes = sorted(histogram.items(), reverse=True)
+    assert list(sharding.schedule(sizes, n_shards)) == plain_schedule(sizes, n_shards)[1]
+
+
+def groups_of(rows, texts):
+    out = defaultdict(list)
+    for r in rows:
+        out[texts[r["doc_id"]]].append(r)
+    return out
+
+
+def histogram_of(rows, texts):
+    return sorted(Counter(sum(r["size"] for r in g) for g in groups_of(rows, texts).values()).items(), reverse=True)
+
+
+def plain_lpt(rows, texts, n):
+    return plain_schedule(histogram_of(rows, texts), n)[0]
+
+
+def plain_counts(rows, texts, n):
+    sizes = histogram_of(rows, texts)
+    return Counter({(size, s): c for (size, _), counts in zip(sizes, plain_schedule(sizes, n)[1]) for s, c in enumerate(counts) if c})
