@@ -78,10 +78,15 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str | Column], name: str,
         return F.broadcast(numbered.withColumn(name, F.when(F.col("_nth") <= at_most, F.col("_nth").cast("long") + (start - 1))
                                                .otherwise(over)).drop("_nth"))
     total = total + [F.col("_tie").asc()]
-    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*total).sortWithinPartitions(*total) \
-        .drop("_tie").withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    placed = freeze(ranged, "keys")
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*total).sortWithinPartitions(*total)
+    return with_place(ranged.drop("_tie"), name, start=start)
+
+
+def with_place(df: DataFrame, name: str, *, start: int = 1) -> DataFrame:
+    """Add ``name`` = start, start + 1, ... in the order in which ``df`` delivers its rows, which an
+    ordered read states with ``orderBy``."""
+    placed = freeze(df.withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)), "keys")
     # One row per partition: their running sum is one small task, and no job of its own.
     counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))

@@ -178,7 +178,8 @@ def fact_from_person_costs(pc: DataFrame, cells: DataFrame, profit: DataFrame) -
 
 def star_outcome(fact: DataFrame, d_disease: DataFrame, d_age: DataFrame, d_gender: DataFrame,
                  d_location: DataFrame | None = None) -> DataFrame:
-    """V1 (with location) / V2 (without): the fact with dimension attributes instead of ids."""
+    """V1 (with location) / V2 (without): the fact with dimension attributes instead of ids, in the
+    stated order, equal rows by fact id."""
     j = fact.join(d_disease.select("disease_id", "disease_name"), "disease_id", "inner") \
         .join(d_age, "age_id", "inner").join(d_gender.select("gender_id", "gender"), "gender_id", "inner")
     geo = []
@@ -187,8 +188,10 @@ def star_outcome(fact: DataFrame, d_disease: DataFrame, d_age: DataFrame, d_gend
         geo = ["country_name"]
     out = j.select("fact_disease_outcome_id", "disease_name", "age_range", "gender", *geo, *COUNT_COLS, *MEASURES)
     if d_location is not None:
-        return out.orderBy(F.col("effectiveness").desc_nulls_first(), F.col("avg_cost_per_drug").desc_nulls_first())
-    return out.orderBy(F.col("effectiveness").asc_nulls_last(), F.col("avg_cost_per_drug").desc_nulls_first())
+        return out.orderBy(F.col("effectiveness").desc_nulls_first(), F.col("avg_cost_per_drug").desc_nulls_first(),
+                           "fact_disease_outcome_id")
+    return out.orderBy(F.col("effectiveness").asc_nulls_last(), F.col("avg_cost_per_drug").desc_nulls_first(),
+                       "fact_disease_outcome_id")
 
 
 # -- SCD-2 intensity fact --------------------------------------------------------------------

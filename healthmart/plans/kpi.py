@@ -52,12 +52,13 @@ def c2_other_patients(outcome: DataFrame, medicine: DataFrame, indication: DataF
 
 
 def c3_patients_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame) -> DataFrame:
-    """Distinct patients per company, largest first (NULLs first when descending, as PostgreSQL)."""
+    """Distinct patients per company, largest first (NULLs first when descending, as PostgreSQL),
+    equal ones by name."""
     # Distinct (indication, person) pairs first, so only they are shuffled to meet the companies.
     pairs = outcome.select("person_id", "indication_id").distinct()
     j = pairs.join(company_indications(medicine, indication), "indication_id", "inner")
     return j.groupBy(F.col("company").alias("company_name")).agg(
-        F.countDistinct("person_id").alias("patient_count")).orderBy(F.col("patient_count").desc_nulls_first())
+        F.countDistinct("person_id").alias("patient_count")).orderBy(F.col("patient_count").desc_nulls_first(), F.col("company_name").asc_nulls_last())
 
 
 def _profit_total(counts: DataFrame, profit: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -85,24 +86,24 @@ def c5_other_profit(outcome: DataFrame, medicine: DataFrame, indication: DataFra
 
 def c6_profit_per_company(outcome: DataFrame, medicine: DataFrame, indication: DataFrame,
                           profit: DataFrame) -> DataFrame:
-    """Profit per company, largest first."""
+    """Profit per company, largest first, equal ones by name."""
     # Count per indication before attaching the company: the outcome side shrinks to one row per
     # indication before any join, and each indication has exactly one company.
     counts = freq(outcome.select("indication_id"), ["indication_id"])
     counts = counts.join(company_indications(medicine, indication), "indication_id", "inner")
     out = _profit_total(counts, profit, ["company"], "total_profit")
     return out.select(F.col("company").alias("company_name"), "total_profit") \
-        .orderBy(F.col("total_profit").desc_nulls_first())
+        .orderBy(F.col("total_profit").desc_nulls_first(), F.col("company_name").asc_nulls_last())
 
 
 # -- competing products and the merger -------------------------------------------------------
 
 def competing_products(medicine: DataFrame, companies: tuple[str, str]) -> DataFrame:
     """Drugs of the two companies whose active ingredient occurs more than once among them
-    (two drugs of the same company also count, as written in the reference)."""
+    (two drugs of the same company also count, as written in the reference), by ingredient and drug."""
     two = medicine.where(F.col("company").isin(*companies))
     dup = two.groupBy("active_ingredient_name").count().where(F.col("count") > 1)
-    return semi(two, dup, "active_ingredient_name").orderBy(F.col("active_ingredient_name").asc_nulls_last())
+    return semi(two, dup, "active_ingredient_name").orderBy(F.col("active_ingredient_name").asc_nulls_last(), "medicine_id")
 
 
 def competing_outcomes(outcome: DataFrame, indication: DataFrame, medicine: DataFrame,

@@ -612,4 +612,4 @@ def x9(spark, d):
     return _role_session(spark, d, "patient", PATIENT).sql("SELECT current_person_id AS person_id, COUNT(*) AS outcomes FROM outcome")
 
 
-from . import change_queries  # noqa: E402,F401  (registers its queries; it builds on the names above)
+from . import change_queries, order_queries  # noqa: E402,F401  (they register their queries and build on the names above)

@@ -199,3 +199,13 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Cluster)
+
+
+def test_places_follow_the_delivered_order(spark):
+    from pyspark.sql import functions as F
+    from healthmart.operators.keys import with_place
+    df = spark.range(1000).select((F.col("id") * 37 % 101).alias("v"), "id").repartition(7)
+    got = with_place(df.orderBy(F.col("v").desc(), "id"), "place").orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(1, 1001))
+    assert [(r["v"], r["id"]) for r in got] == sorted(((i * 37 % 101, i) for i in range(1000)), key=lambda x: (-x[0], x[1]))
+    assert with_place(df.limit(0).orderBy("v"), "place").count() == 0
