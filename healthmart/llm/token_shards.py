@@ -156,7 +156,7 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
     ranged = placed.repartitionByRange(tasks, "shard").sortWithinPartitions("slot")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, base = store_of(folder)
         store.create_dir(base, recursive=True)
         stride = 2 * length
         shard, out, name, held = None, None, "", []
@@ -192,9 +192,14 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
     return ranged.mapInArrow(write, "slot bigint, shard bigint, row int, n_tokens int, doc_ids array<bigint>, crc32 bigint")
 
 
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder: a URI, also of the form ``file:/...``, or a plain path."""
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
 def resume(folder: str, slot: int, *, length: int, rows_per_shard: int) -> Iterator[np.ndarray]:
     """The sequences of a run from ``slot`` on, padded to ``length``, read front to back."""
-    store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    store, base = store_of(folder)
     shard, row = divmod(slot, rows_per_shard)
     while store.get_file_info(f"{base}/shard-{shard:08d}.bin").type == fs.FileType.File:
         with store.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:

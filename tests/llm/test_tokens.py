@@ -120,6 +120,7 @@ def test_shards_hold_every_document(spark, library):
     assert not stream and sorted(got) == expected_sequences(texts, library, 16, 50_256)
     assert {d for r in rows for d in r["doc_ids"]} == set(range(len(texts)))
     assert [x.tolist() for x in token_shards.resume(folder, 11, **params)] == [x.tolist() for x in read[11:]]
+    assert [x.tolist() for x in token_shards.resume("file:" + folder.removeprefix("file://"), 11, **params)] == [x.tolist() for x in read[11:]]
     empty = token_shards.materialise(df.limit(0), Q.BYTE_RANKS, P.PATTERN, end_id=50_256, key=5, **params)
     assert empty.count() == 0
 
