@@ -1,8 +1,8 @@
 """Registered queries of the jobs that change or maintain stored tables (A8-A11, D4b, D5, C11, stored partials
 and bitmaps, layout by person).  Importing this module registers them in ``queries.REGISTRY``.
 
-Each query stores its inputs in a namespace of its own, runs the job on the stored tables and reads the
-result back; the SQL states the result over the given tables.
+Each run of a query stores its inputs in a new namespace of its own, below the scratch folder, runs the job on
+the stored tables and reads the result back; the SQL states the result over the given tables.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators.cascade import cascade, orphan_report
 from .operators.checked import checked_append
-from .operators.keys import freeze
+from .operators.keys import freeze, scratch_namespace
 from .operators.scd import scd2_merge
 from .plans import audience as AU
 from .plans import facts as FT
@@ -41,7 +41,7 @@ _MOVED_KEY = f"CASE WHEN person_id % 3 = 0 THEN person_id + {_MOVE} ELSE person_
 
 def _cascaded(spark, d) -> Catalog:
     v = role_views(spark, d)
-    cat = Catalog(spark, "healthmart_cascade")
+    cat = Catalog(spark, scratch_namespace(spark, "healthmart_cascade"))
     cat.replace_all({"diseased_patient": v.person(), "orders": v.order_person(), "outcome": v.outcome()})
     moved = v.person().where("person_id % 3 = 0").select(F.col("person_id").alias("old_key"), (F.col("person_id") + _MOVE).alias("new_key"))
     cascade(cat, "diseased_patient", "person_id", moved, foreign_keys=_KEY_GRAPH)
@@ -120,7 +120,7 @@ def a10_as_of(spark, d):
     """Outcomes arrive in two waves; between them every indication gets another medicine.  Each wave keeps the
     medicines of its own arrival."""
     v = role_views(spark, d)
-    cat = Catalog(spark, "healthmart_arrival")
+    cat = Catalog(spark, scratch_namespace(spark, "healthmart_arrival"))
     cat.replace("indication", v.indication())
     arriving, out = stream_folder(spark, "waves"), stream_folder(spark, "as-of")
     outcome = v.outcome()
@@ -171,7 +171,7 @@ def _audience_sql() -> str:
 def c1_c3_bitmaps(spark, d):
     """Distinct patients of three periods, before and after the merger, all from one stored table of bitmaps."""
     v = role_views(spark, d)
-    cat = Catalog(spark, "healthmart_bitmaps")
+    cat = Catalog(spark, scratch_namespace(spark, "healthmart_bitmaps"))
     stored = cat.replace("patient_bitmaps", AU.patient_bitmaps(v.outcome(), v.medicine(), v.indication()))
     out = None
     for period, (first, last) in _PERIODS.items():
@@ -192,7 +192,7 @@ def _maintained(spark, d):
     x = _dims(v)
     cells = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], x["loc"], x["location"], fixed_domains=True)
     no_country = FT.person_cells(x["person"], x["cond"], x["disease"], x["gender"], fixed_domains=True)
-    facts = OutcomeFacts(Catalog(spark, "healthmart_maintained"))
+    facts = OutcomeFacts(Catalog(spark, scratch_namespace(spark, "healthmart_maintained")))
     facts.drop()
     early = F.col("outcome_date") < F.lit(_HALF).cast("date")
     lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome", "outcome_date"))
@@ -222,7 +222,7 @@ def s1j_by_year(spark, d):
     v = role_views(spark, d)
     dil, d_disease, d_level = _dil(v)
     d_year = freeze(W.dim_year(v.outcome_lines()), "years")
-    cat = Catalog(spark, "healthmart_by_year")
+    cat = Catalog(spark, scratch_namespace(spark, "healthmart_by_year"))
     store_by_year(cat, "fact_disease_intensity", FT.fact_disease_intensity(d_year, dil, d_disease, d_level))
     changed = FT.change_intensity(dil, d_disease, *SCD_CHANGE)
     restate_years(cat, "fact_disease_intensity", FT.current_versions_by_year(d_year, changed, d_disease, d_level))
@@ -234,7 +234,7 @@ _BUCKETS = 16
 
 
 def _by_person(spark, d):
-    cat = store_by_person(spark, d, "healthmart_by_person", _BUCKETS)
+    cat = store_by_person(spark, d, scratch_namespace(spark, "healthmart_by_person"), _BUCKETS)
     return GV.PatientSession(PATIENT), {t: cat.scan(t) for t in ("outcome", "diseased_patient", "indication", "medicine", "location", "disease")}
 
 
@@ -278,7 +278,7 @@ def a8_checked(spark, d):
     """Patients loaded into a table that holds some of them already: every arriving row ends up stored or among
     the rejected with its reasons."""
     v = role_views(spark, d)
-    cat = Catalog(spark, "healthmart_checked")
+    cat = Catalog(spark, scratch_namespace(spark, "healthmart_checked"))
     person = v.person().select("person_id", "last_name", "first_name", "gender", "primary_location_id", "disease_id")
     changed = person.withColumn("gender", F.when(F.col("person_id") % 50 == 0, "XX").otherwise(F.col("gender"))) \
         .withColumn("primary_location_id", F.when(F.col("person_id") % 7 == 0, F.col("primary_location_id") + 100).otherwise(F.col("primary_location_id"))) \

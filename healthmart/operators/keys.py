@@ -15,6 +15,7 @@ broadcast, and a table that turns out larger raises instead of overflowing a tas
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -41,9 +42,24 @@ def scratch_path(spark, tag: str) -> str:
     return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def scratch_namespace(spark, purpose: str) -> str:
+    """Make a Spark database of its own below the scratch folder and return its name.  Nothing that another
+    run, session or driver left in the warehouse can be in its way, and no other run replaces its tables."""
+    namespace = f"{purpose}_{_app(spark)}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{namespace}` LOCATION '{scratch_path(spark, purpose)}'")
+    return namespace
+
+
+def _app(spark) -> str:
+    return re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
+
+
 def release_scratch(spark) -> None:
-    """Delete this application's scratch tables.  For the owner of a finished job: frames that still
-    read them fail afterwards."""
+    """Delete this application's scratch tables and namespaces.  For the owner of a finished job: frames that
+    still read them fail afterwards."""
+    for name in [r[0] for r in spark.sql("SHOW DATABASES").collect()]:
+        if re.fullmatch(rf"\w+_{_app(spark)}_[0-9a-f]{{32}}", name):
+            spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -18,7 +18,7 @@ from .functions.scalar import to_int_strict
 from .operators import integrity as IG
 from .operators.cascade import orphan_report
 from .operators.dml import remap_key, scd2_apply
-from .operators.keys import CONDITIONS, LOCATIONS, freeze, with_dense_id
+from .operators.keys import CONDITIONS, LOCATIONS, freeze, scratch_namespace, with_dense_id
 from .plans import facts as FT
 from .plans import governed as GV
 from .plans import kpi
@@ -540,7 +540,7 @@ def a4_stored(spark, d):
     stored tables (each replaced by a version computed from itself), an INSERT ... SELECT and a literal
     row appended, and the fact read back."""
     v = role_views(spark, d)
-    cat = Catalog(spark, _STORED)
+    cat = Catalog(spark, scratch_namespace(spark, _STORED))
     dil, d_disease, d_level = _dil(v)
     d_year = W.dim_year(v.outcome_lines())
     for name, df in (("dim_disease", d_disease), ("dim_year", d_year), ("dim_intensity_level_quantity", d_level),

@@ -1,6 +1,7 @@
 """Jobs that change or maintain stored tables: cascades, dated changes, arrivals, scenarios, partials, layouts."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -303,3 +304,19 @@ def test_accepted_and_rejected_add_up(spark):
     assert checked_append(cat, "indication", first.where("indication_id < 3").withColumn("medicine_id", F.lit(2))) == (1, 1)
     assert rows(cat.scan("indication"), "indication_id", "medicine_id") == [(1, 1), (2, 2), (3, None)]
     assert rows(cat.scan("indication__rejected").select("indication_id", F.concat_ws(",", "reasons"))) == [(1, "indication_id: already stored"), (2, "medicine_id: no such medicine")]
+
+
+# -- runs of the registered queries that store tables --------------------------------------------------------
+
+def test_leftover_folders_and_other_runs_do_not_disturb_a_query_that_stores_tables(spark):
+    # What a driver with a catalog of its own leaves in the shared warehouse.
+    home = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    for folder in ("healthmart_cascade.db/diseased_patient", "healthmart_maintained.db/outcome_cell_partials", "healthmart_by_person.db/outcome"):
+        os.makedirs(f"{home}/{folder}", exist_ok=True)
+        with open(f"{home}/{folder}/left", "w") as f:
+            f.write("left")
+    first = Q.REGISTRY["a11_cascade_outcome"].build(spark, SF001)
+    report = Q.REGISTRY["a11_cascade_report"].build(spark, SF001)
+    assert first.count() == {r["table_name"]: r["n_rows"] for r in report.collect()}["outcome"] > 0
+    assert rows(Q.REGISTRY["b1_fact_from_partials"].build(spark, SF001)) == rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
+    assert rows(Q.REGISTRY["r6_own_record_by_layout"].build(spark, SF001)) == rows(Q.REGISTRY["r6_patient_own_record"].build(spark, SF001))
