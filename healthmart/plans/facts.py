@@ -21,6 +21,7 @@ from ..functions.scalar import WIDE, age_bucket, outcome_is, ratio_money
 from ..operators.dml import restate, scd2_close
 from ..operators.joins import valid_in
 from ..operators.keys import freeze, with_dense_id
+from ..session import small_tasks
 from .warehouse import DISEASE_ATTRS, LOCATION_ATTRS, source_map
 
 OUTCOMES = (("recovered", "recovered_count"), ("worsened", "worsened_count"),
@@ -116,7 +117,9 @@ def fact_disease_outcome_from_lines(lines: DataFrame, indication: DataFrame, pro
     indication are the frequencies, and only partials meet the margins: no second pass over the rows and
     no sort.
     """
-    return fact_from_partials(freeze(outcome_partials(lines, keys), "partials"), indication, profit, keys)
+    with small_tasks(lines.sparkSession):
+        partials = freeze(outcome_partials(lines, keys), "partials")
+    return fact_from_partials(partials, indication, profit, keys)
 
 
 def outcome_partials(lines: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -131,7 +134,9 @@ def fact_from_partials(partials: DataFrame, indication: DataFrame, profit: DataF
     """B1 from stored partials: frequencies are their sums per indication (T12), measures follow as from the rows."""
     keys = keys or OUTCOME_KEYS
     side = _margins(indication, profit).join(partials.groupBy("indication_id").agg(F.sum("rows").alias("_ic")), "indication_id", "inner")
-    return _cell_measures(partials.join(side, "indication_id", "inner"), keys, F.col("rows"), overall_avg_cost(profit))
+    # The sums per cell are made here, when the cells are numbered.
+    with small_tasks(partials.sparkSession):
+        return _cell_measures(partials.join(side, "indication_id", "inner"), keys, F.col("rows"), overall_avg_cost(profit))
 
 
 def fact_disease_outcome_no_country(outcome: DataFrame, cells: DataFrame, indication: DataFrame,

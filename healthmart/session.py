@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +58,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="healthmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+#: Bytes that a task of ``small_tasks`` reads of files and of shuffles, about (sorted and counted, shuffled rows
+#: take some 40 times as much memory), and the partitions that its shuffles start from before small ones are put
+#: together: no more than Spark writes without a sort.
+SCAN_BYTES, TASK_BYTES, TASKS = 16 << 20, 8 << 20, 200
+
+
+def _size(text: str) -> int:
+    """A size as Spark's settings state it."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside read about ``SCAN_BYTES`` of files and ``TASK_BYTES`` of shuffles a task, so a task's
+    memory hardly grows with the input.  With Spark's own settings few partitions, or few cores, put a growing
+    share into each task.  Only jobs that run inside are meant, not frames that are built here and run later."""
+    scan, shuffle = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k, None) for k in (scan, shuffle, number)}
+    for k, size in ((scan, SCAN_BYTES), (shuffle, TASK_BYTES)):
+        spark.conf.set(k, str(min(_size(spark.conf.get(k)), size)))
+    spark.conf.set(number, str(max(int(before[number] or 0), int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS)))
+    try:
+        yield
+    finally:
+        for k, value in before.items():
+            if value is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, value)

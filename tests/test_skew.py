@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from healthmart.operators import keys
 from healthmart.operators.keys import scratch_path
+from healthmart.plans import facts as FT
 
 from .conftest import SF001
 
@@ -48,3 +50,23 @@ def test_hot_keys_match_oracle(spark, skewed, name):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     want = sorted((tuple(r[i] for i in order) for r in cur.fetchall()), key=_nullsafe)
     assert got == want
+
+
+def test_a_task_of_the_outcome_fact_does_not_take_a_growing_share(spark, monkeypatch):
+    """Few shuffle partitions do not decide how many rows a task sorts and counts; the settings come back."""
+    frozen = []
+    monkeypatch.setattr(FT, "freeze", lambda df, tag: frozen.append(keys.freeze(df, tag)) or frozen[-1])
+    n = 500_000
+    lines = spark.range(n).selectExpr("id % 7 AS disease_id", "id % 8 AS age_id", "id % 3 AS gender_id", "id % 25 AS location_id",
+                                      "pmod(xxhash64(id), 100000) AS indication_id", "'died' AS outcome")
+    supplier = spark.range(100_000).selectExpr("id AS indication_id", "id AS cost_cents", "id AS profit_cents")
+    settings = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(k, None) for k in settings]
+    spark.conf.set(settings[0], "2")
+    try:
+        fact = FT.fact_disease_outcome_from_lines(lines, supplier, supplier)
+        assert spark.conf.get(settings[1], None) == before[1] and spark.conf.get(settings[2], None) == before[2]
+    finally:
+        spark.conf.set(settings[0], before[0])
+    assert len(frozen[0].inputFiles()) > 2
+    assert fact.agg(F.sum("died_count")).first()[0] == n
