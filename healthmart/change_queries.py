@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -26,6 +27,7 @@ from .plans.scenarios import kpis_by_scenario
 from .queries import (_DIL, _KPI_SQL, _KPI_SQL_AFTER, _KPI_VIEWS, _MERGED_KPI, _S1, KPI_ACQUIRED, PATIENT, REGISTRY,
                       SCD_CHANGE, TARGET, _dil, _dims, register)
 from .plans import warehouse as W
+from .session import small_tasks
 from .sources.roles import role_views
 from .sources.tables import Catalog
 from .streaming.arrival import CatalogLookup, run_arrivals_as_of, stream_folder
@@ -195,9 +197,15 @@ def _maintained(spark, d):
     facts = OutcomeFacts(Catalog(spark, scratch_namespace(spark, "healthmart_maintained")))
     facts.drop()
     early = F.col("outcome_date") < F.lit(_HALF).cast("date")
-    lines = v.outcome_with(cells, how="left", cols=("indication_id", "outcome", "outcome_date"))
+    # Arrivals are stored once, before they are folded, so line items meet their orders in one join.  A person that
+    # the source lists twice has two cells and its lines come twice; one of each, marked, is the outcome itself.
+    nth = F.row_number().over(Window.partitionBy("person_id").orderBy(*FT.OUTCOME_KEYS))
+    marked = cells.where("person_id IS NOT NULL").withColumn("again", nth > 1)
+    with small_tasks(spark):
+        lines = freeze(v.outcome_with(marked, how="left", cols=("indication_id", "outcome", "outcome_date")), "arrived")
+    outcome = lines.where(~F.coalesce("again", F.lit(False))).select("person_id", "indication_id", "outcome", "outcome_date")
     for batch, rows in (("first", early), ("rest", ~early | F.col("outcome_date").isNull()), ("rest", ~early | F.col("outcome_date").isNull())):
-        facts.merge(batch, lines.where(rows), v.outcome().where(rows), v.indication(), v.profit())
+        facts.merge(batch, lines.where(rows), outcome.where(rows), v.indication(), v.profit())
     return facts, v, no_country
 
 

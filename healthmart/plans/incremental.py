@@ -12,11 +12,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dml import restate
+from ..session import small_tasks
 from ..sources.tables import Catalog
 from . import facts as FT
 
@@ -44,15 +46,23 @@ class Partials:
 
     def sums(self) -> DataFrame:
         df = self.cat.scan(self.table)
+        if self._partitions() == [FOLDED]:      # one row for each key, as ``compact`` wrote it
+            return df.drop("batch")
         values = [c for c in df.columns if c not in (*self.keys, "batch")]
         return df.groupBy(*self.keys).agg(*[F.sum(c).cast(df.schema[c].dataType).alias(c) for c in values])
 
+    def _partitions(self) -> list[str]:
+        """The stored batches, as the catalog lists them: no data is read."""
+        shown = self.cat.spark.sql(f"SHOW PARTITIONS {self.cat.name(self.table)}").collect()
+        return sorted(unquote(r["partition"].removeprefix("batch=")) for r in shown)
+
     def compact(self) -> None:
         """Fold all batches into one partition, in one swap with the list of their names."""
         batches = self.cat.scan(self.table).select("batch").where(F.col("batch") != FOLDED).distinct()
         if self.cat.exists(self.names):
             batches = batches.union(self.cat.scan(self.names)).distinct()
-        self.cat.replace_all({self.table: self.sums().withColumn("batch", F.lit(FOLDED)), self.names: batches}, {self.table: ["batch"]})
+        with small_tasks(self.cat.spark):
+            self.cat.replace_all({self.table: self.sums().withColumn("batch", F.lit(FOLDED)), self.names: batches}, {self.table: ["batch"]})
 
     def drop(self) -> None:
         self.cat.drop(self.table)
@@ -68,8 +78,9 @@ class OutcomeFacts:
 
     def merge(self, batch: str, lines: DataFrame, outcome: DataFrame, indication: DataFrame, profit: DataFrame) -> None:
         """Fold a batch of outcomes: ``lines`` carry their patient's cell (B1), ``outcome`` the person (B2)."""
-        self.cells.merge(batch, FT.outcome_partials(lines))
-        self.persons.merge(batch, FT.person_costs(outcome, indication, profit))
+        with small_tasks(lines.sparkSession):
+            self.cells.merge(batch, FT.outcome_partials(lines))
+            self.persons.merge(batch, FT.person_costs(outcome, indication, profit))
 
     def fact(self, indication: DataFrame, profit: DataFrame) -> DataFrame:
         return FT.fact_from_partials(self.cells.sums(), indication, profit)

@@ -20,7 +20,7 @@ from healthmart.plans.incremental import OutcomeFacts, Partials, restate_years,
 from healthmart.plans.jobs import store_by_person
 from healthmart.plans.scenarios import kpis_by_scenario
 from healthmart.sources import Catalog
-from healthmart.sources.roles import role_views
+from healthmart.sources.roles import RoleViews, role_views
 from healthmart.streaming.arrival import CatalogLookup, run_arrivals_as_of, write_arrivals_as_of
 
 from .conftest import SF001, rows
@@ -320,3 +320,26 @@ def test_leftover_folders_and_other_runs_do_not_disturb_a_query_that_stores_tabl
     assert first.count() == {r["table_name"]: r["n_rows"] for r in report.collect()}["outcome"] > 0
     assert rows(Q.REGISTRY["b1_fact_from_partials"].build(spark, SF001)) == rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, SF001))
     assert rows(Q.REGISTRY["r6_own_record_by_layout"].build(spark, SF001)) == rows(Q.REGISTRY["r6_patient_own_record"].build(spark, SF001))
+
+
+def test_arrivals_are_joined_once_and_sources_may_repeat_a_person(spark, tmp_path, monkeypatch):
+    from healthmart import change_queries as CQ
+    for t in ("region", "nation", "supplier", "customer", "orders", "lineitem"):
+        df = spark.read.parquet(f"{SF001}/{t}.parquet")
+        # Some persons come twice, some orders have no known person, some line items no date.
+        if t == "customer":
+            df = df.unionByName(df.where("c_custkey % 10 = 0"))
+        if t == "orders":
+            df = df.withColumn("o_custkey", F.when(F.col("o_orderkey") % 9 == 0, F.lit(None)).otherwise(F.col("o_custkey")))
+        if t == "lineitem":
+            df = df.withColumn("l_shipdate", F.when(F.col("l_orderkey") % 8 == 0, F.lit(None)).otherwise(F.col("l_shipdate")))
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    reads, outcome_with = [], RoleViews.outcome_with
+    monkeypatch.setattr(RoleViews, "outcome_with", lambda self, *a, **k: reads.append("with") or outcome_with(self, *a, **k))
+    monkeypatch.setattr(RoleViews, "outcome", lambda self: reads.append("outcome"))
+    facts, v, cells = CQ._maintained(spark, str(tmp_path))
+    assert reads == ["with"]
+    monkeypatch.undo()
+    facts.cells.compact()
+    assert rows(facts.fact(v.indication(), v.profit())) == rows(Q.REGISTRY["b1_fact_disease_outcome"].build(spark, str(tmp_path)))
+    assert rows(facts.fact_no_country(cells, v.profit())) == rows(Q.REGISTRY["b2_fact_outcome_no_country"].build(spark, str(tmp_path)))
