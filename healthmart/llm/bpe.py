@@ -7,7 +7,8 @@ Entries are never removed when a merge changes a pair; they are skipped when pop
 pair at their position no longer has that rank.  The cost is O(n log n) for a pre-token of n bytes,
 so very long pre-tokens are no special case.
 
-A worker keeps bounded caches of encoded pre-tokens, and of chunks between single spaces.
+A worker keeps bounded caches of encoded pre-tokens, and of chunks between single spaces, until it
+works for another vocabulary or for the n-gram Jaccard join.
 
 Defined results: a null text counts as empty (no tokens, digests of the empty string); rows are
 independent, so repeated rows, ties and null ids give equal rows with their id as it is; an empty
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, take_turn
 
 #: Entries of a cache generation; a worker keeps two generations of pre-tokens and of chunks.
 PIECES, CHUNKS = 400_000, 500_000
@@ -160,6 +161,10 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def forget(self) -> None:
+        self.pieces.forget()
+        self.chunks.forget()
+
 
 class _Cache(dict):
     """A bounded cache of two generations: entries that are not asked for again fall out."""
@@ -178,6 +183,10 @@ class _Cache(dict):
         self[key] = value
         return value
 
+    def forget(self):
+        self.clear()
+        self.older = {}
+
 
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Codec:
@@ -200,6 +209,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        take_turn(c)
         names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
         for batch in batches:
             key, texts = batch.column(0), batch.column(1)

@@ -46,6 +46,19 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_in_use = None
+
+
+def take_turn(holder) -> None:
+    """``holder`` keeps caches for the tasks to come; those of the holder before it are emptied by its ``forget``.
+    A Python worker serves the tasks of all operators: without this it would keep what each of them left."""
+    global _in_use
+    if _in_use is not holder:
+        if _in_use is not None:
+            _in_use.forget()
+        _in_use = holder
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex}"

@@ -34,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _Cache
-from .common import bound_batches, free_shuffles, release
+from .common import bound_batches, free_shuffles, release, take_turn
 from .common import written as _written
 from .quality import _fresh
 
@@ -49,8 +49,8 @@ FREQUENT, FREQUENT_IN_BATCH = 1 << 16, 6
 MIN_BITS, WIDE, SHORT = 64, 8, 2
 #: Tiles of a member before this one, by hash, that its row in a tile names.
 EARLIER = 4
-#: Bits of the filter on ids whose texts are read again.
-FILTER_BITS = 1 << 24
+#: Bits of the filter on ids whose texts are read again; words of 64 bits of that on ids whose rows are looked up.
+FILTER_BITS, FILTER_WORDS = 1 << 24, 1 << 18
 #: Bytes of sets that are sent to meet their partners in one step, where the sets themselves are not more.
 STEP_BYTES = 64 << 20
 #: Members of a tile that are compared as one block; larger tiles are cut into blocks of about as many.
@@ -71,6 +71,7 @@ _word_hash = _Cache(xxhash.xxh3_64_intdigest, 500_000)
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
+    take_turn(_word_hash)
     words = (text or "").encode().lower().split()     # bytes: ASCII letters and ASCII white space only
     if not words:
         return np.empty(0, np.uint64)
@@ -527,13 +528,33 @@ def _shared_ids(rows: DataFrame) -> DataFrame:
 
 def first_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` without near copies: of each component the document with the smallest id,
-    once; rows with a null id stay."""
-    kept_id, kept_rows = _fresh(df, "kept_id", "kept_rows")
-    keep = classes(df, id_col=id_col, text_col=text_col).where(F.col(id_col) == F.col("component_id"))
-    keep = written(keep.groupBy(F.col("component_id").alias(kept_id)).agg(F.count(F.lit(1)).alias(kept_rows)), "kept")
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    marked = df.join(keep, df[id_col] == keep[kept_id], "left")
-    single = marked.where(F.col(kept_rows) == 1).select(*cols)
+    once; rows with a null id stay.
+
+    Rows are not shuffled to learn that they stay: a filter of FILTER_WORDS words, of known size whatever the
+    data, marks the ids that go or have several rows.  Only rows with a marked id are looked up (with more
+    such ids than bits, most rows)."""
+    found = classes(df, id_col=id_col, text_col=text_col)
+    word, mask, odd_id, odd_rows, marked = _fresh(df, "word", "mask", "odd_id", "odd_rows", "marked")
+    odd = (found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(odd_id))
+           .agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows")).where(f"`{odd_id}` <> first or rows > 1"))
+    odd = written(odd.select(odd_id, F.when(F.col(odd_id) == F.col("first"), F.col("rows")).otherwise(F.lit(0)).alias(odd_rows)), "odd")
+    bits = odd.select(_word(F.col(odd_id)).alias(word), _mask(F.col(odd_id)).alias(mask)).groupBy(word).agg(F.bit_or(mask).alias(mask))
+    row_id = F.col(f"`{id_col}`").cast("bigint")
+    df = df.withColumn(word, _word(row_id)).join(F.broadcast(bits), word, "left")     # FILTER_WORDS rows at most
+    df = df.withColumn(marked, row_id.isNotNull() & F.coalesce(F.col(mask).bitwiseAND(_mask(row_id)) != 0, F.lit(False)))
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in (word, mask, marked)]
+    looked_up = df.where(F.col(marked)).select(*cols, row_id.alias(word)).join(odd, F.col(word) == F.col(odd_id), "left")
+    single = looked_up.where(F.col(odd_rows).isNull()).select(*cols)
     # Only ids with several rows are compared row by row.
-    several = marked.where(F.col(kept_rows) > 1).select(*cols).dropDuplicates([id_col])
-    return single.unionByName(several).unionByName(df.where(F.col(id_col).isNull()))
+    several = looked_up.where(F.col(odd_rows) > 1).select(*cols).dropDuplicates([id_col])
+    return df.where(~F.col(marked)).select(*cols).unionByName(single).unionByName(several)
+
+
+def _word(key: Column) -> Column:
+    """The 64-bit word of the filter that holds an id's bit."""
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS))
+
+
+def _mask(key: Column) -> Column:
+    """The id's bit in its word, by other bits of the hash."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(F.xxhash64(key), 58).cast("int"))

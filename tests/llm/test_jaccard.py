@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import healthmart.llm.queries as Q
-from healthmart.llm import jaccard
+from healthmart.llm import bpe, common, jaccard
 
 from .conftest import TEST_DIR, docs, plain
 
@@ -158,3 +158,31 @@ def test_second_stars_are_no_more_than_rows(spark):
 def test_a_pair_met_in_an_earlier_tile_is_skipped():
     one, two = jaccard._padded([[], [5], [5, 7], [0]]), jaccard._padded([[], [7], [9, 7], [0]])
     assert jaccard._met(one, two).tolist() == [False, False, True, False]
+
+
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
+    """Documents whose id is not marked meet only the broadcast filter; a filter too small for the ids costs time alone."""
+    texts = [f"w{i} " * 3 + " ".join(f"x{i // 3}y{k}" for k in range(40)) for i in range(60)] + [None, "", "one"]
+    df = docs(spark, texts)
+    nulls = df.limit(2).withColumn("doc_id", F.lit(None).cast("bigint"))
+    df = df.unionByName(df.where("doc_id % 6 = 0")).unionByName(nulls).withColumn("rows", F.lit("clash")).withColumn("Word", F.lit(1)).withColumn("a.b", F.lit(2))
+    want = sorted(str(i) for i, _, c in brute(list(enumerate(texts))) if i == c) + ["None", "None"]
+    for words in (jaccard.FILTER_WORDS, 1):
+        monkeypatch.setattr(jaccard, "FILTER_WORDS", words)
+        kept = jaccard.first_of_each(df)
+        assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(want) and kept.columns == df.columns
+        stay = kept._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+        assert stay.count("Join ") == 1 and "rightHint=(strategy=broadcast)" in stay and "Repartition" not in stay
+
+
+def test_a_worker_keeps_the_caches_of_one_operator():
+    codec = bpe.Codec({bytes([i]): i for i in range(256)}, r"\S+|\s+")
+    jaccard.shingles("some words of a text")
+    assert len(jaccard._word_hash) == 5
+    common.take_turn(codec)
+    assert not jaccard._word_hash and not jaccard._word_hash.older
+    codec.encode("some words")
+    common.take_turn(codec)
+    assert codec.chunks and codec.pieces
+    jaccard.shingles("other words")
+    assert not codec.chunks and not codec.pieces and len(jaccard._word_hash) == 2
