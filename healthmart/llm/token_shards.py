@@ -3,8 +3,8 @@
 Documents are tokenised, joined with an end token behind each, and cut into sequences of a fixed
 length; only the last sequence of an input partition is padded.  The sequences are numbered
 0 .. n - 1, and a keyed Feistel permutation of the smallest even number of bits that holds n gives
-each its slot; values beyond n walk the cycle until they fall inside.  Slots are range-partitioned
-into shards, and each shard is one file of little-endian ids with a fixed stride, so the sequence in
+each its slot; values beyond n walk the cycle until they fall inside.  Ranges of slots make the
+shards, ranges of shards the tasks, and each shard is one file of little-endian ids with a fixed stride, so the sequence in
 slot s of a run stands at byte ``(s mod rows) * stride`` of file ``s div rows``: a reader goes on
 from any slot without an index, and reads files front to back.
 
@@ -151,9 +151,11 @@ def materialise(df: DataFrame, path: str, pattern: str, *, end_id: int, length:
     placed = (table.mapInArrow(slots, "slot bigint, n_tokens int, doc_ids array<bigint>, ids binary")
               .withColumn("shard", F.floor(F.col("slot") / rows_per_shard).cast("bigint")))
     n_shards = -(-n // rows_per_shard)
-    # A task owns whole shards and writes them front to back.
+    # A task owns whole shards and writes them front to back.  Its range follows from the number of shards:
+    # range partitioning would place and pack all sequences once more, only to sample where ranges end.
     tasks = min(n_shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ranged = placed.repartitionByRange(tasks, "shard").sortWithinPartitions("slot")
+    owner = F.floor(F.col("shard") * tasks / n_shards).cast("int")
+    ranged = placed.repartitionById(tasks, owner).sortWithinPartitions("slot")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = store_of(folder)

@@ -125,6 +125,21 @@ def test_shards_hold_every_document(spark, library):
     assert empty.count() == 0
 
 
+def test_shards_are_dealt_without_a_sample(spark):
+    df = docs(spark, [f"text {i} " * 20 for i in range(40)]).coalesce(2)
+    out = token_shards.materialise(df, Q.BYTE_RANKS, P.PATTERN, end_id=50_256, key=5, length=8, rows_per_shard=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange") == 1
+    owned = {}
+    for r in out.withColumn("task", F.spark_partition_id()).collect():
+        owned.setdefault(r["task"], []).append(r["slot"])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = sum(map(len, owned.values()))
+    assert sorted(owned) == list(range(tasks))
+    assert [s for t in range(tasks) for s in owned[t]] == list(range(n))        # whole ranges, front to back
+    assert max(map(len, owned.values())) <= min(map(len, owned.values())) + 2 * 4
+
+
 def test_whole_table(spark, library):
     rows = plain(Q.QUERIES["op8_token_shards"](spark, TEST_DIR))
     texts = spark.read.parquet(f"{TEST_DIR}/documents.parquet").collect()
