@@ -90,12 +90,13 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, prior: flo
              text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with the counts, the score and the verdict, and the names these columns have."""
     known = weights(docs, labels, bits=bits, prior=prior, trusted_rows=trusted_rows, id_col=id_col, text_col=text_col)
-    # A constant of 2 ** bits integers, whatever the corpus: Spark folds it to one array literal, so
-    # looking a bucket up needs neither a join nor a row for each n-gram.
-    w = F.split(F.lit(known.first()["w"]), ",").cast("array<int>")
+    # One array of 2 ** bits integers, whatever the corpus, so looking a bucket up needs neither a join nor a row for
+    # each n-gram.  A scalar subquery, not a literal: a plan with a literal is kept with all its values as text by
+    # the driver, twice for each of its executions.
+    weight = known.select(F.split("w", ",").cast("array<int>")).scalar()
     want = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"]
     name = dict(zip(want, _fresh(docs, *want), strict=True))
-    words, hashes, windows, lines, placed, at = _fresh(docs, "q_words", "q_hashes", "q_windows", "q_lines", "q_placed", "q_at")
+    words, hashes, windows, lines, placed, at, w = _fresh(docs, "q_words", "q_hashes", "q_windows", "q_lines", "q_placed", "q_at", "q_w")
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = _hashes(docs, text_col, words, hashes)
     df = (df.withColumn(name["n_words"], F.size(words).cast("long"))
@@ -109,8 +110,10 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, prior: flo
     n_windows = F.greatest(n - (WINDOW - 1), F.lit(0)).cast("int")
     df = df.withColumn(windows, F.transform(F.slice(h, F.lit(1), n_windows),
                                             lambda _, i: F.xxhash64(F.slice(h, i + 1, F.lit(WINDOW)))))
-    score = F.aggregate(_grams(hashes, bits), F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(w, b))
-    df = df.withColumn(name["score"], F.when(n > 0, score / (2e6 * n)).otherwise(F.lit(0.0))).drop(hashes)
+    # Read at one place only, so Spark puts the subquery there instead of the array into rows.
+    df = df.withColumn(w, weight)
+    score = F.aggregate(_grams(hashes, bits), F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(F.col(w), b))
+    df = df.withColumn(name["score"], F.when(n > 0, score / (2e6 * n)).otherwise(F.lit(0.0))).drop(hashes, w)
     # Equal windows stand together when sorted; only documents that have some are sorted.
     df = df.withColumn(placed, F.when(F.size(windows) > F.size(F.array_distinct(windows)),
                                       F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))).drop(windows)

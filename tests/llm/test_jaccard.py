@@ -186,3 +186,29 @@ def test_a_worker_keeps_the_caches_of_one_operator():
     assert codec.chunks and codec.pieces
     jaccard.shingles("other words")
     assert not codec.chunks and not codec.pieces and len(jaccard._word_hash) == 2
+
+
+def test_components_by_short_steps(spark, monkeypatch):
+    rng = random.Random(3)
+    chain = list(range(100, 140))
+    rng.shuffle(chain)
+    links = [*zip(chain, chain[1:]), *((500, i) for i in range(501, 560)), *((rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(150)),
+             (7, 7), (9, 8), (8, 9), (-3, 8), (None, 5), (None, None)]
+    up = {i: i for a, b in links for i in (a, b)}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if None not in (a, b):
+            p, q = sorted((find(a), find(b)))
+            up[q] = p
+    linked = {i for a, b in links for i in (a, b) if None not in (a, b) and a != b}
+    plans, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, tag, *done: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, tag, *done))
+    rows = plain(jaccard.components(spark.createDataFrame(links, "a bigint, b bigint")))
+    assert sorted((r["id"], r["comp"]) for r in rows) == sorted((i, find(i)) for i in linked)
+    # What the driver keeps of a step grows with its plan: shuffles that are planned, reused ones as well.
+    assert len(plans) > 2 and max(p.count("Exchange hashpartitioning") for p in plans) <= 8
