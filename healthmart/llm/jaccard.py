@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _Cache
-from .common import bound_batches, free_shuffles, release, take_turn
+from .common import SPACES, bound_batches, free_shuffles, release, take_turn
 from .common import written as _written
 from .quality import _fresh
 
@@ -55,44 +55,142 @@ FILTER_BITS, FILTER_WORDS = 1 << 24, 1 << 18
 STEP_BYTES = 64 << 20
 #: Members of a tile that are compared as one block; larger tiles are cut into blocks of about as many.
 BLOCK = 1024
+#: Partitions that one task writes, one after the other, where that leaves WAVES tasks for each core.
+GATHER, WAVES = 16, 2
+#: Bytes of texts whose words are hashed at once; few bytes are hashed word by word, as are words of more than LONG bytes.
+GROUP, FEW, LONG = 1 << 19, 512, 64
 
 
-def written(df: DataFrame, tag: str, *done: DataFrame) -> DataFrame:
+def gathered(df: DataFrame) -> DataFrame:
+    """``df`` in fewer partitions, hence files.  For each file it creates on a local or mounted folder, an executor starts
+    other processes (Hadoop sets permissions by chmod); while one starts, the executor's memory counts twice."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(WAVES * spark.sparkContext.defaultParallelism, partitions // GATHER))
+
+
+def written(df: DataFrame, tag: str, *done: DataFrame, gather: bool = True) -> DataFrame:
     """A written table; the tables in ``done`` have had their last reader by then."""
-    out = _written(df, tag)
+    out = _written(gathered(df) if gather else df, tag)
     free_shuffles(df.sparkSession)
     release(*done)
     return out
 
 
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_word_hash = _Cache(xxhash.xxh3_64_intdigest, 500_000)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[list(SPACES.encode())] = False
+#: The first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _hash(word: bytes) -> int:
+    """The hash of a word, as ``_hashes`` gives it."""
+    if len(word) > LONG:
+        return xxhash.xxh3_64_intdigest(word)
+    h, odd, last = len(word) * int(_ODD[1]), tuple(map(int, _ODD)), (1 << 64) - 1
+    for k in range(0, len(word), 8):
+        h = (h & last) ^ int.from_bytes(word[k:k + 8], "little")
+        h = (h ^ h >> 32) * odd[0] & last
+        h = (h ^ h >> 29) * odd[1] & last
+        h ^= h >> 32
+    return h
+
+
+_word_hash = _Cache(_hash, 100_000)
+
+
+def _stirred(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _ODD[0]
+    h = (h ^ (h >> np.uint64(29))) * _ODD[1]
+    return h ^ (h >> np.uint64(32))
+
+
+def _hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of ``data``, and where it starts: eight bytes of all words at a time."""
+    low = np.zeros(len(data) + 8, np.uint8)
+    np.take(_LOWER, np.frombuffer(data, np.uint8), out=low[:len(data)])
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_WORD[low[:len(data)]]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(data) + 1, "<u8", low, 0, (1,))         # the eight bytes from each byte on
+    h = _stirred((eight[start] & _FIRST[np.minimum(size, 8)]) ^ size.astype(np.uint64) * _ODD[1])
+    more, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while more.size:
+        h[more] = _stirred(h[more] ^ (eight[start[more] + done] & _FIRST[np.minimum(size[more] - done, 8)]))
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG):
+        h[i] = _hash(low[start[i]:start[i] + size[i]].tobytes())
+    return h, start
+
+
+def _windows(h: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each ``width`` words in a row."""
+    out = np.full(max(0, len(h) - width + 1), np.uint64(width))
+    for k in range(width):
+        out = (out ^ (out >> np.uint64(29))) * _ODD[0] + h[k:k + len(out)]
+    out = (out ^ (out >> np.uint64(32))) * _ODD[1]
+    return out ^ (out >> np.uint64(29))
+
+
+def _group_sets(texts: list) -> Iterator[np.ndarray]:
+    data = b"\n".join(texts)                         # a line feed ends words, so none spans two texts
+    if len(data) <= FEW:
+        words = [bytes(t).lower().split() for t in texts]       # bytes: ASCII letters and ASCII white space only
+        h = np.array([_word_hash[w] for own in words for w in own], np.uint64)
+        ends = np.cumsum(list(map(len, words)))
+    else:
+        h, start = _hashes(data)
+        ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    shingled, begin = _windows(h, WORDS), 0
+    for end in ends.tolist():
+        grams = shingled[begin:end - WORDS + 1] if end - begin >= WORDS else _windows(h[begin:end], max(1, end - begin))
+        grams, begin = np.sort(grams), end
+        new = grams[1:] != grams[:-1]
+        yield grams if new.all() else grams[np.concatenate([[True], new])]
+
+
+def shingle_sets(texts: Iterable) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text (UTF-8 bytes or None).  Texts are hashed in groups of about GROUP
+    bytes; a longer one is a group by itself."""
+    take_turn(_word_hash)
+    group, size = [], 0
+    for t in texts:
+        t = b"" if t is None else t
+        if group and size + len(t) > GROUP:
+            yield from _group_sets(group)
+            group, size = [], 0
+        group.append(t)
+        size += len(t) + 1
+    if group:
+        yield from _group_sets(group)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-    take_turn(_word_hash)
-    words = (text or "").encode().lower().split()     # bytes: ASCII letters and ASCII white space only
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
-    width = min(WORDS, len(h))
-    out = np.full(len(h) - width + 1, np.uint64(width))
-    for k in range(width):
-        out = (out ^ (out >> np.uint64(29))) * _ODD[0] + h[k:len(h) - width + 1 + k]
-    out = (out ^ (out >> np.uint64(32))) * _ODD[1]
-    return np.unique(out ^ (out >> np.uint64(29)))
+    return next(shingle_sets([(text or "").encode()]))
+
+
+def _column_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    return shingle_sets(t.as_buffer() for t in texts)
 
 
 def prefix(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the common order: rare ones by hash, then frequent ones."""
     n = len(grams)
     take = n - (PERCENT * n + 99) // 100 + 1 if n else 0
-    if len(frequent) and n:
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        often = frequent[at] == grams
-        grams = np.concatenate([grams[~often], grams[often]])
-    return grams[:take]
+    if not len(frequent):
+        return grams[:take]
+    for most in (2 * take, n):                 # mostly the first few hold enough rare ones
+        head = grams[:most]
+        often = frequent[np.minimum(np.searchsorted(frequent, head), len(frequent) - 1)] == head
+        if most >= n or len(head) - np.count_nonzero(often) >= take:
+            break
+    return np.concatenate([head[~often], head[often]])[:take]
 
 
 def signature(grams: np.ndarray, per: int = WIDE) -> bytes:
@@ -100,7 +198,7 @@ def signature(grams: np.ndarray, per: int = WIDE) -> bytes:
     while bits < per * len(grams):
         bits *= 2
     mark = np.zeros(bits, np.uint8)
-    mark[(grams >> np.uint64(7)) % np.uint64(bits)] = 1
+    mark[(grams >> np.uint64(7)) & np.uint64(bits - 1)] = 1
     return np.packbits(mark, bitorder="little").tobytes()
 
 
@@ -129,7 +227,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(0)]
+            sets = list(_column_sets(batch.column(0)))
             h, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, int))
             h, n = h[n >= FREQUENT_IN_BATCH], n[n >= FREQUENT_IN_BATCH]
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
@@ -145,8 +243,7 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digest, sig, short, firsts = [], [], [], [], []
-            for t in batch.column(1):
-                g = shingles(t.as_py())
+            for g in _column_sets(batch.column(1)):
                 n.append(len(g))
                 digest.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
                 sig.append(signature(g))
@@ -414,7 +511,7 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             keys = [-1 if i is None else i % FILTER_BITS for i in batch.column(0).to_pylist()]
             rows = [r for r, k in enumerate(keys) if k >= 0 and marked[k >> 3] >> (k & 7) & 1]
-            sets = [shingles(batch.column(1)[r].as_py()).tobytes() for r in rows]
+            sets = [g.tobytes() for g in shingle_sets(batch.column(1)[r].as_buffer() for r in rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sets, pa.binary())], ["id", "set"])
 
     found = docs.select("id", "text").mapInArrow(run, "id bigint, set binary").where("length(set) > 0")
@@ -425,7 +522,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From ``docs`` (id, text): the described rows, and the links found between nodes, enough of
     them that nodes linked by any chain are connected."""
     bound_batches(docs.sparkSession)
-    described = written(_described(docs, _frequent(docs)), "sets")
+    described = written(_described(docs, _frequent(docs)), "sets", gather=False)
     rows = written(described.select("id", "n", "digest"), "rows")
     named = _named(rows)
     nodes = described.join(named, (described["digest"] == named["of"]) & (described["id"] == named["node"]), "left_semi")
@@ -516,8 +613,8 @@ def classes(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.select("id", "n", "digest").join(named, rows["digest"] == named["of"], "left").select("id", "n", "node")
     comp = components(found.unionByName(_shared_ids(rows)))
     placed = rows.select("id", "n", F.coalesce("node", "id").alias("node")).join(comp.toDF("node", "comp"), "node", "left")
-    return placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                        F.when(F.col("id").isNotNull(), F.coalesce("comp", "node")).alias("component_id"))
+    return gathered(placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                                 F.when(F.col("id").isNotNull(), F.coalesce("comp", "node")).alias("component_id")))
 
 
 def _shared_ids(rows: DataFrame) -> DataFrame:

@@ -212,3 +212,38 @@ def test_components_by_short_steps(spark, monkeypatch):
     assert sorted((r["id"], r["comp"]) for r in rows) == sorted((i, find(i)) for i in linked)
     # What the driver keeps of a step grows with its plan: reads of the edges that are planned, reused ones as well.
     assert len(plans) > 2 and max(p.count("FileScan") for p in plans) <= 4
+
+
+def test_words_hashed_in_groups_as_by_themselves():
+    """Shingle sets do not depend on the texts hashed together, and equal those of a set of tuples in size."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abCD\xe9\u65e5\0-") for _ in range(rng.choice([1, 2, 3, 5, 7, 8, 9, 15, 16, 17, 24, 63, 64, 65, 200])))
+    texts = [None, "", " \n", "one", "a b c d", "x" * 5000, "a\0 a", "a a\0", "\x1c \x85 \xa0 \u2003"]
+    texts += ["".join(word() + rng.choice([" ", "  ", "\t", "\n", "\x0b", "\x0c", "\r"]) for _ in range(rng.choice([1, 3, 4, 5, 6, 40, 400]))) for _ in range(60)]
+    raw = [None if t is None else t.encode() for t in texts]
+    together = list(jaccard.shingle_sets(raw))
+    assert list(map(len, together)) == [len(grams(t)) for t in texts]
+    for t, own in zip(raw, together, strict=True):
+        words = (t or b"").lower().split()
+        h = np.array([jaccard._hash(w) for w in words], np.uint64)
+        alone = np.unique(jaccard._windows(h, min(jaccard.WORDS, max(1, len(words)))))
+        assert own.tolist() == alone.tolist() == next(jaccard.shingle_sets([t])).tolist()
+    assert len({jaccard._hash(w) for t in raw for w in (t or b"").lower().split()}) == len({w for t in raw for w in (t or b"").lower().split()})
+
+
+def test_first_shingles_are_rare_ones():
+    rng = np.random.default_rng(2)
+    for share in (0.0, 0.3, 0.9, 1.0):
+        g = np.unique(rng.integers(0, 1 << 62, 200).astype(np.uint64))
+        often = np.sort(rng.choice(g, int(share * len(g)), replace=False))
+        order = [x for x in g.tolist() if x not in set(often.tolist())] + often.tolist()
+        assert jaccard.prefix(g, often).tolist() == order[:len(g) - (80 * len(g) + 99) // 100 + 1]
+    assert not jaccard.prefix(g[:0], g).size and not jaccard.prefix(g[:0], g[:0]).size
+
+
+def test_many_small_partitions_are_written_as_few_files(spark):
+    """Each file costs an executor several processes; 600 partitions of a few rows are not 600 files."""
+    df = spark.range(6000).repartition(600, "id")
+    kept = jaccard.written(df, "edges")
+    assert len(kept.inputFiles()) <= max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16)
+    assert kept.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (6000, 6000, 5999 * 3000)
