@@ -34,8 +34,9 @@ from .bpe import read_ranks
 from .common import bound_batches, scratch
 
 ROUNDS = 4
-#: Level of zstd for ids that wait to become shards, in the table of sequences and in the shuffle.
-LEVEL = 9
+#: Level of zstd for ids that wait to become shards, in the table of sequences and in the shuffle.  Higher levels take
+#: half as much time again and save 1.5 per cent of the table, 0.1 of the shuffle.
+LEVEL = 5
 #: Ids of a task gathered before its whole sequences are handed on.
 GATHER = 2_000_000
 
@@ -74,6 +75,13 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
+def token_ids(enc: tiktoken.Encoding, text: str, end_id: int) -> np.ndarray:
+    """The 16-bit ids of a text and the end token.  There are no special tokens, so nothing is spent on looking for them."""
+    ids = enc.encode_ordinary(text)
+    ids.append(end_id)
+    return np.array(ids, "<u2")
+
+
 def sequences(df: DataFrame, path: str, pattern: str, end_id: int, length: int, *, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """``(part, pos, n_tokens, doc_ids, ids)``: the sequences of each input partition in order; ``ids``
@@ -111,9 +119,9 @@ def sequences(df: DataFrame, path: str, pattern: str, end_id: int, length: int,
         for batch in batches:
             for i, t, p in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 part = p
-                ids = enc.encode_to_numpy(t.as_py(), disallowed_special=())
-                held.append((i, np.append(ids, end_id).astype("<u2")))
-                size += len(ids) + 1
+                ids = token_ids(enc, t.as_py(), end_id)
+                held.append((i, ids))
+                size += len(ids)
                 if size >= GATHER:
                     yield cut(False)
         if held:

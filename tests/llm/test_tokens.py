@@ -156,3 +156,14 @@ def test_long_runs_of_spaces(spark):
     began = time.process_time()
     token_counts.counter(Q.PIECE_MODEL).counts(["x" + " " * 300_000 + "y"])
     assert time.process_time() - began < 20
+
+
+def test_token_ids_without_a_search_for_special_tokens(library):
+    """``encode`` and ``encode_to_numpy`` look for special tokens at every character, though there are none."""
+
+    class Plain:
+        encode_ordinary = staticmethod(library.encode_ordinary)
+
+    for t in EDGES:
+        ids = token_shards.token_ids(Plain, t or "", 50_256)
+        assert ids.dtype == np.dtype("<u2") and ids.tolist() == [*library.encode(t or "", disallowed_special=()), 50_256]
